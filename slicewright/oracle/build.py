@@ -7,6 +7,7 @@ from collections.abc import Callable
 from slicewright.config import SLICES
 from slicewright.oracle.common import entity_ctes, with_fixtures
 from slicewright.oracle.sales_order import sales_order_sql
+from slicewright.oracle.slices import invoice_sql, inventory_sql, quote_sql, shipment_sql
 
 ORACLES: dict[str, Callable[[], str]] = {
     "entity_dim": lambda: with_fixtures(
@@ -17,6 +18,11 @@ ORACLES: dict[str, Callable[[], str]] = {
 
 for _k in SLICES:
     ORACLES[f"sales_order_slice_{_k}"] = (lambda k=_k: sales_order_sql(k))
+for _k in SLICES:
+    ORACLES[f"invoice_slice_{_k}"] = (lambda k=_k: invoice_sql(k))
+ORACLES["inventory_slice_split"] = inventory_sql
+ORACLES["quote_slice_split"] = quote_sql
+ORACLES["shipment_slice_split"] = shipment_sql
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slicewright.config import SLICES
 from slicewright.operators.entity import entity_dim
+from slicewright.plans.inventory import inventory_slice
+from slicewright.plans.invoice import invoice_slice
+from slicewright.plans.quote import quote_slice
 from slicewright.plans.sales_order import sales_order_slice
+from slicewright.plans.shipment import shipment_slice
 from slicewright.sources.catalog import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +40,23 @@ for _k in SLICES:
     QUERIES[f"sales_order_slice_{_k}"] = (
         lambda spark, sf_dir, k=_k: sales_order_slice(fixture_tables(spark, sf_dir), k)
     )
+
+for _k in SLICES:
+    QUERIES[f"invoice_slice_{_k}"] = (
+        lambda spark, sf_dir, k=_k: invoice_slice(fixture_tables(spark, sf_dir), k)
+    )
+
+
+@register("inventory_slice_split")
+def q_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inventory_slice(fixture_tables(spark, sf_dir))
+
+
+@register("quote_slice_split")
+def q_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_slice(fixture_tables(spark, sf_dir))
+
+
+@register("shipment_slice_split")
+def q_shipment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shipment_slice(fixture_tables(spark, sf_dir))
