@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from slicewright.config import SLICES
 from slicewright.oracle.common import entity_ctes, with_fixtures
+from slicewright.oracle.purchasing import purchase_order_sql, receipt_sql
 from slicewright.oracle.sales_order import sales_order_sql
 from slicewright.oracle.slices import invoice_sql, inventory_sql, quote_sql, shipment_sql
 
@@ -23,6 +24,8 @@ for _k in SLICES:
 ORACLES["inventory_slice_split"] = inventory_sql
 ORACLES["quote_slice_split"] = quote_sql
 ORACLES["shipment_slice_split"] = shipment_sql
+ORACLES["purchase_order_slice_split"] = purchase_order_sql
+ORACLES["receipt_slice_split"] = receipt_sql
 
 
 def oracle_sql() -> dict[str, str]:

@@ -117,7 +117,7 @@ def part1() -> tuple[str, str]:
     return (
         "part1",
         first_by(f"(SELECT * FROM d_part WHERE DivisionId = {BASE_DIVISION})", "NativeId",
-                 "PartId ASC NULLS LAST, PartNumber ASC NULLS LAST", "NativeId AS k, PartId, PartNumber"),
+                 "PartId ASC NULLS LAST, PartNumber ASC NULLS LAST", "NativeId AS k, PartId, PartNumber, UoM"),
     )
 
 
@@ -147,15 +147,15 @@ def money_mul(a: str, b: str) -> str:
     return f"CAST(CAST({a} AS {MONEY}) * CAST({b} AS {MONEY}) AS {MONEY})"
 
 
-def money_div(a: str, b: str, scale: int = 4) -> str:
+def money_div(a: str, b: str, scale: int = 4, a_scale: int = 4, b_scale: int = 4) -> str:
     """Exact ``CAST(a / b AS decimal(.., scale))`` with HALF_UP (DuckDB divides decimals in double).
 
-    a and b are decimal(19,4); the quotient is rounded in integer arithmetic.
-    Zero divisor → NULL.
+    ``a`` has ``a_scale`` decimals, ``b`` has ``b_scale``; the quotient is rounded in
+    integer arithmetic.  Zero divisor → NULL.
     """
-    na = f"CAST(CAST({a} AS {MONEY}) * 10000 AS HUGEINT)"
-    nb = f"CAST(CAST({b} AS {MONEY}) * 10000 AS HUGEINT)"
-    num = f"(abs({na}) * CAST({10 ** scale} AS HUGEINT))"
+    na = f"CAST(CAST({a} AS DECIMAL(38,{a_scale})) * {10 ** a_scale} AS HUGEINT)"
+    nb = f"CAST(CAST({b} AS DECIMAL(38,{b_scale})) * {10 ** b_scale} AS HUGEINT)"
+    num = f"(abs({na}) * CAST({10 ** (scale + b_scale - a_scale)} AS HUGEINT))"
     den = f"abs({nb})"
     q = f"((2 * {num} + {den}) // NULLIF(2 * {den}, 0))"
     sgn = f"(sign({na}) * sign({nb}))"

@@ -14,7 +14,9 @@ from slicewright.config import SLICES
 from slicewright.operators.entity import entity_dim
 from slicewright.plans.inventory import inventory_slice
 from slicewright.plans.invoice import invoice_slice
+from slicewright.plans.purchase_order import purchase_order_slice
 from slicewright.plans.quote import quote_slice
+from slicewright.plans.receipts import receipt_slice
 from slicewright.plans.sales_order import sales_order_slice
 from slicewright.plans.shipment import shipment_slice
 from slicewright.sources.catalog import fixture_tables
@@ -60,3 +62,13 @@ def q_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("shipment_slice_split")
 def q_shipment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shipment_slice(fixture_tables(spark, sf_dir))
+
+
+@register("purchase_order_slice_split")
+def q_purchase_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return purchase_order_slice(fixture_tables(spark, sf_dir))
+
+
+@register("receipt_slice_split")
+def q_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return receipt_slice(fixture_tables(spark, sf_dir))
