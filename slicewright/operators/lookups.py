@@ -44,22 +44,24 @@ def lookup(
     """Left-join ``right`` (reduced to one row per ``right_key``) on ``left_key``.
 
     ``values`` maps output column → right column.  Outputs named in
-    ``default_unknown`` get ``-1`` on a miss.
+    ``default_unknown`` get ``-1`` on a miss.  The lookup side is prepared on its
+    own small plan; the large side gets one join and one projection.
     """
     tag = f"__lk{next(_ids)}"
     src = list(dict.fromkeys(values.values()))
-    side = one_per_key(right.select(right_key, *src), right_key, src)
-    side = side.select(
-        F.col(right_key).alias(f"{tag}_k"),
-        *[F.col(src_c).alias(f"{tag}_{i}") for i, src_c in enumerate(src)],
-    )
+    if len(src) == 1:
+        side = right.groupBy(F.col(right_key).alias(f"{tag}_k")).agg(F.min(src[0]).alias(f"{tag}_0"))
+    else:
+        side = one_per_key(right.select(right_key, *src), right_key, src).toDF(
+            f"{tag}_k", *[f"{tag}_{i}" for i in range(len(src))]
+        )
     lk = F.col(left_key) if isinstance(left_key, str) else left_key
     joined = left.join(side, lk == F.col(f"{tag}_k"), "left")
     outs = []
     for out_c, src_c in values.items():
         c = F.col(f"{tag}_{src.index(src_c)}")
         outs.append((key_or_unknown(c) if out_c in default_unknown else c).alias(out_c))
-    keep = [F.col(c) for c in left.columns if c not in values]
+    keep = [c for c in left.columns if c not in values]
     return joined.select(*keep, *outs)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from slicewright.config import SLICES
 from slicewright.oracle.common import entity_ctes, with_fixtures
+from slicewright.oracle.loads import guard_blocked_sql, load_counts_sql, load_sql, reclassify_sql
 from slicewright.oracle.purchasing import purchase_order_sql, receipt_sql
 from slicewright.oracle.sales_order import sales_order_sql
 from slicewright.oracle.slices import invoice_sql, inventory_sql, quote_sql, shipment_sql
@@ -26,6 +27,13 @@ ORACLES["quote_slice_split"] = quote_sql
 ORACLES["shipment_slice_split"] = shipment_sql
 ORACLES["purchase_order_slice_split"] = purchase_order_sql
 ORACLES["receipt_slice_split"] = receipt_sql
+for _k in ("sales_order", "invoice", "inventory", "purchase_order", "shipment", "receipts"):
+    ORACLES[f"load_{_k}"] = (lambda k=_k: load_sql(k))
+    ORACLES[f"load_counts_{_k}"] = (lambda k=_k: load_counts_sql(k))
+ORACLES["load_purchase_order_as_written"] = lambda: load_sql("purchase_order", as_written=True)
+ORACLES["load_receipts_guard_blocked"] = guard_blocked_sql
+for _k in ("sales_order", "invoice", "inventory", "purchase_order", "receipts", "quote", "shipment"):
+    ORACLES[f"reclassify_{_k}"] = (lambda k=_k: reclassify_sql(k))
 
 
 def oracle_sql() -> dict[str, str]:

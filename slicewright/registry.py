@@ -1,12 +1,13 @@
-"""Registered queries: key → callable(spark, sf_dir) → DataFrame.
+"""Registered jobs and queries.
 
-Every query reads the given test tables (through the derived staging, dimension
-and fact relations of :mod:`slicewright.sources.fixture_sql`) over their whole size.
+``JOBS``: key → callable(spark, tables) → DataFrame, over a :class:`Tables` catalog.
+``QUERIES``: key → callable(spark, sf_dir) → DataFrame, the same jobs over the
+relations derived from the test tables in ``sf_dir`` (whole tables, no sampling).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,56 +20,126 @@ from slicewright.plans.quote import quote_slice
 from slicewright.plans.receipts import receipt_slice
 from slicewright.plans.sales_order import sales_order_slice
 from slicewright.plans.shipment import shipment_slice
+from slicewright.plans.loads import (
+    SPECS,
+    blocked_receipt_target,
+    counts_frame,
+    merge_load,
+    pre_delete,
+    prepare_source,
+    seed_target,
+)
+from slicewright.plans.reclassify import reclassify_fact, with_split_flag
 from slicewright.sources.catalog import fixture_tables
+from slicewright.config import EntityConfig
+from slicewright.operators.merge import ACTION, KEEP, volume_guard
+from slicewright.config import SPLIT_DIVISION, VOLUME_GUARD_RATIO
+from pyspark.sql import functions as F
 
+Job = Callable[[SparkSession, Mapping[str, DataFrame]], DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+JOBS: dict[str, Job] = {}
 
 
-def register(key: str):
-    def deco(fn: Query) -> Query:
-        QUERIES[key] = fn
+def job(key: str):
+    def deco(fn: Job) -> Job:
+        JOBS[key] = fn
         return fn
 
     return deco
 
 
-@register("entity_dim")
-def q_entity_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entity_dim(fixture_tables(spark, sf_dir))
-
-
+JOBS["entity_dim"] = lambda spark, t: entity_dim(t)
 for _k in SLICES:
-    QUERIES[f"sales_order_slice_{_k}"] = (
-        lambda spark, sf_dir, k=_k: sales_order_slice(fixture_tables(spark, sf_dir), k)
-    )
-
+    JOBS[f"sales_order_slice_{_k}"] = lambda spark, t, k=_k: sales_order_slice(t, k)
 for _k in SLICES:
-    QUERIES[f"invoice_slice_{_k}"] = (
-        lambda spark, sf_dir, k=_k: invoice_slice(fixture_tables(spark, sf_dir), k)
+    JOBS[f"invoice_slice_{_k}"] = lambda spark, t, k=_k: invoice_slice(t, k)
+JOBS["inventory_slice_split"] = lambda spark, t: inventory_slice(t)
+JOBS["quote_slice_split"] = lambda spark, t: quote_slice(t)
+JOBS["shipment_slice_split"] = lambda spark, t: shipment_slice(t)
+JOBS["purchase_order_slice_split"] = lambda spark, t: purchase_order_slice(t)
+JOBS["receipt_slice_split"] = lambda spark, t: receipt_slice(t)
+
+
+def _load_inputs(spark, t, kind):
+    spec = SPECS[kind]
+    sl = JOBS[spec.slice_job](spark, t)
+    return spec, prepare_source(spec, sl), sl
+
+
+def _load_job(kind: str, as_written: bool = False) -> Job:
+    def run(spark, t):
+        spec, src, sl = _load_inputs(spark, t, kind)
+        tgt = seed_target(spec, sl, t)
+        if kind == "receipts":
+            guard = volume_guard(src, tgt, F.col("DivisionId") == SPLIT_DIVISION, VOLUME_GUARD_RATIO)
+            if not guard.first()["Pass"]:
+                return tgt.withColumn(ACTION, F.lit(KEEP))
+        return merge_load(spec, tgt, src, as_written=as_written)
+
+    return run
+
+
+def _counts_job(kind: str) -> Job:
+    def run(spark, t):
+        spec, src, sl = _load_inputs(spark, t, kind)
+        tgt = seed_target(spec, sl, t)
+        merged = merge_load(spec, tgt, src)
+        return counts_frame(merged, src, tgt, pre_delete(spec, tgt, EntityConfig()))
+
+    return run
+
+
+def _guard_blocked(spark, t):
+    spec, src, sl = _load_inputs(spark, t, "receipts")
+    tgt = blocked_receipt_target(sl, t)
+    guard = volume_guard(src, tgt, F.col("DivisionId") == SPLIT_DIVISION, VOLUME_GUARD_RATIO)
+    after = tgt.agg(F.count(F.lit(1)).alias("TargetRowsAfter"))
+    g = guard.first()
+    if g["Pass"]:
+        raise AssertionError("guard fixture must block")
+    return guard.select(
+        "SourceRows", "TargetRows", "Pass",
+        F.col("SourceRows").alias("RowsRead"), F.lit(0).cast("bigint").alias("RowsWritten"),
+        F.lit(0).cast("bigint").alias("RowsUpdated"), F.col("SourceRows").alias("RowsByPassed"),
+        F.lit(0).cast("bigint").alias("RowsDeleted"), F.lit("PASS").alias("Status"),
+        F.lit("Not enough staged records").alias("Message"),
+        F.lit(after.first()["TargetRowsAfter"]).cast("bigint").alias("TargetRowsAfter"),
     )
 
 
-@register("inventory_slice_split")
-def q_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inventory_slice(fixture_tables(spark, sf_dir))
+for _k in SPECS:
+    JOBS[f"load_{_k}"] = _load_job(_k)
+    JOBS[f"load_counts_{_k}"] = _counts_job(_k)
+JOBS["load_purchase_order_as_written"] = _load_job("purchase_order", as_written=True)
+JOBS["load_receipts_guard_blocked"] = _guard_blocked
+
+_RECLASS_SEED = {"sales_order": "f_sales_order", "invoice": "f_invoice", "inventory": "f_inventory",
+                 "purchase_order": "f_purchase_order"}
+_RECLASS_SLICE = {"receipts": "receipt_slice_split", "quote": "quote_slice_split",
+                  "shipment": "shipment_slice_split"}
+for _k, _f in _RECLASS_SEED.items():
+    JOBS[f"reclassify_{_k}"] = lambda spark, t, f=_f: reclassify_fact(t, with_split_flag(t[f]))
+for _k, _j in _RECLASS_SLICE.items():
+    JOBS[f"reclassify_{_k}"] = lambda spark, t, j=_j: reclassify_fact(
+        t, with_split_flag(JOBS[j](spark, t), relabel_base=True))
+
 
+def _as_query(j: Job) -> Query:
+    return lambda spark, sf_dir: j(spark, fixture_tables(spark, sf_dir))
 
-@register("quote_slice_split")
-def q_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quote_slice(fixture_tables(spark, sf_dir))
 
+class _Queries(dict):
+    """Live view of JOBS as (spark, sf_dir) queries (later registrations included)."""
 
-@register("shipment_slice_split")
-def q_shipment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shipment_slice(fixture_tables(spark, sf_dir))
+    def refresh(self) -> "_Queries":
+        self.clear()
+        self.update({k: _as_query(j) for k, j in JOBS.items()})
+        return self
 
 
-@register("purchase_order_slice_split")
-def q_purchase_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return purchase_order_slice(fixture_tables(spark, sf_dir))
+QUERIES = _Queries()
 
 
-@register("receipt_slice_split")
-def q_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return receipt_slice(fixture_tables(spark, sf_dir))
+def queries() -> dict[str, Query]:
+    return dict(QUERIES.refresh())

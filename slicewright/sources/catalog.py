@@ -67,27 +67,43 @@ class Tables(Mapping[str, DataFrame]):
         return Tables({n: reader(n) for n in names})
 
 
-def read_base(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Read the base test tables and register them as temp views."""
+def _suffix(sf_dir: str) -> str:
+    import hashlib
+
+    return hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
+
+
+def read_base(spark: SparkSession, sf_dir: str, suffix: str = "") -> dict[str, DataFrame]:
+    """Read the base test tables and register them as temp views (``name + suffix``)."""
     out = {}
     for t in BASE_TABLES:
         df = spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet"))
-        df.createOrReplaceTempView(t)
+        df.createOrReplaceTempView(t + suffix)
         out[t] = df
     return out
 
 
-def _typed(spark: SparkSession, name: str) -> DataFrame:
+def _rename_views(sql: str, suffix: str) -> str:
+    import re
+
+    for t in (*BASE_TABLES, "li"):
+        sql = re.sub(rf"\b{t}\b(?!\.)", t + suffix, sql)
+    return sql
+
+
+def _typed(spark: SparkSession, name: str, suffix: str) -> DataFrame:
     fx = BY_NAME[name]
-    raw = spark.sql(fx.sql.format(ts="timestamp_ntz"))
+    raw = spark.sql(_rename_views(fx.sql.format(ts="timestamp_ntz"), suffix))
     return raw.selectExpr(*[f"cast(`{c}` as {spark_type(t)}) as `{c}`" for c, t in fx.columns])
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Staging, dimension and seed-fact relations derived from ``sf_dir``'s tables."""
-    read_base(spark, sf_dir)
-    spark.sql(LI_SQL).createOrReplaceTempView("li")
-    # Built now: spark.sql resolves the temp views at analysis time, so a later
-    # call for another folder cannot re-point these DataFrames.
-    built = {n: _typed(spark, n) for n in BY_NAME}
-    return Tables({n: (lambda df=df: df) for n, df in built.items()})
+    """Staging, dimension and seed-fact relations derived from ``sf_dir``'s tables.
+
+    Each relation is analysed on first use only.  Its temp views carry a suffix
+    derived from the folder, so catalogs of two folders in one session never mix.
+    """
+    sfx = "_" + _suffix(sf_dir)
+    read_base(spark, sf_dir, sfx)
+    spark.sql(_rename_views(LI_SQL, sfx)).createOrReplaceTempView("li" + sfx)
+    return Tables({n: (lambda n=n: _typed(spark, n, sfx)) for n in BY_NAME})
