@@ -9,6 +9,8 @@ from slicewright.oracle.common import entity_ctes, with_fixtures
 from slicewright.oracle.loads import guard_blocked_sql, load_counts_sql, load_sql, reclassify_sql
 from slicewright.oracle.purchasing import purchase_order_sql, receipt_sql
 from slicewright.oracle.sales_order import sales_order_sql
+from slicewright.oracle.units import unit_sql
+from slicewright.plans.units import UNITS
 from slicewright.oracle.slices import invoice_sql, inventory_sql, quote_sql, shipment_sql
 
 ORACLES: dict[str, Callable[[], str]] = {
@@ -35,6 +37,9 @@ ORACLES["load_receipts_guard_blocked"] = guard_blocked_sql
 for _k in ("sales_order", "invoice", "inventory", "purchase_order", "receipts", "quote", "shipment"):
     ORACLES[f"reclassify_{_k}"] = (lambda k=_k: reclassify_sql(k))
 
+for _k in UNITS:
+    ORACLES[_k] = (lambda k=_k: unit_sql(k))
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: f() for k, f in ORACLES.items()}

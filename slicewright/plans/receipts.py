@@ -37,12 +37,8 @@ def exact_float(c: Column) -> Column:
     return c.cast("string").cast("double")
 
 
-def receipt_slice(
-    tables: Mapping[str, DataFrame],
-    cfg: EntityConfig = EntityConfig(),
-    run: RunContext = RunContext(),
-    division_id: int = SPLIT_DIVISION,
-) -> DataFrame:
+def receipt_totals(tables: Mapping[str, DataFrame], run: RunContext = RunContext()) -> DataFrame:
+    """Received quantity and value per group, every division (before the dedupe)."""
     rc = tables["stg_rc_detail"].select("RCD_AUTO_KEY", "RCH_AUTO_KEY", "POD_AUTO_KEY", "ITEM_NUMBER")
     hdr = tables["stg_rc_header"].select("RCH_AUTO_KEY", "SYSCM_AUTO_KEY", F.col("CMP_AUTO_KEY").alias("__rc_cmp"))
     stock = tables["stg_stock"].select(
@@ -99,6 +95,16 @@ def receipt_slice(
         X.ts_literal(run.run_ts).alias("ETLImportDate"),
         "DPT_AUTO_KEY",
     )
+    return overall
+
+
+def receipt_slice(
+    tables: Mapping[str, DataFrame],
+    cfg: EntityConfig = EntityConfig(),
+    run: RunContext = RunContext(),
+    division_id: int = SPLIT_DIVISION,
+) -> DataFrame:
+    overall = receipt_totals(tables, run)
     ranked = first_per_key(overall, ["VendorId", "PartId", "LineNumber"], tiebreak=list(TIEBREAK), rn_name="rn")
     entity = entity_by_department(tables, cfg).select(
         F.col("DPT_AUTO_KEY").alias("__e_dpt"), F.col("DivisionId").alias("DivisionId")

@@ -125,6 +125,12 @@ for _k, _j in _RECLASS_SLICE.items():
         t, with_split_flag(JOBS[j](spark, t), relabel_base=True))
 
 
+from slicewright.plans.units import UNITS  # noqa: E402
+
+for _k, _u in UNITS.items():
+    JOBS[_k] = lambda spark, t, u=_u: u(t)
+
+
 def _as_query(j: Job) -> Query:
     return lambda spark, sf_dir: j(spark, fixture_tables(spark, sf_dir))
 
