@@ -21,9 +21,10 @@ def with_billing_address(df: DataFrame, prefix: str = "BILL_ADDRESS") -> DataFra
 
 def part_native_by_id(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Reverse lookup of the part dimension: PartId → NativeId, PartNumber (any division)."""
-    return one_per_key(
-        tables["d_part"].select("PartId", "NativeId", "PartNumber"), "PartId", ["NativeId", "PartNumber"]
-    )
+    from slicewright.operators.lookups import lookup_side
+
+    side = lookup_side(tables["d_part"], "PartId", ["NativeId", "PartNumber"])
+    return side.toDF("PartId", "NativeId", "PartNumber")
 
 
 def latest_po_cost(

@@ -72,7 +72,10 @@ def purchase_order_slice(
         po, scoped(tables["d_part"]), "PNM_AUTO_KEY", "NativeId", {"PartId": "PartId", "UOM": "UoM"},
         default_unknown=("PartId",),
     )
-    po = key_lookup(po, tables["d_part"], "ALT_PNM_AUTO_KEY", "PartId", out="AltPartId")
+    po = lookup(
+        po, scoped(tables["d_part"]), "ALT_PNM_AUTO_KEY", "NativeId",
+        {"AltPartId": "PartId", "__alt_uom": "UoM"}, default_unknown=("AltPartId",),
+    ).drop("__alt_uom")
     po = key_lookup(po, tables["d_route"], "ROUTE_CODE", "RouteId", native="RouteCode", Source="Purchasing")
 
     return po.select(

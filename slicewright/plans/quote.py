@@ -51,7 +51,10 @@ def quote_slice(
         {"PartId": "PartId", "PartNumber": "PartNumber", "__pt_found": "PartId"},
         default_unknown=("PartId",),
     )
-    qt = key_lookup(qt, tables["d_part"], "ALT_PNM_AUTO_KEY", "PartId", out="AltPartId")
+    qt = lookup(
+        qt, scoped(tables["d_part"]), "ALT_PNM_AUTO_KEY", "NativeId",
+        {"AltPartId": "PartId", "__alt_number": "PartNumber", "__alt_found": "PartId"}, default_unknown=("AltPartId",),
+    ).drop("__alt_number", "__alt_found")
     qt = key_lookup(
         qt, tables["d_sales_rep"], F.coalesce(F.col("SPN_AUTO_KEY_LINE"), F.col("SPN_AUTO_KEY")), "SalesRepId"
     )

@@ -114,7 +114,10 @@ def sales_order_slice(
         {"PartId": "PartId", "__pt_number": "PartNumber"},
         default_unknown=("PartId",),
     )
-    so = key_lookup(so, tables["d_part"], "ALT_PNM_AUTO_KEY", "PartId", out="AltPartId")
+    so = lookup(
+        so, scoped(tables["d_part"]), "ALT_PNM_AUTO_KEY", "NativeId",
+        {"AltPartId": "PartId", "__alt_number": "PartNumber"}, default_unknown=("AltPartId",),
+    ).drop("__alt_number")
     so = key_lookup(
         so, tables["d_sales_rep"], F.coalesce(F.col("SPN_AUTO_KEY_LINE"), F.col("SPN_AUTO_KEY")), "SalesRepId"
     )
