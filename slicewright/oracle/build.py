@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from slicewright.config import SLICES
 from slicewright.oracle.common import entity_ctes, with_fixtures
-from slicewright.oracle.loads import guard_blocked_sql, load_counts_sql, load_sql, reclassify_sql
+from slicewright.oracle.loads import guard_blocked_sql, load_counts_sql, load_sql, reclassify_sql, run_log_sql
 from slicewright.oracle.purchasing import purchase_order_sql, receipt_sql
 from slicewright.oracle.sales_order import sales_order_sql
 from slicewright.oracle.units import unit_sql
@@ -34,6 +34,7 @@ for _k in ("sales_order", "invoice", "inventory", "purchase_order", "shipment",
     ORACLES[f"load_counts_{_k}"] = (lambda k=_k: load_counts_sql(k))
 ORACLES["load_purchase_order_as_written"] = lambda: load_sql("purchase_order", as_written=True)
 ORACLES["load_receipts_guard_blocked"] = guard_blocked_sql
+ORACLES["run_log"] = run_log_sql
 for _k in ("sales_order", "invoice", "inventory", "purchase_order", "receipts", "quote", "shipment"):
     ORACLES[f"reclassify_{_k}"] = (lambda k=_k: reclassify_sql(k))
 

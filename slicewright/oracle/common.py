@@ -28,7 +28,7 @@ def duck_type(t: str) -> str:
 def fixture_cte(name: str) -> str:
     fx = BY_NAME[name]
     cols = ", ".join(f'CAST("{c}" AS {duck_type(t)}) AS "{c}"' for c, t in fx.columns)
-    return f"{name} AS (SELECT {cols} FROM ({fx.sql.format(ts='timestamp')}) q)"
+    return f"{name} AS (SELECT {cols} FROM ({fx.sql.format(ts='timestamp', unnest='unnest')}) q)"
 
 
 def with_fixtures(ctes: list[tuple[str, str]], final: str) -> str:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from slicewright.config import BASE_DIVISION
 from slicewright.functions.address import billing_country, billing_zip
-from slicewright.operators.dedupe import one_per_key
 
 
 def with_billing_address(df: DataFrame, prefix: str = "BILL_ADDRESS") -> DataFrame:

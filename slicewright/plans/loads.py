@@ -24,7 +24,7 @@ except the keys, the division and the import stamp is overwritten, and
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from slicewright.config import (
     NULL_RECEIVED_DATE,
     SPLIT_DIVISION,
-    VOLUME_GUARD_RATIO,
     EntityConfig,
     RunContext,
 )
@@ -46,7 +45,6 @@ from slicewright.operators.merge import (
     delete_where,
     key_match,
     merge_upsert,
-    volume_guard,
 )
 
 STAMP = "ETLModifiedDate"
@@ -63,7 +61,6 @@ class LoadSpec:
     amount_col: str
     seed_fact: str | None = None
     target_name: str = ""
-    extra: dict = field(default_factory=dict)
 
     @property
     def update_cols(self) -> tuple[str, ...]:
@@ -234,27 +231,8 @@ def merge_load(
     return merge_upsert(tgt, src, _matcher(spec, cfg, as_written), update, spec.insert_cols, stamp)
 
 
-def guarded_receipt_load(
-    target: DataFrame, source: DataFrame, run: RunContext = RunContext(), cfg: EntityConfig = EntityConfig()
-) -> tuple[DataFrame, DataFrame]:
-    """(guard row, new target).  When the guard blocks, the target is returned
-    unchanged (every row KEEP)."""
-    spec = SPECS["receipts"]
-    guard = volume_guard(source, target, F.col("DivisionId") == SPLIT_DIVISION, VOLUME_GUARD_RATIO)
-    merged = merge_load(spec, target, source, run, cfg)
-    return guard, merged
-
-
-def load_counts(merged: DataFrame, source_rows: Column, deleted_rows: Column | None = None,
-                blocked: Column | None = None) -> list[Column]:
-    """Aggregate expressions of the run-log counts over a merge result."""
-    ins = F.sum(F.when(F.col(ACTION) == INSERT, 1).otherwise(0)).cast("bigint")
-    upd = F.sum(F.when(F.col(ACTION) == UPDATE, 1).otherwise(0)).cast("bigint")
-    return [ins.alias("RowsWritten"), upd.alias("RowsUpdated")]
-
-
 __all__ = [
-    "ACTION", "INSERT", "KEEP", "SPECS", "UPDATE", "LoadSpec", "guarded_receipt_load", "merge_load",
+    "ACTION", "INSERT", "KEEP", "SPECS", "UPDATE", "LoadSpec", "merge_load",
     "prepare_source", "seed_target", "shape_target", "target_columns",
 ]
 
@@ -290,3 +268,22 @@ def counts_frame(merged: DataFrame, source: DataFrame, target: DataFrame, delete
         F.col("r").alias("RowsRead"), F.col("w").alias("RowsWritten"), F.col("u").alias("RowsUpdated"),
         (F.col("r") - F.col("u") - F.col("w")).alias("RowsByPassed"), F.col("d").alias("RowsDeleted"),
     )
+
+
+def run_log_frame(kind: str, counts: DataFrame, run: RunContext = RunContext()) -> DataFrame:
+    """The end-of-run record a load appends to the run log (status PASS)."""
+    spec = SPECS[kind]
+    return counts.select(
+        F.lit(run.system_name).alias("SystemName"),
+        F.lit(run.system_rank).alias("SystemNameRank"),
+        F.lit(f"load_{kind}").alias("ProcessName"),
+        F.lit(spec.slice_job).alias("SourceName"),
+        F.lit(spec.target_name).alias("TargetName"),
+        F.lit(run.unique_run_id).alias("UniqueRunID"),
+        F.lit(run.parent_pipeline_id).alias("ParentPipelineID"),
+        F.lit(run.pipeline_id).alias("PipelineID"),
+        F.lit("PASS").alias("Status"),
+        "RowsRead", "RowsWritten", "RowsUpdated", "RowsDeleted", "RowsByPassed",
+        F.lit("Success").alias("Message"),
+        ts_literal(run.run_ts).alias("LoggedAt"),
+    )

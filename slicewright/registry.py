@@ -10,16 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from slicewright.config import SLICES
+from slicewright.config import SLICES, SPLIT_DIVISION, VOLUME_GUARD_RATIO, EntityConfig
 from slicewright.operators.entity import entity_dim
+from slicewright.operators.merge import ACTION, KEEP, volume_guard
 from slicewright.plans.inventory import inventory_slice
 from slicewright.plans.invoice import invoice_slice
-from slicewright.plans.purchase_order import purchase_order_slice
-from slicewright.plans.quote import quote_slice
-from slicewright.plans.receipts import receipt_slice
-from slicewright.plans.sales_order import sales_order_slice
-from slicewright.plans.shipment import shipment_slice
 from slicewright.plans.loads import (
     SPECS,
     blocked_receipt_target,
@@ -27,28 +24,23 @@ from slicewright.plans.loads import (
     merge_load,
     pre_delete,
     prepare_source,
+    run_log_frame,
     seed_target,
 )
+from slicewright.plans.purchase_order import purchase_order_slice
+from slicewright.plans.quote import quote_slice
+from slicewright.plans.receipts import receipt_slice
 from slicewright.plans.reclassify import reclassify_fact, with_split_flag
+from slicewright.plans.sales_order import sales_order_slice
+from slicewright.plans.shipment import shipment_slice
+from slicewright.plans.units import UNITS
 from slicewright.sources.catalog import fixture_tables
-from slicewright.config import EntityConfig
-from slicewright.operators.merge import ACTION, KEEP, volume_guard
-from slicewright.config import SPLIT_DIVISION, VOLUME_GUARD_RATIO
-from pyspark.sql import functions as F
 
 Job = Callable[[SparkSession, Mapping[str, DataFrame]], DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
 JOBS: dict[str, Job] = {}
 
 
-def job(key: str):
-    def deco(fn: Job) -> Job:
-        JOBS[key] = fn
-        return fn
-
-    return deco
-
-
 JOBS["entity_dim"] = lambda spark, t: entity_dim(t)
 for _k in SLICES:
     JOBS[f"sales_order_slice_{_k}"] = lambda spark, t, k=_k: sales_order_slice(t, k)
@@ -111,6 +103,15 @@ def _guard_blocked(spark, t):
 for _k in SPECS:
     JOBS[f"load_{_k}"] = _load_job(_k)
     JOBS[f"load_counts_{_k}"] = _counts_job(_k)
+def _run_log(spark, t):
+    out = None
+    for k in SPECS:
+        rows = run_log_frame(k, _counts_job(k)(spark, t))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+JOBS["run_log"] = _run_log
 JOBS["load_purchase_order_as_written"] = _load_job("purchase_order", as_written=True)
 JOBS["load_receipts_guard_blocked"] = _guard_blocked
 
@@ -125,7 +126,8 @@ for _k, _j in _RECLASS_SLICE.items():
         t, with_split_flag(JOBS[j](spark, t), relabel_base=True))
 
 
-from slicewright.plans.units import UNITS  # noqa: E402
+# Headline jobs (slices, loads, reclassification): what bench.py times.
+HEADLINE: tuple[str, ...] = tuple(JOBS)
 
 for _k, _u in UNITS.items():
     JOBS[_k] = lambda spark, t, u=_u: u(t)

@@ -93,7 +93,7 @@ def _rename_views(sql: str, suffix: str) -> str:
 
 def _typed(spark: SparkSession, name: str, suffix: str) -> DataFrame:
     fx = BY_NAME[name]
-    raw = spark.sql(_rename_views(fx.sql.format(ts="timestamp_ntz"), suffix))
+    raw = spark.sql(_rename_views(fx.sql.format(ts="timestamp_ntz", unnest="explode"), suffix))
     return raw.selectExpr(*[f"cast(`{c}` as {spark_type(t)}) as `{c}`" for c, t in fx.columns])
 
 

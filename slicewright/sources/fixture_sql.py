@@ -4,7 +4,8 @@ Each relation stands for one table the warehouse-slice jobs read (ERP staging
 ``stg_*``, warehouse dimensions ``d_*``, seed facts ``f_*``).  The SQL is portable:
 the same text runs in Spark (to build the inputs of every registered query) and in
 DuckDB (inlined as CTEs into the oracle SQL), so both engines see identical rows.
-``{ts}`` stands for the zone-less timestamp literal keyword of the engine.
+``{ts}`` stands for the zone-less timestamp literal keyword of the engine and
+``{unnest}`` for its array-expanding function (``explode`` / ``unnest``).
 
 Every relation is cast to an explicit schema; nothing is inferred.
 """
@@ -669,10 +670,12 @@ FIXTURES: tuple[Fixture, ...] = (
             ('ProductClass', 'string'),
         ),
         (
-            "select d.AsOfDate, p_partkey+100000 as PartId, 1 as DivisionId, case when p_size % 3 = 0 then 'A' "
-            "when p_size % 3 = 1 then 'B' end as ProductClass from part cross join (select distinct "
-            "cast(date_trunc('month', l_shipdate) as date) as AsOfDate from lineitem where month(l_shipdate) in "
-            '(1,4,7,10)) d'
+            # one snapshot row per part and snapshot month: the month list is one scalar
+            # (array) subquery, expanded per part row — no join between the two tables
+            "select AsOfDate, p_partkey+100000 as PartId, 1 as DivisionId, case when p_size % 3 = 0 then 'A' "
+            "when p_size % 3 = 1 then 'B' end as ProductClass from (select p_partkey, p_size, {unnest}((select "
+            "array_agg(distinct cast(date_trunc('month', l_shipdate) as date)) from lineitem where "
+            "month(l_shipdate) in (1,4,7,10))) as AsOfDate from part) m"
         ),
     ),
     Fixture(

@@ -19,13 +19,19 @@ from slicewright.sources.catalog import Tables, fixture_tables
 from slicewright.sources.fixture_sql import BY_NAME
 
 
+# Rows per staged file: several files per table, so scans split over all cores
+# (one Parquet file with a single row group is read by a single task).
+MAX_RECORDS_PER_FILE = 50_000
+
+
 def stage_fixtures(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> Tables:
     names = list(names or BY_NAME)
     tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
-    root = scratch_path(spark, "staged", tag)
+    root = scratch_path(spark, "staged-v2", tag)
     src = fixture_tables(spark, sf_dir)
     for n in names:
         path = os.path.join(root, n)
         if not os.path.exists(os.path.join(path, "_SUCCESS")):
-            src[n].write.mode("overwrite").parquet(path)
+            (src[n].write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+             .parquet(path))
     return Tables.from_parquet(spark, root, names)

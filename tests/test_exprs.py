@@ -1,8 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from slicewright.functions import address as A
 from slicewright.functions import exprs as X
 

@@ -2,7 +2,6 @@ import datetime as dt
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from slicewright.config import RunContext
 from slicewright.plans.runner import run_load

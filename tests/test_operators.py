@@ -1,5 +1,3 @@
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from slicewright.config import EntityConfig, EntityRule
@@ -7,7 +5,7 @@ from slicewright.operators.dedupe import first_per_key, one_per_key
 from slicewright.operators.entity import entity_dim
 from slicewright.operators.lookups import key_lookup
 from slicewright.operators.merge import (
-    ACTION, delete_where, key_match, merge_upsert, reclassify, volume_guard,
+    delete_where, key_match, merge_upsert, reclassify, volume_guard,
 )
 
 
