@@ -166,7 +166,7 @@ def seed_target(spec: LoadSpec, source: DataFrame, tables: Mapping[str, DataFram
 
 def prepare_source(spec: LoadSpec, slice_df: DataFrame) -> DataFrame:
     src = slice_df
-    if spec.kind in ("sales_order", "purchase_order"):
+    if spec.kind in ("sales_order", "purchase_order", "shipment", "receipts"):
         src = src.filter(F.col("DivisionId") == SPLIT_DIVISION)
     if spec.kind == "shipment":
         src = first_per_key(
@@ -208,6 +208,23 @@ def pre_delete(spec: LoadSpec, target: DataFrame, cfg: EntityConfig) -> Column |
     return None
 
 
+def merge_scope(spec: LoadSpec, cfg: EntityConfig, as_written: bool = False) -> Column:
+    """Target rows a load can touch: every other row can neither match nor be deleted.
+
+    Only these rows enter the merge join; the rest pass through as KEEP (and, with
+    the fact partitioned by ``DivisionId``, are read by partition-pruned scans).
+    """
+    split_dept = F.col("DPT_AUTO_KEY").isin(*cfg.split_departments)
+    in_split = F.col("DivisionId") == SPLIT_DIVISION
+    if spec.kind == "inventory":
+        return split_dept
+    if spec.kind == "invoice":
+        return in_split | split_dept
+    if spec.kind == "purchase_order" and as_written:
+        return F.col("DivisionId") == 1
+    return in_split
+
+
 def merge_load(
     spec: LoadSpec,
     target: DataFrame,
@@ -216,19 +233,22 @@ def merge_load(
     cfg: EntityConfig = EntityConfig(),
     as_written: bool = False,
 ) -> DataFrame:
-    """New target with ``MergeAction`` (no guard; see :func:`guarded_receipt_load`)."""
+    """New target with ``MergeAction`` (the receipt guard is applied by the caller)."""
     src = source.select(*spec.insert_cols)
     if spec.kind == "receipts":
         src = src.withColumn("ETLImportDate", ts_literal(run.run_ts))
+    scope = F.coalesce(merge_scope(spec, cfg, as_written), F.lit(False))
+    inside, outside = target.filter(scope), target.filter(~scope)
     pred = pre_delete(spec, target, cfg)
-    tgt = delete_where(target, pred) if pred is not None else target
+    tgt = delete_where(inside, pred) if pred is not None else inside
     stamp = {STAMP: ts_literal(run.run_ts)}
     if spec.kind == "receipts":
         update = spec.insert_cols
         stamp = {}
     else:
         update = spec.update_cols
-    return merge_upsert(tgt, src, _matcher(spec, cfg, as_written), update, spec.insert_cols, stamp)
+    merged = merge_upsert(tgt, src, _matcher(spec, cfg, as_written), update, spec.insert_cols, stamp)
+    return merged.unionByName(outside.withColumn(ACTION, F.lit(KEEP)))
 
 
 __all__ = [
