@@ -91,3 +91,34 @@ def test_volume_guard_is_strict(spark):
         src = spark.createDataFrame([(i,) for i in range(n)], "x int")
         g = volume_guard(src, tgt, F.col("DivisionId") == 12, 0.8).first()
         assert (g["SourceRows"], g["TargetRows"], g["Pass"]) == (n, 10, expect)
+
+
+def test_product_class_takes_latest_snapshot_in_month(spark):
+    import datetime as dt
+
+    from slicewright.plans.common import part_classes
+
+    ih = spark.createDataFrame(
+        [(dt.date(1996, 3, 1), 1001, 1, "A"), (dt.date(1996, 3, 15), 1001, 1, "B"),
+         (dt.date(1996, 3, 15), 1001, 1, None), (dt.date(1996, 4, 1), 1001, 2, "C")],
+        "AsOfDate date, PartId bigint, DivisionId int, ProductClass string")
+    parts = spark.createDataFrame([(1001, 1, 1, "P-1", "EA")], "PartId bigint, NativeId bigint, DivisionId int, PartNumber string, UoM string")
+    got = {(r["__pc_part"], r["__pc_month"]): r["__pc_class"]
+           for r in part_classes({"f_inventory_history": ih, "d_part": parts}).collect()}
+    assert got == {("P-1", 1996 * 12 + 3): "B"}  # latest date in March wins; April is another division
+
+
+def test_latest_po_cost_ties(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from slicewright.plans.common import latest_po_cost
+
+    po = spark.createDataFrame(
+        [(5, dt.datetime(1997, 1, 1), Decimal("1.0000")), (5, dt.datetime(1997, 2, 1), Decimal("2.0000")),
+         (5, dt.datetime(1997, 2, 1), Decimal("3.0000")), (5, None, Decimal("9.0000")), (6, None, Decimal("4.0000"))],
+        "PartId bigint, PODate timestamp_ntz, UnitCost decimal(19,4)")
+    parts = spark.createDataFrame([(5, 50, 1, "P5", "EA"), (6, 60, 1, "P6", "EA")],
+                                  "PartId bigint, NativeId bigint, DivisionId int, PartNumber string, UoM string")
+    got = {r["PartAutoKey"]: r["PoUnitCost"] for r in latest_po_cost({"d_part": parts}, po).collect()}
+    assert got == {50: Decimal("3.0000"), 60: Decimal("4.0000")}  # latest date, then highest cost; null date last
