@@ -122,3 +122,35 @@ def test_latest_po_cost_ties(spark):
                                   "PartId bigint, NativeId bigint, DivisionId int, PartNumber string, UoM string")
     got = {r["PartAutoKey"]: r["PoUnitCost"] for r in latest_po_cost({"d_part": parts}, po).collect()}
     assert got == {50: Decimal("3.0000"), 60: Decimal("4.0000")}  # latest date, then highest cost; null date last
+
+
+def test_receipt_totals_edge_factors(spark):
+    import datetime as dt
+    from decimal import Decimal as D
+
+    from slicewright.plans.receipts import receipt_totals
+
+    d = dt.datetime(1997, 5, 1)
+    t = {
+        "stg_rc_detail": spark.createDataFrame([(i, 1, i, 1) for i in range(1, 5)],
+                                               "RCD_AUTO_KEY bigint, RCH_AUTO_KEY bigint, POD_AUTO_KEY bigint, ITEM_NUMBER int"),
+        "stg_rc_header": spark.createDataFrame([(1, 0, 7)], "RCH_AUTO_KEY bigint, SYSCM_AUTO_KEY int, CMP_AUTO_KEY bigint"),
+        "stg_stock": spark.createDataFrame([(1, 11, D(300000), d), (2, 12, D(300000), d), (3, 13, D(10), d), (4, 14, D(10), d)],
+                                           "RCD_AUTO_KEY bigint, PNM_AUTO_KEY bigint, QTY_REC decimal(19,4), REC_DATE timestamp_ntz"),
+        "stg_po_detail": spark.createDataFrame(
+            [(1, "PO-1", D("2.5000"), D(2), 1, 106), (2, "PO-2", D("2.5000"), D(0), 1, 106),
+             (3, "PO-3", D("2.5001"), D("0.5"), 4, 106), (4, "PO-4", D("2.5000"), None, 4, 106)],
+            "POD_AUTO_KEY bigint, PO_NUMBER string, UNIT_COST decimal(19,4), FACTOR decimal(19,4), UOM_AUTO_KEY bigint, DPT_AUTO_KEY int"),
+        "stg_parts_master": spark.createDataFrame([(p,) for p in (11, 12, 13, 14)], "PNM_AUTO_KEY bigint"),
+        "stg_sys_companies": spark.createDataFrame([(0, "PARENT, LLC")], "SYSCM_AUTO_KEY int, company_name string"),
+        "stg_companies": spark.createDataFrame([(7,)], "CMP_AUTO_KEY bigint"),
+        "d_vendor": spark.createDataFrame([(700007, 7, 1)], "VendorId bigint, NativeId bigint, DivisionId int"),
+        "d_part": spark.createDataFrame([(100011, 11, 1, "P11", "EA")], "PartId bigint, NativeId bigint, DivisionId int, PartNumber string, UoM string"),
+    }
+    got = {r["PONumber"]: r for r in receipt_totals(t).collect()}
+    assert got["PO-1"]["QuantityReceived"] == 150000.0 and got["PO-1"]["CalculatedValue"] == 750000.0  # outlier repaired
+    assert got["PO-1"]["VendorId"] == 700007 and got["PO-1"]["PartId"] == 100011
+    assert got["PO-2"]["QuantityReceived"] is None and got["PO-2"]["UnitCost"] == D("2.5000")  # factor 0: no error
+    assert got["PO-3"]["UnitCost"] == D("5.0002") and got["PO-3"]["CalculatedValue"] == 50.002  # unit of measure 4
+    assert got["PO-4"]["UnitCost"] == D("2.5000") and got["PO-4"]["QuantityReceived"] == 10.0  # null factor
+    assert got["PO-2"]["PartId"] == -1
