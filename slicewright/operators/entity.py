@@ -58,11 +58,19 @@ def entity_dim(tables: Mapping[str, DataFrame], cfg: EntityConfig = EntityConfig
 
 
 def entity_by_department(tables: Mapping[str, DataFrame], cfg: EntityConfig = EntityConfig()) -> DataFrame:
-    """One (DPT_AUTO_KEY, DEPT_Definition, DivisionId) row per department, broadcastable."""
+    """One (DPT_AUTO_KEY, DEPT_Definition, DivisionId) row per department, broadcastable.
+
+    Built (and size-checked) once per catalog object and configuration.
+    """
+    cache = getattr(tables, "_entity_cache", None)
+    if cache is not None and cfg in cache:
+        return cache[cfg]
     ent = entity_dim(tables, cfg)
     # a department key repeated in staging keeps its first classification
-    ent = one_per_key(ent, "DPT_AUTO_KEY", ["DivisionId", "DEPT_Definition"])
-    return bounded_broadcast(ent)
+    ent = bounded_broadcast(one_per_key(ent, "DPT_AUTO_KEY", ["DivisionId", "DEPT_Definition"]))
+    if cache is not None:
+        cache[cfg] = ent
+    return ent
 
 
 def classify(

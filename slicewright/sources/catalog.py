@@ -30,6 +30,7 @@ class Tables(Mapping[str, DataFrame]):
     def __init__(self, factories: Mapping[str, Callable[[], DataFrame]]):
         self._factories = dict(factories)
         self._built: dict[str, DataFrame] = {}
+        self._entity_cache: dict = {}  # derived per catalog, see operators.entity
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -48,6 +49,8 @@ class Tables(Mapping[str, DataFrame]):
         f[name] = lambda: df
         out = Tables(f)
         out._built = {k: v for k, v in self._built.items() if k != name}
+        if name not in ("stg_department", "stg_division", "stg_sys_companies"):
+            out._entity_cache = self._entity_cache
         out._built[name] = df
         return out
 
