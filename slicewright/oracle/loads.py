@@ -144,17 +144,18 @@ def run_log_sql() -> str:
     from slicewright.config import RunContext
 
     run = RunContext()
-    parts = []
-    for kind, spec in SPECS.items():
-        inner = load_counts_sql(kind)
-        meta = (f"SELECT {sql_str(run.system_name)} AS SystemName, {run.system_rank} AS SystemNameRank, "
-                f"'load_{kind}' AS ProcessName, {sql_str(spec.slice_job)} AS SourceName, "
-                f"{sql_str(spec.target_name)} AS TargetName, {sql_str(run.unique_run_id)} AS UniqueRunID, "
-                f"{sql_str(run.parent_pipeline_id)} AS ParentPipelineID, {sql_str(run.pipeline_id)} AS PipelineID, "
-                "'PASS' AS Status, RowsRead, RowsWritten, RowsUpdated, RowsDeleted, RowsByPassed, "
-                f"'Success' AS Message, {RUN_TS} AS LoggedAt FROM ({inner})")
-        parts.append(f"({meta})")
-    return " UNION ALL ".join(parts)
+    kind, spec = "sales_order", SPECS["sales_order"]
+    inner = load_counts_sql(kind)
+    head = (f"SELECT {sql_str(run.system_name)} AS SystemName, {run.system_rank} AS SystemNameRank, "
+            f"'load_{kind}' AS ProcessName, {sql_str(spec.slice_job)} AS SourceName, "
+            f"{sql_str(spec.target_name)} AS TargetName, {sql_str(run.unique_run_id)} AS UniqueRunID, "
+            f"{sql_str(run.parent_pipeline_id)} AS ParentPipelineID, {sql_str(run.pipeline_id)} AS PipelineID, ")
+    nulls = ", ".join(f"CAST(NULL AS BIGINT) AS {c}" for c in
+                      ("RowsRead", "RowsWritten", "RowsUpdated", "RowsDeleted", "RowsByPassed"))
+    start = f"{head}'RUNNING' AS Status, {nulls}, CAST(NULL AS VARCHAR) AS Message, {RUN_TS} AS LoggedAt FROM ({inner})"
+    end = (f"{head}'PASS' AS Status, RowsRead, RowsWritten, RowsUpdated, RowsDeleted, RowsByPassed, "
+           f"'Success' AS Message, {RUN_TS} AS LoggedAt FROM ({inner})")
+    return f"({start}) UNION ALL ({end})"
 
 
 def guard_blocked_sql() -> str:

@@ -291,9 +291,10 @@ def counts_frame(merged: DataFrame, source: DataFrame, target: DataFrame, delete
 
 
 def run_log_frame(kind: str, counts: DataFrame, run: RunContext = RunContext()) -> DataFrame:
-    """The end-of-run record a load appends to the run log (status PASS)."""
+    """The two records one load appends to the run log: RUNNING at the start (no
+    counts yet) and PASS at the end with the counts."""
     spec = SPECS[kind]
-    return counts.select(
+    head = [
         F.lit(run.system_name).alias("SystemName"),
         F.lit(run.system_rank).alias("SystemNameRank"),
         F.lit(f"load_{kind}").alias("ProcessName"),
@@ -302,8 +303,14 @@ def run_log_frame(kind: str, counts: DataFrame, run: RunContext = RunContext())
         F.lit(run.unique_run_id).alias("UniqueRunID"),
         F.lit(run.parent_pipeline_id).alias("ParentPipelineID"),
         F.lit(run.pipeline_id).alias("PipelineID"),
-        F.lit("PASS").alias("Status"),
-        "RowsRead", "RowsWritten", "RowsUpdated", "RowsDeleted", "RowsByPassed",
-        F.lit("Success").alias("Message"),
+    ]
+    names = ("RowsRead", "RowsWritten", "RowsUpdated", "RowsDeleted", "RowsByPassed")
+    start = counts.select(
+        *head, F.lit("RUNNING").alias("Status"), *[F.lit(None).cast("bigint").alias(c) for c in names],
+        F.lit(None).cast("string").alias("Message"), ts_literal(run.run_ts).alias("LoggedAt"),
+    )
+    end = counts.select(
+        *head, F.lit("PASS").alias("Status"), *names, F.lit("Success").alias("Message"),
         ts_literal(run.run_ts).alias("LoggedAt"),
     )
+    return start.unionByName(end)
