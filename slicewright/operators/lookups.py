@@ -117,3 +117,62 @@ def key_lookup(
         {out: id_col},
         default_unknown=(out,) if default else (),
     )
+
+
+class Lookups:
+    """A chain of lookups on one large DataFrame: one join per lookup and a single
+    projection at the end (``done``), instead of a projection after every join.
+
+    Outputs of earlier lookups are available to later join keys through ``col``.
+    """
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+        self._base = list(df.columns)
+        self._outs: dict[str, Column] = {}
+
+    def col(self, name: str) -> Column:
+        return self._outs[name] if name in self._outs else F.col(name)
+
+    def add(
+        self,
+        right: DataFrame,
+        left_key: str | Column,
+        right_key: str,
+        values: Mapping[str, str],
+        default_unknown: Sequence[str] = (),
+    ) -> Lookups:
+        tag = f"__lk{next(_ids)}"
+        src = list(dict.fromkeys(values.values()))
+        side = lookup_side(right, right_key, src).toDF(f"{tag}_k", *[f"{tag}_{i}" for i in range(len(src))])
+        lk = self.col(left_key) if isinstance(left_key, str) else left_key
+        self.df = self.df.join(side, lk == F.col(f"{tag}_k"), "left")
+        for out_c, src_c in values.items():
+            c = F.col(f"{tag}_{src.index(src_c)}")
+            self._outs[out_c] = key_or_unknown(c) if out_c in default_unknown else c
+        return self
+
+    def key(
+        self,
+        dim: DataFrame,
+        left_key: str | Column,
+        id_col: str,
+        out: str | None = None,
+        division: int | None = DIMENSION_DIVISION,
+        default: bool = True,
+        **equals,
+    ) -> Lookups:
+        native = equals.pop("native", "NativeId")
+        out = out or id_col
+        return self.add(scoped(dim, division, **equals), left_key, native, {out: id_col},
+                        default_unknown=(out,) if default else ())
+
+    def join(self, other: DataFrame, on: Column, how: str = "left") -> Lookups:
+        """A plain join in the chain (pre-reduced side, e.g. an aggregate)."""
+        self._base += [c for c in other.columns if c not in self._base]
+        self.df = self.df.join(other, on, how)
+        return self
+
+    def done(self) -> DataFrame:
+        keep = [F.col(c) for c in self._base if c not in self._outs]
+        return self.df.select(*keep, *[e.alias(n) for n, e in self._outs.items()])

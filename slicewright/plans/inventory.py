@@ -20,7 +20,7 @@ from slicewright.functions import exprs as X
 from slicewright.operators.broadcast import bounded_broadcast
 from slicewright.operators.dedupe import first_per_key
 from slicewright.operators.entity import classify, entity_by_department
-from slicewright.operators.lookups import key_lookup
+from slicewright.operators.lookups import Lookups
 
 AGE_MAP_MAX_ROWS = 100_000
 
@@ -45,19 +45,19 @@ def inventory_slice(
     st = first_per_key(
         st, ["STM_AUTO_KEY", "DivisionId"], tiebreak=[c for c in raw.columns if c != "STM_AUTO_KEY"], rn_name="rn"
     )
-    st = key_lookup(st, tables["d_vendor"], "CMP_AUTO_KEY", "VendorId")
-    st = key_lookup(st, tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
-    st = key_lookup(st, tables["d_part"], "PNM_AUTO_KEY", "PartId")
-    st = key_lookup(st, tables["d_warehouse"], "WHS_AUTO_KEY", "WarehouseId")
-    st = key_lookup(st, tables["d_location"], "LOC_AUTO_KEY", "LocationId")
-    st = key_lookup(st, tables["d_warehouse"], "WHS_ORIGINAL", "WarehouseId", out="OriginalWarehouseId")
-    st = key_lookup(st, tables["d_location"], "LOC_ORIGINAL", "LocationId", out="OriginalLocationId")
-    st = key_lookup(st, tables["d_manufacturer"], "IC_UDF_005", "ManufacturerId", native="ManufacturerName")
-    st = key_lookup(st, tables["d_part_condition"], "PCC_AUTO_KEY", "PartConditionId", default=False)
-
+    lk = Lookups(st)
+    lk.key(tables["d_vendor"], "CMP_AUTO_KEY", "VendorId")
+    lk.key(tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
+    lk.key(tables["d_part"], "PNM_AUTO_KEY", "PartId")
+    lk.key(tables["d_warehouse"], "WHS_AUTO_KEY", "WarehouseId")
+    lk.key(tables["d_location"], "LOC_AUTO_KEY", "LocationId")
+    lk.key(tables["d_warehouse"], "WHS_ORIGINAL", "WarehouseId", out="OriginalWarehouseId")
+    lk.key(tables["d_location"], "LOC_ORIGINAL", "LocationId", out="OriginalLocationId")
+    lk.key(tables["d_manufacturer"], "IC_UDF_005", "ManufacturerId", native="ManufacturerName")
+    lk.key(tables["d_part_condition"], "PCC_AUTO_KEY", "PartConditionId", default=False)
     months = X.months_between_boundaries(F.col("REC_DATE"), X.ts_literal(run.run_ts))
-    ages = age_band_by_month(tables["d_age"])
-    st = st.join(ages, months == F.col("__age_m"), "left")
+    lk.join(age_band_by_month(tables["d_age"]), months == F.col("__age_m"))
+    st = lk.done()
 
     return st.select(
         F.col("STM_AUTO_KEY").alias("NativeId"),

@@ -19,7 +19,7 @@ from slicewright.config import BASE_DIVISION, SLICES, DivisionSlice, EntityConfi
 from slicewright.functions import exprs as X
 from slicewright.operators.dedupe import first_per_key
 from slicewright.operators.entity import classify, entity_by_department
-from slicewright.operators.lookups import key_lookup
+from slicewright.operators.lookups import Lookups
 from slicewright.plans.common import with_billing_address
 
 KEYS = ("INH_AUTO_KEY", "IND_AUTO_KEY")
@@ -60,14 +60,16 @@ def invoice_slice(
             inv = inv.filter(F.col("DEPT_Definition") == F.lit(label))
         inv = first_per_key(inv, [*KEYS, "DivisionId"], tiebreak=tiebreak, rn_name="rn")
 
-    inv = key_lookup(inv, tables["d_customer"], "CMP_AUTO_KEY", "CustomerId")
-    inv = key_lookup(inv, tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
-    inv = key_lookup(inv, tables["d_part"], "PNM_AUTO_KEY", "PartId")
-    inv = key_lookup(inv, tables["d_sales_rep"], "SPN_AUTO_KEY", "SalesRepId")
-    inv = key_lookup(inv, tables["d_route"], "ROUTE_CODE", "RouteId", native="RouteCode", Source="Sales")
+    lk = Lookups(inv)
+    lk.key(tables["d_customer"], "CMP_AUTO_KEY", "CustomerId")
+    lk.key(tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
+    lk.key(tables["d_part"], "PNM_AUTO_KEY", "PartId")
+    lk.key(tables["d_sales_rep"], "SPN_AUTO_KEY", "SalesRepId")
+    lk.key(tables["d_route"], "ROUTE_CODE", "RouteId", native="RouteCode", Source="Sales")
     lta = long_term_by_line(tables, fact_divisions)
-    inv = inv.join(lta, inv["SOD_AUTO_KEY"] == lta["__so_line"], "left")
-    inv = inv.join(tax, inv["INVC_NUMBER"] == tax["__t_invc"], "left")
+    lk.join(lta, F.col("SOD_AUTO_KEY") == lta["__so_line"])
+    lk.join(tax, F.col("INVC_NUMBER") == tax["__t_invc"])
+    inv = lk.done()
     inv = with_billing_address(inv)
 
     return inv.select(

@@ -19,7 +19,7 @@ from slicewright.config import SPLIT_DIVISION, EntityConfig
 from slicewright.functions import exprs as X
 from slicewright.operators.dedupe import first_per_key, one_per_key
 from slicewright.operators.entity import classify, entity_by_department
-from slicewright.operators.lookups import key_lookup, lookup, scoped
+from slicewright.operators.lookups import Lookups, lookup, scoped
 
 KEYS = ("POH_AUTO_KEY", "POD_AUTO_KEY")
 
@@ -52,31 +52,28 @@ def purchase_order_slice(
     po = first_per_key(raw, list(KEYS), tiebreak=[c for c in raw.columns if c not in KEYS], rn_name="rn")
     po = classify(po, entity, "DPT_AUTO_KEY", "DivisionId").filter(F.col("DivisionId") == division_id)
 
-    po = lookup(po, tables["stg_warehouse"], "WHS_AUTO_KEY", "WHS_AUTO_KEY", {"__wh_code": "warehouse_code"})
-    acct = account_by_po_header(tables).withColumnRenamed("POH_AUTO_KEY", "__ap_poh")
-    po = po.join(acct, po["POH_AUTO_KEY"] == acct["__ap_poh"], "left").drop("__ap_poh")
     dept = tables["stg_department"]
     so_hdr = one_per_key(tables["stg_so_header"], "SO_NUMBER", ["DPT_AUTO_KEY"])
     so_dept = lookup(so_hdr, dept, "DPT_AUTO_KEY", "DPT_AUTO_KEY", {"__so_dept": "dept_name"})
-    po = lookup(po, so_dept, "PO_NUMBER", "SO_NUMBER", {"SO_DEPT_NAME": "__so_dept"})
-    po = lookup(po, dept, "DPT_AUTO_KEY", "DPT_AUTO_KEY", {"PO_DEPT_NAME": "dept_name"})
+    acct = account_by_po_header(tables).withColumnRenamed("POH_AUTO_KEY", "__ap_poh")
     rd = last_receipt_dates(tables)
-    po = po.join(
-        rd, (po["PO_NUMBER"] == rd["__rd_po"]) & (po["ITEM_NUMBER"] == rd["__rd_item"]), "left"
-    )
-    po = key_lookup(po, tables["d_vendor"], "CMP_AUTO_KEY", "VendorId")
-    po = key_lookup(po, tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
-    po = key_lookup(po, tables["d_customer"], "CMP_BUYER", "CustomerId")
-    po = key_lookup(po, tables["d_warehouse"], "WHS_AUTO_KEY", "WarehouseId")
-    po = lookup(
-        po, scoped(tables["d_part"]), "PNM_AUTO_KEY", "NativeId", {"PartId": "PartId", "UOM": "UoM"},
-        default_unknown=("PartId",),
-    )
-    po = lookup(
-        po, scoped(tables["d_part"]), "ALT_PNM_AUTO_KEY", "NativeId",
-        {"AltPartId": "PartId", "__alt_uom": "UoM"}, default_unknown=("AltPartId",),
-    ).drop("__alt_uom")
-    po = key_lookup(po, tables["d_route"], "ROUTE_CODE", "RouteId", native="RouteCode", Source="Purchasing")
+
+    lk = Lookups(po)
+    lk.add(tables["stg_warehouse"], "WHS_AUTO_KEY", "WHS_AUTO_KEY", {"__wh_code": "warehouse_code"})
+    lk.join(acct, F.col("POH_AUTO_KEY") == acct["__ap_poh"])
+    lk.add(so_dept, "PO_NUMBER", "SO_NUMBER", {"SO_DEPT_NAME": "__so_dept"})
+    lk.add(dept, "DPT_AUTO_KEY", "DPT_AUTO_KEY", {"PO_DEPT_NAME": "dept_name"})
+    lk.join(rd, (F.col("PO_NUMBER") == rd["__rd_po"]) & (F.col("ITEM_NUMBER") == rd["__rd_item"]))
+    lk.key(tables["d_vendor"], "CMP_AUTO_KEY", "VendorId")
+    lk.key(tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
+    lk.key(tables["d_customer"], "CMP_BUYER", "CustomerId")
+    lk.key(tables["d_warehouse"], "WHS_AUTO_KEY", "WarehouseId")
+    lk.add(scoped(tables["d_part"]), "PNM_AUTO_KEY", "NativeId", {"PartId": "PartId", "UOM": "UoM"},
+           default_unknown=("PartId",))
+    lk.add(scoped(tables["d_part"]), "ALT_PNM_AUTO_KEY", "NativeId", {"AltPartId": "PartId", "__alt_uom": "UoM"},
+           default_unknown=("AltPartId",))
+    lk.key(tables["d_route"], "ROUTE_CODE", "RouteId", native="RouteCode", Source="Purchasing")
+    po = lk.done()
 
     return po.select(
         F.col("POH_AUTO_KEY").alias("NativeId"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from slicewright.config import BASE_DIVISION, SPLIT_DIVISION, EntityConfig, RunContext
 from slicewright.functions import exprs as X
 from slicewright.operators.entity import classify, entity_by_department
-from slicewright.operators.lookups import key_lookup, lookup, scoped
+from slicewright.operators.lookups import Lookups, scoped
 from slicewright.plans.common import part_native_by_id
 
 
@@ -41,26 +41,18 @@ def quote_slice(
     entity = entity_by_department(tables, cfg)
     qt = classify(tables["stg_cq_detail"], entity, "DPT_AUTO_KEY", "DivisionId")
     qt = qt.filter(F.col("DivisionId") == division_id)
-    qt = key_lookup(qt, tables["d_customer"], "CMP_AUTO_KEY", "CustomerId")
-    qt = key_lookup(qt, tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
-    qt = lookup(
-        qt,
-        scoped(tables["d_part"]),
-        "PNM_AUTO_KEY",
-        "NativeId",
-        {"PartId": "PartId", "PartNumber": "PartNumber", "__pt_found": "PartId"},
-        default_unknown=("PartId",),
-    )
-    qt = lookup(
-        qt, scoped(tables["d_part"]), "ALT_PNM_AUTO_KEY", "NativeId",
-        {"AltPartId": "PartId", "__alt_number": "PartNumber", "__alt_found": "PartId"}, default_unknown=("AltPartId",),
-    ).drop("__alt_number", "__alt_found")
-    qt = key_lookup(
-        qt, tables["d_sales_rep"], F.coalesce(F.col("SPN_AUTO_KEY_LINE"), F.col("SPN_AUTO_KEY")), "SalesRepId"
-    )
+    lk = Lookups(qt)
+    lk.key(tables["d_customer"], "CMP_AUTO_KEY", "CustomerId")
+    lk.key(tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
+    lk.add(scoped(tables["d_part"]), "PNM_AUTO_KEY", "NativeId",
+           {"PartId": "PartId", "PartNumber": "PartNumber", "__pt_found": "PartId"}, default_unknown=("PartId",))
+    lk.add(scoped(tables["d_part"]), "ALT_PNM_AUTO_KEY", "NativeId",
+           {"AltPartId": "PartId", "__alt_number": "PartNumber"}, default_unknown=("AltPartId",))
+    lk.key(tables["d_sales_rep"], F.coalesce(F.col("SPN_AUTO_KEY_LINE"), F.col("SPN_AUTO_KEY")), "SalesRepId")
     qoh = parts_with_stock(tables, fact_divisions)
     # the stock test goes through the division-1 part lookup: no part row, no stock
-    qt = qt.join(qoh, (qt["PNM_AUTO_KEY"] == qoh["__qoh_part"]) & qt["__pt_found"].isNotNull(), "left")
+    lk.join(qoh, (F.col("PNM_AUTO_KEY") == qoh["__qoh_part"]) & lk.col("__pt_found").isNotNull())
+    qt = lk.done()
 
     return qt.select(
         F.col("CQH_AUTO_KEY").alias("NativeId"),

@@ -30,7 +30,7 @@ from slicewright.config import (
 from slicewright.functions import exprs as X
 from slicewright.operators.dedupe import first_per_key, one_per_key
 from slicewright.operators.entity import classify, entity_by_department
-from slicewright.operators.lookups import key_lookup, lookup, scoped
+from slicewright.operators.lookups import Lookups, lookup, scoped
 from slicewright.plans.common import (
     latest_po_cost,
     min_division_per_company,
@@ -104,39 +104,25 @@ def sales_order_slice(
     h = headers_in_division(tables, entity, sl.division_id)
     so = so.join(h, so["SOH_AUTO_KEY"] == h["__h_soh"], "inner").drop("__h_soh")
 
-    so = key_lookup(so, tables["d_customer"], "CMP_AUTO_KEY", "CustomerId")
-    so = key_lookup(so, tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
-    so = lookup(
-        so,
-        scoped(tables["d_part"]),
-        "PNM_AUTO_KEY",
-        "NativeId",
-        {"PartId": "PartId", "__pt_number": "PartNumber"},
-        default_unknown=("PartId",),
-    )
-    so = lookup(
-        so, scoped(tables["d_part"]), "ALT_PNM_AUTO_KEY", "NativeId",
-        {"AltPartId": "PartId", "__alt_number": "PartNumber"}, default_unknown=("AltPartId",),
-    ).drop("__alt_number")
-    so = key_lookup(
-        so, tables["d_sales_rep"], F.coalesce(F.col("SPN_AUTO_KEY_LINE"), F.col("SPN_AUTO_KEY")), "SalesRepId"
-    )
-    so = key_lookup(so, tables["d_route"], "ROUTE_CODE", "RouteId", native="RouteCode", Source="Sales")
-    so = key_lookup(so, tables["d_warehouse"], "WHS_AUTO_KEY", "WarehouseId")
-    so = lookup(
-        so, tables["stg_contract_header"], "CTH_AUTO_KEY", "CTH_AUTO_KEY", {"CONTRACT_NUMBER": "CONTRACT_NUMBER"}
-    )
+    lk = Lookups(so)
+    lk.key(tables["d_customer"], "CMP_AUTO_KEY", "CustomerId")
+    lk.key(tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
+    lk.add(scoped(tables["d_part"]), "PNM_AUTO_KEY", "NativeId",
+           {"PartId": "PartId", "__pt_number": "PartNumber"}, default_unknown=("PartId",))
+    lk.add(scoped(tables["d_part"]), "ALT_PNM_AUTO_KEY", "NativeId",
+           {"AltPartId": "PartId", "__alt_number": "PartNumber"}, default_unknown=("AltPartId",))
+    lk.key(tables["d_sales_rep"], F.coalesce(F.col("SPN_AUTO_KEY_LINE"), F.col("SPN_AUTO_KEY")), "SalesRepId")
+    lk.key(tables["d_route"], "ROUTE_CODE", "RouteId", native="RouteCode", Source="Sales")
+    lk.key(tables["d_warehouse"], "WHS_AUTO_KEY", "WarehouseId")
+    lk.add(tables["stg_contract_header"], "CTH_AUTO_KEY", "CTH_AUTO_KEY", {"CONTRACT_NUMBER": "CONTRACT_NUMBER"})
 
     costs = latest_po_cost(tables, po_cost_scope(tables, entity, sl, fact_divisions))
-    so = so.join(costs, so["PNM_AUTO_KEY"] == costs["PartAutoKey"], "left").drop("PartAutoKey")
+    lk.join(costs, F.col("PNM_AUTO_KEY") == costs["PartAutoKey"])
 
     classes = part_classes(tables, fact_divisions)
     prev_month = X.month_number(F.add_months(F.col("SHIP_DATE").cast("date"), -1))
-    so = so.join(
-        classes,
-        (F.col("__pt_number") == F.col("__pc_part")) & (prev_month == F.col("__pc_month")),
-        "left",
-    )
+    lk.join(classes, (lk.col("__pt_number") == F.col("__pc_part")) & (prev_month == F.col("__pc_month")))
+    so = lk.done()
     so = with_billing_address(so)
 
     unit_cost = F.coalesce(F.nullif(X.money("UNIT_COST"), F.lit(0).cast(X.MONEY)), F.col("PoUnitCost"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from slicewright.config import BASE_DIVISION, SPLIT_DIVISION, EntityConfig, RunContext
 from slicewright.functions import exprs as X
 from slicewright.operators.entity import classify, entity_by_department
-from slicewright.operators.lookups import key_lookup
+from slicewright.operators.lookups import Lookups
 
 
 def invoice_rollup(tables: Mapping[str, DataFrame], fact_divisions: Sequence[int]) -> DataFrame:
@@ -45,9 +45,11 @@ def shipment_slice(
     det = tables["stg_sm_detail"].select("SMH_AUTO_KEY")
     shp = shp.join(det, "SMH_AUTO_KEY", "left_semi")
     shp = shp.join(inv, shp["INH_AUTO_KEY"] == inv["__inv_id"], "inner")
-    shp = key_lookup(shp, tables["d_customer"], "CMP_AUTO_KEY", "CustomerId")
-    shp = key_lookup(shp, tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
-    shp = key_lookup(shp, tables["d_currency"], "CUR_AUTO_KEY", "CurrencyId")
+    lk = Lookups(shp)
+    lk.key(tables["d_customer"], "CMP_AUTO_KEY", "CustomerId")
+    lk.key(tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
+    lk.key(tables["d_currency"], "CUR_AUTO_KEY", "CurrencyId")
+    shp = lk.done()
 
     out = shp.select(
         F.col("SMH_AUTO_KEY").cast("int").alias("NativeId"),
