@@ -74,7 +74,9 @@ def run_load(
                         LoggedAt=dt.datetime.now(), **counts)
                 return {**counts, "Status": "PASS", "Blocked": True}
         pred = pre_delete(spec, target, cfg)
-        deleted = target.filter(pred).count() if pred is not None else 0
+        obs_del = Observation(f"delete_{kind}")
+        if pred is not None:  # counted while the merge reads the target: no extra scan
+            target = target.observe(obs_del, F.sum(F.when(F.coalesce(pred, F.lit(False)), 1).otherwise(0)).alias("d"))
         merged = merge_load(spec, target, source, ctx, cfg)
         obs = Observation(f"merge_{kind}")
         merged = merged.observe(
@@ -85,6 +87,7 @@ def run_load(
         snapshot.publish(spark, merged.drop(ACTION), target_root)
         m = obs.get
         w, u = int(m.get("w") or 0), int(m.get("u") or 0)
+        deleted = int(obs_del.get.get("d") or 0) if pred is not None else 0
         counts = dict(RowsRead=rows_read, RowsWritten=w, RowsUpdated=u, RowsDeleted=deleted,
                       RowsByPassed=rows_read - u - w)
         log_row(spark, log_path, **base, Status="PASS", Message=message, LoggedAt=dt.datetime.now(), **counts)

@@ -33,3 +33,14 @@ def test_failed_load_keeps_previous_version(spark, tables):
     assert snapshot.current_version(spark, f"{root}/f_Shipment") == "v=1"
     statuses = [r["Status"] for r in spark.read.parquet(f"{root}/run_log").collect()]
     assert statuses.count("FAIL") == 1
+
+
+def test_replace_load_counts_deleted_rows(spark, tables):
+    root = tempfile.mkdtemp(prefix="wh-")
+    slice_df = JOBS["invoice_slice_split"](spark, tables)
+    first = run_load(spark, "invoice", slice_df, f"{root}/f_Invoice", f"{root}/run_log")
+    assert first["RowsDeleted"] == 0 and first["RowsWritten"] == first["RowsRead"] > 0
+    second = run_load(spark, "invoice", slice_df, f"{root}/f_Invoice", f"{root}/run_log")
+    # the split unit's departments are deleted, then every slice row is inserted again
+    assert second["RowsDeleted"] == first["RowsWritten"] and second["RowsWritten"] == second["RowsRead"]
+    assert snapshot.read_current(spark, f"{root}/f_Invoice").count() == first["RowsWritten"]
