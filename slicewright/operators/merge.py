@@ -53,8 +53,30 @@ def merge_upsert(
     update_cols: Sequence[str],
     insert_cols: Sequence[str],
     set_on_update: Mapping[str, Column] | None = None,
+    null_never_matches: Sequence[str] = (),
 ) -> DataFrame:
-    """New target rows (target's columns) plus ``MergeAction``."""
+    """New target rows (target's columns) plus ``MergeAction``.
+
+    ``null_never_matches`` names key columns compared with plain equality: a row with
+    a null in any of them cannot match, so it skips the join (target → KEEP,
+    source → INSERT).  A full outer join cannot be split by AQE's skew handling, and
+    null keys would otherwise all land in one task.
+    """
+    if null_never_matches:
+        t_null = F.lit(False)
+        s_null = F.lit(False)
+        for k in null_never_matches:
+            t_null = t_null | F.col(k).isNull()
+            s_null = s_null | F.col(k).isNull()
+        core = merge_upsert(target.filter(~t_null), source.filter(~s_null), match, update_cols, insert_cols,
+                            set_on_update)
+        kept = target.filter(t_null).withColumn(ACTION, F.lit(KEEP))
+        ins = set(insert_cols)
+        new = source.filter(s_null).select(
+            *[(F.col(c) if c in ins else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns],
+            F.lit(INSERT).alias(ACTION),
+        )
+        return core.unionByName(kept).unionByName(new)
     set_on_update = dict(set_on_update or {})
     t_cols = target.columns
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in t_cols], F.lit(True).alias("t__present"))

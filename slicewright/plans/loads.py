@@ -247,7 +247,9 @@ def merge_load(
         stamp = {}
     else:
         update = spec.update_cols
-    merged = merge_upsert(tgt, src, _matcher(spec, cfg, as_written), update, spec.insert_cols, stamp)
+    plain_keys = ("VendorId", "PartId", "PONumber", "DivisionId", "UnitCost") if spec.kind == "receipts" else spec.keys
+    merged = merge_upsert(tgt, src, _matcher(spec, cfg, as_written), update, spec.insert_cols, stamp,
+                          null_never_matches=plain_keys)
     return merged.unionByName(outside.withColumn(ACTION, F.lit(KEEP)))
 
 

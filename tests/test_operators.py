@@ -154,3 +154,14 @@ def test_receipt_totals_edge_factors(spark):
     assert got["PO-3"]["UnitCost"] == D("5.0002") and got["PO-3"]["CalculatedValue"] == 50.002  # unit of measure 4
     assert got["PO-4"]["UnitCost"] == D("2.5000") and got["PO-4"]["QuantityReceived"] == 10.0  # null factor
     assert got["PO-2"]["PartId"] == -1
+
+
+def test_merge_null_keys_bypass_the_join(spark):
+    from pyspark.sql import functions as F
+
+    t = spark.createDataFrame([(1, 12, 0, None), (None, 12, 0, None), (None, 12, 1, None)], "k int, d int, v int, stamp string")
+    s = spark.createDataFrame([(1, 12, 5), (None, 12, 9)], "k int, d int, v int")
+    m = merge_upsert(t, s, key_match(["k"]), ["v"], ["k", "d", "v"], {"stamp": F.lit("now")}, null_never_matches=["k"])
+    got = sorted((tuple(r) for r in m.collect()), key=repr)
+    assert got == sorted([(1, 12, 5, "now", "UPDATE"), (None, 12, 0, None, "KEEP"), (None, 12, 1, None, "KEEP"),
+                          (None, 12, 9, None, "INSERT")], key=repr)
