@@ -44,3 +44,20 @@ def test_replace_load_counts_deleted_rows(spark, tables):
     # the split unit's departments are deleted, then every slice row is inserted again
     assert second["RowsDeleted"] == first["RowsWritten"] and second["RowsWritten"] == second["RowsRead"]
     assert snapshot.read_current(spark, f"{root}/f_Invoice").count() == first["RowsWritten"]
+
+
+def test_run_all_loads_end_to_end(spark, tables):
+    from slicewright.plans.runner import run_all
+
+    root = tempfile.mkdtemp(prefix="wh-")
+    first = run_all(spark, tables, root)
+    assert set(first) == {"inventory", "invoice", "purchase_order", "sales_order", "shipment", "receipts"}
+    for kind, c in first.items():
+        assert c["Status"] == "PASS" and c["RowsWritten"] == c["RowsRead"] > 0, kind
+    second = run_all(spark, tables, root)
+    for kind in ("inventory", "purchase_order", "sales_order", "shipment"):
+        assert second[kind]["RowsWritten"] == 0 and second[kind]["RowsUpdated"] == second[kind]["RowsRead"], kind
+    # receipts: the guard passes (slice rows > 0.8 × division-12 rows), the division is replaced
+    assert second["receipts"]["RowsDeleted"] == first["receipts"]["RowsWritten"]
+    log = spark.read.parquet(f"{root}/run_log")
+    assert log.filter("Status = 'PASS'").count() == 12 and log.filter("Status = 'FAIL'").count() == 0
