@@ -165,3 +165,35 @@ def test_merge_null_keys_bypass_the_join(spark):
     got = sorted((tuple(r) for r in m.collect()), key=repr)
     assert got == sorted([(1, 12, 5, "now", "UPDATE"), (None, 12, 0, None, "KEEP"), (None, 12, 1, None, "KEEP"),
                           (None, 12, 9, None, "INSERT")], key=repr)
+
+
+def test_lookup_chain_uses_earlier_outputs(spark):
+    from pyspark.sql import functions as F
+
+    from slicewright.operators.lookups import Lookups
+
+    left = spark.createDataFrame([(1, 7), (2, 8), (3, None)], "id int, pnm bigint")
+    parts = spark.createDataFrame([(100, 7, 1, "P7"), (101, 7, 1, "P7b"), (200, 8, 2, "P8")],
+                                  "PartId bigint, NativeId bigint, DivisionId int, PartNumber string")
+    classes = spark.createDataFrame([("P7", "A")], "pn string, cls string")
+    lk = Lookups(left)
+    lk.add(parts.filter("DivisionId = 1"), "pnm", "NativeId", {"PartId": "PartId", "__pn": "PartNumber"},
+           default_unknown=("PartId",))
+    lk.join(classes, lk.col("__pn") == F.col("pn"))
+    got = {r["id"]: (r["PartId"], r["cls"]) for r in lk.done().collect()}
+    assert got == {1: (100, "A"), 2: (-1, None), 3: (-1, None)}  # lowest id wins, no fan-out
+
+
+def test_snapshot_versions_and_partitions(spark):
+    import os
+    import tempfile
+
+    from slicewright.sources import snapshot
+
+    root = tempfile.mkdtemp(prefix="snap-")
+    df = spark.createDataFrame([(1, 12), (2, 1)], "k int, DivisionId int")
+    assert snapshot.publish(spark, df, root) == "v=1"
+    assert snapshot.publish(spark, df.filter("k = 1"), root) == "v=2"
+    names = sorted(n for n in os.listdir(os.path.join(root, "v=1")) if not n.startswith("."))
+    assert names == ["DivisionId=1", "DivisionId=12", "_SUCCESS"]
+    assert snapshot.read_current(spark, root).count() == 1 and snapshot.current_version(spark, root) == "v=2"
