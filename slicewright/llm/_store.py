@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from weakref import WeakSet
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: WeakSet = WeakSet()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session.  A scratch folder stands in only on a local
@@ -30,3 +35,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Make the package importable for the Python workers, unless the folder that holds it is
+    on their path already (PYTHONPATH, or the folder the session was started in)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p] + [os.getcwd()]
+    if root not in map(os.path.abspath, known) and spark not in _SHIPPED:
+        folder = tempfile.mkdtemp(prefix="llm-package-")
+        archive = shutil.make_archive(f"{folder}/package", "zip", root, "slicewright")
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(spark)
+    return spark

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import PATTERN, path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewright.llm import quality, simhash, url_filter
-from slicewright.llm._store import written
+from slicewright.llm import bpe, quality, simhash, substring_dedup, url_filter
+from slicewright.llm._store import shipped, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return shipped(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 #: The rules of the query (fixed values): host, path, verdict.
@@ -49,6 +50,24 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = bpe.Tokenizer(tokenizer_path("byte_bpe_multi_50k.tiktoken"), PATTERN)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer)
+    return bpe.decode(encoded, tokenizer).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op7_url_filter, op9_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f for f in (op2_substring_dedup, op6_byte_bpe, op7_url_filter, op9_quality_rules, op10_simhash_near_dedup)
 }
