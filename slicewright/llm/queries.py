@@ -8,7 +8,7 @@ from public_tokenizers import PATTERN, path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewright.llm import bpe, quality, simhash, substring_dedup, url_filter
+from slicewright.llm import bpe, license_scan, preference, quality, simhash, substring_dedup, url_filter
 from slicewright.llm._store import shipped, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return preference.format_pairs(conversations, preference.neighbours(conversations))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = bpe.Tokenizer(tokenizer_path("byte_bpe_multi_50k.tiktoken"), PATTERN)
     encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer)
@@ -69,5 +78,5 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_substring_dedup, op6_byte_bpe, op7_url_filter, op9_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f for f in (op2_substring_dedup, op3_preference_format, op5_license_scan, op6_byte_bpe, op7_url_filter, op9_quality_rules, op10_simhash_near_dedup)
 }
