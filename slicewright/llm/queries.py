@@ -8,7 +8,7 @@ from public_tokenizers import PATTERN, path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewright.llm import bpe, license_scan, preference, quality, simhash, substring_dedup, url_filter
+from slicewright.llm import bpe, license_scan, mixing, preference, quality, simhash, substring_dedup, url_filter
 from slicewright.llm._store import shipped, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,25 @@ def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_pairs(conversations, preference.neighbours(conversations))
 
 
+#: Domains of the labels table, and the mix that is aimed at.
+MIX_TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
+
+
+def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, domain): toxic, else good or poor by quality."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    return table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates, model = mixing.rated(table(spark, sf_dir, "documents"), labelled_domains(spark, sf_dir), MIX_TARGETS)
+    each = rates.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return each.select(
+        F.col("key").alias("doc_id"), "n_tokens",
+        *[F.element_at("p", i + 1).alias(f"p_{d}") for i, d in enumerate(model.domains)], "rate",
+    )
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -78,5 +97,5 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_substring_dedup, op3_preference_format, op5_license_scan, op6_byte_bpe, op7_url_filter, op9_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f for f in (op2_substring_dedup, op3_preference_format, op4_mix_sources, op5_license_scan, op6_byte_bpe, op7_url_filter, op9_quality_rules, op10_simhash_near_dedup)
 }
