@@ -8,7 +8,7 @@ from public_tokenizers import PATTERN, path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewright.llm import bpe, license_scan, mixing, preference, quality, simhash, substring_dedup, url_filter
+from slicewright.llm import ann, bpe, license_scan, mixing, preference, quality, simhash, substring_dedup, url_filter
 from slicewright.llm._store import shipped, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,14 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Every so-manieth vector is a query.
+QUERY_STEP = 20
+
+
+def op1_adaptive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % QUERY_STEP == 0)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(docs).select(
@@ -97,5 +105,5 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_substring_dedup, op3_preference_format, op4_mix_sources, op5_license_scan, op6_byte_bpe, op7_url_filter, op9_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_adaptive_ann, op2_substring_dedup, op3_preference_format, op4_mix_sources, op5_license_scan, op6_byte_bpe, op7_url_filter, op9_quality_rules, op10_simhash_near_dedup)
 }
