@@ -24,7 +24,8 @@ def block_count(docs: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> i
 
 
 def bucket_count(blocks: int) -> int:
-    return max(16, blocks // 4)
+    """A power of two, so that the hash space's first bits name the bucket."""
+    return 1 << max(4, (blocks // 4).bit_length())
 
 
 def in_blocks(docs: DataFrame, key: str, blocks: int) -> DataFrame:

@@ -8,7 +8,7 @@ from public_tokenizers import PATTERN, path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewright.llm import ann, bpe, license_scan, mixing, preference, quality, simhash, substring_dedup, url_filter
+from slicewright.llm import ann, bpe, ctw, license_scan, mixing, preference, quality, simhash, substring_dedup, url_filter
 from slicewright.llm._store import shipped, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,14 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op8_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    scored = ctw.score(table(spark, sf_dir, "documents"), ~F.coalesce(held_out, F.lit(False)))
+    return scored.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     stats = written(quality.count_stats(docs, ["doc_id", "lang", "source"]), "stats")
@@ -105,5 +113,5 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_adaptive_ann, op2_substring_dedup, op3_preference_format, op4_mix_sources, op5_license_scan, op6_byte_bpe, op7_url_filter, op9_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_adaptive_ann, op2_substring_dedup, op3_preference_format, op4_mix_sources, op5_license_scan, op6_byte_bpe, op7_url_filter, op8_context_tree_score, op9_quality_rules, op10_simhash_near_dedup)
 }
