@@ -15,8 +15,9 @@ All totals, posteriors and rates cover every document.
 Defined results
   null or empty text: no tokens, the prior as posterior; a null key: rated like any other;
   repeated rows: each is returned; labels of unknown documents, or null labels: ignored;
-  no usable label: ValueError, as no domain is known; no documents: empty result; a domain
-  without target has target 0, and a target for a domain that no label has is an error.
+  no usable label: one domain, "unknown", whose target is all, so all rates are 1; no
+  documents: empty result; a domain without target has target 0; targets for domains that no
+  labelled document has are left out, and the others' shares rescaled.
 """
 
 from __future__ import annotations
@@ -32,7 +33,9 @@ from slicewright.llm._store import written
 MAX_LABELLED = 20_000
 MAX_FEATURES = 200
 #: Labelled documents that must have a word before it can become a feature.
-LEAST_DOCS = 20
+LEAST_DOCS = 5
+#: Twice the log-likelihood ratio that a feature needs, against equal rates in all domains.
+LEAST_EVIDENCE = 20.0
 #: How much more frequent a feature must be in one domain than in the others together.
 LEAST_RATIO = 4.0
 STEPS = 40
@@ -72,17 +75,23 @@ def fit(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "
     counts = {r["domain"]: r["n"] for r in words.filter("word = ''").collect()}  # one row a domain
     domains = sorted(counts)
     if not domains:
-        raise ValueError("no document has a label")
+        return Classifier(["unknown"], [0.0], docs.sparkSession.createDataFrame([], "word string, add array<double>"))
     sizes = F.array(*[F.lit(float(counts[d])) for d in domains])
     n = F.array(*[F.coalesce(F.sum(F.when(F.col("domain") == d, F.col("n"))), F.lit(0)).cast("double") for d in domains])
+    every = float(sum(counts.values()))
+    expected = lambda i: F.col("docs") * F.element_at(sizes, i + 1) / every
+    evidence = 2 * F.aggregate(
+        F.transform("n", lambda x, i: F.when(x > 0, x * F.log(x / expected(i))).otherwise(0.0)), F.lit(0.0), lambda a, x: a + x
+    )
     rate = F.transform("n", lambda x, i: (x + 0.5) / (F.element_at(sizes, i + 1) + 1.0))
     rest = F.transform(
-        "n", lambda x, i: (F.col("docs") - x + 0.5) / (float(sum(counts.values())) - F.element_at(sizes, i + 1) + 1.0)
+        "n", lambda x, i: (F.col("docs") - x + 0.5) / (every - F.element_at(sizes, i + 1) + 1.0)
     )
     gain = F.array_max(F.zip_with("rate", "rest", lambda a, b: a * F.log(a / b)))
     chosen = (
         words.filter("word <> ''").groupBy("word").agg(n.alias("n"), F.sum("n").cast("double").alias("docs"))
         .filter(F.col("docs") >= LEAST_DOCS)
+        .filter(evidence >= LEAST_EVIDENCE)
         .withColumn("rate", rate).withColumn("rest", rest)
         .filter(F.array_max(F.zip_with("rate", "rest", lambda a, b: a / b)) >= LEAST_RATIO)
         .orderBy(gain.desc(), "word").limit(MAX_FEATURES)
@@ -124,9 +133,9 @@ def posteriors(docs: DataFrame, model: Classifier, key: str = "doc_id", text: st
     )
 
 
-def fit_rates(scored: DataFrame, totals: np.ndarray, max_rate: float | None = None, steps: int = STEPS) -> tuple[Column, list[np.ndarray]]:
+def fit_rates(scored: DataFrame, totals: np.ndarray, max_rate: float | None = None, pinned: Column | None = None, steps: int = STEPS) -> tuple[Column, list[np.ndarray]]:
     """The rate as a column over ``scored``, and the residuals (as parts of the targets' sum)
-    before each step."""
+    before each step.  Rates stay between 0 and ``max_rate``, and 1 where ``pinned`` holds."""
     k = len(totals)
     p = [F.element_at("p", i + 1) for i in range(k)]
     weight = (F.col("n_tokens") * F.col("copies")).cast("double")
@@ -152,6 +161,8 @@ def fit_rates(scored: DataFrame, totals: np.ndarray, max_rate: float | None = No
         rate = F.greatest(moved, F.lit(0.0))
         if max_rate is not None:
             rate = F.least(rate, F.lit(float(max_rate)))
+        if pinned is not None:
+            rate = F.when(pinned, F.lit(1.0)).otherwise(rate)
     return rate, residuals
 
 
@@ -160,19 +171,20 @@ def rated(
     max_rate: float | None = None, whole: str | None = None,
 ) -> tuple[DataFrame, Classifier]:
     """(key, text_hash, copies, n_tokens, p, rate) and the classifier.  ``targets`` are shares of
-    the mix.  The mix has as many tokens as the corpus; with ``whole``, so many that this
-    domain's tokens are all in it."""
+    the mix.  The mix has as many tokens as the corpus.  With ``whole``, the documents that belong
+    to this domain (posterior of 1/2 at least) keep rate 1, and the mix has so many tokens that
+    this domain's fit into it."""
     model = fit(docs, labelled, key, text)
-    if missing := set(targets) - set(model.domains):
-        raise ValueError(f"no label has the domains {sorted(missing)}")
     scored = written(posteriors(docs, model, key, text), "posteriors")
     weight = F.col("n_tokens") * F.col("copies")
     found = scored.agg(*[F.sum(weight * F.element_at("p", i + 1)) for i in range(len(model.domains))]).first()
     natural = np.array([x or 0.0 for x in found])
     share = np.array([targets.get(d, 0.0) for d in model.domains])
-    share = share / share.sum()
-    total = natural.sum() if whole is None else natural[model.domains.index(whole)] / share[model.domains.index(whole)]
-    rate, _ = fit_rates(scored, share * total, max_rate)
+    share = share / share.sum() if share.sum() > 0 else natural / max(natural.sum(), 1.0)
+    total, pinned = natural.sum(), None
+    if whole in model.domains and share[at := model.domains.index(whole)] > 0:
+        total, pinned = natural[at] / share[at], F.element_at("p", at + 1) >= 0.5
+    rate, _ = fit_rates(scored, share * total, max_rate, pinned)
     return scored.withColumn("rate", rate), model
 
 
