@@ -26,9 +26,7 @@ MAX_RATE = 1.0
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the fixed rule and their group's thresholds."""
-    columns = docs.columns
-    limits = quality.thresholds(quality.count_stats(docs, ["lang", "source"]))
-    return quality.judged(quality.count_stats(docs, columns), limits).filter("kept").select(*columns)
+    return quality.passing(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +36,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a document with a smaller id has too."""
-    cleaned = substring_dedup.remove_repeats(docs, joined=False)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    length = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    changed = {"text": text, "n_chars": length}
-    return cleaned.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return substring_dedup.without_repeats(docs)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,3 +48,10 @@ def shipped(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(archive)
         _SHIPPED.add(spark)
     return spark
+
+
+def plainly_named(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns named by their place, and the new names of the columns ``used``:
+    whatever else the table has can't clash with what an operator adds."""
+    names = [f"in_{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), [names[docs.columns.index(c)] for c in used]

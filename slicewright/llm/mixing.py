@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slicewright.llm._store import written
+from slicewright.llm._store import plainly_named, written
 
 MAX_LABELLED = 20_000
 MAX_FEATURES = 200
@@ -191,11 +191,13 @@ def rated(
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``docs`` drawn by their rates: the whole part of a rate in copies, and one more with the
     fraction's probability, decided by a hash of key and text, so that it repeats."""
-    rates, _ = rated(docs, labelled, targets, key, text, **how)
+    plain, (own_key, text) = plainly_named(docs, key, text)
+    named = labelled.select(F.col(key).alias(own_key), "domain")
+    rates, _ = rated(plain, named, targets, own_key, text, **how)
     chance = F.pmod(F.xxhash64(F.lit("mix"), "key", "text_hash"), F.lit(1 << 30)) / float(1 << 30)
     drawn = rates.select(
         F.col("key").alias("rated_key"), F.col("text_hash").alias("rated_hash"), F.floor(F.col("rate") + chance).cast("int").alias("times")
     ).filter("times > 0")
-    same = docs[key].eqNullSafe(F.col("rated_key")) & (F.xxhash64(docs[text]) == F.col("rated_hash"))
-    joined = docs.join(drawn, same)
-    return joined.withColumn("time", F.explode(F.sequence(F.lit(1), "times"))).select(*[docs[c] for c in docs.columns])
+    same = F.col(own_key).eqNullSafe(F.col("rated_key")) & (F.xxhash64(text) == F.col("rated_hash"))
+    joined = plain.join(drawn, same).withColumn("time", F.explode(F.sequence(F.lit(1), "times")))
+    return joined.select(*plain.columns).toDF(*docs.columns)

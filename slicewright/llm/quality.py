@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slicewright.llm._text import blank, gram_hash, grams, ranges, slices, span_hash, utf8, words_of
+from slicewright.llm._store import plainly_named
+from slicewright.llm._text import blank, grams, ranges, slices, span_hash, utf8, words_of
 
 ACCURACY = 0.01
 MIN_GROUP = 200
@@ -225,3 +226,12 @@ def judged(stats: DataFrame, limits: DataFrame, lang: str = "lang", source: str
         .withColumn("kept", ~F.col("base_failed") & ~beyond)
         .drop("t_lang", "t_source", *[f"max_{f.measure}" for f in FENCES])
     )
+
+
+def passing(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The rows of ``docs`` that pass, with their columns as they are.  The measures are computed
+    twice, for the sketches and beside the rows, so that no text is shuffled."""
+    plain, (text, lang, source) = plainly_named(docs, text, lang, source)
+    limits = thresholds(count_stats(plain, [lang, source], text), lang, source)
+    found = judged(count_stats(plain, plain.columns, text), limits, lang, source)
+    return found.filter("kept").select(*plain.columns).toDF(*docs.columns)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slicewright.llm._store import written
+from slicewright.llm._store import plainly_named, written
 from slicewright.llm._text import lower_ascii, slices, utf8
 from slicewright.llm.components import connected_components
 
@@ -143,9 +143,12 @@ def near_duplicates(
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
     """``docs`` without near-duplicates: of each component, one row with its smallest key.
     Rows without a key stay, as nothing names them."""
-    found = near_duplicates(docs, key, text, **how)
+    plain, (key, text) = plainly_named(docs, key, text)
+    found = near_duplicates(plain, key, text, **how)
     chosen = found.filter(F.col(key) == F.col("component")).select(F.col(key).alias("chosen")).distinct()
-    numbered = docs.join(chosen, docs[key] == chosen["chosen"])
-    order = Window.partitionBy("chosen").orderBy(F.col(text))
-    one = numbered.withColumn("copy_number", F.row_number().over(order)).filter("copy_number = 1")
-    return one.select(*docs.columns).union(docs.filter(F.col(key).isNull()))
+    order = Window.partitionBy("chosen").orderBy(text)
+    one = (
+        plain.join(chosen, plain[key] == chosen["chosen"])
+        .withColumn("copy_number", F.row_number().over(order)).filter("copy_number = 1").select(*plain.columns)
+    )
+    return one.union(plain.filter(F.col(key).isNull())).toDF(*docs.columns)

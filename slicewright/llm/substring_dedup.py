@@ -37,6 +37,7 @@ from slicewright.llm._blocks import (
     in_blocks,
     packed,
 )
+from slicewright.llm._store import plainly_named
 from slicewright.llm._text import U64, Words, gram_hash, mix, slices, utf8, words_of
 
 WINDOW = 13
@@ -237,7 +238,10 @@ def remove_repeats(
 ) -> DataFrame:
     """``docs`` with n_words, n_removed, spans (ranges of removed words) and kept_text.  The
     kept words are joined by one space; with ``joined=False`` the text around removed spans
-    stays as it is."""
+    stays as it is.  Columns of ``docs`` with the names of the new ones are left out."""
+    new = ["n_words", "n_removed", "spans", "kept_text"]
+    given = [c for c in docs.columns if c not in new]
+    docs, (key, text) = plainly_named(docs.select(*given), key, text)
     blocks = block_count(docs, text)
     buckets = bucket_count(blocks)
     dealt = in_blocks(docs, key, blocks).groupBy("block")
@@ -275,4 +279,18 @@ def remove_repeats(
     first = dealt.applyInArrow(ask_anchors, _QUESTION).groupBy("bucket").applyInArrow(_judge_anchors, _ANSWER)
     windows = dealt.cogroup(first.groupBy("block")).applyInArrow(ask_windows, _QUESTION)
     second = windows.groupBy("bucket").applyInArrow(_judge_windows, _ANSWER)
-    return dealt.cogroup(first.union(second).groupBy("block")).applyInArrow(factor, schema)
+    return dealt.cogroup(first.union(second).groupBy("block")).applyInArrow(factor, schema).toDF(*given, *new)
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = "n_chars", **how: int) -> DataFrame:
+    """``docs`` with the duplicate spans cut out of the texts; untouched texts stay as they are.
+    The column ``length``, if any, follows the text."""
+    plain, (key, text) = plainly_named(docs, key, text)
+    found = remove_repeats(plain, key, text, joined=False, **how)
+    cut = F.col("n_removed") > 0
+    changed = {text: F.when(cut, F.col("kept_text")).otherwise(F.col(text)).alias(text)}
+    if length in docs.columns:
+        name = plain.columns[docs.columns.index(length)]
+        characters = F.length("kept_text").cast(plain.schema[name].dataType)
+        changed[name] = F.when(cut, characters).otherwise(F.col(name)).alias(name)
+    return found.select(*[changed.get(c, F.col(c)) for c in plain.columns]).toDF(*docs.columns)
