@@ -41,7 +41,7 @@ FIT_RECALL = 0.97
 PART_ROWS = 4_096
 PART_QUERIES = 8_192
 #: Queries that are scanned at once.
-QUERY_ROWS = 512
+QUERY_ROWS = 256
 BLOCK_DIMS = 16
 EPSILON = 2.1
 SEED = 7
@@ -118,13 +118,13 @@ class Space:
 
 def adaptive_scan(queries: np.ndarray, rows: np.ndarray, bound_rows: int) -> np.ndarray:
     """Pairs (query, row) that no test abandons: a boolean matrix.  The bound of a query is its
-    ``bound_rows``-th smallest whole distance among the part's rows nearest in the first block."""
+    ``bound_rows``-th smallest whole distance among the rows nearest in the first two blocks."""
     dims = rows.shape[1]
     left = np.ones((len(queries), len(rows)), bool)
     if len(rows) <= bound_rows:
         return left
     part = np.zeros((len(queries), len(rows)))
-    bound = None
+    bound = np.full(len(queries), np.inf)
     for d in range(0, dims, BLOCK_DIMS):
         a, b = queries[:, d : d + BLOCK_DIMS], rows[:, d : d + BLOCK_DIMS]
         if d == 0 or left.mean() > 0.2:
@@ -133,9 +133,11 @@ def adaptive_scan(queries: np.ndarray, rows: np.ndarray, bound_rows: int) -> np.
             at = np.nonzero(left)
             part[at] += ((a[at[0]] - b[at[1]]) ** 2).sum(axis=1)
         seen = min(d + BLOCK_DIMS, dims)
-        if bound is None:
-            pick = np.argpartition(part, bound_rows - 1, axis=1)[:, :bound_rows]
-            bound = ((queries[:, None, :] - rows[pick]) ** 2).sum(axis=2).max(axis=1)
+        if d < 2 * BLOCK_DIMS:  # the rows that look nearest so far give the bound
+            n = min(len(rows), 3 * bound_rows)
+            pick = np.argpartition(np.where(left, part, np.inf), n - 1, axis=1)[:, :n]
+            whole = ((queries[:, None, :] - rows[pick]) ** 2).sum(axis=2)
+            bound = np.minimum(bound, np.partition(whole, bound_rows - 1, axis=1)[:, bound_rows - 1])
         slack = (1 + EPSILON / np.sqrt(seen)) ** 2 if seen < dims else 1 + 1e-9
         left &= part * (dims / seen) <= bound[:, None] * slack + 1e-9
     return left
