@@ -78,7 +78,7 @@ class _Parse:
         form = ((end - start) * 64 + place[first] - start).astype(U64)
         self.phrase = mix(gram_hash(w.hash, start, end) ^ mix(form + U64(1))) | U64(1)
         self.owner = self.keys[w.row[start]]
-        anchors = least[first]
+        anchors = mix(least[first])  # least hashes crowd at the low end; spread them again
         self.order = np.argsort(anchors, kind="stable")
         self.begin, self.group = grouped(self.order, anchors)
         self.anchors = anchors[self.order][self.begin]
