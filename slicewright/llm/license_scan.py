@@ -7,7 +7,8 @@ within ``GAP`` words of each other are merged (a word may be missing or added),
 span counts if it covers enough of the template without being stretched.  Phrases are
 templates too, of which a single diagonal must hold every word.
 
-The templates are a short fixed list, which Spark broadcasts by its own size limit.
+The templates are a short list given as a parameter: their pairs of words are the small side
+of the join, which is broadcast.
 
 Defined results
   null or empty text: no words, no places, empty labels, score 0; overlapping places all
@@ -82,7 +83,8 @@ def scan(
         .select("key", "text_hash", "n_words", "pos", F.col("pair.a").alias("first_of"), F.col("pair.b").alias("second_of"))
         .withColumn("gram", F.when(F.col("second_of").isNotNull(), F.xxhash64("first_of", "second_of")))
     )
-    met = grams.join(places, "gram", "left")
+    # one row for each pair of words in the listed templates, whatever the corpus
+    met = grams.join(F.broadcast(places), "gram", "left")
     begins = F.coalesce(F.col("pos"), F.lit(0)) == 0
     # each document's first row also stands for the document itself: a null place beside its own
     same = F.filter(
