@@ -71,14 +71,14 @@ def floored_date_key(c: str | Column) -> Column:
 
 
 def letter_flag(c: str | Column, letter: str = "T") -> Column:
-    """'T' → true, anything else (null included) → false."""
-    return F.coalesce(col(c) == F.lit(letter), F.lit(False))
+    """'T' → true, anything else (null included) → false; trailing blanks don't count."""
+    return F.coalesce(F.rtrim(col(c)) == F.lit(letter), F.lit(False))
 
 
 def open_flag(flag: str | Column, ordered: str | Column, delivered: str | Column) -> Column:
     """Open letter and something left to deliver; null → false."""
     return F.coalesce(
-        (col(flag) == F.lit("T")) & ((col(ordered) - col(delivered)) > 0), F.lit(False)
+        (F.rtrim(col(flag)) == F.lit("T")) & ((col(ordered) - col(delivered)) > 0), F.lit(False)
     )
 
 
@@ -127,6 +127,6 @@ def region_label(code: str | Column) -> Column:
     code = col(code)
     out = None
     for kind, text, label in REGION_LADDER:
-        cond = code.contains(text) if kind == "contains" else (code == F.lit(text))
+        cond = code.contains(text) if kind == "contains" else (F.rtrim(code) == F.lit(text))
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     return out.otherwise(code)

@@ -1,9 +1,8 @@
-"""Size-checked broadcast.
+"""Broadcast of a side whose size Spark's own statistics bound.
 
-``F.broadcast`` is only applied after a bounded count proves the relation small
-(``limit(n + 1).count()`` stops reading once the bound is exceeded).  Above the bound
-the plain relation is returned and Spark plans a shuffle join; AQE may still turn it
-into a broadcast at run time from measured sizes.
+The estimate is that of the optimised plan (file sizes for scans), so no job runs while a
+plan is built.  Beyond the session's ``autoBroadcastJoinThreshold`` the relation is
+returned as it is, and statistics and AQE choose the join.
 """
 
 from __future__ import annotations
@@ -11,9 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 200_000
 
+def estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def broadcast_if_bounded(df: DataFrame, bound: DataFrame) -> DataFrame:
+    """Broadcast ``df`` if ``bound``, a relation that is at least as large, is estimated
+    below the session's broadcast threshold."""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(df) if 0 <= estimated_bytes(bound) <= threshold else df

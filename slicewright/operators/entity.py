@@ -4,7 +4,7 @@ department ⋈ division ⋈ company (inner), then an ordered rule list gives the
 label (first match wins; no match → the company name) and the label gives the
 warehouse division id (no match → null, except the fallback company → base
 division).  The result is one small row per department; it is broadcast (after a
-size check) wherever a fact is classified.
+check of estimated sizes) wherever a fact is classified.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slicewright.config import BASE_DIVISION, EntityConfig
-from slicewright.operators.broadcast import bounded_broadcast
+from slicewright.operators.broadcast import broadcast_if_bounded
 from slicewright.operators.dedupe import one_per_key
 
 
@@ -24,9 +24,9 @@ def _rule_condition(rule) -> Column:
     if rule.dept_keys is not None:
         cond = cond & F.col("DPT_AUTO_KEY").isin(*rule.dept_keys)
     if rule.company is not None:
-        cond = cond & (F.col("company_name") == F.lit(rule.company))
+        cond = cond & (F.rtrim("company_name") == F.lit(rule.company))
     if rule.division is not None:
-        cond = cond & (F.col("division_name") == F.lit(rule.division))
+        cond = cond & (F.rtrim("division_name") == F.lit(rule.division))
     return cond
 
 
@@ -44,12 +44,12 @@ def entity_dim(tables: Mapping[str, DataFrame], cfg: EntityConfig = EntityConfig
 
     division = None
     for r in cfg.rules:
-        c = F.col("DEPT_Definition") == F.lit(r.label)
+        c = F.rtrim("DEPT_Definition") == F.lit(r.label)
         v = F.lit(r.division_id)
         division = F.when(c, v) if division is None else division.when(c, v)
     if cfg.fallback_company is not None:
         division = division.when(
-            F.col("company_name") == F.lit(cfg.fallback_company), F.lit(BASE_DIVISION)
+            F.rtrim("company_name") == F.lit(cfg.fallback_company), F.lit(BASE_DIVISION)
         )
 
     return base.select(
@@ -60,14 +60,16 @@ def entity_dim(tables: Mapping[str, DataFrame], cfg: EntityConfig = EntityConfig
 def entity_by_department(tables: Mapping[str, DataFrame], cfg: EntityConfig = EntityConfig()) -> DataFrame:
     """One (DPT_AUTO_KEY, DEPT_Definition, DivisionId) row per department, broadcastable.
 
-    Built (and size-checked) once per catalog object and configuration.
+    Built once per catalog object and configuration; its size is bounded by the department
+    table's estimate, without running a job.
     """
     cache = getattr(tables, "_entity_cache", None)
     if cache is not None and cfg in cache:
         return cache[cfg]
     ent = entity_dim(tables, cfg)
     # a department key repeated in staging keeps its first classification
-    ent = bounded_broadcast(one_per_key(ent, "DPT_AUTO_KEY", ["DivisionId", "DEPT_Definition"]))
+    # (one row a department: the department table bounds it)
+    ent = broadcast_if_bounded(one_per_key(ent, "DPT_AUTO_KEY", ["DivisionId", "DEPT_Definition"]), tables["stg_department"])
     if cache is not None:
         cache[cfg] = ent
     return ent

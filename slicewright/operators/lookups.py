@@ -21,51 +21,47 @@ from slicewright.functions.exprs import key_or_unknown
 from slicewright.operators.dedupe import one_per_key
 
 _ids = count()
-_sides: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+
+
+def _kept(df: DataFrame) -> dict[tuple, DataFrame]:
+    """Relations derived from ``df``, kept on the DataFrame itself: they live as long as the
+    catalog that holds it, and two sessions never share one."""
+    return df.__dict__.setdefault("_derived", {})
 
 
 def lookup_side(right: DataFrame, right_key: str, src: Sequence[str]) -> DataFrame:
     """``right`` reduced to one row per ``right_key``: columns ``k, v0, v1, ...``.
 
-    Memoised per input DataFrame, so two lookups into the same table (part and
+    Kept with the input DataFrame, so two lookups into the same table (part and
     alternate part, current and original place) share one plan and Spark reuses
     the exchange instead of reducing the table twice.
     """
-    key = (id(right), right_key, tuple(src))
-    hit = _sides.get(key)
-    if hit is not None and hit[0] is right:
-        return hit[1]
+    kept, key = _kept(right), ("side", right_key, *src)
+    if key in kept:
+        return kept[key]
     if len(src) == 1:
         side = right.groupBy(F.col(right_key).alias("k")).agg(F.min(src[0]).alias("v0"))
     else:
         side = one_per_key(right.select(right_key, *src), right_key, list(src)).toDF(
             "k", *[f"v{i}" for i in range(len(src))]
         )
-    if len(_sides) > 512:
-        _sides.clear()
-    _sides[key] = (right, side)
+    kept[key] = side
     return side
 
 
-_scoped: dict[tuple, tuple[DataFrame, DataFrame]] = {}
-
-
 def scoped(dim: DataFrame, division: int | None = DIMENSION_DIVISION, **equals) -> DataFrame:
     """Rows of ``dim`` in ``division`` (None: all) and with the given column values.
 
-    Memoised per input DataFrame (see :func:`lookup_side`)."""
-    key = (id(dim), division, tuple(sorted(equals.items())))
-    hit = _scoped.get(key)
-    if hit is not None and hit[0] is dim:
-        return hit[1]
+    Kept with the input DataFrame (see :func:`lookup_side`)."""
+    kept, key = _kept(dim), ("scoped", division, *sorted(equals.items()))
+    if key in kept:
+        return kept[key]
     out = dim
     if division is not None:
         out = out.filter(F.col("DivisionId") == F.lit(division))
     for c, v in equals.items():
         out = out.filter(F.col(c) == F.lit(v))
-    if len(_scoped) > 512:
-        _scoped.clear()
-    _scoped[key] = (dim, out)
+    kept[key] = out
     return out
 
 

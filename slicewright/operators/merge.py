@@ -1,117 +1,106 @@
-"""Row-level sinks as DataFrame transforms: merge upsert, conditional delete,
+"""Row-level sinks as DataFrame transforms: merge, conditional delete,
 reclassification, volume guard.
 
-Parquet tables have no row-level MERGE/UPDATE/DELETE, so each sink computes the
-whole new version of the target as a DataFrame (published afterwards as a new
-snapshot, see :mod:`slicewright.sources.snapshot`):
+Parquet tables have no row-level MERGE/UPDATE/DELETE, so each sink computes the new
+rows of the partitions it can touch (published afterwards, see
+:mod:`slicewright.sources.snapshot`):
 
-* ``merge_upsert``: target FULL OUTER JOIN source on the match condition; a target
+* ``merge_rows``: one full outer join of target and source, each read once.  A target
   row with a matching source row takes the listed update columns (UPDATE), a source
-  row without a match is inserted (INSERT), every other target row is kept (KEEP).
-  Target-only conditions stay in the join condition, never in a target filter, so
-  rows outside the slice survive.  Plain equality: null keys never match.
+  row without a match is inserted (INSERT), a target row that the delete condition
+  holds for is marked (DELETE) and can't match, every other target row stays (KEEP).
+  Rows that can't match (null key, outside the scope, deleted) get a salt of their
+  own in the join key, so they are spread evenly and meet nothing.
 * ``delete_where``: keep rows where the predicate is false *or null*.
-* ``reclassify``: left join of the (broadcast) entity on the department; matching
-  rows get the entity's division and the split flag.
+* ``reclassify``: left join of the entity on the department; matching rows get the
+  entity's division and the split flag.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACTION = "MergeAction"
-KEEP, UPDATE, INSERT = "KEEP", "UPDATE", "INSERT"
+KEEP, UPDATE, INSERT, DELETE = "KEEP", "UPDATE", "INSERT", "DELETE"
 
-# match(t, s) -> Column, with t(name) / s(name) giving the target / source column.
-Matcher = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 
+@dataclass(frozen=True)
+class MergeKey:
+    """An equality of the match.  Null never matches, unless ``null_as`` stands for it."""
 
-def key_match(keys: Sequence[str], target_only: Mapping[str, object] | None = None,
-              source_only: Mapping[str, object] | None = None) -> Matcher:
-    """``t.k = s.k`` for every key, plus constant conditions on either side."""
+    name: str
+    null_as: Column | None = None
 
-    def m(t, s):
-        cond = F.lit(True)
-        for k in keys:
-            cond = cond & (t(k) == s(k))
-        for k, v in (target_only or {}).items():
-            cond = cond & (t(k).isin(*v) if isinstance(v, (list, tuple)) else t(k) == F.lit(v))
-        for k, v in (source_only or {}).items():
-            cond = cond & (s(k).isin(*v) if isinstance(v, (list, tuple)) else s(k) == F.lit(v))
-        return cond
+    def value(self) -> Column:
+        return F.col(self.name) if self.null_as is None else F.coalesce(F.col(self.name), self.null_as)
 
-    return m
 
+def _matchable(keys: Sequence[MergeKey], where: Column | None, delete: Column | None = None) -> Column:
+    ok = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    if delete is not None:
+        ok = ok & ~delete
+    for k in keys:
+        ok = ok & k.value().isNotNull()
+    return ok
 
-def merge_upsert(
+
+def merge_rows(
     target: DataFrame,
     source: DataFrame,
-    match: Matcher,
+    keys: Sequence[MergeKey],
     update_cols: Sequence[str],
     insert_cols: Sequence[str],
     set_on_update: Mapping[str, Column] | None = None,
-    null_never_matches: Sequence[str] = (),
+    target_where: Column | None = None,
+    source_where: Column | None = None,
+    delete: Column | None = None,
 ) -> DataFrame:
-    """New target rows (target's columns) plus ``MergeAction``.
+    """The target's columns and ``MergeAction``, deleted rows included.
 
-    ``null_never_matches`` names key columns compared with plain equality: a row with
-    a null in any of them cannot match, so it skips the join (target → KEEP,
-    source → INSERT).  A full outer join cannot be split by AQE's skew handling, and
-    null keys would otherwise all land in one task.
+    ``target_where`` and ``source_where`` say which rows may match; they never drop one.
     """
-    if null_never_matches:
-        t_null = F.lit(False)
-        s_null = F.lit(False)
-        for k in null_never_matches:
-            t_null = t_null | F.col(k).isNull()
-            s_null = s_null | F.col(k).isNull()
-        core = merge_upsert(target.filter(~t_null), source.filter(~s_null), match, update_cols, insert_cols,
-                            set_on_update)
-        kept = target.filter(t_null).withColumn(ACTION, F.lit(KEEP))
-        ins = set(insert_cols)
-        new = source.filter(s_null).select(
-            *[(F.col(c) if c in ins else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns],
-            F.lit(INSERT).alias(ACTION),
-        )
-        return core.unionByName(kept).unionByName(new)
-    set_on_update = dict(set_on_update or {})
-    t_cols = target.columns
-    t = target.select(*[F.col(c).alias(f"t__{c}") for c in t_cols], F.lit(True).alias("t__present"))
-    s = source.select(*[F.col(c).alias(f"s__{c}") for c in source.columns], F.lit(True).alias("s__present"))
-    cond = match(lambda c: F.col(f"t__{c}"), lambda c: F.col(f"s__{c}"))
-    j = t.join(s, cond, "full_outer")
-    in_t = F.col("t__present").isNotNull()
-    in_s = F.col("s__present").isNotNull()
-    action = F.when(in_t & in_s, F.lit(UPDATE)).when(in_s, F.lit(INSERT)).otherwise(F.lit(KEEP))
-    ins, upd = set(insert_cols), set(update_cols)
+    gone = F.coalesce(delete, F.lit(False)) if delete is not None else F.lit(False)
+    own = F.monotonically_increasing_id()
+    names = [f"k{i}" for i in range(len(keys))]
+    t = target.select(
+        *[F.col(c).alias(f"t__{c}") for c in target.columns], F.lit(True).alias("t__present"), gone.alias("t__gone"),
+        F.when(_matchable(keys, target_where, gone), F.lit(0)).otherwise(2 * own + 1).alias("t__salt"),
+        *[k.value().alias(f"t__{n}") for k, n in zip(keys, names)],
+    )
+    s = source.select(
+        *[F.col(c).alias(f"s__{c}") for c in source.columns], F.lit(True).alias("s__present"),
+        F.when(_matchable(keys, source_where), F.lit(0)).otherwise(2 * own + 2).alias("s__salt"),
+        *[k.value().alias(f"s__{n}") for k, n in zip(keys, names)],
+    )
+    match = F.col("t__salt") == F.col("s__salt")
+    for n in names:
+        match = match & (F.col(f"t__{n}") == F.col(f"s__{n}"))
+    joined = t.join(s, match, "full_outer")
+    in_target, in_source = F.col("t__present").isNotNull(), F.col("s__present").isNotNull()
+    action = (
+        F.when(in_target & in_source, F.lit(UPDATE)).when(in_source, F.lit(INSERT))
+        .when(F.col("t__gone"), F.lit(DELETE)).otherwise(F.lit(KEEP))
+    )
+    set_on_update, inserted, updated = dict(set_on_update or {}), set(insert_cols), set(update_cols)
     outs = []
-    for c in t_cols:
-        tc = F.col(f"t__{c}")
-        if c in set_on_update:
-            on_upd = set_on_update[c]
-        elif c in upd:
-            on_upd = F.col(f"s__{c}")
-        else:
-            on_upd = tc
-        on_ins = F.col(f"s__{c}") if c in ins else F.lit(None)
-        dtype = target.schema[c].dataType
-        outs.append(
-            F.when(action == UPDATE, on_upd.cast(dtype)).when(action == INSERT, on_ins.cast(dtype))
-            .otherwise(tc).alias(c)
-        )
-    return j.select(*outs, action.alias(ACTION))
-
-
-def duplicate_keys(source: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
-    """Keys that occur more than once (a merge would update one row twice)."""
-    return source.groupBy(*keys).count().filter(F.col("count") > 1)
-
-
-def assert_unique(source: DataFrame, keys: Sequence[str | Column], what: str = "merge source") -> None:
-    if duplicate_keys(source, keys).limit(1).count():
+    for c in target.columns:
+        old, new = F.col(f"t__{c}"), F.col(f"s__{c}") if c in source.columns else F.lit(None)
+        on_update = set_on_update.get(c, new if c in updated else old)
+        on_insert = new if c in inserted else F.lit(None)
+        kind = target.schema[c].dataType
+        value = F.when(action == UPDATE, on_update.cast(kind)).when(action == INSERT, on_insert.cast(kind)).otherwise(old)
+        outs.append(value.alias(c))
+    return joined.select(*outs, action.alias(ACTION))
+
+
+def assert_unique(source: DataFrame, keys: Sequence[MergeKey], where: Column | None = None, what: str = "merge source") -> None:
+    """Raise if two source rows that may match have equal keys, as the match compares them."""
+    values = source.filter(_matchable(keys, where)).select(*[k.value().alias(f"k{i}") for i, k in enumerate(keys)])
+    if values.groupBy(*values.columns).count().filter(F.col("count") > 1).limit(1).count():
         raise ValueError(f"{what}: a target row would be matched by more than one source row")
 
 
@@ -126,9 +115,11 @@ def reclassify(
     split_label: str,
     from_division: int,
     flag_col: str = "IsSplit",
+    mark: str | None = None,
 ) -> DataFrame:
     """Move rows of the split entity's departments from ``from_division`` to the
-    entity's division and set the split flag; every other row is unchanged."""
+    entity's division and set the split flag; every other row is unchanged.  ``mark``
+    names a further column that says which rows moved."""
     e = entity.select(
         F.col("DPT_AUTO_KEY").alias("__r_dpt"),
         F.col("DivisionId").alias("__r_div"),
@@ -145,7 +136,7 @@ def reclassify(
             outs.append(F.when(hit, F.lit(1)).otherwise(F.col(c)).cast(fact.schema[c].dataType).alias(c))
         else:
             outs.append(F.col(c))
-    return j.select(*outs)
+    return j.select(*outs, *([hit.alias(mark)] if mark else []))
 
 
 def volume_guard(source: DataFrame, target: DataFrame, target_scope: Column, ratio: float) -> DataFrame:

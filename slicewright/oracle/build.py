@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from slicewright.config import SLICES
 from slicewright.oracle.common import entity_ctes, with_fixtures
-from slicewright.oracle.loads import guard_blocked_sql, load_counts_sql, load_sql, reclassify_sql, run_log_sql
+from slicewright.oracle.loads import (
+    ALL_DEPARTMENTS,
+    guard_blocked_sql,
+    load_counts_sql,
+    load_sql,
+    reclassify_counts_sql,
+    reclassify_sql,
+    run_log_failed_sql,
+    run_log_sql,
+)
 from slicewright.oracle.purchasing import purchase_order_sql, receipt_sql
 from slicewright.oracle.sales_order import sales_order_sql
 from slicewright.oracle.units import unit_sql
@@ -33,10 +42,15 @@ for _k in ("sales_order", "invoice", "inventory", "purchase_order", "shipment",
     ORACLES[f"load_{_k}"] = (lambda k=_k: load_sql(k))
     ORACLES[f"load_counts_{_k}"] = (lambda k=_k: load_counts_sql(k))
 ORACLES["load_purchase_order_as_written"] = lambda: load_sql("purchase_order", as_written=True)
+ORACLES["load_inventory_as_written"] = lambda: load_sql("inventory", as_written=True)
+ORACLES["load_invoice_all_departments"] = lambda: load_sql("invoice", ALL_DEPARTMENTS)
+ORACLES["load_receipts_all_departments"] = lambda: load_sql("receipts", ALL_DEPARTMENTS)
 ORACLES["load_receipts_guard_blocked"] = guard_blocked_sql
 ORACLES["run_log"] = run_log_sql
+ORACLES["run_log_failed"] = run_log_failed_sql
 for _k in ("sales_order", "invoice", "inventory", "purchase_order", "receipts", "quote", "shipment"):
     ORACLES[f"reclassify_{_k}"] = (lambda k=_k: reclassify_sql(k))
+    ORACLES[f"reclassify_counts_{_k}"] = (lambda k=_k: reclassify_counts_sql(k))
 
 for _k in UNITS:
     ORACLES[_k] = (lambda k=_k: unit_sql(k))

@@ -165,7 +165,7 @@ def money_div(a: str, b: str, scale: int = 4, a_scale: int = 4, b_scale: int = 4
 
 
 def letter_flag(e: str) -> str:
-    return f"COALESCE({e} = 'T', FALSE)"
+    return f"COALESCE(rtrim({e}) = 'T', FALSE)"
 
 
 def address(a2: str, a3: str, a4: str, a5: str) -> tuple[str, str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from slicewright.config import SPLIT_DIVISION, EntityConfig
+from slicewright.config import SPLIT_DIVISION
 from slicewright.oracle.common import entity_ctes, sql_str, with_fixtures
 from slicewright.oracle.purchasing import purchase_order_sql, receipt_sql
 from slicewright.oracle.sales_order import sales_order_sql
@@ -69,104 +69,112 @@ def target_ctes(spec, blocked: bool = False) -> list[tuple[str, str]]:
     return out
 
 
-def match_sql(spec, as_written: bool = False) -> str:
-    cfg = EntityConfig()
+ONE_DEPARTMENT = (106,)
+ALL_DEPARTMENTS = (106, 107, 108, 109, 110, 111, 112, 113, 114)
+DELETED_BY = ("invoice", "receipts")
+
+
+def same_key(kind: str, keys) -> str:
+    """Equality of a target row ``t`` and a source row ``s``; null only equals its stand-in."""
+    as_null = {"LineNumber": "0", "ReceivedDate": "TIMESTAMP '1990-01-01 00:00:00'"} if kind == "receipts" else {}
+    one = lambda a, k: f"COALESCE({a}.{_q(k)}, {as_null[k]})" if k in as_null else f"{a}.{_q(k)}"
+    return " AND ".join(f"{one('t', k)} = {one('s', k)}" for k in keys)
+
+
+def loaded_ctes(spec, departments=ONE_DEPARTMENT, as_written: bool = False) -> list[tuple[str, str]]:
+    """What a load leaves, as four sets: deleted, updated, inserted and untouched rows."""
+    among = f"DPT_AUTO_KEY IN ({', '.join(map(str, departments))})"
+    gone = f"COALESCE({among} AND DivisionId IN (1, 12), FALSE)" if spec.kind in DELETED_BY else "FALSE"
+    eligible = "t.DivisionId = 12"
     if spec.kind == "receipts":
-        c = [f"t.{_q(k)} = s.{_q(k)}" for k in ("VendorId", "PartId", "PONumber", "DivisionId", "UnitCost")]
-        c.append("COALESCE(CAST(t.LineNumber AS VARCHAR), '') = COALESCE(CAST(s.LineNumber AS VARCHAR), '')")
-        c.append("COALESCE(t.ReceivedDate, TIMESTAMP '1990-01-01 00:00:00') = "
-                 "COALESCE(s.ReceivedDate, TIMESTAMP '1990-01-01 00:00:00')")
-        return " AND ".join(c)
-    c = [f"t.{_q(k)} = s.{_q(k)}" for k in spec.keys]
-    if spec.kind == "inventory":
-        c.append(f"t.DPT_AUTO_KEY IN ({', '.join(map(str, cfg.split_departments))})")
-    elif spec.kind == "purchase_order" and as_written:
-        c += ["t.DivisionId = 1", f"s.DivisionId = {SPLIT_DIVISION}", "t.DivisionId = s.DivisionId"]
-    elif spec.kind in ("sales_order", "invoice", "purchase_order"):
-        c.append(f"t.DivisionId = {SPLIT_DIVISION}")
-        if spec.kind == "sales_order":
-            c.append(f"s.DivisionId = {SPLIT_DIVISION}")
-    return " AND ".join(c)
-
-
-def delete_sql(spec) -> str | None:
-    cfg = EntityConfig()
-    if spec.kind == "invoice":
-        return f"DPT_AUTO_KEY IN ({', '.join(map(str, cfg.split_departments))})"
+        eligible = "TRUE"
+    elif as_written:
+        eligible = {"inventory": f"t.{among}", "purchase_order": "FALSE"}[spec.kind]
+    same = f"{eligible} AND {same_key(spec.kind, spec.keys)}"
+    columns = (*spec.insert_cols, STAMP, FLAG)
+    own = spec.insert_cols if spec.kind == "receipts" else spec.update_cols
+    stamped = {STAMP: RUN_TS} if spec.kind != "receipts" else {}
+    pick = lambda c: stamped.get(c) or (f"s.{_q(c)}" if c in own else f"t.{_q(c)}")
+    updated = ", ".join(f"{pick(c)} AS {_q(c)}" for c in columns)
+    new = ", ".join(f"s.{_q(c)}" if c in spec.insert_cols else f"NULL AS {_q(c)}" for c in columns)
+    old = ", ".join(f"t.{_q(c)}" for c in columns)
+    source = "SELECT * FROM src"
     if spec.kind == "receipts":
-        return f"DivisionId = {SPLIT_DIVISION}"
-    return None
+        source = f"SELECT * REPLACE ({RUN_TS} AS ETLImportDate) FROM src"
+    return [
+        ("incoming", source),
+        ("gone", f"SELECT * FROM tgt WHERE {gone}"),
+        ("staying", f"SELECT * FROM tgt WHERE NOT {gone}"),
+        ("was_updated", f"SELECT {updated}, 'UPDATE' AS MergeAction FROM staying t, incoming s WHERE {same}"),
+        ("was_inserted", f"SELECT {new}, 'INSERT' AS MergeAction FROM incoming s WHERE NOT EXISTS "
+                         f"(SELECT 1 FROM staying t WHERE {same})"),
+        ("was_kept", f"SELECT {old}, 'KEEP' AS MergeAction FROM staying t WHERE NOT EXISTS "
+                     f"(SELECT 1 FROM incoming s WHERE {same})"),
+    ]
 
 
-def merged_ctes(spec, as_written: bool = False) -> list[tuple[str, str]]:
-    pred = delete_sql(spec)
-    kept = f"SELECT * FROM tgt WHERE NOT COALESCE({pred}, FALSE)" if pred else "SELECT * FROM tgt"
-    src_cols = ", ".join(_q(c) for c in spec.insert_cols)
-    src = f"SELECT {src_cols}, TRUE AS __sp FROM src"
-    if spec.kind == "receipts":
-        src = f"SELECT * REPLACE ({RUN_TS} AS ETLImportDate) FROM ({src})"
-    update = set(spec.insert_cols if spec.kind == "receipts" else spec.update_cols)
-    sel = []
-    for c in (*spec.insert_cols, STAMP, FLAG):
-        if c == STAMP and spec.kind != "receipts":
-            on_upd = RUN_TS
-        elif c in update:
-            on_upd = f"s.{_q(c)}"
-        else:
-            on_upd = f"t.{_q(c)}"
-        on_ins = f"s.{_q(c)}" if c in spec.insert_cols else "NULL"
-        sel.append(f"CASE WHEN t.__tp AND s.__sp THEN {on_upd} WHEN s.__sp THEN {on_ins} ELSE t.{_q(c)} END AS {_q(c)}")
-    action = "CASE WHEN t.__tp AND s.__sp THEN 'UPDATE' WHEN s.__sp THEN 'INSERT' ELSE 'KEEP' END AS MergeAction"
-    merged = (f"SELECT {', '.join(sel)}, {action} FROM (SELECT *, TRUE AS __tp FROM tgt_kept) t "
-              f"FULL OUTER JOIN ({src}) s ON {match_sql(spec, as_written)}")
-    return [("tgt_kept", kept), ("merged", merged)]
-
-
-def load_sql(kind: str, as_written: bool = False) -> str:
+def _before(spec, blocked: bool = False) -> list[tuple[str, str]]:
+    return slice_ctes(spec.slice_job) + [source_cte(spec)] + target_ctes(spec, blocked)
+
+
+def load_sql(kind: str, departments=ONE_DEPARTMENT, as_written: bool = False) -> str:
     spec = SPECS[kind]
-    ctes = slice_ctes(spec.slice_job) + [source_cte(spec)] + target_ctes(spec) + merged_ctes(spec, as_written)
-    return with_fixtures(ctes, "SELECT * FROM merged")
+    after = "SELECT * FROM was_updated UNION ALL BY NAME SELECT * FROM was_inserted UNION ALL BY NAME SELECT * FROM was_kept"
+    return with_fixtures(_before(spec) + loaded_ctes(spec, departments, as_written), after)
+
+
+_COUNTED = (
+    "SELECT r AS RowsRead, i AS RowsWritten, r - i AS RowsUpdated, d AS RowsDeleted, CAST(0 AS BIGINT) AS RowsByPassed "
+    "FROM (SELECT (SELECT COUNT(*) FROM src) AS r, (SELECT COUNT(*) FROM was_inserted) AS i, "
+    "(SELECT COUNT(*) FROM gone) AS d)"
+)
 
 
 def load_counts_sql(kind: str) -> str:
     spec = SPECS[kind]
-    ctes = slice_ctes(spec.slice_job) + [source_cte(spec)] + target_ctes(spec) + merged_ctes(spec)
-    pred = delete_sql(spec)
-    deleted = f"(SELECT COUNT(*) FROM tgt WHERE COALESCE({pred}, FALSE))" if pred else "0"
-    final = ("SELECT r AS RowsRead, w AS RowsWritten, u AS RowsUpdated, r - u - w AS RowsByPassed, "
-             f"CAST({deleted} AS BIGINT) AS RowsDeleted FROM (SELECT (SELECT COUNT(*) FROM src) AS r, "
-             "CAST(COUNT(*) FILTER (WHERE MergeAction = 'INSERT') AS BIGINT) AS w, "
-             "CAST(COUNT(*) FILTER (WHERE MergeAction = 'UPDATE') AS BIGINT) AS u FROM merged)")
-    return with_fixtures(ctes, final)
+    return with_fixtures(_before(spec) + loaded_ctes(spec), _COUNTED)
+
+
+def _log_head(kind: str) -> str:
+    spec = SPECS[kind]
+    return (f"SELECT 'Split Refresh' AS SystemName, 100 AS SystemNameRank, 'load_{kind}' AS ProcessName, "
+            f"{sql_str(spec.slice_job)} AS SourceName, {sql_str(spec.target_name)} AS TargetName, "
+            "'UNDEFINED' AS UniqueRunID, 'UNDEFINED' AS ParentPipelineID, 'UNDEFINED' AS PipelineID, ")
+
+
+_COUNT_NAMES = ("RowsRead", "RowsWritten", "RowsUpdated", "RowsDeleted", "RowsByPassed")
+
+
+def _log_row(kind: str, status: str, counts: str | None, message: str = "NULL", error: str = "NULL", relation: str = "") -> str:
+    numbers = ", ".join(f"CAST({counts if counts is not None else c} AS BIGINT) AS {c}" for c in _COUNT_NAMES)
+    return (f"{_log_head(kind)}'{status}' AS Status, {numbers}, CAST({message} AS VARCHAR) AS Message, "
+            f"CAST({error} AS VARCHAR) AS ErrorDescription{relation}")
 
 
 def run_log_sql() -> str:
-    from slicewright.config import RunContext
-
-    run = RunContext()
-    kind, spec = "sales_order", SPECS["sales_order"]
-    inner = load_counts_sql(kind)
-    head = (f"SELECT {sql_str(run.system_name)} AS SystemName, {run.system_rank} AS SystemNameRank, "
-            f"'load_{kind}' AS ProcessName, {sql_str(spec.slice_job)} AS SourceName, "
-            f"{sql_str(spec.target_name)} AS TargetName, {sql_str(run.unique_run_id)} AS UniqueRunID, "
-            f"{sql_str(run.parent_pipeline_id)} AS ParentPipelineID, {sql_str(run.pipeline_id)} AS PipelineID, ")
-    nulls = ", ".join(f"CAST(NULL AS BIGINT) AS {c}" for c in
-                      ("RowsRead", "RowsWritten", "RowsUpdated", "RowsDeleted", "RowsByPassed"))
-    start = f"{head}'RUNNING' AS Status, {nulls}, CAST(NULL AS VARCHAR) AS Message, {RUN_TS} AS LoggedAt FROM ({inner})"
-    end = (f"{head}'PASS' AS Status, RowsRead, RowsWritten, RowsUpdated, RowsDeleted, RowsByPassed, "
-           f"'Success' AS Message, {RUN_TS} AS LoggedAt FROM ({inner})")
+    inner = load_counts_sql("sales_order")
+    start = _log_row("sales_order", "RUNNING", "NULL")
+    end = _log_row("sales_order", "PASS", None, "'Success'", relation=f" FROM ({inner})")
     return f"({start}) UNION ALL ({end})"
 
 
+def run_log_failed_sql() -> str:
+    """Every source row of the spoiled run comes twice, so the load must fail; it fails exactly
+    if the source has a row at all."""
+    spec = SPECS["inventory"]
+    some = with_fixtures(slice_ctes(spec.slice_job), "SELECT 1 FROM slice_out LIMIT 1")
+    error = "'merge source: a target row would be matched by more than one source row'"
+    return (f"({_log_row('inventory', 'RUNNING', 'NULL')}) UNION ALL "
+            f"({_log_row('inventory', 'FAIL', '0', error=error, relation=f' FROM ({some})')})")
+
+
 def guard_blocked_sql() -> str:
     spec = SPECS["receipts"]
-    ctes = slice_ctes(spec.slice_job) + [source_cte(spec)] + target_ctes(spec, blocked=True)
-    final = (f"SELECT s AS SourceRows, t AS TargetRows, s > t * 0.8 AS Pass, s AS RowsRead, "
-             "CAST(0 AS BIGINT) AS RowsWritten, CAST(0 AS BIGINT) AS RowsUpdated, s AS RowsByPassed, "
-             "CAST(0 AS BIGINT) AS RowsDeleted, 'PASS' AS Status, 'Not enough staged records' AS Message, "
-             f"(SELECT COUNT(*) FROM tgt) AS TargetRowsAfter FROM (SELECT (SELECT COUNT(*) FROM src) AS s, "
-             f"(SELECT COUNT(*) FROM tgt WHERE DivisionId = {SPLIT_DIVISION}) AS t)")
-    return with_fixtures(ctes, final)
+    final = ("SELECT s AS SourceRows, t AS TargetRows, n AS TargetRowsAfter, s AS RowsRead, CAST(0 AS BIGINT) AS RowsWritten, "
+             "CAST(0 AS BIGINT) AS RowsUpdated, CAST(0 AS BIGINT) AS RowsDeleted, s AS RowsByPassed, 'PASS' AS Status, "
+             "'Not enough staged records' AS Message FROM (SELECT (SELECT COUNT(*) FROM src) AS s, "
+             "(SELECT COUNT(*) FROM tgt WHERE DivisionId = 12) AS t, (SELECT COUNT(*) FROM tgt) AS n) WHERE s <= 0.8 * t")
+    return with_fixtures(_before(spec, blocked=True), final)
 
 
 RECLASS_SEEDS = {"sales_order": "f_sales_order", "invoice": "f_invoice", "inventory": "f_inventory",
@@ -175,18 +183,29 @@ RECLASS_SLICES = {"receipts": "receipt_slice_split", "quote": "quote_slice_split
                   "shipment": "shipment_slice_split"}
 
 
-def reclassify_sql(kind: str) -> str:
-    cfg = EntityConfig()
-    label = cfg.label_of(SPLIT_DIVISION)
+def _reclassified(kind: str) -> list[tuple[str, str]]:
+    """``fact``: the rows before; ``after``: with the new division and flag, and whether they moved."""
     if kind in RECLASS_SEEDS:
         ctes = entity_ctes()
         base = f"SELECT *, CAST(NULL AS INTEGER) AS {FLAG} FROM {RECLASS_SEEDS[kind]}"
     else:
         ctes = slice_ctes(RECLASS_SLICES[kind])
         base = f"SELECT * REPLACE (CAST(1 AS INTEGER) AS DivisionId), CAST(NULL AS INTEGER) AS {FLAG} FROM slice_out"
-    ctes = ctes + [("fact", base)]
-    hit = f"COALESCE(ae.DEPT_Definition = {sql_str(label)} AND f.DivisionId = 1, FALSE)"
-    final = (f"SELECT f.* REPLACE (CASE WHEN {hit} THEN ae.DivisionId ELSE f.DivisionId END AS DivisionId, "
-             f"CASE WHEN {hit} THEN 1 ELSE f.{FLAG} END AS {FLAG}) FROM fact f "
-             "LEFT JOIN ent1 ae ON ae.DPT_AUTO_KEY = f.DPT_AUTO_KEY")
-    return with_fixtures(ctes, final)
+    unit = "SELECT DPT_AUTO_KEY FROM ent1 WHERE DEPT_Definition = 'Split Unit'"
+    moves = f"COALESCE(DivisionId = 1 AND DPT_AUTO_KEY IN ({unit}), FALSE)"
+    after = (f"SELECT * REPLACE (CASE WHEN moves THEN 12 ELSE DivisionId END AS DivisionId, "
+             f"CASE WHEN moves THEN 1 ELSE {FLAG} END AS {FLAG}) FROM (SELECT *, {moves} AS moves FROM fact)")
+    return [*ctes, ("fact", base), ("after", after)]
+
+
+def reclassify_sql(kind: str) -> str:
+    return with_fixtures(_reclassified(kind), "SELECT * EXCLUDE (moves) FROM after")
+
+
+def reclassify_counts_sql(kind: str) -> str:
+    final = ("SELECT DivisionId, COUNT(*) AS RowsAfter, CAST(SUM(COALESCE(IsSplit, 0)) AS BIGINT) AS SplitRows, "
+             "(SELECT COUNT(*) FROM fact WHERE DivisionId IN (1, 12)) AS RowsRead, CAST(0 AS BIGINT) AS RowsWritten, "
+             "(SELECT COUNT(*) FROM after WHERE moves) AS RowsUpdated, CAST(0 AS BIGINT) AS RowsDeleted, "
+             "(SELECT COUNT(*) FROM fact WHERE DivisionId IN (1, 12)) - (SELECT COUNT(*) FROM after WHERE moves) AS RowsByPassed "
+             "FROM after GROUP BY DivisionId")
+    return with_fixtures(_reclassified(kind), final)

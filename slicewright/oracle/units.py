@@ -158,8 +158,8 @@ def unit_sql(key: str) -> str:  # noqa: C901 - one branch per operator
                        "LEFT JOIN pt_by_id prt ON prt.PartId = po.PartId", [part_by_id()])
     if key == "manufacturer_by_name":
         return _simple("SELECT st.STM_AUTO_KEY, st.IC_UDF_005, COALESCE(mfg.v, -1) AS ManufacturerId FROM stg_stock st "
-                       "LEFT JOIN mfg ON st.IC_UDF_005 = mfg.k",
-                       [dim1("mfg", "d_manufacturer", "ManufacturerId", key="ManufacturerName")])
+                       "LEFT JOIN mfg ON rtrim(st.IC_UDF_005) = mfg.k",
+                       [dim1("mfg", "d_manufacturer", "ManufacturerId", key="rtrim(ManufacturerName)")])
     if key == "age_band":
         m = f"((year({RUN_TS}) * 12 + month({RUN_TS})) - (year(st.REC_DATE) * 12 + month(st.REC_DATE)))"
         return _simple(f"SELECT st.STM_AUTO_KEY, st.REC_DATE, COALESCE((SELECT MIN(a.AgeId) FROM d_age a WHERE {m} "

@@ -2,9 +2,8 @@
 
 * division from the lot's department; kept before the window (it is in the key);
 * ``rn`` keeps one row per (lot, division) with a total tie-break;
-* age band: month boundaries between receipt and the run clock, mapped through a
-  month → band table expanded from the band bounds (first band wins on overlap),
-  then an equi-join instead of a range join;
+* age band: month boundaries between receipt and the run clock; the distinct counts
+  that occur get their band (the lowest wins on overlap), then an equi-join;
 * manufacturer by name, part condition without default.
 """
 
@@ -17,20 +16,33 @@ from pyspark.sql import functions as F
 
 from slicewright.config import NOT_APPLICABLE, SPLIT_DIVISION, EntityConfig, RunContext
 from slicewright.functions import exprs as X
-from slicewright.operators.broadcast import bounded_broadcast
 from slicewright.operators.dedupe import first_per_key
 from slicewright.operators.entity import classify, entity_by_department
 from slicewright.operators.lookups import Lookups
 
-AGE_MAP_MAX_ROWS = 100_000
+def age_band_by_month(ages: DataFrame, months: DataFrame) -> DataFrame:
+    """(__age_m, __age_id): each month count that occurs, and the lowest AgeId whose
+    [MinMonth, MaxMonth] holds it; a band with a null bound holds nothing.
 
-
-def age_band_by_month(ages: DataFrame) -> DataFrame:
-    """Month count → lowest AgeId whose [MinMonth, MaxMonth] holds it."""
-    m = ages.filter(F.col("MinMonth") <= F.col("MaxMonth")).select(
-        "AgeId", F.explode(F.sequence(F.col("MinMonth"), F.col("MaxMonth"))).alias("__age_m")
+    ``months`` has the distinct counts in column ``__age_m``: as many as there are
+    months between the oldest receipt and the run, however wide a band is.  They and
+    the bands of the dimension meet in one row of two arrays.
+    """
+    band = F.struct("AgeId", F.col("MinMonth").cast("long").alias("low"), F.col("MaxMonth").cast("long").alias("high"))
+    tagged = ages.filter(F.col("MinMonth") <= F.col("MaxMonth")).select(F.lit(None).cast("int").alias("__age_m"), band.alias("band"))
+    tagged = tagged.unionByName(months.select(F.col("__age_m").cast("int").alias("__age_m")), allowMissingColumns=True)
+    both = tagged.agg(F.collect_set("__age_m").alias("months"), F.collect_list("band").alias("bands"))
+    holds = F.filter("bands", lambda b: (b["low"] <= F.col("__age_m")) & (F.col("__age_m") <= b["high"]))
+    return (
+        both.select("bands", F.explode("months").alias("__age_m"))
+        .select("__age_m", F.array_min(holds.getField("AgeId")).alias("__age_id"))
+        .filter(F.col("__age_id").isNotNull())
     )
-    return bounded_broadcast(m.groupBy("__age_m").agg(F.min("AgeId").alias("__age_id")), AGE_MAP_MAX_ROWS)
+
+
+def manufacturers(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Manufacturers by name; trailing blanks don't count."""
+    return tables["d_manufacturer"].withColumn("ManufacturerName", F.rtrim("ManufacturerName"))
 
 
 def inventory_slice(
@@ -53,10 +65,11 @@ def inventory_slice(
     lk.key(tables["d_location"], "LOC_AUTO_KEY", "LocationId")
     lk.key(tables["d_warehouse"], "WHS_ORIGINAL", "WarehouseId", out="OriginalWarehouseId")
     lk.key(tables["d_location"], "LOC_ORIGINAL", "LocationId", out="OriginalLocationId")
-    lk.key(tables["d_manufacturer"], "IC_UDF_005", "ManufacturerId", native="ManufacturerName")
+    lk.key(manufacturers(tables), F.rtrim("IC_UDF_005"), "ManufacturerId", native="ManufacturerName")
     lk.key(tables["d_part_condition"], "PCC_AUTO_KEY", "PartConditionId", default=False)
     months = X.months_between_boundaries(F.col("REC_DATE"), X.ts_literal(run.run_ts))
-    lk.join(age_band_by_month(tables["d_age"]), months == F.col("__age_m"))
+    occurring = raw.select(months.alias("__age_m")).distinct()
+    lk.join(age_band_by_month(tables["d_age"], occurring), months == F.col("__age_m"))
     st = lk.done()
 
     return st.select(

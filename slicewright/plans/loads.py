@@ -1,24 +1,25 @@
-"""Load jobs: upsert a slice into its warehouse fact.
+"""Load jobs: what each load matches, deletes, updates and inserts.
 
-Each load is a pure DataFrame transform ``(target, source) → new target`` with a
-``MergeAction`` column; :func:`run_load` adds the run-log bookkeeping and publishes
-the new version of the target (see :mod:`slicewright.sources.snapshot`).
-
-Match keys and column sets per fact (insert list; on a match every insert column
-except the keys, the division and the import stamp is overwritten, and
-``ETLModifiedDate`` gets the run clock):
+Each load is a DataFrame transform ``(target, source) → target rows with MergeAction``;
+:mod:`slicewright.plans.runner` runs it with guard, uniqueness check, run log and
+publishing.  Per fact (insert list; on a match every insert column except the keys, the
+division and the import stamp is overwritten, and ``ETLModifiedDate`` gets the run clock):
 
 * sales order, purchase order: (NativeId, NativeLineId), target division 12
   (the purchase-order key as first written demanded target division 1 and source
-  division 12 at once and could never match; ``as_written=True`` keeps that);
-* invoice: delete the split unit's departments, then (NativeId, NativeLineId),
-  target division 12;
-* inventory: NativeId with the target in the split unit's departments;
+  division 12 at once and could never match; ``as_written`` keeps that);
+* invoice: delete the scope's departments, then (NativeId, NativeLineId), target
+  division 12;
+* inventory: NativeId, target division 12 (``as_written``: target in the scope's
+  departments, whatever its division);
 * shipment: newest modification per (NativeId, DivisionId), then that key;
 * receipts: only when the slice has more than 0.8 × the target's division-12 rows:
-  delete division 12, then match on vendor, part, PO number, line (null = ''),
-  division, receipt date (null = 1990-01-01) and unit cost; all 12 columns update
+  delete the scope's departments, then match on vendor, part, PO number, line (null =
+  0), division, receipt date (null = 1990-01-01) and unit cost; all 12 columns update
   and the import stamp is the run clock.
+
+The scope is a parameter: by default the one department that the loads were written for.
+Rows of the unit's other departments stay, and match.
 """
 
 from __future__ import annotations
@@ -29,23 +30,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slicewright.config import (
-    NULL_RECEIVED_DATE,
-    SPLIT_DIVISION,
-    EntityConfig,
-    RunContext,
-)
+from slicewright.config import BASE_DIVISION, NULL_RECEIVED_DATE, SPLIT_DIVISION, RunContext
 from slicewright.functions.exprs import ts_literal
 from slicewright.operators.dedupe import first_per_key
-from slicewright.operators.merge import (
-    ACTION,
-    INSERT,
-    KEEP,
-    UPDATE,
-    delete_where,
-    key_match,
-    merge_upsert,
-)
+from slicewright.operators.merge import MergeKey, merge_rows
 
 STAMP = "ETLModifiedDate"
 FLAG = "IsSplit"
@@ -177,89 +165,67 @@ def prepare_source(spec: LoadSpec, slice_df: DataFrame) -> DataFrame:
     return src
 
 
-def _matcher(spec: LoadSpec, cfg: EntityConfig, as_written: bool):
-    if spec.kind == "receipts":
-        def m(t, s):
-            c = F.lit(True)
-            for k in ("VendorId", "PartId", "PONumber", "DivisionId", "UnitCost"):
-                c = c & (t(k) == s(k))
-            c = c & (F.coalesce(t("LineNumber").cast("string"), F.lit("")) ==
-                     F.coalesce(s("LineNumber").cast("string"), F.lit("")))
-            d = ts_literal(NULL_RECEIVED_DATE)
-            return c & (F.coalesce(t("ReceivedDate"), d) == F.coalesce(s("ReceivedDate"), d))
-        return m
-    if spec.kind == "inventory":
-        return key_match(spec.keys, target_only={"DPT_AUTO_KEY": list(cfg.split_departments)})
-    if spec.kind == "purchase_order" and as_written:
-        # as first written: target division 1, source division 12 *and* equal — never true
-        return key_match((*spec.keys, "DivisionId"), target_only={"DivisionId": 1},
-                         source_only={"DivisionId": SPLIT_DIVISION})
-    if spec.kind in ("sales_order", "invoice", "purchase_order"):
-        return key_match(spec.keys, target_only={"DivisionId": SPLIT_DIVISION},
-                         source_only={"DivisionId": SPLIT_DIVISION} if spec.kind == "sales_order" else None)
-    return key_match(spec.keys)
-
-
-def pre_delete(spec: LoadSpec, target: DataFrame, cfg: EntityConfig) -> Column | None:
-    if spec.kind == "invoice":
-        return F.col("DPT_AUTO_KEY").isin(*cfg.split_departments)
-    if spec.kind == "receipts":
-        return F.col("DivisionId") == SPLIT_DIVISION
-    return None
+#: The department that the replace loads delete (fixed value).
+LOAD_DEPARTMENT = 106
+
+
+@dataclass(frozen=True)
+class LoadScope:
+    """Departments that a load deletes or matches in, and whether the match conditions are
+    those first written."""
+
+    departments: tuple[int, ...] = (LOAD_DEPARTMENT,)
+    as_written: bool = False
 
 
-def merge_scope(spec: LoadSpec, cfg: EntityConfig, as_written: bool = False) -> Column:
-    """Target rows a load can touch: every other row can neither match nor be deleted.
+@dataclass(frozen=True)
+class MergePlan:
+    """How a load matches: keys, which rows may match, which target rows go first, and the
+    divisions whose rows it can change."""
+
+    keys: tuple[MergeKey, ...]
+    target_where: Column | None
+    source_where: Column | None
+    delete: Column | None
+    touched: tuple[int, ...]
 
-    Only these rows enter the merge join; the rest pass through as KEEP (and, with
-    the fact partitioned by ``DivisionId``, are read by partition-pruned scans).
-    """
-    split_dept = F.col("DPT_AUTO_KEY").isin(*cfg.split_departments)
+
+def merge_plan(spec: LoadSpec, scope: LoadScope = LoadScope()) -> MergePlan:
     in_split = F.col("DivisionId") == SPLIT_DIVISION
-    if spec.kind == "inventory":
-        return split_dept
+    in_departments = F.col("DPT_AUTO_KEY").isin(*scope.departments)
+    keys = tuple(MergeKey(k) for k in spec.keys)
+    if spec.kind == "receipts":
+        stand_ins = {"LineNumber": F.lit(0), "ReceivedDate": ts_literal(NULL_RECEIVED_DATE)}
+        keys = tuple(MergeKey(k, stand_ins.get(k)) for k in spec.keys)
+        return MergePlan(keys, None, None, in_departments, (BASE_DIVISION, SPLIT_DIVISION))
     if spec.kind == "invoice":
-        return in_split | split_dept
-    if spec.kind == "purchase_order" and as_written:
-        return F.col("DivisionId") == 1
-    return in_split
+        return MergePlan(keys, in_split, None, in_departments, (BASE_DIVISION, SPLIT_DIVISION))
+    if spec.kind == "inventory" and scope.as_written:
+        return MergePlan(keys, in_departments, None, None, (BASE_DIVISION, SPLIT_DIVISION))
+    if spec.kind == "purchase_order" and scope.as_written:
+        never = (F.col("DivisionId") == BASE_DIVISION) & in_split
+        return MergePlan(keys, never, in_split, None, (SPLIT_DIVISION,))
+    return MergePlan(keys, in_split, in_split, None, (SPLIT_DIVISION,))
 
 
 def merge_load(
-    spec: LoadSpec,
-    target: DataFrame,
-    source: DataFrame,
-    run: RunContext = RunContext(),
-    cfg: EntityConfig = EntityConfig(),
-    as_written: bool = False,
+    spec: LoadSpec, target: DataFrame, source: DataFrame, run: RunContext = RunContext(), scope: LoadScope = LoadScope()
 ) -> DataFrame:
-    """New target with ``MergeAction`` (the receipt guard is applied by the caller)."""
+    """Target rows with ``MergeAction``, deleted rows included.  ``target`` has the divisions
+    that the load can touch; the receipt guard is applied by the caller."""
+    plan = merge_plan(spec, scope)
     src = source.select(*spec.insert_cols)
+    stamp: dict[str, Column] = {STAMP: ts_literal(run.run_ts)}
+    update = spec.update_cols
     if spec.kind == "receipts":
         src = src.withColumn("ETLImportDate", ts_literal(run.run_ts))
-    scope = F.coalesce(merge_scope(spec, cfg, as_written), F.lit(False))
-    inside, outside = target.filter(scope), target.filter(~scope)
-    pred = pre_delete(spec, target, cfg)
-    tgt = delete_where(inside, pred) if pred is not None else inside
-    stamp = {STAMP: ts_literal(run.run_ts)}
-    if spec.kind == "receipts":
-        update = spec.insert_cols
-        stamp = {}
-    else:
-        update = spec.update_cols
-    plain_keys = ("VendorId", "PartId", "PONumber", "DivisionId", "UnitCost") if spec.kind == "receipts" else spec.keys
-    merged = merge_upsert(tgt, src, _matcher(spec, cfg, as_written), update, spec.insert_cols, stamp,
-                          null_never_matches=plain_keys)
-    return merged.unionByName(outside.withColumn(ACTION, F.lit(KEEP)))
-
-
-__all__ = [
-    "ACTION", "INSERT", "KEEP", "SPECS", "UPDATE", "LoadSpec", "merge_load",
-    "prepare_source", "seed_target", "shape_target", "target_columns",
-]
+        stamp, update = {}, spec.insert_cols
+    return merge_rows(
+        target, src, plan.keys, update, spec.insert_cols, stamp, plan.target_where, plan.source_where, plan.delete
+    )
 
 
-# --- test targets and registered load queries ------------------------------------
+# --- test targets ------------------------------------------------------------------
 
 def blocked_receipt_target(source: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Receipt target holding every slice row twice more in division 12: the guard
@@ -267,52 +233,3 @@ def blocked_receipt_target(source: DataFrame, tables: Mapping[str, DataFrame]) -
     spec = SPECS["receipts"]
     full = shape_target(spec, source, source)
     return seed_target(spec, source, tables).unionByName(full).unionByName(full)
-
-
-def counts_frame(merged: DataFrame, source: DataFrame, target: DataFrame, deleted: Column | None) -> DataFrame:
-    """One row of run-log counts from a merge result, its source and its target.
-
-    Read, written (inserted), updated, deleted; bypassed = read − updated − written.
-    One aggregate over a tagged union: no join between the three inputs.
-    """
-    z = F.lit(0)
-    m = merged.select(
-        z.alias("r"), F.when(F.col(ACTION) == INSERT, 1).otherwise(0).alias("w"),
-        F.when(F.col(ACTION) == UPDATE, 1).otherwise(0).alias("u"), z.alias("d"),
-    )
-    s = source.select(F.lit(1).alias("r"), z.alias("w"), z.alias("u"), z.alias("d"))
-    parts = m.unionByName(s)
-    if deleted is not None:
-        parts = parts.unionByName(target.filter(deleted).select(z.alias("r"), z.alias("w"), z.alias("u"),
-                                                                F.lit(1).alias("d")))
-    agg = parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("r", "w", "u", "d")])
-    return agg.select(
-        F.col("r").alias("RowsRead"), F.col("w").alias("RowsWritten"), F.col("u").alias("RowsUpdated"),
-        (F.col("r") - F.col("u") - F.col("w")).alias("RowsByPassed"), F.col("d").alias("RowsDeleted"),
-    )
-
-
-def run_log_frame(kind: str, counts: DataFrame, run: RunContext = RunContext()) -> DataFrame:
-    """The two records one load appends to the run log: RUNNING at the start (no
-    counts yet) and PASS at the end with the counts."""
-    spec = SPECS[kind]
-    head = [
-        F.lit(run.system_name).alias("SystemName"),
-        F.lit(run.system_rank).alias("SystemNameRank"),
-        F.lit(f"load_{kind}").alias("ProcessName"),
-        F.lit(spec.slice_job).alias("SourceName"),
-        F.lit(spec.target_name).alias("TargetName"),
-        F.lit(run.unique_run_id).alias("UniqueRunID"),
-        F.lit(run.parent_pipeline_id).alias("ParentPipelineID"),
-        F.lit(run.pipeline_id).alias("PipelineID"),
-    ]
-    names = ("RowsRead", "RowsWritten", "RowsUpdated", "RowsDeleted", "RowsByPassed")
-    start = counts.select(
-        *head, F.lit("RUNNING").alias("Status"), *[F.lit(None).cast("bigint").alias(c) for c in names],
-        F.lit(None).cast("string").alias("Message"), ts_literal(run.run_ts).alias("LoggedAt"),
-    )
-    end = counts.select(
-        *head, F.lit("PASS").alias("Status"), *names, F.lit("Success").alias("Message"),
-        ts_literal(run.run_ts).alias("LoggedAt"),
-    )
-    return start.unionByName(end)

@@ -1,10 +1,15 @@
 """Load runner: one load with its run-log rows, as the scheduled job calls it.
 
-``run_load`` evaluates the slice once (written to the shared checkpoint folder, so
-the count and the merge read the same rows and lineage is cut), checks that no
-target row can match two source rows, applies the guard where the load has one,
-publishes the new target version and appends RUNNING and PASS/FAIL rows to the
-run-log table.  Counts come from ``observe`` on the merge output — no second pass.
+``run_load`` evaluates the slice once (written to the shared checkpoint folder, so all
+steps read the same rows and lineage is cut), checks that no target row can match two
+source rows, applies the guard where the load has one, merges and publishes the new
+version of the divisions that the load can touch, and appends RUNNING and PASS/FAIL
+rows to the run log.  The target's divisions are read once; counts are observed on the
+rows being published.
+
+Counts: RowsRead are the staged source rows, RowsWritten the inserted ones, RowsUpdated
+the source rows that matched (each source row either matches or is inserted), and
+RowsByPassed what is left: all of them where the guard blocks, else none.
 """
 
 from __future__ import annotations
@@ -15,10 +20,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from slicewright.config import SPLIT_DIVISION, VOLUME_GUARD_RATIO, EntityConfig, RunContext
-from slicewright.operators.merge import ACTION, INSERT, UPDATE, assert_unique, volume_guard
-from slicewright.plans.loads import SPECS, merge_load, pre_delete, prepare_source, target_columns
+from slicewright.config import BASE_DIVISION, SPLIT_DIVISION, VOLUME_GUARD_RATIO, EntityConfig, RunContext
+from slicewright.operators.merge import ACTION, DELETE, INSERT, UPDATE, assert_unique, volume_guard
+from slicewright.plans.loads import FLAG, SPECS, STAMP, LoadScope, LoadSpec, merge_load, merge_plan, prepare_source
+from slicewright.plans.reclassify import FACT_TABLES, moved, reclassify_fact
 from slicewright.session import scratch_path
 from slicewright.sources import snapshot
 
@@ -28,6 +35,8 @@ RUN_LOG_SCHEMA = (
     "RowsRead bigint, RowsWritten bigint, RowsUpdated bigint, RowsDeleted bigint, RowsByPassed bigint, "
     "Message string, ErrorDescription string, LoggedAt timestamp_ntz"
 )
+COUNTS = ("RowsRead", "RowsWritten", "RowsUpdated", "RowsDeleted", "RowsByPassed")
+BLOCKED = "Not enough staged records"
 
 
 def log_row(spark: SparkSession, log_path: str, **values) -> None:
@@ -36,6 +45,46 @@ def log_row(spark: SparkSession, log_path: str, **values) -> None:
     spark.createDataFrame([row], RUN_LOG_SCHEMA).write.mode("append").parquet(log_path)
 
 
+class _Logged:
+    """The run-log rows around one job: RUNNING, then PASS with counts or FAIL with the error."""
+
+    def __init__(self, spark: SparkSession, log_path: str, ctx: RunContext, process: str, source: str, target: str):
+        self.spark, self.log_path, self.id = spark, log_path, str(uuid.uuid4())
+        self.base = dict(
+            LogId=self.id, SystemName=ctx.system_name, SystemNameRank=ctx.system_rank, ProcessName=process,
+            SourceName=source, TargetName=target, UniqueRunID=ctx.unique_run_id,
+            ParentPipelineID=ctx.parent_pipeline_id, PipelineID=ctx.pipeline_id,
+        )
+
+    def row(self, **values) -> None:
+        log_row(self.spark, self.log_path, **self.base, **values, LoggedAt=dt.datetime.now())
+
+    def __enter__(self) -> _Logged:
+        self.row(Status="RUNNING")
+        return self
+
+    def passed(self, counts: dict, message: str = "Success") -> dict:
+        self.row(Status="PASS", Message=message, **{c: counts[c] for c in COUNTS})
+        return {**counts, "Status": "PASS", "Message": message}
+
+    def __exit__(self, kind, error, trace) -> bool:
+        if error is not None:
+            self.row(Status="FAIL", ErrorDescription=str(error), **dict.fromkeys(COUNTS, 0))
+        return False
+
+
+def target_schema(spec: LoadSpec, source: DataFrame) -> T.StructType:
+    fields = [T.StructField(c, source.schema[c].dataType) for c in spec.insert_cols]
+    return T.StructType([*fields, T.StructField(STAMP, T.TimestampNTZType()), T.StructField(FLAG, T.IntegerType())])
+
+
+def staged_source(spark: SparkSession, spec: LoadSpec, slice_df: DataFrame, run_id: str) -> DataFrame:
+    """The load's source, evaluated once into the shared folder."""
+    path = scratch_path(spark, "runs", run_id, "source")
+    prepare_source(spec, slice_df).write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def run_load(
     spark: SparkSession,
     kind: str,
@@ -43,69 +92,82 @@ def run_load(
     target_root: str,
     log_path: str,
     ctx: RunContext = RunContext(),
-    cfg: EntityConfig = EntityConfig(),
+    scope: LoadScope = LoadScope(),
+    audit_path: str | None = None,
 ) -> dict:
+    """Run one load.  With ``audit_path`` the merged rows and their actions are also written
+    there, deleted rows included."""
     spec = SPECS[kind]
-    log_id = str(uuid.uuid4())
-    base = dict(
-        LogId=log_id, SystemName=ctx.system_name, SystemNameRank=ctx.system_rank,
-        ProcessName=f"load_{kind}", SourceName=spec.slice_job, TargetName=spec.target_name,
-        UniqueRunID=ctx.unique_run_id, ParentPipelineID=ctx.parent_pipeline_id, PipelineID=ctx.pipeline_id,
-    )
-    log_row(spark, log_path, **base, Status="RUNNING", LoggedAt=dt.datetime.now())
-    try:
-        stage = scratch_path(spark, "runs", log_id, "source")
-        prepare_source(spec, slice_df).write.mode("overwrite").parquet(stage)
-        source = spark.read.parquet(stage)
+    plan = merge_plan(spec, scope)
+    with _Logged(spark, log_path, ctx, f"load_{kind}", spec.slice_job, spec.target_name) as log:
+        source = staged_source(spark, spec, slice_df, log.id)
         rows_read = source.count()
-        target = snapshot.read_current(spark, target_root)
+        assert_unique(source, plan.keys, plan.source_where)
+        target = snapshot.read_current(spark, target_root, only=plan.touched)
         if target is None:
-            target = spark.createDataFrame([], source.select(*spec.insert_cols).schema)
-            for c in target_columns(spec)[len(spec.insert_cols):]:
-                target = target.withColumn(c, F.lit(None).cast("timestamp_ntz" if c.endswith("Date") else "int"))
-        assert_unique(source, list(spec.keys))
-        message = "Success"
+            target = spark.createDataFrame([], target_schema(spec, source))
         if kind == "receipts":
-            g = volume_guard(source, target, F.col("DivisionId") == SPLIT_DIVISION, VOLUME_GUARD_RATIO).first()
-            if not g["Pass"]:
-                counts = dict(RowsRead=rows_read, RowsWritten=0, RowsUpdated=0, RowsDeleted=0,
-                              RowsByPassed=rows_read)
-                log_row(spark, log_path, **base, Status="PASS", Message="Not enough staged records",
-                        LoggedAt=dt.datetime.now(), **counts)
-                return {**counts, "Status": "PASS", "Blocked": True}
-        pred = pre_delete(spec, target, cfg)
-        obs_del = Observation(f"delete_{kind}")
-        if pred is not None:  # counted while the merge reads the target: no extra scan
-            target = target.observe(obs_del, F.sum(F.when(F.coalesce(pred, F.lit(False)), 1).otherwise(0)).alias("d"))
-        merged = merge_load(spec, target, source, ctx, cfg)
-        obs = Observation(f"merge_{kind}")
-        merged = merged.observe(
-            obs,
-            F.sum(F.when(F.col(ACTION) == INSERT, 1).otherwise(0)).alias("w"),
-            F.sum(F.when(F.col(ACTION) == UPDATE, 1).otherwise(0)).alias("u"),
+            guard = volume_guard(source, target, F.col("DivisionId") == SPLIT_DIVISION, VOLUME_GUARD_RATIO).first()
+            if not guard["Pass"]:
+                counts = dict.fromkeys(COUNTS, 0) | {"RowsRead": rows_read, "RowsByPassed": rows_read}
+                return log.passed(counts, BLOCKED) | {
+                    "Blocked": True, "SourceRows": guard["SourceRows"], "TargetRows": guard["TargetRows"]
+                }
+        merged = merge_load(spec, target, source, ctx, scope)
+        if audit_path is not None:
+            merged.write.mode("errorifexists").parquet(audit_path)
+            merged = spark.read.parquet(audit_path)
+        seen = Observation(f"merge_{kind}")
+        count = lambda action: F.sum(F.when(F.col(ACTION) == action, 1).otherwise(0))
+        merged = merged.observe(seen, count(INSERT).alias("i"), count(UPDATE).alias("u"), count(DELETE).alias("d"))
+        snapshot.publish(spark, merged.filter(F.col(ACTION) != DELETE).drop(ACTION), target_root, plan.touched)
+        n = {k: int(v or 0) for k, v in seen.get.items()}
+        counts = {
+            "RowsRead": rows_read, "RowsWritten": n["i"], "RowsUpdated": rows_read - n["i"], "RowsDeleted": n["d"],
+            "RowsByPassed": 0,
+        }
+        return log.passed(counts) | {"Blocked": False, "TargetRowsUpdated": n["u"]}
+
+
+def run_reclassify(
+    spark: SparkSession,
+    fact: str,
+    tables: Mapping[str, DataFrame],
+    target_root: str,
+    log_path: str,
+    ctx: RunContext = RunContext(),
+    cfg: EntityConfig = EntityConfig(),
+) -> dict:
+    """Move the split unit's rows of a published fact out of the base division: only the base
+    and the split division are read and written."""
+    touched = (BASE_DIVISION, SPLIT_DIVISION)
+    with _Logged(spark, log_path, ctx, f"reclassify_{fact}", FACT_TABLES[fact], FACT_TABLES[fact]) as log:
+        rows = snapshot.read_current(spark, target_root, only=touched)
+        if rows is None:
+            return log.passed(dict.fromkeys(COUNTS, 0))
+        result = reclassify_fact(tables, rows, cfg, mark=True)
+        seen = Observation(f"reclassify_{fact}")
+        result = result.observe(
+            seen, F.count(F.lit(1)).alias("n"), F.sum(F.col(moved).cast("int")).alias("m")
         )
-        snapshot.publish(spark, merged.drop(ACTION), target_root)
-        m = obs.get
-        w, u = int(m.get("w") or 0), int(m.get("u") or 0)
-        deleted = int(obs_del.get.get("d") or 0) if pred is not None else 0
-        counts = dict(RowsRead=rows_read, RowsWritten=w, RowsUpdated=u, RowsDeleted=deleted,
-                      RowsByPassed=rows_read - u - w)
-        log_row(spark, log_path, **base, Status="PASS", Message=message, LoggedAt=dt.datetime.now(), **counts)
-        return {**counts, "Status": "PASS", "Blocked": False}
-    except Exception as e:  # record the failure with zero counts, then re-raise
-        log_row(spark, log_path, **base, Status="FAIL", RowsRead=0, RowsWritten=0, RowsUpdated=0,
-                RowsDeleted=0, RowsByPassed=0, ErrorDescription=str(e)[:4000], LoggedAt=dt.datetime.now())
-        raise
-
-
-def run_all(spark: SparkSession, tables: Mapping[str, DataFrame], warehouse_root: str,
-            ctx: RunContext = RunContext()) -> dict[str, dict]:
-    """Every load of the split unit, in the order the source system runs them."""
+        snapshot.publish(spark, result.drop(moved), target_root, touched)
+        n, m = int(seen.get["n"] or 0), int(seen.get["m"] or 0)
+        return log.passed({"RowsRead": n, "RowsWritten": 0, "RowsUpdated": m, "RowsDeleted": 0, "RowsByPassed": n - m})
+
+
+def run_all(
+    spark: SparkSession, tables: Mapping[str, DataFrame], warehouse_root: str, ctx: RunContext = RunContext()
+) -> dict[str, dict]:
+    """The split refresh: move the unit's loaded rows to its division, then every load in the
+    order the source system runs them."""
     from slicewright.registry import JOBS
 
-    out = {}
+    log = f"{warehouse_root}/run_log"
+    out = {
+        f"reclassify_{fact}": run_reclassify(spark, fact, tables, f"{warehouse_root}/{table}", log, ctx)
+        for fact, table in FACT_TABLES.items()
+    }
     for kind in ("inventory", "invoice", "purchase_order", "sales_order", "shipment", "receipts"):
         spec = SPECS[kind]
-        out[kind] = run_load(spark, kind, JOBS[spec.slice_job](spark, tables),
-                             f"{warehouse_root}/{spec.target_name}", f"{warehouse_root}/run_log", ctx)
+        out[kind] = run_load(spark, kind, JOBS[spec.slice_job](spark, tables), f"{warehouse_root}/{spec.target_name}", log, ctx)
     return out

@@ -25,7 +25,7 @@ from slicewright.plans.common import (
     part_native_by_id,
     with_billing_address,
 )
-from slicewright.plans.inventory import age_band_by_month
+from slicewright.plans.inventory import age_band_by_month, manufacturers
 from slicewright.plans.purchase_order import account_by_po_header, last_receipt_dates
 from slicewright.plans.quote import parts_with_stock
 from slicewright.plans.receipts import receipt_totals
@@ -223,15 +223,15 @@ def _reverse(t: T) -> DataFrame:
 @unit("manufacturer_by_name")
 def _mfg(t: T) -> DataFrame:
     st = t["stg_stock"].select("STM_AUTO_KEY", "IC_UDF_005")
-    return key_lookup(st, t["d_manufacturer"], "IC_UDF_005", "ManufacturerId", native="ManufacturerName")
+    return key_lookup(st, manufacturers(t), F.rtrim("IC_UDF_005"), "ManufacturerId", native="ManufacturerName")
 
 
 @unit("age_band")
 def _age(t: T) -> DataFrame:
     run = RunContext()
     st = t["stg_stock"].select("STM_AUTO_KEY", "REC_DATE")
-    ages = age_band_by_month(t["d_age"])
     months = X.months_between_boundaries(F.col("REC_DATE"), X.ts_literal(run.run_ts))
+    ages = age_band_by_month(t["d_age"], st.select(months.alias("__age_m")).distinct())
     j = st.join(ages, months == F.col("__age_m"), "left")
     return j.select("STM_AUTO_KEY", "REC_DATE", X.key_or_unknown("__age_id").alias("AgeId"))
 

@@ -261,7 +261,7 @@ FIXTURES: tuple[Fixture, ...] = (
             'as HISTORICAL_FLAG, l_shipdate as CHANGE_TIMESTAMP, 100+c_nationkey as DPT_AUTO_KEY, l_partkey % 3 '
             "as PCC_AUTO_KEY, case when l_partkey % 2 = 0 then 'CERT' end as PART_CERT_NUMBER, case when "
             "l_partkey % 3 = 0 then 'B' end as REVISION, l_shipdate as ETLImportDate from li join part on "
-            'l_partkey=p_partkey where l_linenumber <= 3'
+            'l_partkey=p_partkey'
         ),
     ),
     Fixture(
@@ -343,7 +343,7 @@ FIXTURES: tuple[Fixture, ...] = (
         (
             'select l_orderkey*10+l_linenumber as RCD_AUTO_KEY, l_orderkey as RCH_AUTO_KEY, '
             'l_orderkey*10+l_linenumber as POD_AUTO_KEY, l_linenumber as ITEM_NUMBER, l_shipdate as ENTRY_DATE '
-            'from li where l_linenumber <= 3'
+            'from li'
         ),
     ),
     Fixture(
@@ -383,8 +383,7 @@ FIXTURES: tuple[Fixture, ...] = (
             ('APA_AUTO_KEY', 'bigint'),
         ),
         (
-            'select o_orderkey as POH_AUTO_KEY, o_custkey % 4 as APA_AUTO_KEY from orders where o_orderkey % 3 = '
-            '0'
+            'select o_orderkey as POH_AUTO_KEY, o_custkey % 4 as APA_AUTO_KEY from orders'
         ),
     ),
     Fixture(
@@ -606,7 +605,7 @@ FIXTURES: tuple[Fixture, ...] = (
             ('MaxMonth', 'int'),
         ),
         (
-            'select * from (values (1,0,12),(2,13,36),(3,37,60),(4,61,72)) t(AgeId, MinMonth, MaxMonth)'
+            'select * from (values (1,null,12),(2,13,36),(3,37,60),(4,61,72),(5,73,2147483647),(6,null,null),(7,90,80)) t(AgeId, MinMonth, MaxMonth)'
         ),
     ),
     Fixture(
@@ -657,8 +656,7 @@ FIXTURES: tuple[Fixture, ...] = (
         (
             'select l_orderkey as NativeId, l_orderkey*10+l_linenumber as NativeLineId, l_partkey+100000 as '
             'PartId, cast(cast(l_extendedprice as decimal(19,4))*cast(0.7 as decimal(3,2)) as decimal(19,4)) as '
-            'UnitCost, l_shipdate as PODate, 100+c_nationkey as DPT_AUTO_KEY, 1 as DivisionId from li where '
-            "l_returnflag='R'"
+            'UnitCost, l_shipdate as PODate, 100+c_nationkey as DPT_AUTO_KEY, 1 as DivisionId from li'
         ),
     ),
     Fixture(
@@ -670,12 +668,10 @@ FIXTURES: tuple[Fixture, ...] = (
             ('ProductClass', 'string'),
         ),
         (
-            # one snapshot row per part and snapshot month: the month list is one scalar
-            # (array) subquery, expanded per part row — no join between the two tables
-            "select AsOfDate, p_partkey+100000 as PartId, 1 as DivisionId, case when p_size % 3 = 0 then 'A' "
-            "when p_size % 3 = 1 then 'B' end as ProductClass from (select p_partkey, p_size, {unnest}((select "
-            "array_agg(distinct cast(date_trunc('month', l_shipdate) as date)) from lineitem where "
-            "month(l_shipdate) in (1,4,7,10))) as AsOfDate from part) m"
+            # one snapshot row per part and month in which the part was shipped
+            "select cast(date_trunc('month', l_shipdate) as date) as AsOfDate, l_partkey+100000 as PartId, 1 as "
+            "DivisionId, max(case when p_size % 3 = 0 then 'A' when p_size % 3 = 1 then 'B' end) as ProductClass "
+            'from lineitem join part on l_partkey=p_partkey group by 1, 2'
         ),
     ),
     Fixture(
@@ -693,7 +689,7 @@ FIXTURES: tuple[Fixture, ...] = (
             "o_orderpriority like '1-%' then 'SLA' else 'SO-' end, cast(o_orderkey as varchar(20))) as SONumber, "
             "(concat(case when o_orderpriority like '1-%' then 'SLA' else 'SO-' end, cast(o_orderkey as "
             "varchar(20))) like 'SLA%') as IsLTA, 100+c_nationkey as DPT_AUTO_KEY, case when l_orderkey % 4 = 0 "
-            'then 12 else 1 end as DivisionId from li where l_linenumber <= 5'
+            'then 12 else 1 end as DivisionId from li'
         ),
     ),
     Fixture(
@@ -728,7 +724,7 @@ FIXTURES: tuple[Fixture, ...] = (
             'select l_orderkey*10+l_linenumber as NativeId, l_partkey+100000 as PartId, case when '
             "l_linestatus='O' then cast(l_quantity as decimal(19,4)) else cast(0 as decimal(19,4)) end as "
             'QtyOnHand, 100+c_nationkey as DPT_AUTO_KEY, case when l_orderkey % 4 = 0 then 12 else 1 end as '
-            'DivisionId from li where l_linenumber <= 3'
+            'DivisionId from li'
         ),
     ),
 )

@@ -1,64 +1,160 @@
-"""Versioned snapshots of a fact table on shared storage.
-
-A load never rewrites the folder it reads.  Each new version is written to
-``<root>/v=<n>`` and becomes current only after the write succeeded, by replacing
-the small pointer file ``<root>/_CURRENT`` (write to a temporary name, then rename).
-A failed or interrupted job (lost executors included: Spark retries the tasks)
-leaves the previous version current.  Paths go through the Hadoop FileSystem API,
-so any shared store the cluster names works the same way.
+"""Versions of a fact table on shared storage.
+
+A version is a manifest: the table's schema and, for each division, the folder that
+holds its rows.  A load writes only the divisions it can touch, into a folder whose
+name is never used again, and its manifest points to the earlier folders for the
+rest.  ``_CURRENT`` names the current manifest and is replaced by one overwriting
+rename, as the last step; until then, and after any failure, the previous version
+is current and whole.  Manifests without a pointer mean that the pointer was lost,
+which is an error, not an empty table.
+
+One writer per table at a time is assumed.  The overwriting rename is atomic on HDFS
+and local file systems; object stores need a committer of their own.
+:func:`retain` removes what the latest versions don't use.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Iterable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 POINTER = "_CURRENT"
+PARTITION = "DivisionId"
+
+
+class LostPointerError(RuntimeError):
+    """Versions exist, but none is marked as current."""
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int
+    schema: T.StructType
+    folders: dict[str, str]  # partition folder name → folder below the root
 
 
-def _fs(spark: SparkSession, root: str):
+def _files(spark: SparkSession, root: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(conf), path, jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    return path(root).getFileSystem(conf), path, jvm, conf
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    fs, path, jvm = _fs(spark, root)
-    p = jvm.org.apache.hadoop.fs.Path(path, POINTER)
-    if not fs.exists(p):
+def _read_text(spark: SparkSession, where: str) -> str | None:
+    fs, path, jvm, _ = _files(spark, where)
+    if not fs.exists(path(where)):
         return None
-    stream = fs.open(p)
+    stream = fs.open(path(where))
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine().strip()
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    v = current_version(spark, root)
-    return None if v is None else spark.read.parquet(f"{root.rstrip('/')}/{v}")
-
-
-def publish(spark: SparkSession, df: DataFrame, root: str, partition_by: tuple[str, ...] = ("DivisionId",)) -> str:
-    """Write ``df`` as the next version under ``root`` and make it current."""
-    fs, path, jvm = _fs(spark, root)
-    prev = current_version(spark, root)
-    n = int(prev.split("=", 1)[1]) + 1 if prev else 1
-    version = f"v={n}"
-    target = f"{root.rstrip('/')}/{version}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target)
-    tmp = jvm.org.apache.hadoop.fs.Path(path, f".{POINTER}.{n}")
-    out = fs.create(tmp, True)
+def _write_text(spark: SparkSession, where: str, text: str) -> None:
+    fs, path, _, _ = _files(spark, where)
+    stream = fs.create(path(where), False)
     try:
-        out.write(bytearray(version.encode("utf-8")))
+        stream.write(bytearray(text.encode("utf-8")))
     finally:
-        out.close()
-    final = jvm.org.apache.hadoop.fs.Path(path, POINTER)
-    if fs.exists(final):
-        fs.delete(final, False)
-    fs.rename(tmp, final)
+        stream.close()
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    fs, path, _, _ = _files(spark, folder)
+    if not fs.exists(path(folder)):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(path(folder)))
+
+
+def _version(spark: SparkSession, root: str, name: str) -> Version:
+    found = json.loads(_read_text(spark, f"{root}/manifests/{name}"))
+    return Version(found["number"], T.StructType.fromJson(found["schema"]), found["folders"])
+
+
+def current(spark: SparkSession, root: str) -> Version | None:
+    """The current version, or None if nothing was ever published."""
+    name = _read_text(spark, f"{root}/{POINTER}")
+    if name is not None:
+        return _version(spark, root, name.strip())
+    if any(n.endswith(".json") for n in _names(spark, f"{root}/manifests")):
+        raise LostPointerError(f"{root}: versions exist, but {POINTER} is missing")
+    return None
+
+
+def partition_folder(value: object) -> str:
+    return f"{PARTITION}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def read_current(
+    spark: SparkSession, root: str, only: Iterable[object] | None = None, without: Iterable[object] = ()
+) -> DataFrame | None:
+    """The current rows, or those of some divisions; None if nothing was ever published."""
+    version = current(spark, root)
+    if version is None:
+        return None
+    wanted = set(version.folders) if only is None else {partition_folder(v) for v in only}
+    wanted -= {partition_folder(v) for v in without}
+    paths = [f"{root}/{f}" for name, f in sorted(version.folders.items()) if name in wanted]
+    if not paths:
+        return spark.createDataFrame([], version.schema)
+    schema = T.StructType([*version.schema.fields, T.StructField("v", T.StringType())])
+    rows = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*paths)
+    return rows.select(*version.schema.names)
+
+
+def publish(spark: SparkSession, df: DataFrame, root: str, touched: Iterable[object] | None = None) -> Version:
+    """Make a new version current: ``df`` replaces the divisions ``touched`` (all, if None);
+    the others stay where they are."""
+    before = current(spark, root)
+    folder = f"data/v={uuid.uuid4().hex}"
+    (
+        df.write.mode("errorifexists").option("partitionOverwriteMode", "static")
+        .partitionBy(PARTITION).parquet(f"{root}/{folder}")
+    )
+    written = {n: f"{folder}/{n}" for n in _names(spark, f"{root}/{folder}") if n.startswith(f"{PARTITION}=")}
+    kept: dict[str, str] = {}
+    if touched is not None and before is not None:
+        replaced = {partition_folder(v) for v in touched}
+        if outside := set(written) - replaced:
+            raise ValueError(f"rows outside the divisions of this load: {sorted(outside)}")
+        kept = {n: f for n, f in before.folders.items() if n not in replaced}
+    version = Version(before.number + 1 if before else 1, df.schema, kept | written)
+    name = f"{version.number:08d}-{uuid.uuid4().hex}.json"
+    text = json.dumps({"number": version.number, "schema": df.schema.jsonValue(), "folders": version.folders})
+    _write_text(spark, f"{root}/manifests/{name}", text)
+    _point_to(spark, root, name)
     return version
+
+
+def _point_to(spark: SparkSession, root: str, name: str) -> None:
+    _, path, jvm, conf = _files(spark, root)
+    fresh = f"{root}/.{POINTER}-{uuid.uuid4().hex}"
+    _write_text(spark, fresh, name)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(root).getFileSystem(conf).getUri(), conf)
+    qualified = lambda p: path(root).getFileSystem(conf).makeQualified(path(p))
+    files.rename(qualified(fresh), qualified(f"{root}/{POINTER}"), options)
+
+
+def retain(spark: SparkSession, root: str, versions: int = 2) -> list[str]:
+    """Remove data folders that none of the latest ``versions`` manifests uses, and the older
+    manifests; returns the removed data folders.  Not for use while a load runs."""
+    fs, path, _, _ = _files(spark, root)
+    names = [n for n in _names(spark, f"{root}/manifests") if n.endswith(".json")]
+    latest = names[-max(1, versions):]
+    pointed = (_read_text(spark, f"{root}/{POINTER}") or "").strip()
+    used = {f.split("/")[1] for n in {*latest, pointed} if n for f in _version(spark, root, n).folders.values()}
+    gone = [n for n in _names(spark, f"{root}/data") if n not in used]
+    for n in gone:
+        fs.delete(path(f"{root}/data/{n}"), True)
+    for n in set(names) - {*latest, pointed}:
+        fs.delete(path(f"{root}/manifests/{n}"), False)
+    return gone

@@ -4,9 +4,9 @@ from slicewright.config import EntityConfig, EntityRule
 from slicewright.operators.dedupe import first_per_key, one_per_key
 from slicewright.operators.entity import entity_dim
 from slicewright.operators.lookups import key_lookup
-from slicewright.operators.merge import (
-    delete_where, key_match, merge_upsert, reclassify, volume_guard,
-)
+import pytest
+
+from slicewright.operators.merge import MergeKey, assert_unique, delete_where, merge_rows, reclassify, volume_guard
 
 
 def test_first_per_key_is_deterministic_across_partitions(spark):
@@ -52,24 +52,51 @@ def test_entity_rules_first_match_and_fallback(spark):
 def _merge(spark, target_rows, source_rows, **kw):
     t = spark.createDataFrame(target_rows, "k int, d int, v int, stamp string")
     s = spark.createDataFrame(source_rows, "k int, d int, v int")
-    m = merge_upsert(t, s, key_match(["k"], **kw), ["v"], ["k", "d", "v"], {"stamp": F.lit("now")})
-    return sorted((tuple(r) for r in m.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[4]))
+    m = merge_rows(t, s, [MergeKey("k")], ["v"], ["k", "d", "v"], {"stamp": F.lit("now")}, **kw)
+    return sorted((tuple(r) for r in m.collect()), key=repr)
 
 
-def test_merge_upsert_actions(spark):
-    got = _merge(spark, [(1, 12, 0, None), (2, 1, 0, None), (None, 12, 0, None)],
-                 [(1, 12, 5), (3, 12, 7), (None, 12, 9)], target_only={"d": 12})
+def test_merge_rows_actions(spark):
+    split = F.col("d") == 12
+    got = _merge(spark, [(1, 12, 0, None), (2, 1, 0, None), (None, 12, 0, None), (4, 12, 0, None)],
+                 [(1, 12, 5), (3, 12, 7), (None, 12, 9), (4, 12, 8)], target_where=split, delete=F.col("k") == 4)
     assert (1, 12, 5, "now", "UPDATE") in got
     assert (2, 1, 0, None, "KEEP") in got          # outside the slice: kept
     assert (3, 12, 7, None, "INSERT") in got
     assert (None, 12, 0, None, "KEEP") in got and (None, 12, 9, None, "INSERT") in got  # null keys never match
-    again = _merge(spark, [r[:4] for r in got], [(1, 12, 5), (3, 12, 7)], target_only={"d": 12})
+    assert (4, 12, 0, None, "DELETE") in got and (4, 12, 8, None, "INSERT") in got  # a deleted row can't match
+    assert len(got) == 7
+    again = _merge(spark, [r[:4] for r in got if r[4] != "DELETE"], [(1, 12, 5), (3, 12, 7)], target_where=split)
     assert sum(1 for r in again if r[4] == "INSERT") == 0  # second run inserts nothing
 
 
 def test_target_only_condition_is_not_a_filter(spark):
-    got = _merge(spark, [(1, 1, 0, None)], [(1, 12, 5)], target_only={"d": 12})
-    assert (1, 1, 0, None, "KEEP") in got and (1, 12, 5, None, "INSERT") in got
+    got = _merge(spark, [(1, 1, 0, None), (1, None, 0, None)], [(1, 12, 5)], target_where=F.col("d") == 12)
+    assert (1, 1, 0, None, "KEEP") in [r for r in got if r[1]] and (1, 12, 5, None, "INSERT") in got and len(got) == 3
+
+
+def test_null_stand_ins_match_and_count_as_one_key(spark):
+    schema = "k int, line int, v int"
+    t = spark.createDataFrame([(1, None, 0), (2, 0, 0)], schema)
+    s = spark.createDataFrame([(1, 0, 5), (2, None, 6)], schema)
+    keys = [MergeKey("k"), MergeKey("line", F.lit(0))]
+    got = {(r["k"], r["v"], r["MergeAction"]) for r in merge_rows(t, s, keys, ["v"], ["k", "line", "v"]).collect()}
+    assert got == {(1, 5, "UPDATE"), (2, 6, "UPDATE")}
+    with pytest.raises(ValueError):
+        assert_unique(spark.createDataFrame([(1, None, 0), (1, 0, 1)], schema), keys)
+    assert_unique(spark.createDataFrame([(None, 1, 0), (None, 1, 1), (1, 2, 0)], schema), keys)  # null keys insert each
+
+
+def test_rows_that_cannot_match_are_spread(spark):
+    t = spark.createDataFrame([(None, 12, i, None) for i in range(2000)], "k int, d int, v int, stamp string").repartition(4)
+    s = spark.createDataFrame([(None, 12, i) for i in range(2000)], "k int, d int, v int").repartition(4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        merged = merge_rows(t, s, [MergeKey("k")], ["v"], ["k", "d", "v"])
+        sizes = [r["count"] for r in merged.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 4000 and max(sizes) < 1000  # 8 partitions
 
 
 def test_delete_where_keeps_null(spark):
@@ -156,17 +183,6 @@ def test_receipt_totals_edge_factors(spark):
     assert got["PO-2"]["PartId"] == -1
 
 
-def test_merge_null_keys_bypass_the_join(spark):
-    from pyspark.sql import functions as F
-
-    t = spark.createDataFrame([(1, 12, 0, None), (None, 12, 0, None), (None, 12, 1, None)], "k int, d int, v int, stamp string")
-    s = spark.createDataFrame([(1, 12, 5), (None, 12, 9)], "k int, d int, v int")
-    m = merge_upsert(t, s, key_match(["k"]), ["v"], ["k", "d", "v"], {"stamp": F.lit("now")}, null_never_matches=["k"])
-    got = sorted((tuple(r) for r in m.collect()), key=repr)
-    assert got == sorted([(1, 12, 5, "now", "UPDATE"), (None, 12, 0, None, "KEEP"), (None, 12, 1, None, "KEEP"),
-                          (None, 12, 9, None, "INSERT")], key=repr)
-
-
 def test_lookup_chain_uses_earlier_outputs(spark):
     from pyspark.sql import functions as F
 
@@ -184,16 +200,19 @@ def test_lookup_chain_uses_earlier_outputs(spark):
     assert got == {1: (100, "A"), 2: (-1, None), 3: (-1, None)}  # lowest id wins, no fan-out
 
 
-def test_snapshot_versions_and_partitions(spark):
-    import os
-    import tempfile
+def test_age_bands_of_any_width(spark):
+    from slicewright.plans.inventory import age_band_by_month
+
+    bands = [(1, 0, 12), (2, 10, 20), (5, 21, 2147483647), (6, None, 30), (7, 30, None), (8, None, None), (9, 40, 35)]
+    ages = spark.createDataFrame(bands, "AgeId int, MinMonth int, MaxMonth int")
+    months = spark.createDataFrame([(m,) for m in (-5, 0, 11, 15, 21, 30, 99_999_999, None)], "__age_m int")
+    got = {r[0]: r[1] for r in age_band_by_month(ages, months).collect()}
+    assert got == {0: 1, 11: 1, 15: 2, 21: 5, 30: 5, 99_999_999: 5}  # lowest id wins; a null bound holds nothing
+
 
-    from slicewright.sources import snapshot
+def test_trailing_blanks_do_not_count(spark):
+    from slicewright.functions import exprs as X
 
-    root = tempfile.mkdtemp(prefix="snap-")
-    df = spark.createDataFrame([(1, 12), (2, 1)], "k int, DivisionId int")
-    assert snapshot.publish(spark, df, root) == "v=1"
-    assert snapshot.publish(spark, df.filter("k = 1"), root) == "v=2"
-    names = sorted(n for n in os.listdir(os.path.join(root, "v=1")) if n.startswith("DivisionId="))
-    assert names == ["DivisionId=1", "DivisionId=12"]  # partitioned by division
-    assert snapshot.read_current(spark, root).count() == 1 and snapshot.current_version(spark, root) == "v=2"
+    rows = spark.createDataFrame([("T ", "SHANGHAI  ", 2, 1), ("t", " SHANGHAI", 2, 1), (None, None, 2, 1)], "f string, w string, o int, d int")
+    got = [tuple(r) for r in rows.select(X.letter_flag("f"), X.region_label("w"), X.open_flag("f", "o", "d")).collect()]
+    assert got == [(True, "China", True), (False, " SHANGHAI", False), (False, None, False)]

@@ -56,4 +56,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from slicewright.oracle import oracle_sql
+    from slicewright.registry import queries
+
+    assert set(queries()) == set(oracle_sql())

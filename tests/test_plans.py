@@ -14,7 +14,7 @@ def plan_text(df) -> str:
 
 @pytest.mark.parametrize("key", ["sales_order_slice_split", "invoice_slice_us", "inventory_slice_split",
                                  "purchase_order_slice_split", "receipt_slice_split", "shipment_slice_split",
-                                 "load_sales_order", "load_receipts_guard_blocked"])
+                                 "load_sales_order", "load_receipts_guard_blocked", "age_band"])
 def test_no_pairwise_joins(spark, tables, key):
     text = plan_text(JOBS[key](spark, tables))
     assert "CartesianProduct" not in text
@@ -71,3 +71,11 @@ def test_hot_key_dedupe(spark):
     out = first_per_key(df, ["k"], order=[F.col("v").desc()], rn_name=None)
     got = dict((r["k"], r["v"]) for r in out.collect())
     assert got[0] == 2999 and len(got) == 6001
+
+
+def test_building_a_plan_runs_no_job(spark, tables):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    for key in ("entity_dim", "sales_order_slice_split", "invoice_slice_us", "inventory_slice_split", "reclassify_invoice"):
+        JOBS[key](spark, tables)
+    assert len(tracker.getJobIdsForGroup(None)) == before
