@@ -31,7 +31,7 @@ class EntityRule:
 
 # --- fixed values ----------------------------------------------------------------
 # Split-unit departments: 106, 107, 108, 109, 110, 111, 112, 113, 114 (division 12).
-# Division ids per entity: US 1, AHE 7, China 9, split unit 12, UK 23, APAC 24, EMEA 25.
+# Division ids per entity: US 1, Seventh 7 (query key ahe), China 9, split unit 12, UK 23, APAC 24, EMEA 25.
 # Load-time constants: receipt volume guard 0.8 of the rows already at the target,
 # quantity-outlier threshold 290000 units, dimension scope division 1, default key -1,
 # date floor: dates before 1000-01-01 become 1900-01-01, null receipt date matches
@@ -58,7 +58,7 @@ DEFAULT_RULES: tuple[EntityRule, ...] = (
     EntityRule("APAC", 24, company="PARENT, LLC", division="APAC"),
     EntityRule("China", 9, company="CHINA CO"),
     EntityRule("US", 1, company="PARENT, LLC"),
-    EntityRule("AHE", 7, company="AHE INC"),
+    EntityRule("Seventh", 7, company="SEVENTH CO"),
 )
 # Company whose unlabelled departments still count as the base division.
 DEFAULT_FALLBACK_COMPANY: str | None = "PARENT, LLC"

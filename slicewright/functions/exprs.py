@@ -42,6 +42,12 @@ def money_quotient(a: str | Column, b: str | Column) -> Column:
     return F.try_divide(col(a), col(b)).cast(MONEY)
 
 
+def checked_divisor(c: str | Column, strict: bool) -> Column:
+    """The divisor; with ``strict`` a zero raises instead of giving null quotients."""
+    c = col(c)
+    return F.when(c == 0, F.raise_error(F.lit("zero unit-of-measure factor"))).otherwise(c) if strict else c
+
+
 def as_float(c: str | Column) -> Column:
     return col(c).cast("double")
 

@@ -15,8 +15,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_bounded(df: DataFrame, bound: DataFrame) -> DataFrame:
-    """Broadcast ``df`` if ``bound``, a relation that is at least as large, is estimated
-    below the session's broadcast threshold."""
+def is_bounded(df: DataFrame) -> bool:
+    """Whether ``df`` is estimated below the session's broadcast threshold."""
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return F.broadcast(df) if 0 <= estimated_bytes(bound) <= threshold else df
+    return 0 <= estimated_bytes(df) <= threshold
+
+
+def broadcast_if_bounded(df: DataFrame, bound: DataFrame) -> DataFrame:
+    """Broadcast ``df`` if ``bound``, a relation that is at least as large, is bounded."""
+    return F.broadcast(df) if is_bounded(bound) else df

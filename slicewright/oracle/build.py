@@ -16,7 +16,7 @@ from slicewright.oracle.loads import (
     run_log_failed_sql,
     run_log_sql,
 )
-from slicewright.oracle.purchasing import purchase_order_sql, receipt_sql
+from slicewright.oracle.purchasing import purchase_order_sql, receipt_sql, zero_factors_sql
 from slicewright.oracle.sales_order import sales_order_sql
 from slicewright.oracle.units import unit_sql
 from slicewright.plans.units import UNITS
@@ -38,6 +38,8 @@ ORACLES["quote_slice_split"] = quote_sql
 ORACLES["shipment_slice_split"] = shipment_sql
 ORACLES["purchase_order_slice_split"] = purchase_order_sql
 ORACLES["receipt_slice_split"] = receipt_sql
+ORACLES["receipt_slice_by_order"] = lambda: receipt_sql(by_order=True)
+ORACLES["zero_factors"] = zero_factors_sql
 for _k in ("sales_order", "invoice", "inventory", "purchase_order", "shipment", "receipts"):
     ORACLES[f"load_{_k}"] = (lambda k=_k: load_sql(k))
     ORACLES[f"load_counts_{_k}"] = (lambda k=_k: load_counts_sql(k))

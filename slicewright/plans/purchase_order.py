@@ -46,7 +46,10 @@ def purchase_order_slice(
     tables: Mapping[str, DataFrame],
     cfg: EntityConfig = EntityConfig(),
     division_id: int = SPLIT_DIVISION,
+    strict: bool = False,
 ) -> DataFrame:
+    """The slice; with ``strict`` a zero factor fails it, else its unit cost is null (see
+    :func:`zero_factors` for their number)."""
     entity = entity_by_department(tables, cfg)
     raw = tables["stg_po_detail"]
     po = first_per_key(raw, list(KEYS), tiebreak=[c for c in raw.columns if c not in KEYS], rn_name="rn")
@@ -92,7 +95,7 @@ def purchase_order_slice(
         F.col("QTY_ORDERED").alias("QtyOrdered"),
         F.col("QTY_REC").alias("QtyReceived"),
         X.as_float(F.col("QTY_ORDERED") * F.col("FACTOR") - F.col("QTY_REC")).alias("QtyOpen"),
-        X.money_quotient("UNIT_COST", "FACTOR").alias("UnitCost"),
+        X.money_quotient("UNIT_COST", X.checked_divisor("FACTOR", strict)).alias("UnitCost"),
         X.money_product("UNIT_COST", "QTY_ORDERED").alias("LineCost"),
         X.money("VENDOR_PRICE").alias("VendorPrice"),
         X.letter_flag("OPEN_FLAG").alias("IsOpen"),
@@ -105,3 +108,10 @@ def purchase_order_slice(
         X.region_label("__wh_code").alias("warehouse"),
         F.col("rn").cast("int").alias("rn"),
     )
+
+
+def zero_factors(tables: Mapping[str, DataFrame], cfg: EntityConfig = EntityConfig()) -> DataFrame:
+    """Order lines per division whose factor is zero: their unit cost can't be computed."""
+    lines = classify(tables["stg_po_detail"], entity_by_department(tables, cfg), "DPT_AUTO_KEY", "DivisionId")
+    zero = F.sum(F.when(F.col("FACTOR") == 0, 1).otherwise(0))
+    return lines.groupBy("DivisionId").agg(F.count(F.lit(1)).alias("Lines"), zero.cast("bigint").alias("ZeroFactors"))

@@ -37,8 +37,11 @@ def exact_float(c: Column) -> Column:
     return c.cast("string").cast("double")
 
 
-def receipt_totals(tables: Mapping[str, DataFrame], run: RunContext = RunContext()) -> DataFrame:
-    """Received quantity and value per group, every division (before the dedupe)."""
+def receipt_totals(
+    tables: Mapping[str, DataFrame], run: RunContext = RunContext(), strict: bool = False
+) -> DataFrame:
+    """Received quantity and value per group, every division (before the dedupe).  With
+    ``strict`` an outlier with factor zero raises, else its quantity is null."""
     rc = tables["stg_rc_detail"].select("RCD_AUTO_KEY", "RCH_AUTO_KEY", "POD_AUTO_KEY", "ITEM_NUMBER")
     hdr = tables["stg_rc_header"].select("RCH_AUTO_KEY", "SYSCM_AUTO_KEY", F.col("CMP_AUTO_KEY").alias("__rc_cmp"))
     stock = tables["stg_stock"].select(
@@ -70,7 +73,7 @@ def receipt_totals(tables: Mapping[str, DataFrame], run: RunContext = RunContext
     by_factor = (F.col("UOM_AUTO_KEY") == UOM_BY_FACTOR) & (F.col("FACTOR") != 0)
     unit_cost = F.when(by_factor, X.money_quotient("UNIT_COST", "FACTOR")).otherwise(X.money("UNIT_COST"))
     outlier = (F.col("QTY_REC") >= QTY_OUTLIER_THRESHOLD) & (F.col("FACTOR") != 1)
-    qty = F.when(outlier, F.try_divide("QTY_REC", "FACTOR").cast("decimal(38,6)")).otherwise(F.col("QTY_REC"))
+    qty = F.when(outlier, F.try_divide(F.col("QTY_REC"), X.checked_divisor("FACTOR", strict)).cast("decimal(38,6)")).otherwise(F.col("QTY_REC"))
     value = F.when(
         by_factor, F.try_divide(F.col("QTY_REC") * F.col("UNIT_COST"), F.col("FACTOR")).cast("decimal(38,6)")
     ).otherwise(F.col("QTY_REC") * F.col("UNIT_COST"))
@@ -103,9 +106,14 @@ def receipt_slice(
     cfg: EntityConfig = EntityConfig(),
     run: RunContext = RunContext(),
     division_id: int = SPLIT_DIVISION,
+    by_order: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
-    overall = receipt_totals(tables, run)
-    ranked = first_per_key(overall, ["VendorId", "PartId", "LineNumber"], tiebreak=list(TIEBREAK), rn_name="rn")
+    """One receipt per vendor, part and line; with ``by_order`` per PO number too, so that
+    two orders with one line number keep a receipt each."""
+    overall = receipt_totals(tables, run, strict)
+    keys = ["VendorId", "PartId", "LineNumber", *(["PONumber"] if by_order else [])]
+    ranked = first_per_key(overall, keys, tiebreak=[c for c in TIEBREAK if c not in keys], rn_name="rn")
     entity = entity_by_department(tables, cfg).select(
         F.col("DPT_AUTO_KEY").alias("__e_dpt"), F.col("DivisionId").alias("DivisionId")
     )

@@ -28,6 +28,7 @@ from slicewright.config import (
     EntityConfig,
 )
 from slicewright.functions import exprs as X
+from slicewright.operators.broadcast import is_bounded
 from slicewright.operators.dedupe import first_per_key, one_per_key
 from slicewright.operators.entity import classify, entity_by_department
 from slicewright.operators.lookups import Lookups, lookup, scoped
@@ -53,9 +54,10 @@ OUTPUT_COLUMNS = (
 )
 
 
-def latest_lines(detail: DataFrame) -> DataFrame:
-    """Latest import per (header, line) key; ``rownum`` kept (= 1)."""
-    tiebreak = [c for c in detail.columns if c not in DETAIL_KEYS and c != "ETLImportDate"]
+def latest_lines(detail: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Latest import per (header, line) key; ``rownum`` kept (= 1).  Ties are broken by the
+    detail's ``columns`` (all, by default)."""
+    tiebreak = [c for c in columns or detail.columns if c not in DETAIL_KEYS and c != "ETLImportDate"]
     return first_per_key(
         detail,
         list(DETAIL_KEYS),
@@ -100,9 +102,16 @@ def sales_order_slice(
     sl = SLICES[sl] if isinstance(sl, str) else sl
     entity = entity_by_department(tables, cfg)
 
-    so = latest_lines(tables["stg_so_detail"])
+    detail = tables["stg_so_detail"]
     h = headers_in_division(tables, entity, sl.division_id)
-    so = so.join(h, so["SOH_AUTO_KEY"] == h["__h_soh"], "inner").drop("__h_soh")
+    if is_bounded(tables["stg_so_header"]):
+        # the header decides the division and is in the dedupe key: other divisions' lines go
+        # before the sort, in the scan's stage, and the partial limit stays
+        so = detail.join(F.broadcast(h), detail["SOH_AUTO_KEY"] == h["__h_soh"])
+        so = latest_lines(so, detail.columns).drop("__h_soh")
+    else:
+        so = latest_lines(detail)
+        so = so.join(h, so["SOH_AUTO_KEY"] == h["__h_soh"]).drop("__h_soh")
 
     lk = Lookups(so)
     lk.key(tables["d_customer"], "CMP_AUTO_KEY", "CustomerId")

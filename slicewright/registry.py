@@ -19,7 +19,7 @@ from slicewright.operators.merge import ACTION, DELETE, KEEP
 from slicewright.plans.inventory import inventory_slice
 from slicewright.plans.invoice import invoice_slice
 from slicewright.plans.loads import SPECS, LoadScope, blocked_receipt_target, merge_plan, seed_target
-from slicewright.plans.purchase_order import purchase_order_slice
+from slicewright.plans.purchase_order import purchase_order_slice, zero_factors
 from slicewright.plans.quote import quote_slice
 from slicewright.plans.receipts import receipt_slice
 from slicewright.plans.reclassify import FACT_TABLES, reclassify_fact, with_split_flag
@@ -46,6 +46,8 @@ JOBS["quote_slice_split"] = lambda spark, t: quote_slice(t)
 JOBS["shipment_slice_split"] = lambda spark, t: shipment_slice(t)
 JOBS["purchase_order_slice_split"] = lambda spark, t: purchase_order_slice(t)
 JOBS["receipt_slice_split"] = lambda spark, t: receipt_slice(t)
+JOBS["receipt_slice_by_order"] = lambda spark, t: receipt_slice(t, by_order=True)
+JOBS["zero_factors"] = lambda spark, t: zero_factors(t)
 
 
 class LoadRun:

@@ -19,6 +19,12 @@ from slicewright.sources.fixture_sql import BY_NAME, LI_SQL
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the store that Spark reads it from."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def spark_type(t: str) -> str:
     """Fixture type name → Spark SQL type (all timestamps are zone-less)."""
     return "timestamp_ntz" if t in ("timestamp", "timestamp_ntz") else t
@@ -60,10 +66,8 @@ class Tables(Mapping[str, DataFrame]):
 
         def reader(n: str) -> Callable[[], DataFrame]:
             def read() -> DataFrame:
-                p = os.path.join(root, n)
-                if not os.path.exists(p) and os.path.exists(p + ".parquet"):
-                    p = p + ".parquet"
-                return spark.read.parquet(p)
+                p = f"{root.rstrip('/')}/{n}"
+                return spark.read.parquet(p if path_exists(spark, p) else f"{p}.parquet")
 
             return read
 

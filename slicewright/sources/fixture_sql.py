@@ -38,7 +38,7 @@ FIXTURES: tuple[Fixture, ...] = (
             ('company_name', 'string'),
         ),
         (
-            "select * from (values (0,'PARENT, LLC'),(1,'PARENT, LTD'),(2,'CHINA CO'),(3,'AHE INC'),(9,'UNUSED')) "
+            "select * from (values (0,'PARENT, LLC'),(1,'PARENT, LTD'),(2,'CHINA CO'),(3,'SEVENTH CO'),(9,'UNUSED')) "
             't(SYSCM_AUTO_KEY, company_name)'
         ),
     ),

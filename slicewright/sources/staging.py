@@ -2,8 +2,7 @@
 
 Production jobs read staging and warehouse tables that already exist; the test
 inputs are derived from the TPC-H-style tables instead.  Staging them writes each
-relation once under the session's checkpoint folder (never a machine-local temp
-dir) and returns a catalog over the written tables, so repeated jobs (bench, load
+relation once under the session's shared checkpoint folder and returns a catalog over the written tables, so repeated jobs (bench, load
 runs) read plain Parquet scans.
 """
 
@@ -15,7 +14,7 @@ import os
 from pyspark.sql import SparkSession
 
 from slicewright.session import scratch_path
-from slicewright.sources.catalog import Tables, fixture_tables
+from slicewright.sources.catalog import Tables, fixture_tables, path_exists
 from slicewright.sources.fixture_sql import BY_NAME
 
 
@@ -27,11 +26,11 @@ MAX_RECORDS_PER_FILE = 50_000
 def stage_fixtures(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> Tables:
     names = list(names or BY_NAME)
     tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
-    root = scratch_path(spark, "staged-v2", tag)
+    root = scratch_path(spark, "staged-v3", tag)
     src = fixture_tables(spark, sf_dir)
     for n in names:
-        path = os.path.join(root, n)
-        if not os.path.exists(os.path.join(path, "_SUCCESS")):
+        path = f"{root}/{n}"
+        if not path_exists(spark, f"{path}/_SUCCESS"):
             (src[n].write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
              .parquet(path))
     return Tables.from_parquet(spark, root, names)

@@ -216,3 +216,16 @@ def test_trailing_blanks_do_not_count(spark):
     rows = spark.createDataFrame([("T ", "SHANGHAI  ", 2, 1), ("t", " SHANGHAI", 2, 1), (None, None, 2, 1)], "f string, w string, o int, d int")
     got = [tuple(r) for r in rows.select(X.letter_flag("f"), X.region_label("w"), X.open_flag("f", "o", "d")).collect()]
     assert got == [(True, "China", True), (False, " SHANGHAI", False), (False, None, False)]
+
+
+def test_zero_factors_are_counted_and_strict_mode_raises(spark, tables):
+    from slicewright.plans.purchase_order import purchase_order_slice, zero_factors
+
+    po = tables["stg_po_detail"]
+    spoiled = tables.with_table("stg_po_detail", po.withColumn("FACTOR", F.when(F.col("DPT_AUTO_KEY") == 106, F.lit(0)).otherwise(F.col("FACTOR")).cast(po.schema["FACTOR"].dataType)))
+    of_106 = po.filter("DPT_AUTO_KEY = 106").count()
+    counts = {r["DivisionId"]: r["ZeroFactors"] for r in zero_factors(spoiled).collect()}
+    assert counts[12] >= of_106 > 0
+    assert purchase_order_slice(spoiled).filter("DPT_AUTO_KEY = 106 AND UnitCost IS NOT NULL").count() == 0
+    with pytest.raises(Exception, match="zero unit-of-measure factor"):
+        purchase_order_slice(spoiled, strict=True).collect()
