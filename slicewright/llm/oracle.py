@@ -26,4 +26,67 @@ SELECT n.page_id, n.host, n.path, h.rule, coalesce(h.verdict, 'allow') AS verdic
 FROM numbered n LEFT JOIN hits h ON h.row_no = n.row_no AND h.place = 1
 """
 
-ORACLE: dict[str, str] = {"op7_url_filter": _OP7}
+_OP2 = """
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+word AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM split),
+windows AS (
+  SELECT doc_id, pos, array_to_string(w[pos:pos + 12], ' ') AS seen
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS pos FROM split WHERE len(w) >= 13)),
+owned AS (
+  SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY seen) < doc_id AS again FROM windows),
+marked AS (
+  SELECT word.doc_id, word.pos, word.word,
+         max(CASE WHEN owned.again THEN 1 ELSE 0 END)
+           OVER (PARTITION BY word.doc_id ORDER BY word.pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) = 1 AS gone
+  FROM word LEFT JOIN owned ON owned.doc_id = word.doc_id AND owned.pos = word.pos),
+told AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone) AS kept
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(t.n_words, 0) AS n_words, coalesce(t.n_removed, 0) AS n_removed,
+       sha256(coalesce(t.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN told t ON t.doc_id = d.doc_id
+"""
+
+_OP3 = """
+WITH turns AS (
+  SELECT conv_id, floor(conv_id / 2) AS pair_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+pairs AS (
+  SELECT CAST(pair_id AS BIGINT) AS pair_id, min(conv_id) AS chosen_id, max(conv_id) AS rejected_id
+  FROM turns GROUP BY pair_id HAVING min(conv_id) < max(conv_id)),
+differing AS (
+  SELECT p.pair_id, min(coalesce(c.place, r.place)) AS place
+  FROM (SELECT p.pair_id, t.* EXCLUDE (pair_id) FROM pairs p JOIN turns t ON t.conv_id = p.chosen_id) c
+  FULL OUTER JOIN (SELECT p.pair_id, t.* EXCLUDE (pair_id) FROM pairs p JOIN turns t ON t.conv_id = p.rejected_id) r
+    ON r.pair_id = c.pair_id AND r.place = c.place AND r.role = c.role AND r.text = c.text
+  JOIN pairs p ON p.pair_id = coalesce(c.pair_id, r.pair_id)
+  WHERE c.pair_id IS NULL OR r.pair_id IS NULL GROUP BY p.pair_id),
+sized AS (
+  SELECT p.*, CAST(coalesce(d.place - 1, (SELECT count(*) FROM turns t WHERE t.conv_id = p.chosen_id)) AS INTEGER) AS prefix_turns
+  FROM pairs p LEFT JOIN differing d ON d.pair_id = p.pair_id),
+rendered AS (
+  SELECT conv_id, place, '<|' || role || '|>\n' AS head, text || '<|end|>\n' AS body, role = 'assistant' AS trained FROM turns),
+told AS (
+  SELECT s.pair_id, r.conv_id,
+         string_agg(head || body, '' ORDER BY place) FILTER (WHERE place <= prefix_turns) AS before,
+         string_agg(head || body, '' ORDER BY place) FILTER (WHERE place > prefix_turns) AS after,
+         string_agg('0*' || length(head) || CASE WHEN trained THEN ',1*' ELSE ',0*' END || length(body), ',' ORDER BY place)
+           FILTER (WHERE place > prefix_turns) AS mask
+  FROM sized s JOIN rendered r ON r.conv_id IN (s.chosen_id, s.rejected_id) GROUP BY s.pair_id, r.conv_id)
+SELECT s.pair_id, s.chosen_id, s.rejected_id, s.prefix_turns, coalesce(c.before, '') AS prompt,
+       coalesce(c.after, '') AS chosen, coalesce(r.after, '') AS rejected,
+       coalesce(c.mask, '') AS chosen_mask, coalesce(r.mask, '') AS rejected_mask
+FROM sized s JOIN told c ON c.pair_id = s.pair_id AND c.conv_id = s.chosen_id
+JOIN told r ON r.pair_id = s.pair_id AND r.conv_id = s.rejected_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_substring_dedup": _OP2,
+    "op3_preference_format": _OP3,
+    "op7_url_filter": _OP7,
+}
