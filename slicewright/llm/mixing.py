@@ -115,7 +115,8 @@ def posteriors(docs: DataFrame, model: Classifier, key: str = "doc_id", text: st
     words = rows.select("key", "text_hash", "n_tokens", F.posexplode_outer("tokens").alias("pos", "word"))
     # a token that is a feature, and each row's first, which also stands for the document
     begins = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    met = words.join(model.features, "word", "left").filter(F.col("add").isNotNull() | begins)
+    # (MAX_FEATURES rows at most, whatever the corpus)
+    met = words.join(F.broadcast(model.features), "word", "left").filter(F.col("add").isNotNull() | begins)
     present = met.groupBy("key", "text_hash", "n_tokens", F.when(F.col("add").isNotNull(), F.col("word")).alias("word")).agg(
         F.first("add").alias("add"), F.sum(begins.cast("long")).alias("copies")
     )
