@@ -186,3 +186,22 @@ def address(a2: str, a3: str, a4: str, a5: str) -> tuple[str, str]:
 def long_term_flag(e: str) -> str:
     h = f"substring({e}, 1, 3)"
     return f"COALESCE({h} LIKE '%L%' AND length(rtrim({h})) = 3, FALSE)"
+
+
+#: The run clock of the test runs.
+RUN_TS = "TIMESTAMP '2002-01-01 00:00:00'"
+#: Departments of the split unit's division.
+UNIT = "SELECT DPT_AUTO_KEY FROM ent1 WHERE DivisionId = 12"
+
+
+def surrogate(dim: str, value: str, column: str, native: str = "NativeId", also: str = "") -> str:
+    """The base division's surrogate key of a native key, or -1."""
+    return (f"COALESCE((SELECT MIN(x.{column}) FROM {dim} x WHERE x.DivisionId = 1 AND x.{native} = {value}{also}), -1)")
+
+
+def one_per(keys: str, order: str) -> str:
+    return f"QUALIFY ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY {order}) = 1"
+
+
+def nulls_first(columns, without=()) -> str:
+    return ", ".join(f'"{c}" NULLS FIRST' for c in columns if c not in without)

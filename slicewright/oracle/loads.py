@@ -6,7 +6,7 @@ from slicewright.config import SPLIT_DIVISION
 from slicewright.oracle.common import entity_ctes, sql_str, with_fixtures
 from slicewright.oracle.purchasing import purchase_order_sql, receipt_sql
 from slicewright.oracle.sales_order import sales_order_sql
-from slicewright.oracle.slices import RUN_TS, invoice_sql, inventory_sql, quote_sql, shipment_sql
+from slicewright.oracle.slices import RUN_TS, inventory_sql, invoice_sql, quote_sql, shipment_sql
 from slicewright.plans.loads import FLAG, SPECS, STAMP
 
 SLICE_PARTS = {
