@@ -16,9 +16,10 @@ drawn from a seed; both are matrices bounded by parameters.
 
 Defined results
   null, zero and non-finite vectors, and those whose length isn't the most common one, take
-  no part, as queries or as rows; ties go to the smaller id; repeated ids are separate rows
-  (a query finds its own id under no circumstances); null ids take no part; fewer candidates
-  than asked for: all that the probed lists have; empty table: empty result.
+  no part, as queries or as rows; ties go to the smaller id; an id that several rows have is
+  listed once, with its best score, and is one query; a query never finds its own id; null
+  ids take no part; fewer candidates than asked for: all that the probed lists have; empty
+  table: empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -221,6 +222,7 @@ def search(
         return pa.table([pa.array(columns[0].astype(np.int64)), pa.array(columns[1].astype(np.int64)), pa.array(columns[2].astype(float))], ["query_id", key, "score"])
 
     hits = seekers.groupBy("list", "part", "query_part").cogroup(sought.groupBy("in_list", "in_part", "for_part")).applyInArrow(scan, found)
+    hits = hits.groupBy("query_id", key).agg(F.max("score").alias("score"))  # repeated ids
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
     return (
         hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest)

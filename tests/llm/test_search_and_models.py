@@ -71,6 +71,16 @@ def test_copies_tie_to_the_smaller_id_and_long_lists_are_cut(spark, monkeypatch)
         assert [i for i, _ in found[q]] == [i for i, _ in expected[q]]
 
 
+def test_repeated_rows_are_listed_once(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((60, 6))
+    table = vectors(spark, x)
+    once, twice = got(ann.search(table, F.col("id") % 20 == 0)), got(ann.search(table.union(table), F.col("id") % 20 == 0))
+    for q, found in twice.items():
+        ids = [i for i, _ in found]
+        assert len(ids) == len(set(ids)) == len(once[q]) == 20 and q not in ids
+
+
 def test_few_rows_give_all_and_none_give_none(spark):
     x = np.eye(4)[:3]
     assert {q: [i for i, _ in v] for q, v in got(ann.search(vectors(spark, x), F.col("id") >= 0)).items()} == {0: [1, 2], 1: [0, 2], 2: [0, 1]}
