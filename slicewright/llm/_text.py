@@ -16,7 +16,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text that are looked at together: bounds the working memory of a task.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD1342543DE82EF95
 

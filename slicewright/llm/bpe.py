@@ -37,7 +37,7 @@ from slicewright.llm._text import slices, utf8
 CHUNK = 32_768
 OVERLAP = 1_024
 #: Segments remembered by a worker, and the longest that is.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 100_000, 64
 #: White space as the splitting patterns understand it (Unicode White_Space; fixed values).
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 SEGMENT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")

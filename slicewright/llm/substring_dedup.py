@@ -73,9 +73,10 @@ class _Parse:
         new = np.ones(len(at), bool)
         new[1:] = place[1:] != place[:-1]
         first = np.flatnonzero(new)
-        self.phrase_of = np.cumsum(new) - 1
+        self.phrase_of = (np.cumsum(new) - 1).astype(np.int32)
         start, end = at[first], at[np.append(first[1:], len(at)) - 1] + window if len(at) else at
         form = ((end - start) * 64 + place[first] - start).astype(U64)
+        del runs, place, new
         self.phrase = mix(gram_hash(w.hash, start, end) ^ mix(form + U64(1))) | U64(1)
         self.owner = self.keys[w.row[start]]
         anchors = mix(least[first])  # least hashes crowd at the low end; spread them again
@@ -193,43 +194,42 @@ def _runs(mask: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begins, ends
 
 
-def _cut_text(data: bytes, start: list[int], end: list[int], gone: list[tuple[int, int]], a: int, b: int, joined: bool, low: int, high: int) -> str:
-    """A row's text without the words of the spans ``gone``."""
+def _cut_text(text: bytes, start: list[int], end: list[int], gone: list[tuple[int, int]], joined: bool) -> bytes:
+    """A text without the words of the spans ``gone``; start and end are its words' places."""
+    parts, at = [], 0
     if joined:
-        keep, at = [], a
-        for s, e in [*gone, (b, b)]:
-            keep += [data[start[i] : end[i]] for i in range(at, s)]
+        for s, e in [*gone, (len(start), len(start))]:
+            parts += [text[start[i] : end[i]] for i in range(at, s)]
             at = e
-        return b" ".join(keep).decode("utf-8", "replace")
-    parts, at = [], low
+        return b" ".join(parts)
     for s, e in gone:
-        parts.append(data[at : start[s]])
-        at = start[e] if e < b else high
-    return b"".join([*parts, data[at:high]]).decode("utf-8", "replace")
+        parts.append(text[at : start[s]])
+        at = start[e] if e < len(start) else len(text)
+    return b"".join([*parts, text[at:]])
 
 
 def _cleaned(p: _Parse, found: np.ndarray, joined: bool) -> tuple[np.ndarray, list[list[dict]], list[str]]:
     w, n = p.words, len(p.words.hash)
-    depth = np.zeros(n + 1, np.int64)
+    depth = np.zeros(n + 1, np.int32)
     np.add.at(depth, p.at[found], 1)
     np.add.at(depth, p.at[found] + p.window, -1)
     covered = np.cumsum(depth[:-1]) > 0
     removed = np.add.reduceat(np.append(covered, False).astype(np.int64), w.first[:-1]) * (w.count > 0) if len(w.first) > 1 else np.empty(0, np.int64)
     begins, ends = _runs(covered, w.first)
-    rows = w.row[begins] if len(begins) else np.empty(0, np.int64)
     by_row: dict[int, list[tuple[int, int]]] = {}
-    for r, s, e in zip(rows.tolist(), begins.tolist(), ends.tolist()):
+    for r, s, e in zip((w.row[begins] if len(begins) else begins).tolist(), begins.tolist(), ends.tolist()):
         by_row.setdefault(r, []).append((s, e))
-    data, start, end = p.data.tobytes(), w.start.tolist(), w.end.tolist()
-    first, at = w.first.tolist(), p.offsets.tolist()
     spans, texts = [], []
-    for r in range(len(at) - 1):
-        gone = by_row.get(r, [])
-        spans.append([{"first": s - first[r], "last": e - 1 - first[r]} for s, e in gone])
-        if not gone and joined:
-            texts.append(b" ".join(data[at[r] : at[r + 1]].split()).decode("utf-8", "replace"))
-        else:
-            texts.append(_cut_text(data, start, end, gone, first[r], first[r + 1], joined, at[r], at[r + 1]))
+    for r in range(len(p.offsets) - 1):
+        text = p.data[p.offsets[r] : p.offsets[r + 1]].tobytes()
+        a, b = int(w.first[r]), int(w.first[r + 1])
+        gone = [(s - a, e - a) for s, e in by_row.get(r, [])]
+        spans.append([{"first": s, "last": e - 1} for s, e in gone])
+        if gone:
+            text = _cut_text(text, (w.start[a:b] - p.offsets[r]).tolist(), (w.end[a:b] - p.offsets[r]).tolist(), gone, joined)
+        elif joined:
+            text = b" ".join(text.split())
+        texts.append(text.decode("utf-8", "replace"))
     return removed, spans, texts
 
 
