@@ -7,6 +7,7 @@ finished with a bit mixer; runs of words get theirs from prefix sums over the wo
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -15,6 +16,17 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
+
+
+def release() -> None:
+    """Give freed memory back to the system.  Python workers outlive their tasks, and an idle
+    one would otherwise keep the most that it ever used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 #: Bytes of text that are looked at together: bounds the working memory of a task.
 SLICE_BYTES = 1 << 19
 _BYTE_BASE = 0x9E3779B97F4A7C15

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slicewright.llm._text import slices, utf8
+from slicewright.llm._text import release, slices, utf8
 
 CHUNK = 32_768
 OVERLAP = 1_024
@@ -99,6 +99,7 @@ def _mapped(df: DataFrame, source: str, made: dict[str, T.DataType], keep: list[
                 part = batch.slice(a, b - a)
                 made_columns = f(part)
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + made_columns, [*keep, *made])
+        release()
 
     return kept.mapInArrow(run, schema)
 

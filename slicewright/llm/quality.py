@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slicewright.llm._store import plainly_named
-from slicewright.llm._text import blank, grams, ranges, slices, span_hash, utf8, words_of
+from slicewright.llm._text import blank, grams, ranges, release, slices, span_hash, utf8, words_of
 
 ACCURACY = 0.01
 MIN_GROUP = 200
@@ -110,6 +110,7 @@ def count_stats(docs: DataFrame, keep: list[str], text: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep] + [pa.array(c.astype(np.int64)) for c in counts], [*keep, *COUNTS]
             )
+        release()
 
     return kept.mapInArrow(run, schema)
 

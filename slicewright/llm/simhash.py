@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slicewright.llm._store import plainly_named, written
-from slicewright.llm._text import lower_ascii, slices, utf8
+from slicewright.llm._text import lower_ascii, release, slices, utf8
 from slicewright.llm.components import connected_components
 
 BITS = 64
@@ -94,6 +94,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
             parts = [_fingerprints(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k) for a, b in slices(offsets)]
             fp = np.concatenate(parts) if parts else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fp.view(np.int64))], ["key", "fp"])
+        release()
 
     return kept.mapInArrow(run, schema)
 

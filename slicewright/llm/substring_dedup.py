@@ -38,7 +38,7 @@ from slicewright.llm._blocks import (
     packed,
 )
 from slicewright.llm._store import plainly_named
-from slicewright.llm._text import U64, Words, gram_hash, mix, slices, utf8, words_of
+from slicewright.llm._text import U64, Words, gram_hash, mix, release, slices, utf8, words_of
 
 WINDOW = 13
 ANCHOR = 5
@@ -251,14 +251,20 @@ def remove_repeats(
         low, high = (f.reduceat(p.phrase[p.order], p.begin) if len(p.begin) else p.phrase[:0] for f in (np.minimum, np.maximum))
         form = np.where(low == high, low, U64(0))
         owners = _least(p.owner, p.order, p.begin)
-        return _questions(table.column("block")[0].as_py(), buckets, p.anchors, form, owners)
+        asked = _questions(table.column("block")[0].as_py(), buckets, p.anchors, form, owners)
+        del p
+        release()
+        return asked
 
     def ask_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         p = _Parse(table, key, text, window, anchor)
         status = _joined(answers, 1, "status", "u1")[p.group]
         several = np.flatnonzero(status[p.phrase_of] == SEVERAL)
         hashes, owners, _ = _window_table(p, several)
-        return _questions(table.column("block")[0].as_py(), buckets, hashes, None, owners)
+        asked = _questions(table.column("block")[0].as_py(), buckets, hashes, None, owners)
+        del p
+        release()
+        return asked
 
     schema = T.StructType([
         *docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -270,9 +276,12 @@ def remove_repeats(
     def factor(table: pa.Table, answers: pa.Table) -> pa.Table:
         p = _Parse(table, key, text, window, anchor)
         removed, spans, texts = _cleaned(p, _duplicate_windows(p, answers), joined)
+        words = p.words.count
+        del p
+        release()
         span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         return pa.table(
-            [*[table.column(c) for c in columns], pa.array(p.words.count), pa.array(removed), pa.array(spans, span), pa.array(texts, pa.string())],
+            [*[table.column(c) for c in columns], pa.array(words), pa.array(removed), pa.array(spans, span), pa.array(texts, pa.string())],
             schema.names,
         )
 
