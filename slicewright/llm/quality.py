@@ -5,8 +5,8 @@ a mergeable quantile sketch: counts in logarithmic bins, so that a quantile has
 error of ``ACCURACY`` at most.  Bins add up, whatever the partitioning, and the sketch of a
 language, or of the whole corpus, is the sum of its groups' sketches; groups with fewer than
 ``MIN_GROUP`` documents use the language's sketch, and small languages the corpus'.  A
-document fails a measure that lies beyond its group's fence (see ``FENCES``); thresholds are
-joined back by language and source.
+document fails a measure that lies beyond its group's fence (see ``FENCES`` and ``SPREAD``);
+thresholds are joined back by language and source.
 
 Defined results
   null or empty text: no words, which fails the fixed rule; null language or source: a group
@@ -38,21 +38,29 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 @dataclass(frozen=True)
 class Fence:
     """A measure fails above ``median + reach * (high - median)``, but never at or under
-    ``least``, so that a corpus without any spread keeps its documents."""
+    ``least``, so that a corpus without any spread keeps its documents, and always above
+    ``most``, however many of its group do."""
 
     measure: str
     reach: float
     least: float
+    most: float = 0.5
 
 
 #: Judged above: the share of symbols, of repeated lines and of words in repeated windows.
+#: Most documents have none of these, so in most groups ``least`` is the limit.
 FENCES = (
     Fence("symbol_share", 3.0, 0.02),
     Fence("dup_line_share", 3.0, 0.40),
     Fence("repeat_share", 3.0, 0.40),
 )
-#: The high quantile of the fences.
-HIGH = 0.75
+#: Judged on both sides, as these differ between documents in every group: a measure fails
+#: beyond ``(high / low) ** REACH`` times ``high``, or under that part of ``low``.  The factor
+#: is no smaller than given here, for groups without any spread.
+SPREAD = {"n_words": 2.0, "word_length": 1.1, "words_per_line": 2.0}
+REACH = 3.0
+#: The low and the high quantile of the fences.
+LOW, HIGH = 0.25, 0.75
 
 
 def _stats(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -125,6 +133,9 @@ def _measures() -> dict[str, Column]:
         "symbol_share": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
         "dup_line_share": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
         "repeat_share": F.col("n_repeat_words") / words,
+        "n_words": F.col("n_words").cast("double"),
+        "word_length": F.col("word_chars") / words,
+        "words_per_line": F.col("n_words") / F.greatest(F.col("n_lines"), F.lit(1)),
     }
 
 
@@ -161,7 +172,7 @@ def merged(sketch: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """Number, median and HIGH quantile of each group and measure.  A group has a bounded
+    """Number, median, LOW and HIGH quantile of each group and measure.  A group has a bounded
     number of bins (about 1,100 at most), which is what one row gathers."""
     bins = F.array_sort(F.collect_list(F.struct("bin", "n")))
     gathered = sketch.groupBy(*groups, "measure").agg(bins.alias("bins"), F.sum("n").alias("total"))
@@ -177,17 +188,28 @@ def quantiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
         )
         return _bin_value(walked["bin"])
 
-    return gathered.select(*groups, "measure", "total", at(0.5).alias("median"), at(HIGH).alias("high"))
+    return gathered.select(*groups, "measure", "total", at(0.5).alias("median"), at(LOW).alias("low"), at(HIGH).alias("high"))
+
+
+def _limits() -> list[tuple[str, str]]:
+    return [*[("max", f.measure) for f in FENCES], *[(side, m) for m in SPREAD for side in ("min", "max")]]
 
 
 def thresholds(stats: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """One row per language and source: an upper limit for each measure."""
-    limits = F.create_map(*[F.lit(x) for f in FENCES for x in (f.measure, F.array(F.lit(f.reach), F.lit(f.least)))])
+    """One row per language and source: the limits of each measure."""
+    limits = F.create_map(*[F.lit(x) for f in FENCES for x in (f.measure, F.array(F.lit(f.reach), F.lit(f.least), F.lit(f.most)))])
+    factors = F.create_map(*[F.lit(x) for pair in SPREAD.items() for x in pair])
 
     def with_limits(sketch: DataFrame, groups: list[str], name: str) -> DataFrame:
-        reach, least = (F.element_at(F.element_at(limits, F.col("measure")), i) for i in (1, 2))
-        fence = F.greatest(F.col("median") + reach * (F.col("high") - F.col("median")), least)
-        return quantiles(sketch, groups).select(*groups, "measure", F.struct("total", fence.alias("limit")).alias(name))
+        reach, least, most = (F.element_at(F.element_at(limits, F.col("measure")), i) for i in (1, 2, 3))
+        fence = F.least(F.greatest(F.col("median") + reach * (F.col("high") - F.col("median")), least), most)
+        two_sided = F.col("measure").isin(*SPREAD)
+        beyond = F.greatest(F.pow(F.col("high") / F.col("low"), F.lit(REACH)), F.element_at(factors, F.col("measure")))
+        upper = F.when(two_sided, F.col("high") * beyond).otherwise(fence)
+        lower = F.when(two_sided, F.col("low") / beyond)
+        return quantiles(sketch, groups).select(
+            *groups, "measure", F.struct("total", F.struct(lower.alias("min"), upper.alias("max")).alias("limit")).alias(name)
+        )
 
     fine = sketches(stats, [lang, source])
     by_lang = merged(fine, [lang])
@@ -208,7 +230,9 @@ def thresholds(stats: DataFrame, lang: str = "lang", source: str = "source") ->
         joined.select(F.col(f"a.{lang}").alias("t_lang"), F.col(f"a.{source}").alias("t_source"),
                       F.col("a.measure").alias("measure"), limit.alias("limit"))
         .groupBy("t_lang", "t_source")
-        .agg(*[F.max(F.when(F.col("measure") == f.measure, F.col("limit"))).alias(f"max_{f.measure}") for f in FENCES])
+        .agg(*[
+            F.max(F.when(F.col("measure") == m, F.col(f"limit.{side}"))).alias(f"{side}_{m}") for side, m in _limits()
+        ])
     )
 
 
@@ -218,14 +242,15 @@ def judged(stats: DataFrame, limits: DataFrame, lang: str = "lang", source: str
         limits, stats[lang].eqNullSafe(limits["t_lang"]) & stats[source].eqNullSafe(limits["t_source"]), "left"
     )
     measures = _measures()
-    fails = [F.coalesce(measures[f.measure] > F.col(f"max_{f.measure}"), F.lit(False)) for f in FENCES]
+    past = lambda side, m: measures[m] > F.col(f"max_{m}") if side == "max" else measures[m] < F.col(f"min_{m}")
+    fails = [F.coalesce(past(side, m), F.lit(False)) for side, m in _limits()]
     beyond = fails[0]
     for one in fails[1:]:
         beyond = beyond | one
     return (
         joined.withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & ~beyond)
-        .drop("t_lang", "t_source", *[f"max_{f.measure}" for f in FENCES])
+        .drop("t_lang", "t_source", *[f"{side}_{m}" for side, m in _limits()])
     )
 
 

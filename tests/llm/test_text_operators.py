@@ -65,6 +65,30 @@ def test_quantiles_come_from_the_merged_bins(spark):
     assert both["median"] == pytest.approx(0.5, rel=0.03) and both["high"] == pytest.approx(0.75, rel=0.03)
 
 
+def measured(spark, rows):
+    """Stats rows (doc_id, n_words, word_chars, n_symbols, n_lines) of one group."""
+    return spark.createDataFrame(rows, "doc_id long, n_words long, word_chars long, n_symbols long, n_lines long").select(
+        "*", F.lit("en").alias("lang"), F.lit("a").alias("source"), F.lit(0).alias("n_dup_lines"), F.lit(0).alias("n_repeat_words")
+    )
+
+
+def test_thresholds_follow_the_group_on_both_sides(spark):
+    usual = [(i, 100 + i, 5 * (100 + i) + 10 * (i % 7), 0, 5) for i in range(300)]
+    odd = {1000: (60, 1200, 0, 3), 1001: (200, 200, 0, 8), 1002: (90_000, 450_000, 0, 4000), 1003: (800, 4000, 0, 1)}
+    stats = measured(spark, usual + [(i, *r) for i, r in odd.items()])
+    kept = {r["doc_id"]: r["kept"] for r in quality.judged(stats, quality.thresholds(stats)).collect()}
+    assert all(kept[i] for i in range(300)) and not any(kept[i] for i in odd)
+    # the same word lengths are usual in another corpus
+    other = measured(spark, [(i, 60 + i % 50, 20 * (60 + i % 50) - i % 9, 0, 3) for i in range(300)] + [(1000, *odd[1000])])
+    assert all(r["kept"] for r in quality.judged(other, quality.thresholds(other)).collect())
+
+
+def test_no_group_is_so_bad_that_everything_passes(spark):
+    stats = measured(spark, [(i, 100, 500, 300 + i % 9 if i % 3 == 0 else 0, 5) for i in range(300)])
+    kept = {r["doc_id"]: r["kept"] for r in quality.judged(stats, quality.thresholds(stats)).collect()}
+    assert all(kept[i] == (i % 3 > 0) for i in kept)
+
+
 def test_quality_of_nothing(empty):
     assert quality.passing(empty).collect() == []
 
