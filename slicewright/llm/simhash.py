@@ -84,16 +84,17 @@ def _fingerprints(data: np.ndarray, offsets: np.ndarray, k: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
-    """Rows (key, fingerprint as a signed long) for every row of ``docs``."""
-    kept = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    schema = T.StructType([T.StructField("key", kept.schema["key"].dataType), T.StructField("fp", T.LongType())])
+    """Rows (key, text_hash, fingerprint as a signed long) for every row of ``docs``."""
+    kept = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    names = ["key", "text_hash", "fp"]
+    schema = T.StructType([T.StructField(n, t) for n, t in zip(names, (kept.schema["key"].dataType, T.LongType(), T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             parts = [_fingerprints(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k) for a, b in slices(offsets)]
             fp = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fp.view(np.int64))], ["key", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("text_hash"), pa.array(fp.view(np.int64))], names)
         release()
 
     return kept.mapInArrow(run, schema)
@@ -125,11 +126,11 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     )
 
 
-def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS,
-    max_distance: int = MAX_DISTANCE, order: int = ORDER,
+def _labelled(
+    docs: DataFrame, key: str, text: str, k: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE, order: int = ORDER,
 ) -> DataFrame:
-    """Rows (key, fp, component) for every row: component is the smallest key reachable."""
+    """Rows (key, text_hash, fp, root, component) for every row: root is the component's
+    smallest fingerprint."""
     if max_distance < 2 or max_distance % 2:
         raise ValueError("max_distance must be a positive even number")
     rows = written(fingerprints(docs, key, text, k), "fingerprints")
@@ -137,19 +138,25 @@ def near_duplicates(
     roots = connected_components(links(candidates(fps, max_distance, order), max_distance), "a", "b")
     joined = fps.join(roots, fps["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
     named = joined.groupBy("root").agg(F.min("least").alias("component"))
-    labels = written(joined.join(named, "root").select("fp", "component"), "labels")
-    return rows.join(labels, "fp").select(F.col("key").alias(key), "fp", "component")
+    labels = written(joined.join(named, "root").select("fp", "root", "component"), "labels")
+    return rows.join(labels, "fp").select("key", "text_hash", "fp", "root", "component")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
+    """Rows (key, fp, component) for every row: component is the smallest key reachable."""
+    return _labelled(docs, key, text, **how).select(F.col("key").alias(key), "fp", "component")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
-    """``docs`` without near-duplicates: of each component, one row with its smallest key.
-    Rows without a key stay, as nothing names them."""
+    """``docs`` without near-duplicates: of each component, one row with its smallest key, and
+    of those the one with the smallest text.  Rows without a key stay, as nothing names them."""
     plain, (key, text) = plainly_named(docs, key, text)
-    found = near_duplicates(plain, key, text, **how)
-    chosen = found.filter(F.col(key) == F.col("component")).select(F.col(key).alias("chosen")).distinct()
-    order = Window.partitionBy("chosen").orderBy(text)
+    found = _labelled(plain, key, text, **how)
+    chosen = found.filter(F.col("key") == F.col("component")).select("key", "text_hash", "root").distinct()
+    order = Window.partitionBy("root").orderBy(text)
+    hashed = plain.withColumn("own_hash", F.xxhash64(text))
     one = (
-        plain.join(chosen, plain[key] == chosen["chosen"])
+        hashed.join(chosen, (F.col(key) == F.col("key")) & (F.col("own_hash") == F.col("text_hash")))
         .withColumn("copy_number", F.row_number().over(order)).filter("copy_number = 1").select(*plain.columns)
     )
     return one.union(plain.filter(F.col(key).isNull())).toDF(*docs.columns)

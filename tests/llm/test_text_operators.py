@@ -170,6 +170,14 @@ def test_one_document_of_each_group_stays(awkward, rows):
     assert {i for i in ids if i is not None} == expected
 
 
+def test_an_id_with_unrelated_texts_loses_none_of_them(spark):
+    words = lambda seed: " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 500, 80))
+    unrelated = [words(i) for i in range(6)]
+    rows = [(5, t) for t in unrelated] + [(5, unrelated[0]), (3, unrelated[1]), (9, unrelated[2])]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert counter(kept.collect()) == Counter([(3 if i == 1 else 5, t) for i, t in enumerate(unrelated)])
+
+
 def test_simhash_of_nothing(empty):
     assert simhash.near_duplicates(empty).collect() == [] and simhash.keep_one(empty).collect() == []
 
