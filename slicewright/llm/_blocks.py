@@ -1,7 +1,8 @@
 """Blocks of documents, and questions that they put to a dealt index.
 
 A block is a group of documents with a bounded amount of text (one longer document stands
-alone in effect), named by a hash of the key: the same block whenever it is computed.  A
+alone in effect), named by a hash of key and text: the same block whenever it is computed.
+Equal rows that fill more than a block are dealt to several, and their deal is written.  A
 block asks about its distinct keys (hashes) in messages, one per bucket of the hash space;
 a bucket sees each key once per block that has it, however often it occurs there, and its
 answers return in the order of the question.  So neither a frequent key nor a large group of
@@ -12,14 +13,22 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slicewright.llm._store import written
+
 BLOCK_BYTES = 2 << 20
+#: What a row counts for besides its text.
+ROW_BYTES = 64
+
+
+def _size(text: str) -> Column:
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES
 
 
 def block_count(docs: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> int:
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    total = docs.agg(F.sum(_size(text))).first()[0] or 0
     return max(8, -(-total // block_bytes))
 
 
@@ -28,8 +37,19 @@ def bucket_count(blocks: int) -> int:
     return 1 << max(4, (blocks // 4).bit_length())
 
 
-def in_blocks(docs: DataFrame, key: str, blocks: int) -> DataFrame:
-    return docs.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks)))
+def in_blocks(docs: DataFrame, key: str, text: str, blocks: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with a column ``block``.  Rows of one key need not share a block."""
+    same = F.xxhash64(key, text)
+    often = written(
+        docs.groupBy(same.alias("same")).agg(F.ceil(F.sum(_size(text)) / block_bytes).alias("parts")).filter("parts > 1"), "often"
+    )
+    if often.isEmpty():
+        return docs.withColumn("block", F.pmod(same, F.lit(blocks)))
+    numbered = docs.withColumn("same", same).withColumn("copy", F.xxhash64(F.monotonically_increasing_id()))
+    salt = F.pmod("copy", F.coalesce("parts", F.lit(1)))
+    return written(
+        numbered.join(often, "same", "left").select(*docs.columns, F.pmod(F.xxhash64("same", salt), F.lit(blocks)).alias("block")), "dealt"
+    )
 
 
 def bucket_edges(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:

@@ -275,7 +275,7 @@ def score(docs: DataFrame, is_training: Column, key: str = "doc_id", text: str =
     buckets = min(1 << 16, bucket_count(blocks))
     totals = written(training_counts(rows.filter("training"), "text", buckets), "counts")
     top, train_tokens, distinct = _top(totals)
-    dealt = in_blocks(rows, "key", blocks).groupBy("block")
+    dealt = in_blocks(rows, "key", "text", blocks, BLOCK_BYTES).groupBy("block")
 
     def distinct_keys(table: pa.Table) -> tuple[list[np.ndarray], list[list[np.ndarray]], np.ndarray, np.ndarray]:
         data, offsets = utf8(table.column("text"))

@@ -244,7 +244,7 @@ def remove_repeats(
     docs, (key, text) = plainly_named(docs.select(*given), key, text)
     blocks = block_count(docs, text)
     buckets = bucket_count(blocks)
-    dealt = in_blocks(docs, key, blocks).groupBy("block")
+    dealt = in_blocks(docs, key, text, blocks).groupBy("block")
 
     def ask_anchors(table: pa.Table) -> pa.Table:
         p = _Parse(table, key, text, window, anchor)

@@ -12,7 +12,7 @@ import xxhash
 from public_tokenizers import PATTERN, path
 from pyspark.sql import functions as F
 
-from slicewright.llm import bpe, license_scan, quality, simhash, substring_dedup
+from slicewright.llm import _blocks, bpe, license_scan, quality, simhash, substring_dedup
 from tests.llm.conftest import AWKWARD
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -216,6 +216,21 @@ def test_blocks_do_not_change_the_result(docs, rows, blocks, monkeypatch):
     assert counter(found) == Counter(brute_removal(rows, 6))
 
 
+def test_no_key_fills_a_block(spark):
+    rows = [(None, f"text {i}") for i in range(300)] + [(7, f"other {i}") for i in range(300)] + [(8, "same " * 20)] * 300
+    dealt = _blocks.in_blocks(spark.createDataFrame(rows, "k long, t string").repartition(4), "k", "t", 40, 2048).collect()
+    assert Counter((r["k"], r["t"]) for r in dealt) == Counter(rows)
+    for key in (None, 7, 8):
+        of_key = Counter(r["block"] for r in dealt if r["k"] == key)
+        assert len(of_key) > 8 and max(of_key.values()) < 100
+
+
+def test_equal_rows_in_several_blocks_do_not_change_the_result(docs, rows, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "in_blocks", lambda d, k, t, n: _blocks.in_blocks(d, k, t, n, 512))
+    found = substring_dedup.remove_repeats(docs.union(docs)).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+    assert counter(found) == Counter(brute_removal(rows * 2))
+
+
 def test_cut_texts_keep_their_layout(awkward, rows):
     cut = substring_dedup.without_repeats(awkward)
     assert cut.columns == awkward.columns
