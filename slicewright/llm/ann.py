@@ -3,7 +3,8 @@
 Largest inner products become smallest distances by one more coordinate (``sqrt(M^2 - |x|^2)``
 for rows, 0 for queries).  A random rotation spreads the distance evenly over the dimensions,
 and rows are kept in column blocks of it, in the inverted list of their nearest centre.  A
-query visits its nearest lists.  In a list the distance to each row is summed block by block;
+query visits its nearest lists, and twice as many each time that these hold too few other rows,
+at last all.  In a list the distance to each row is summed block by block;
 after each block a row is abandoned if, by the hypothesis test for a random rotation, its
 whole distance exceeds the query's current 20th best with high confidence: partial distance
 times D/d above ``(1 + EPSILON / sqrt(d))^2`` times the bound.  The rows left are scored by
@@ -18,7 +19,7 @@ Defined results
   null, zero and non-finite vectors, and those whose length isn't the most common one, take
   no part, as queries or as rows; ties go to the smaller id; an id that several rows have is
   listed once, with its best score, and is one query; a query never finds its own id; null
-  ids take no part; fewer candidates than asked for: all that the probed lists have; empty
+  ids take no part; fewer candidates than asked for: all of them; empty
   table: empty result; other columns are ignored.
 """
 
@@ -43,6 +44,8 @@ PART_ROWS = 4_096
 PART_QUERIES = 8_192
 #: Queries that are scanned at once.
 QUERY_ROWS = 256
+#: Where an id has more rows than this in a part, all of the part's rows are scored.
+MOST_REPEATS = 4
 BLOCK_DIMS = 16
 EPSILON = 2.1
 SEED = 7
@@ -162,7 +165,8 @@ def search(
     if not len(sample):
         sample = np.array([rows.first()["v"]])
     space = Space(sample, about["longest"], about["rows"], lists)
-    probes = min(probed or space.probed, len(space.centres))
+    every = len(space.centres)
+    probes = min(probed or space.probed, every)
     dims = space.dims
 
     placed = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("list", T.IntegerType())])
@@ -173,34 +177,8 @@ def search(
                 of = space.nearest(space.place(_matrix(batch.column("v"), dims)), 1)[:, 0]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(of.astype(np.int32))], placed.names)
 
-    def probe(batches):
-        for batch in batches:
-            if batch.num_rows:
-                of = space.nearest(space.place(_matrix(batch.column("v"), dims), query=True), probes)
-                at = pa.array(np.repeat(np.arange(batch.num_rows), of.shape[1]))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(at), batch.column("v").take(at), pa.array(of.ravel().astype(np.int32))], placed.names
-                )
-
     indexed = written(rows.mapInArrow(assign, placed), "lists")
-    asked = written(rows.filter(is_query).mapInArrow(probe, placed), "probes")
-    # a list's rows and its queries are cut into parts, and every pair of parts is a task's work
-    sizes = written(
-        indexed.groupBy("list").agg(F.ceil(F.count("*") / PART_ROWS).alias("parts"))
-        .join(asked.groupBy("list").agg(F.ceil(F.count("*") / PART_QUERIES).alias("query_parts")), "list"),
-        "sizes",
-    )
     from_zero = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
-    seekers = (
-        asked.join(sizes, "list")
-        .withColumn("query_part", F.pmod(F.xxhash64("id"), F.col("query_parts"))).withColumn("part", F.explode(from_zero(F.col("parts"))))
-        .select("list", "part", "query_part", "id", "v")
-    )
-    sought = (
-        indexed.join(sizes, "list")
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).withColumn("query_part", F.explode(from_zero(F.col("query_parts"))))
-        .select(F.col("list").alias("in_list"), F.col("part").alias("in_part"), F.col("query_part").alias("for_part"), "id", "v")
-    )
     found = f"query_id long, {key} long, score double"
 
     def scan(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -208,23 +186,71 @@ def search(
         order = np.argsort(ids, kind="stable")
         ids, x = ids[order], x[order]
         rotated = space.place(x)
+        repeats = int(np.unique(ids, return_counts=True)[1].max(initial=1))
         queries, q = left.column("id").to_numpy(), _matrix(left.column("v"), dims) if left.num_rows else np.empty((0, dims))
         made = []
         for a in range(0, len(queries) if len(ids) else 0, QUERY_ROWS):
             some = q[a : a + QUERY_ROWS]
-            stays = adaptive_scan(space.place(some, query=True), rotated, nearest + 1)
+            if repeats <= MOST_REPEATS:
+                stays = adaptive_scan(space.place(some, query=True), rotated, (nearest + 1) * repeats)
+            else:
+                stays = np.ones((len(some), len(ids)), bool)
             for i in range(len(some)):
                 at = np.flatnonzero(stays[i] & (ids != queries[a + i]))
                 score = (x[at] * some[i]).sum(axis=1)
-                best = np.lexsort((ids[at], -score))[:nearest]
+                best = np.lexsort((ids[at], -score))
+                best = best[np.sort(np.unique(ids[at][best], return_index=True)[1])[:nearest]]
                 made.append((np.full(len(best), queries[a + i]), ids[at][best], score[best]))
         columns = [np.concatenate([m[i] for m in made]) if made else np.empty(0) for i in range(3)]
         return pa.table([pa.array(columns[0].astype(np.int64)), pa.array(columns[1].astype(np.int64)), pa.array(columns[2].astype(float))], ["query_id", key, "score"])
 
-    hits = seekers.groupBy("list", "part", "query_part").cogroup(sought.groupBy("in_list", "in_part", "for_part")).applyInArrow(scan, found)
-    hits = hits.groupBy("query_id", key).agg(F.max("score").alias("score"))  # repeated ids
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
-    return (
-        hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest)
-        .select("query_id", "rank", key, "score")
-    )
+    def nearest_in(queries: DataFrame, probes: int) -> DataFrame:
+        """The best rows of the ``probes`` lists nearest to each query."""
+
+        def probe(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    of = space.nearest(space.place(_matrix(batch.column("v"), dims), query=True), probes)
+                    at = pa.array(np.repeat(np.arange(batch.num_rows), of.shape[1]))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("id").take(at), batch.column("v").take(at), pa.array(of.ravel().astype(np.int32))], placed.names
+                    )
+
+        asked = written(queries.mapInArrow(probe, placed), "probes")
+        # a list's rows and its queries are cut into parts, and every pair of parts is a task's work
+        sizes = written(
+            indexed.groupBy("list").agg(F.ceil(F.count("*") / PART_ROWS).alias("parts"))
+            .join(asked.groupBy("list").agg(F.ceil(F.count("*") / PART_QUERIES).alias("query_parts")), "list"),
+            "sizes",
+        )
+        seekers = (
+            asked.join(sizes, "list")
+            .withColumn("query_part", F.pmod(F.xxhash64("id"), F.col("query_parts"))).withColumn("part", F.explode(from_zero(F.col("parts"))))
+            .select("list", "part", "query_part", "id", "v")
+        )
+        sought = (
+            indexed.join(sizes, "list")
+            .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).withColumn("query_part", F.explode(from_zero(F.col("query_parts"))))
+            .select(F.col("list").alias("in_list"), F.col("part").alias("in_part"), F.col("query_part").alias("for_part"), "id", "v")
+        )
+        hits = seekers.groupBy("list", "part", "query_part").cogroup(sought.groupBy("in_list", "in_part", "for_part")).applyInArrow(scan, found)
+        hits = hits.groupBy("query_id", key).agg(F.max("score").alias("score"))  # repeated ids
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
+        return (
+            hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest)
+            .select("query_id", "rank", key, "score")
+        )
+
+    queries = rows.filter(is_query)
+    hits = written(nearest_in(queries, probes), "hits")
+    done = None
+    while probes < every:
+        full = hits.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= nearest).select(F.col("query_id").alias("id"))
+        queries = written(queries.join(full, "id", "left_anti"), "short")
+        if queries.isEmpty():
+            break
+        enough = hits.join(full.withColumnRenamed("id", "query_id"), "query_id", "left_semi").select(*hits.columns)
+        done = enough if done is None else done.union(enough)
+        probes = min(2 * probes, every)
+        hits = written(nearest_in(queries, probes), "hits")
+    return hits if done is None else done.union(hits)

@@ -81,6 +81,24 @@ def test_repeated_rows_are_listed_once(spark):
         assert len(ids) == len(set(ids)) == len(once[q]) == 20 and q not in ids
 
 
+def test_queries_beside_many_copies_get_all_twenty(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((150, 16))
+    small = np.repeat(centres, 12, axis=0) + 0.01 * rng.standard_normal((1800, 16))
+    x = np.concatenate([np.repeat(rng.standard_normal((1, 16)), 900, axis=0), small])
+    found = got(ann.search(vectors(spark, x), F.col("id") % 20 == 0))
+    assert set(found) == set(range(0, 2700, 20)) and all(len(hits) == 20 for hits in found.values())
+
+
+def test_narrow_probes_are_widened_to_all_candidates(spark):
+    rng = np.random.default_rng(10)
+    x = rng.standard_normal((60, 6))
+    found = got(ann.search(vectors(spark, x), F.col("id") >= 0, lists=30, probed=1))
+    assert set(found) == set(range(60)) and all(len(hits) == 20 for hits in found.values())
+    few = got(ann.search(vectors(spark, x[:12]), F.col("id") >= 0, lists=6, probed=1))
+    assert all(len(hits) == 11 for hits in few.values()) and len(few) == 12
+
+
 def test_few_rows_give_all_and_none_give_none(spark):
     x = np.eye(4)[:3]
     assert {q: [i for i, _ in v] for q, v in got(ann.search(vectors(spark, x), F.col("id") >= 0)).items()} == {0: [1, 2], 1: [0, 2], 2: [0, 1]}
