@@ -148,15 +148,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
-    """``docs`` without near-duplicates: of each component, one row with its smallest key, and
-    of those the one with the smallest text.  Rows without a key stay, as nothing names them."""
+    """``docs`` without near-duplicates: of each component, one row with its smallest key (a
+    row without a key only where none has one), and of those the one with the smallest text."""
     plain, (key, text) = plainly_named(docs, key, text)
     found = _labelled(plain, key, text, **how)
-    chosen = found.filter(F.col("key") == F.col("component")).select("key", "text_hash", "root").distinct()
+    chosen = found.filter(F.col("key").eqNullSafe(F.col("component"))).select("key", "text_hash", "root").distinct()
     order = Window.partitionBy("root").orderBy(text)
     hashed = plain.withColumn("own_hash", F.xxhash64(text))
-    one = (
-        hashed.join(chosen, (F.col(key) == F.col("key")) & (F.col("own_hash") == F.col("text_hash")))
+    return (
+        hashed.join(chosen, F.col(key).eqNullSafe(F.col("key")) & (F.col("own_hash") == F.col("text_hash")))
         .withColumn("copy_number", F.row_number().over(order)).filter("copy_number = 1").select(*plain.columns)
-    )
-    return one.union(plain.filter(F.col(key).isNull())).toDF(*docs.columns)
+    ).toDF(*docs.columns)

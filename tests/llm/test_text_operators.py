@@ -178,6 +178,13 @@ def test_an_id_with_unrelated_texts_loses_none_of_them(spark):
     assert counter(kept.collect()) == Counter([(3 if i == 1 else 5, t) for i, t in enumerate(unrelated)])
 
 
+def test_copies_without_an_id_go_like_others(spark):
+    words = lambda seed: " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 500, 80))
+    rows = [(None, words(0)), (4, words(0)), (None, words(0)), (None, words(1)), (None, words(1)), (None, words(2))]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert counter(kept.collect()) == Counter([(4, words(0)), (None, words(1)), (None, words(2))])
+
+
 def test_simhash_of_nothing(empty):
     assert simhash.near_duplicates(empty).collect() == [] and simhash.keep_one(empty).collect() == []
 
