@@ -85,7 +85,121 @@ FROM sized s JOIN told c ON c.pair_id = s.pair_id AND c.conv_id = s.chosen_id
 JOIN told r ON r.pair_id = s.pair_id AND r.conv_id = s.rejected_id
 """
 
+_OP11 = """
+WITH placed AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                            sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS first_id,
+         xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+             lambda crc, c: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda v, bit: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(crc, c)),
+             CAST(4294967295 AS BIGINT)), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM placed)),
+rebuilt AS (
+  SELECT c.conv_id, p.place, p.role, p.text FROM conv c JOIN placed p ON p.conv_id = c.first_id AND p.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, p.place, p.role, p.text FROM conv c JOIN placed p ON p.conv_id = c.conv_id AND p.place > c.h),
+whole AS (
+  SELECT c.conv_id, coalesce(t.turns, []) AS turns, coalesce(t.sizes, []) AS sizes
+  FROM conv c LEFT JOIN (
+    SELECT conv_id, list(sha256(length(role) || ':' || role || text) ORDER BY place) AS turns, list(length(text) ORDER BY place) AS sizes
+    FROM rebuilt GROUP BY conv_id) t ON t.conv_id = c.conv_id),
+member AS (
+  SELECT conv_id, depth, turns[1:depth] AS node, CASE WHEN depth > 0 THEN sizes[depth] ELSE 0 END AS size, len(turns) = depth AS ends
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS depth FROM whole)),
+node AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM member GROUP BY node, depth),
+child AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM node n LEFT JOIN child c ON c.node = n.node),
+subtree AS (
+  SELECT node[1:top] AS node, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS top FROM counted) GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN subtree s ON s.node = n.node LEFT JOIN node p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
+"""
+
+_OP12 = """
+WITH word_list AS (
+  SELECT doc_id, row_number() OVER () AS row_no,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+item_window AS (
+  SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[pos:pos + 9], ' ') AS seen
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS pos FROM item_words WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM item_window),
+doc_window AS (
+  SELECT row_no, pos, size, array_to_string(w[pos:pos + size - 1], ' ') AS seen
+  FROM (SELECT row_no, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM word_list, sizes WHERE len(w) >= size)),
+met AS (
+  SELECT d.row_no, d.pos, d.size, i.item FROM doc_window d JOIN item_window i ON i.seen = d.seen AND i.size = d.size),
+hit AS (
+  SELECT row_no, count(DISTINCT place) AS n_hit
+  FROM (SELECT DISTINCT row_no, unnest(range(pos, pos + size)) AS place FROM met) GROUP BY row_no),
+listed AS (
+  SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row_no, item FROM met WHERE item IS NOT NULL) GROUP BY row_no)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(l.n_items, 0) AS n_items,
+       sha256(coalesce(l.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM word_list d LEFT JOIN hit h USING (row_no) LEFT JOIN listed l USING (row_no)
+"""
+
+_OP13 = """
+WITH whole AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+least_id AS (SELECT text, min(doc_id) AS least FROM whole GROUP BY text),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT w.part, coalesce(m.good, 0) AS good, coalesce(m.toxic, 0) AS toxic,
+         len(v) < 200 AS a, 100 * len(list_distinct(v)) < 50 * len(v) AS b,
+         100 * length(regexp_replace(w.text, '[^A-Z]', '', 'g')) > 3 * length(w.text) AS c,
+         regexp_matches(w.text, '[#$%&*|]') AS d, coalesce(w.doc_id > l.least, false) AS e
+  FROM (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS v FROM whole) w
+  JOIN least_id l ON l.text = w.text LEFT JOIN marks m ON m.doc_id = w.doc_id),
+cell AS (
+  SELECT part, a, b, c, d, e, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, a, b, c, d, e),
+letter(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+filter_orders AS (
+  SELECT p.x || q.x || r.x || s.x || t.x AS o
+  FROM letter p, letter q, letter r, letter s, letter t
+  WHERE p.x NOT IN (q.x, r.x, s.x, t.x) AND q.x NOT IN (r.x, s.x, t.x) AND r.x NOT IN (s.x, t.x) AND s.x <> t.x),
+ranked AS (
+  SELECT o, cell.*, least(CASE WHEN a THEN strpos(o, 'A') ELSE 9 END, CASE WHEN b THEN strpos(o, 'B') ELSE 9 END,
+                          CASE WHEN c THEN strpos(o, 'C') ELSE 9 END, CASE WHEN d THEN strpos(o, 'D') ELSE 9 END,
+                          CASE WHEN e THEN strpos(o, 'E') ELSE 9 END) AS gone,
+         (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+         || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS failed
+  FROM cell, filter_orders),
+told AS (
+  SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, substr(o, step, 1) AS letter,
+         sum(CASE WHEN gone > step THEN n ELSE 0 END) AS kept, sum(CASE WHEN gone = step THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone < step AND contains(failed, substr(o, step, 1)) THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN failed = substr(o, step, 1) THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN gone = step THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN gone = step THEN toxic ELSE 0 END) AS toxic_lost
+  FROM ranked, (SELECT unnest(range(1, 6)) AS step) GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM told
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_prefix_trie": _OP11,
+    "op12_decontaminate": _OP12,
+    "op13_filter_audit": _OP13,
     "op2_substring_dedup": _OP2,
     "op3_preference_format": _OP3,
     "op7_url_filter": _OP7,
