@@ -1,8 +1,10 @@
 """Vectorised reading of UTF-8 texts inside Arrow batches.
 
-A batch's text column is looked at as one byte array with row offsets.  Words get a 64-bit
-hash from prefix sums of a polynomial (odd base, so powers have inverses modulo 2**64),
-finished with a bit mixer; runs of words get theirs from prefix sums over the word hashes.
+A batch's text column is looked at as one byte array with row offsets.  Byte ranges get a
+64-bit hash from prefix sums of polynomials modulo two primes, finished with a bit mixer; a
+prime modulus has no pairs of texts that collide for every base, as a power of two has.  Runs
+of words get theirs from the mixed word hashes.  Inside a slice, :func:`exact_ids` tells
+ranges apart by their bytes.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ def release() -> None:
 
 #: Bytes of text that are looked at together: bounds the working memory of a task.
 SLICE_BYTES = 1 << 19
-_BYTE_BASE = 0x9E3779B97F4A7C15
+#: Primes below 2**31, and a base for each.
+_PRIMES = ((2147483647, 1540483477), (2147483629, 1066037191))
 _WORD_BASE = 0xD1342543DE82EF95
 
 
@@ -46,6 +49,22 @@ def powers(base: int, n: int, inverse: bool = False) -> np.ndarray:
     return _powers(pow(base, -1, 1 << 64) if inverse else base, size)[:n]
 
 
+@lru_cache(maxsize=16)
+def _prime_powers(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(n, U64)
+    size = 1
+    while size < n:
+        out[size : 2 * size] = out[: min(size, n - size)] * U64(pow(base, size, prime)) % U64(prime)
+        size *= 2
+    return out
+
+
+def prime_powers(base: int, prime: int, n: int, inverse: bool = False) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo ``prime``, or their inverses."""
+    size = 1 << max(10, (n - 1).bit_length())
+    return _prime_powers(pow(base, -1, prime) if inverse else base, prime, size)[:n]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over all output bits."""
     x = x ^ (x >> U64(31))
@@ -119,14 +138,57 @@ def ranges(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
+#: So many terms below 2**39 add up to less than 2**63.
+_PLAIN_TERMS = 1 << 24
+
+
 def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte range."""
+    if not len(data):
+        return np.zeros(len(start), U64)
+    found = np.zeros(len(start), U64)
     sums = np.zeros(len(data) + 1, U64)
-    if len(data):
-        np.cumsum((data.astype(U64) + U64(1)) * powers(_BYTE_BASE, len(data)), out=sums[1:])
-        back = powers(_BYTE_BASE, len(data) + 1, inverse=True)
-        return mix((sums[end] - sums[start]) * back[start])
-    return np.zeros(len(start), U64)
+    for base, prime in _PRIMES:
+        terms = (data.astype(U64) + U64(1)) * prime_powers(base, prime, len(data))
+        if len(data) > _PLAIN_TERMS:
+            terms %= U64(prime)
+        np.cumsum(terms, out=sums[1:])
+        back = prime_powers(base, prime, len(data) + 1, inverse=True)
+        found = (found << U64(32)) | ((sums[end] - sums[start]) % U64(prime) * back[start] % U64(prime))
+    return mix(found)
+
+
+#: Ranges of up to so many bytes are compared together, so many at a time.
+_SHORT, _TOGETHER = 64, 1 << 14
+
+
+def unequal(data: np.ndarray, start: np.ndarray, end: np.ndarray, start2: np.ndarray, end2: np.ndarray) -> np.ndarray:
+    """Which byte ranges differ from their second ones."""
+    size = end - start
+    out = size != end2 - start2
+    asked = ~out & (start != start2)
+    short = np.flatnonzero(asked & (size <= _SHORT))
+    for i in range(0, len(short), _TOGETHER):
+        these = short[i : i + _TOGETHER]
+        n = size[these]
+        first = np.cumsum(n) - n
+        step = np.arange(int(n.sum())) - np.repeat(first, n)
+        differ = data[np.repeat(start[these], n) + step] != data[np.repeat(start2[these], n) + step]
+        out[these] = np.logical_or.reduceat(differ, first)
+    for i in np.flatnonzero(asked & (size > _SHORT)).tolist():
+        out[i] = not np.array_equal(data[start[i] : end[i]], data[start2[i] : end2[i]])
+    return out
+
+
+def exact_ids(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A number for each (non-empty) byte range: equal numbers mean equal bytes.  ``hashes`` are
+    those of the ranges; ranges with one hash are compared."""
+    _, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
+    of, ids = first[ids], ids.astype(np.int64)
+    named: dict[bytes, int] = {}
+    for i in np.flatnonzero(unequal(data, start, end, start[of], end[of])).tolist():  # another range has this hash
+        ids[i] = named.setdefault(data[start[i] : end[i]].tobytes(), len(first) + len(named))
+    return ids
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None) -> Words:
@@ -154,3 +216,11 @@ def grams(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.int64), np.empty(0, U64)
     at = np.flatnonzero(words.row[: n - k + 1] == words.row[k - 1 :])
     return at, gram_hash(words.hash, at, at + k)
+
+
+def gram_ids(ids: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """A number for each run of ``k`` of ``ids`` (numbers from 0): equal runs have equal numbers."""
+    found = ids[at]
+    for j in range(1, k):
+        found = np.unique(found * (int(ids.max(initial=0)) + 1) + ids[at + j], return_inverse=True)[1]
+    return found

@@ -120,10 +120,14 @@ def repeats_smaller(docs: DataFrame, key: str, text: str, flag: str) -> DataFram
     others = [c for c in plain.columns if c != text_]
     digest = F.unhex(F.sha2(F.coalesce(text_, F.lit("")), 256))
     rows = written(plain.select(*others, digest.alias("digest")), "texts")
-    least = rows.groupBy("digest").agg(F.min(key_).alias("least"), F.max(key_).alias("most")).filter("least < most")
-    found = rows.join(least.select("digest", "least"), "digest", "left")
+    keyed = rows.filter(F.col(key_).isNotNull())
+    # the rows of a text's smallest key are no repeats; joined on text and key, copies of one text
+    # don't meet in one task
+    least = keyed.groupBy("digest").agg(F.min(key_).alias(key_)).withColumn("first", F.lit(True))
+    found = keyed.join(least, ["digest", key_], "left").withColumn("again", F.col("first").isNull())
+    found = found.unionByName(rows.filter(F.col(key_).isNull()).withColumn("again", F.lit(False)), allowMissingColumns=True)
     named = [F.col(c).alias(docs.columns[plain.columns.index(c)]) for c in others]
-    return found.select(*named, F.coalesce(F.col(key_) > F.col("least"), F.lit(False)).alias(flag))
+    return found.select(*named, F.col("again").alias(flag))
 
 
 def with_flags(rows: DataFrame, flags: DataFrame, key: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slicewright.llm._store import plainly_named
-from slicewright.llm._text import blank, grams, ranges, release, slices, span_hash, utf8, words_of
+from slicewright.llm._text import blank, exact_ids, gram_ids, grams, ranges, release, slices, span_hash, unequal, utf8, words_of
 
 ACCURACY = 0.01
 MIN_GROUP = 200
@@ -63,6 +63,13 @@ REACH = 3.0
 LOW, HIGH = 0.25, 0.75
 
 
+def _neighbours(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal hashes of a row together, and which ones equal the one before."""
+    order = np.lexsort((hashes, rows))
+    h, r = hashes[order], rows[order]
+    return order, (h[1:] == h[:-1]) & (r[1:] == r[:-1])
+
+
 def _stats(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     rows = len(offsets) - 1
     words = words_of(data, offsets)
@@ -81,17 +88,20 @@ def _stats(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     lines = np.bincount(line_row, minlength=rows)
     if len(line_start):
         line = span_hash(data, line_start, line_end)
-        order = np.lexsort((line, line_row))
-        same = (line[order][1:] == line[order][:-1]) & (line_row[order][1:] == line_row[order][:-1])
+        order, same = _neighbours(line, line_row)
+        a, b = order[1:][same], order[:-1][same]
+        if unequal(data, line_start[a], line_end[a], line_start[b], line_end[b]).any():
+            order, same = _neighbours(exact_ids(data, line_start, line_end, line), line_row)
         dup_lines = np.bincount(line_row[order][1:][same], minlength=rows)
 
     repeat = np.zeros(rows, np.int64)
     at, gram = grams(words, 3)
     if len(at):
-        order = np.lexsort((gram, words.row[at]))
-        g, r = gram[order], words.row[at][order]
-        same = (g[1:] == g[:-1]) & (r[1:] == r[:-1])
-        twice = np.zeros(len(g), bool)
+        order, same = _neighbours(gram, words.row[at])
+        a, b = ((at[x[same]][:, None] + np.arange(3)).ravel() for x in (order[1:], order[:-1]))
+        if unequal(data, words.start[a], words.end[a], words.start[b], words.end[b]).any():
+            order, same = _neighbours(gram_ids(exact_ids(data, words.start, words.end, words.hash), at, 3), words.row[at])
+        twice = np.zeros(len(at), bool)
         twice[1:] |= same
         twice[:-1] |= same
         covered = np.zeros(len(words.hash), bool)

@@ -36,13 +36,12 @@ def url_path(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, path).otherwise(F.lit(""))
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and every parent domain of it."""
-    labels = F.split(host, "\\.")
-    return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."),
-    )
+def host_suffixes(host: Column, label_counts: list[int]) -> Column:
+    """The last labels of the host, as many as each of ``label_counts`` says: a host with very
+    many labels gives no more suffixes than rules can have."""
+    labels = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    each = [F.when(labels >= n, F.substring_index(host, ".", -n)) for n in label_counts]
+    return F.array_compact(F.array(*each).cast("array<string>"))
 
 
 def judge_urls(
@@ -56,6 +55,8 @@ def judge_urls(
     )
     # the lengths a rule's path can have: at most as many numbers as a URL has characters
     lengths = sorted(r[0] for r in rules.select(F.length("rule_path")).distinct().collect())
+    labels = F.size(F.split("rule_host", "\\."))
+    label_counts = sorted(r[0] for r in rules.select(labels).distinct().collect())  # no more than a host has labels
     rules = rules.withColumn("rule", F.concat("rule_host", "rule_path")).select(
         F.sha2("rule", 256).alias("rule_digest"),
         F.struct(
@@ -74,7 +75,7 @@ def judge_urls(
     )
     fitting = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("path"))
     expressions = (
-        urls.withColumn("suffix", F.explode(host_suffixes(F.col("host"))))
+        urls.withColumn("suffix", F.explode_outer(host_suffixes(F.col("host"), label_counts)))
         .withColumn("prefix", F.explode_outer(F.transform(fitting, lambda n: F.substring(F.col("path"), F.lit(1), n))))
         .withColumn("digest", F.sha2(F.concat("suffix", "prefix"), 256))
         .withColumn("short", F.substring("digest", 1, PREFIX_DIGITS))

@@ -1,6 +1,7 @@
 """Nearest neighbours, URL filter, preference pairs, mixing and context trees."""
 
 import math
+import time
 import zlib
 from collections import Counter
 from functools import lru_cache
@@ -137,6 +138,15 @@ def test_verdicts_are_those_of_sql(spark):
     assert {r["verdict"] for r in url_filter.judge_urls(frame, rules.limit(0)).collect()} == {"allow"}
 
 
+def test_a_host_with_very_many_labels(spark):
+    hosts = [".".join(["a"] * 16_000), ".".join(["a"] * 16_000) + ".example.org", "example.org.", "", "."]
+    pages = spark.createDataFrame([(i, f"http://{h}/en/1/x") for i, h in enumerate(hosts)], "page_id long, url string")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    began = time.time()
+    found = {r["page_id"]: r["rule"] for r in url_filter.judge_urls(pages, rules).collect()}
+    assert found == {0: None, 1: "example.org/en/1", 2: None, 3: None, 4: None} and time.time() - began < 15
+
+
 def test_the_longest_rule_wins_and_block_breaks_ties(spark):
     rules = spark.createDataFrame(
         [("b.org", "/", "allow"), ("b.org", "/x", "block"), ("b.org", "/x", "allow"), ("a.b.org", "/", "allow"), (None, None, "block")],
