@@ -97,6 +97,22 @@ def merge_rows(
     return joined.select(*outs, action.alias(ACTION))
 
 
+def matched_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[MergeKey], target_where: Column | None = None,
+    source_where: Column | None = None, delete: Column | None = None,
+) -> DataFrame:
+    """The rows of ``target`` that :func:`merge_rows` would update.  Neither side's other rows
+    take part in the join, so null keys don't meet."""
+    names = [f"__m{i}" for i in range(len(keys))]
+    wanted = source.filter(_matchable(keys, source_where)).select(*[k.value().alias(n) for k, n in zip(keys, names)])
+    gone = F.coalesce(delete, F.lit(False)) if delete is not None else None
+    rows = target.filter(_matchable(keys, target_where, gone)).select("*", *[k.value().alias(f"t{n}") for k, n in zip(keys, names)])
+    match = F.lit(True)
+    for n in names:
+        match = match & (F.col(f"t{n}") == F.col(n))
+    return rows.join(wanted, match, "left_semi").select(*target.columns)
+
+
 def assert_unique(source: DataFrame, keys: Sequence[MergeKey], where: Column | None = None, what: str = "merge source") -> None:
     """Raise if two source rows that may match have equal keys, as the match compares them."""
     values = source.filter(_matchable(keys, where)).select(*[k.value().alias(f"k{i}") for i, k in enumerate(keys)])

@@ -33,6 +33,29 @@ for _k in SLICES:
     ORACLES[f"sales_order_slice_{_k}"] = (lambda k=_k: sales_order_sql(k))
 for _k in SLICES:
     ORACLES[f"invoice_slice_{_k}"] = (lambda k=_k: invoice_sql(k))
+
+
+def _all_sql(slice_sql) -> str:
+    """The rows of all seven slices; columns that only some have are null in the others."""
+    def one(key: str) -> str:
+        ctes, final = slice_sql(key, parts=True)
+        return "SELECT * FROM (WITH " + ", ".join(f"{n} AS ({sql})" for n, sql in ctes) + f" {final})"
+
+    return " UNION ALL BY NAME ".join(map(one, SLICES))
+
+
+def _refreshed_sql(slice_sql) -> str:
+    """Rows and line prices of each division, and the total."""
+    return with_fixtures([], f"""
+      SELECT DivisionId, COUNT(*) AS RowsAfter, CAST(SUM(LinePrice) AS DECIMAL(38,4)) AS LinePrice,
+             CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS RowsRead, CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS RowsWritten
+      FROM ({_all_sql(slice_sql)}) every_slice GROUP BY DivisionId""")
+
+
+ORACLES["sales_order_all"] = lambda: with_fixtures([], _all_sql(sales_order_sql))
+ORACLES["invoice_all"] = lambda: with_fixtures([], _all_sql(invoice_sql))
+ORACLES["refresh_sales_order"] = lambda: _refreshed_sql(sales_order_sql)
+ORACLES["refresh_invoice"] = lambda: _refreshed_sql(invoice_sql)
 ORACLES["inventory_slice_split"] = inventory_sql
 ORACLES["quote_slice_split"] = quote_sql
 ORACLES["shipment_slice_split"] = shipment_sql

@@ -29,21 +29,22 @@ def part_native_by_id(tables: Mapping[str, DataFrame]) -> DataFrame:
 def latest_po_cost(
     tables: Mapping[str, DataFrame],
     po_scope: DataFrame,
+    scope: Sequence[str] = (),
 ) -> DataFrame:
-    """Latest purchase-order unit cost per native part key.
+    """Latest purchase-order unit cost per native part key (and per ``scope`` columns).
 
     ``po_scope`` is the purchase-order fact already restricted to the cost scope.
     Latest = greatest PODate, then greatest cost (nulls lowest): a grouped max over
     a struct, i.e. a partial aggregate that is safe for hot parts.
     """
     parts = part_native_by_id(tables).select("PartId", F.col("NativeId").alias("PartAutoKey"))
-    j = po_scope.select("PartId", "PODate", "UnitCost").join(parts, "PartId", "left")
+    j = po_scope.select("PartId", "PODate", "UnitCost", *scope).join(parts, "PartId", "left")
     agg = (
         j.filter(F.col("PartAutoKey").isNotNull())
-        .groupBy("PartAutoKey")
+        .groupBy("PartAutoKey", *scope)
         .agg(F.max(F.struct("PODate", "UnitCost")).alias("__m"))
     )
-    return agg.select("PartAutoKey", F.col("__m.UnitCost").alias("PoUnitCost"))
+    return agg.select("PartAutoKey", *scope, F.col("__m.UnitCost").alias("PoUnitCost"))
 
 
 def part_classes(tables: Mapping[str, DataFrame], divisions: Sequence[int] = (BASE_DIVISION,)) -> DataFrame:

@@ -181,30 +181,36 @@ class LoadScope:
 @dataclass(frozen=True)
 class MergePlan:
     """How a load matches: keys, which rows may match, which target rows go first, and the
-    divisions whose rows it can change."""
+    divisions whose rows it can change.  ``matches`` and ``deletes`` say in which divisions, and
+    in which of their departments (None: all), the target rows for that can be."""
 
     keys: tuple[MergeKey, ...]
     target_where: Column | None
     source_where: Column | None
     delete: Column | None
     touched: tuple[int, ...]
+    matches: tuple[tuple[int, tuple[int, ...] | None], ...] = ((SPLIT_DIVISION, None),)
+    deletes: tuple[tuple[int, tuple[int, ...]], ...] = ()
 
 
 def merge_plan(spec: LoadSpec, scope: LoadScope = LoadScope()) -> MergePlan:
     in_split = F.col("DivisionId") == SPLIT_DIVISION
     in_departments = F.col("DPT_AUTO_KEY").isin(*scope.departments)
     keys = tuple(MergeKey(k) for k in spec.keys)
+    both = (BASE_DIVISION, SPLIT_DIVISION)
+    of_departments = tuple((d, scope.departments) for d in both)
     if spec.kind == "receipts":
         stand_ins = {"LineNumber": F.lit(0), "ReceivedDate": ts_literal(NULL_RECEIVED_DATE)}
         keys = tuple(MergeKey(k, stand_ins.get(k)) for k in spec.keys)
-        return MergePlan(keys, None, None, in_departments, (BASE_DIVISION, SPLIT_DIVISION))
+        # (the division is a key, and the source has the split unit's only)
+        return MergePlan(keys, None, None, in_departments, both, deletes=of_departments)
     if spec.kind == "invoice":
-        return MergePlan(keys, in_split, None, in_departments, (BASE_DIVISION, SPLIT_DIVISION))
+        return MergePlan(keys, in_split, None, in_departments, both, deletes=of_departments)
     if spec.kind == "inventory" and scope.as_written:
-        return MergePlan(keys, in_departments, None, None, (BASE_DIVISION, SPLIT_DIVISION))
+        return MergePlan(keys, in_departments, None, None, both, matches=of_departments)
     if spec.kind == "purchase_order" and scope.as_written:
         never = (F.col("DivisionId") == BASE_DIVISION) & in_split
-        return MergePlan(keys, never, in_split, None, (SPLIT_DIVISION,))
+        return MergePlan(keys, never, in_split, None, (SPLIT_DIVISION,), matches=())
     return MergePlan(keys, in_split, in_split, None, (SPLIT_DIVISION,))
 
 

@@ -2,10 +2,12 @@
 
 ``run_load`` evaluates the slice once (written to the shared checkpoint folder, so all
 steps read the same rows and lineage is cut), checks that no target row can match two
-source rows, applies the guard where the load has one, merges and publishes the new
-version of the divisions that the load can touch, and appends RUNNING and PASS/FAIL
-rows to the run log.  The target's divisions are read once; counts are observed on the
-rows being published.
+source rows, applies the guard where the load has one, merges, publishes and appends
+RUNNING and PASS/FAIL rows to the run log.  Of the target only the folders (division and
+department bucket) in which a row is updated, deleted or inserted are read and written;
+which those are follows from the scope, from the source's departments and, unless these
+cover the rest, from a join of the key columns alone.  Counts are observed on the rows
+being published.
 
 Counts: RowsRead are the staged source rows, RowsWritten the inserted ones, RowsUpdated
 the source rows that matched (each source row either matches or is inserted), and
@@ -23,8 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slicewright.config import BASE_DIVISION, SPLIT_DIVISION, VOLUME_GUARD_RATIO, EntityConfig, RunContext
-from slicewright.operators.merge import ACTION, DELETE, INSERT, UPDATE, assert_unique, volume_guard
-from slicewright.plans.loads import FLAG, SPECS, STAMP, LoadScope, LoadSpec, merge_load, merge_plan, prepare_source
+from slicewright.operators.entity import entity_by_department
+from slicewright.operators.merge import ACTION, DELETE, INSERT, KEEP, UPDATE, assert_unique, matched_rows, volume_guard
+from slicewright.plans.loads import FLAG, SPECS, STAMP, LoadScope, LoadSpec, MergePlan, merge_load, merge_plan, prepare_source
 from slicewright.plans.reclassify import FACT_TABLES, moved, reclassify_fact
 from slicewright.session import scratch_path
 from slicewright.sources import snapshot
@@ -45,7 +48,7 @@ def log_row(spark: SparkSession, log_path: str, **values) -> None:
     spark.createDataFrame([row], RUN_LOG_SCHEMA).write.mode("append").parquet(log_path)
 
 
-class _Logged:
+class Logged:
     """The run-log rows around one job: RUNNING, then PASS with counts or FAIL with the error."""
 
     def __init__(self, spark: SparkSession, log_path: str, ctx: RunContext, process: str, source: str, target: str):
@@ -59,7 +62,7 @@ class _Logged:
     def row(self, **values) -> None:
         log_row(self.spark, self.log_path, **self.base, **values, LoggedAt=dt.datetime.now())
 
-    def __enter__(self) -> _Logged:
+    def __enter__(self) -> Logged:
         self.row(Status="RUNNING")
         return self
 
@@ -85,6 +88,26 @@ def staged_source(spark: SparkSession, spec: LoadSpec, slice_df: DataFrame, run_
     return spark.read.parquet(path)
 
 
+def touched_folders(spark: SparkSession, root: str, plan: MergePlan, source: DataFrame) -> set[str]:
+    """Names of the target's folders (those to come included) whose rows the load changes."""
+    version = snapshot.current(spark, root)
+    at = [snapshot.PARTITION, snapshot.BUCKET]
+    places = lambda rows: rows.select(snapshot.PARTITION, snapshot.bucket_column().alias(snapshot.BUCKET)).distinct().collect()
+    # one row for each division and bucket at most
+    inserts = {snapshot.folder_name(*(r[c] for c in at)) for r in places(source)}
+    touched = {n for n in version.folders if snapshot.plain(n) in inserts} if version else set()
+    for division, departments in plan.deletes:
+        touched |= snapshot.folders_in(version, division, departments)
+    open_ = set().union(*(snapshot.folders_in(version, *m) for m in plan.matches)) - touched
+    if open_:
+        rows = snapshot.read_current(spark, root, names=open_)
+        found = {snapshot.folder_name(*(r[c] for c in at)) for r in places(
+            matched_rows(rows, source, plan.keys, plan.target_where, plan.source_where, plan.delete)
+        )}
+        touched |= {n for n in open_ if snapshot.plain(n) in found or "/" not in n}
+    return touched | inserts
+
+
 def run_load(
     spark: SparkSession,
     kind: str,
@@ -95,32 +118,40 @@ def run_load(
     scope: LoadScope = LoadScope(),
     audit_path: str | None = None,
 ) -> dict:
-    """Run one load.  With ``audit_path`` the merged rows and their actions are also written
-    there, deleted rows included."""
+    """Run one load.  With ``audit_path`` the rows of all divisions in its reach are also written
+    there with their actions, deleted rows included."""
     spec = SPECS[kind]
     plan = merge_plan(spec, scope)
-    with _Logged(spark, log_path, ctx, f"load_{kind}", spec.slice_job, spec.target_name) as log:
+    with Logged(spark, log_path, ctx, f"load_{kind}", spec.slice_job, spec.target_name) as log:
         source = staged_source(spark, spec, slice_df, log.id)
         rows_read = source.count()
         assert_unique(source, plan.keys, plan.source_where)
-        target = snapshot.read_current(spark, target_root, only=plan.touched)
-        if target is None:
-            target = spark.createDataFrame([], target_schema(spec, source))
+        loaded = snapshot.read_current(spark, target_root, only=plan.touched)
+        if loaded is None:
+            loaded = spark.createDataFrame([], target_schema(spec, source))
         if kind == "receipts":
-            guard = volume_guard(source, target, F.col("DivisionId") == SPLIT_DIVISION, VOLUME_GUARD_RATIO).first()
+            guard = volume_guard(source, loaded, F.col("DivisionId") == SPLIT_DIVISION, VOLUME_GUARD_RATIO).first()
             if not guard["Pass"]:
                 counts = dict.fromkeys(COUNTS, 0) | {"RowsRead": rows_read, "RowsByPassed": rows_read}
                 return log.passed(counts, BLOCKED) | {
                     "Blocked": True, "SourceRows": guard["SourceRows"], "TargetRows": guard["TargetRows"]
                 }
+        names = touched_folders(spark, target_root, plan, source)
+        version = snapshot.current(spark, target_root)
+        held = names & set(version.folders) if version else set()
+        target = snapshot.read_current(spark, target_root, names=held) if version else loaded
         merged = merge_load(spec, target, source, ctx, scope)
         if audit_path is not None:
-            merged.write.mode("errorifexists").parquet(audit_path)
-            merged = spark.read.parquet(audit_path)
+            merged.write.mode("errorifexists").parquet(f"{audit_path}/changed=1")
+            rest = set().union(*(snapshot.folders_in(version, d) for d in plan.touched)) - held
+            if rest:
+                others = snapshot.read_current(spark, target_root, names=rest).withColumn(ACTION, F.lit(KEEP))
+                others.write.mode("errorifexists").parquet(f"{audit_path}/changed=0")
+            merged = spark.read.parquet(f"{audit_path}/changed=1")
         seen = Observation(f"merge_{kind}")
         count = lambda action: F.sum(F.when(F.col(ACTION) == action, 1).otherwise(0))
         merged = merged.observe(seen, count(INSERT).alias("i"), count(UPDATE).alias("u"), count(DELETE).alias("d"))
-        snapshot.publish(spark, merged.filter(F.col(ACTION) != DELETE).drop(ACTION), target_root, plan.touched)
+        snapshot.publish(spark, merged.filter(F.col(ACTION) != DELETE).drop(ACTION), target_root, names=names)
         n = {k: int(v or 0) for k, v in seen.get.items()}
         counts = {
             "RowsRead": rows_read, "RowsWritten": n["i"], "RowsUpdated": rows_read - n["i"], "RowsDeleted": n["d"],
@@ -138,21 +169,31 @@ def run_reclassify(
     ctx: RunContext = RunContext(),
     cfg: EntityConfig = EntityConfig(),
 ) -> dict:
-    """Move the split unit's rows of a published fact out of the base division: only the base
-    and the split division are read and written."""
-    touched = (BASE_DIVISION, SPLIT_DIVISION)
-    with _Logged(spark, log_path, ctx, f"reclassify_{fact}", FACT_TABLES[fact], FACT_TABLES[fact]) as log:
-        rows = snapshot.read_current(spark, target_root, only=touched)
-        if rows is None:
+    """Move the split unit's rows of a published fact out of the base division.  Of the base
+    division only the department buckets that hold such rows are read in full and written; the
+    moved rows are added beside those of the split division.  If none moves, nothing is written."""
+    reach = (BASE_DIVISION, SPLIT_DIVISION)
+    with Logged(spark, log_path, ctx, f"reclassify_{fact}", FACT_TABLES[fact], FACT_TABLES[fact]) as log:
+        version = snapshot.current(spark, target_root)
+        if version is None:
             return log.passed(dict.fromkeys(COUNTS, 0))
-        result = reclassify_fact(tables, rows, cfg, mark=True)
-        seen = Observation(f"reclassify_{fact}")
-        result = result.observe(
-            seen, F.count(F.lit(1)).alias("n"), F.sum(F.col(moved).cast("int")).alias("m")
-        )
-        snapshot.publish(spark, result.drop(moved), target_root, touched)
-        n, m = int(seen.get["n"] or 0), int(seen.get["m"] or 0)
-        return log.passed({"RowsRead": n, "RowsWritten": 0, "RowsUpdated": m, "RowsDeleted": 0, "RowsByPassed": n - m})
+        n = snapshot.read_current(spark, target_root, only=reach).count()
+        counts = dict.fromkeys(COUNTS, 0) | {"RowsRead": n, "RowsByPassed": n}
+        entity = entity_by_department(tables, cfg).filter(F.col("DEPT_Definition") == cfg.label_of(SPLIT_DIVISION))
+        departments = [r[0] for r in entity.select("DPT_AUTO_KEY").distinct().collect()]  # of one entity
+        names = snapshot.folders_in(version, BASE_DIVISION, departments)
+        if not names:
+            return log.passed(counts)
+        narrow = snapshot.read_current(spark, target_root, names=names).select("DPT_AUTO_KEY", "DivisionId", "IsSplit")
+        bucket = snapshot.bucket_column().alias(snapshot.BUCKET)
+        hit = reclassify_fact(tables, narrow, cfg, mark=True).filter(moved).groupBy(bucket).count().collect()  # a row a bucket
+        m, buckets = sum(r["count"] for r in hit), {snapshot.folder_name(BASE_DIVISION, r[snapshot.BUCKET]) for r in hit}
+        if not m:
+            return log.passed(counts)
+        names = {x for x in names if snapshot.plain(x) in buckets or "/" not in x}
+        rows = reclassify_fact(tables, snapshot.read_current(spark, target_root, names=names), cfg)
+        snapshot.publish(spark, rows, target_root, names=names, beside=True)
+        return log.passed(counts | {"RowsUpdated": m, "RowsByPassed": n - m})
 
 
 def run_all(

@@ -11,13 +11,15 @@ Plan (one lazy DataFrame):
 3. dimension lookups (division-1 scope, ``-1`` default), contract number, latest
    purchase-order cost per part, previous month's product class, address split;
 4. the 47 output columns, ``rownum`` and ``Rank`` (both 1 after the filter).
+
+``sales_order_all`` does the same for all divisions in one pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slicewright.config import (
@@ -67,13 +69,13 @@ def latest_lines(detail: DataFrame, columns: Sequence[str] | None = None) -> Dat
     )
 
 
-def headers_in_division(tables: Mapping[str, DataFrame], entity: DataFrame, division_id: int) -> DataFrame:
+def headers_in_divisions(tables: Mapping[str, DataFrame], entity: DataFrame, divisions: Sequence[int]) -> DataFrame:
     h = one_per_key(
         tables["stg_so_header"],
         "SOH_AUTO_KEY",
         ["DPT_AUTO_KEY", "SYSCM_AUTO_KEY", "SOS_AUTO_KEY"],
     )
-    h = classify(h, entity, "DPT_AUTO_KEY", "DivisionId").filter(F.col("DivisionId") == division_id)
+    h = classify(h, entity, "DPT_AUTO_KEY", "DivisionId").filter(F.col("DivisionId").isin(*divisions))
     h = lookup(h, tables["stg_so_status"], "SOS_AUTO_KEY", "SOS_AUTO_KEY", {"Status": "DESCRIPTION"})
     h = h.join(min_division_per_company(tables), "SYSCM_AUTO_KEY", "left")
     return h.select(
@@ -93,6 +95,33 @@ def po_cost_scope(
     return classify(po, entity, "DPT_AUTO_KEY", "__po_div").filter(F.col("__po_div") == sl.division_id)
 
 
+def scoped_po_costs(
+    tables: Mapping[str, DataFrame], entity: DataFrame, slices: Sequence[DivisionSlice], fact_divisions: Sequence[int]
+) -> DataFrame:
+    """Latest cost per part and slice (``PartAutoKey``, ``__c_div``), in one pass over the
+    purchase orders: a row counts for its department's entity, and in the fact's own base
+    divisions for the split unit too."""
+    po = classify(tables["f_purchase_order"], entity, "DPT_AUTO_KEY", "__po_div")
+    own = [sl.division_id for sl in slices if not sl.split_unit]
+    in_base = F.col("DivisionId").isin(*fact_divisions)
+    scopes = [F.when(F.col("__po_div").isin(*own), F.col("__po_div"))] if own else []
+    scopes += [F.when(in_base, F.lit(sl.division_id)) for sl in slices if sl.split_unit]
+    po = po.select("PartId", "PODate", "UnitCost", F.explode(F.array_compact(F.array(*scopes))).alias("__c_div"))
+    return latest_po_cost(tables, po, ("__c_div",))
+
+
+def detail_of(tables: Mapping[str, DataFrame], h: DataFrame) -> DataFrame:
+    """The latest lines of the headers ``h``, with the headers' columns."""
+    detail = tables["stg_so_detail"]
+    if is_bounded(tables["stg_so_header"]):
+        # the header decides the division and is in the dedupe key: other divisions' lines go
+        # before the sort, in the scan's stage, and the partial limit stays
+        so = detail.join(F.broadcast(h), detail["SOH_AUTO_KEY"] == h["__h_soh"])
+        return latest_lines(so, detail.columns).drop("__h_soh")
+    so = latest_lines(detail)
+    return so.join(h, so["SOH_AUTO_KEY"] == h["__h_soh"]).drop("__h_soh")
+
+
 def sales_order_slice(
     tables: Mapping[str, DataFrame],
     sl: DivisionSlice | str = "split",
@@ -101,18 +130,33 @@ def sales_order_slice(
 ) -> DataFrame:
     sl = SLICES[sl] if isinstance(sl, str) else sl
     entity = entity_by_department(tables, cfg)
+    so = detail_of(tables, headers_in_divisions(tables, entity, [sl.division_id]))
+    costs = latest_po_cost(tables, po_cost_scope(tables, entity, sl, fact_divisions))
+    return _shaped(tables, so, costs, F.col("PNM_AUTO_KEY") == costs["PartAutoKey"], F.lit(sl.division_id), fact_divisions)
 
-    detail = tables["stg_so_detail"]
-    h = headers_in_division(tables, entity, sl.division_id)
-    if is_bounded(tables["stg_so_header"]):
-        # the header decides the division and is in the dedupe key: other divisions' lines go
-        # before the sort, in the scan's stage, and the partial limit stays
-        so = detail.join(F.broadcast(h), detail["SOH_AUTO_KEY"] == h["__h_soh"])
-        so = latest_lines(so, detail.columns).drop("__h_soh")
-    else:
-        so = latest_lines(detail)
-        so = so.join(h, so["SOH_AUTO_KEY"] == h["__h_soh"]).drop("__h_soh")
 
+def sales_order_all(
+    tables: Mapping[str, DataFrame],
+    slices: Sequence[DivisionSlice] = tuple(SLICES.values()),
+    cfg: EntityConfig = EntityConfig(),
+    fact_divisions: Sequence[int] = (BASE_DIVISION,),
+) -> DataFrame:
+    """The rows of all ``slices`` in one pass.  A header has one division, so a line belongs to
+    one slice at most: the lines are read, deduplicated and looked up once, and ``DivisionId``
+    tells the slices apart.  Only the purchase-order cost depends on the slice; it is joined on
+    part and division."""
+    entity = entity_by_department(tables, cfg)
+    so = detail_of(tables, headers_in_divisions(tables, entity, [sl.division_id for sl in slices]))
+    costs = scoped_po_costs(tables, entity, slices, fact_divisions)
+    on = (F.col("PNM_AUTO_KEY") == costs["PartAutoKey"]) & (F.col("DivisionId") == costs["__c_div"])
+    return _shaped(tables, so, costs, on, F.col("DivisionId").cast("int"), fact_divisions)
+
+
+def _shaped(
+    tables: Mapping[str, DataFrame], so: DataFrame, costs: DataFrame, costs_on: Column, division: Column,
+    fact_divisions: Sequence[int],
+) -> DataFrame:
+    """Lookups and output columns of deduplicated lines."""
     lk = Lookups(so)
     lk.key(tables["d_customer"], "CMP_AUTO_KEY", "CustomerId")
     lk.key(tables["d_employee"], "SYSUR_AUTO_KEY", "EmployeeId")
@@ -125,8 +169,7 @@ def sales_order_slice(
     lk.key(tables["d_warehouse"], "WHS_AUTO_KEY", "WarehouseId")
     lk.add(tables["stg_contract_header"], "CTH_AUTO_KEY", "CTH_AUTO_KEY", {"CONTRACT_NUMBER": "CONTRACT_NUMBER"})
 
-    costs = latest_po_cost(tables, po_cost_scope(tables, entity, sl, fact_divisions))
-    lk.join(costs, F.col("PNM_AUTO_KEY") == costs["PartAutoKey"])
+    lk.join(costs, costs_on)
 
     classes = part_classes(tables, fact_divisions)
     prev_month = X.month_number(F.add_months(F.col("SHIP_DATE").cast("date"), -1))
@@ -140,7 +183,7 @@ def sales_order_slice(
         F.col("SOD_AUTO_KEY").alias("NativeLineId"),
         "CustomerId", "SalesRepId", "PartId", "AltPartId", "EmployeeId", "WarehouseId", "RouteId",
         "SYSCM_AUTO_KEY", "DPT_AUTO_KEY", "DIV_AUTO_KEY",
-        F.lit(sl.division_id).alias("DivisionId"),
+        division.alias("DivisionId"),
         F.col("SO_NUMBER").alias("SONumber"),
         F.col("ITEM_NUMBER").alias("LineNumber"),
         F.col("CQD_AUTO_KEY").alias("NativeQuoteLineId"),

@@ -17,14 +17,15 @@ from slicewright.config import SLICES, EntityConfig
 from slicewright.operators.entity import entity_dim
 from slicewright.operators.merge import ACTION, DELETE, KEEP
 from slicewright.plans.inventory import inventory_slice
-from slicewright.plans.invoice import invoice_slice
+from slicewright.plans.invoice import invoice_all, invoice_slice
 from slicewright.plans.loads import SPECS, LoadScope, blocked_receipt_target, merge_plan, seed_target
 from slicewright.plans.purchase_order import purchase_order_slice, zero_factors
 from slicewright.plans.quote import quote_slice
 from slicewright.plans.receipts import receipt_slice
 from slicewright.plans.reclassify import FACT_TABLES, reclassify_fact, with_split_flag
 from slicewright.plans.runner import COUNTS, run_load, run_reclassify
-from slicewright.plans.sales_order import sales_order_slice
+from slicewright.plans.refresh import run_refresh
+from slicewright.plans.sales_order import sales_order_all, sales_order_slice
 from slicewright.plans.shipment import shipment_slice
 from slicewright.plans.units import UNITS
 from slicewright.session import scratch_path
@@ -41,6 +42,8 @@ for _k in SLICES:
     JOBS[f"sales_order_slice_{_k}"] = lambda spark, t, k=_k: sales_order_slice(t, k)
 for _k in SLICES:
     JOBS[f"invoice_slice_{_k}"] = lambda spark, t, k=_k: invoice_slice(t, k)
+JOBS["sales_order_all"] = lambda spark, t: sales_order_all(t)
+JOBS["invoice_all"] = lambda spark, t: invoice_all(t)
 JOBS["inventory_slice_split"] = lambda spark, t: inventory_slice(t)
 JOBS["quote_slice_split"] = lambda spark, t: quote_slice(t)
 JOBS["shipment_slice_split"] = lambda spark, t: shipment_slice(t)
@@ -74,7 +77,7 @@ class LoadRun:
 
     def rows(self) -> DataFrame:
         """The published target with what the load did to each row."""
-        changed = self.spark.read.parquet(self.audit).filter(F.col(ACTION) != DELETE)
+        changed = self.spark.read.parquet(self.audit).filter(F.col(ACTION) != DELETE).drop("changed")
         rest = snapshot.read_current(self.spark, self.target, without=self.touched)
         return changed.unionByName(rest.withColumn(ACTION, F.lit(KEEP)))
 
@@ -114,6 +117,23 @@ def _reclassify_counts(fact: str) -> Job:
     return run
 
 
+def _refreshed(family: str) -> Job:
+    """All entities published in one refresh: rows and line prices of each division's folder,
+    beside the logged counts."""
+
+    def run(spark, t):
+        root = scratch_path(spark, "load-queries", uuid.uuid4().hex)
+        done = run_refresh(spark, family, t, f"{root}/{family}", f"{root}/run_log")
+        after = snapshot.read_current(spark, f"{root}/{family}").groupBy("DivisionId").agg(
+            F.count(F.lit(1)).alias("RowsAfter"), F.sum("LinePrice").cast("decimal(38,4)").alias("LinePrice")
+        )
+        return after.select("*", *[F.lit(done[c]).cast("bigint").alias(c) for c in ("RowsRead", "RowsWritten")])
+
+    return run
+
+
+for _k in ("sales_order", "invoice"):
+    JOBS[f"refresh_{_k}"] = _refreshed(_k)
 _RECLASS_SEED = {"sales_order": "f_sales_order", "invoice": "f_invoice", "inventory": "f_inventory",
                  "purchase_order": "f_purchase_order"}
 _RECLASS_SLICE = {"receipts": "receipt_slice_split", "quote": "quote_slice_split",

@@ -1,9 +1,10 @@
 """Versions of a fact table on shared storage.
 
-A version is a manifest: the table's schema and, for each division, the folder that
-holds its rows.  A load writes only the divisions it can touch, into a folder whose
-name is never used again, and its manifest points to the earlier folders for the
-rest.  ``_CURRENT`` names the current manifest and is replaced by one overwriting
+A version is a manifest: the table's schema and, for each division and department bucket,
+the folder that holds its rows (for each division alone, if the table has no department).
+A job writes only the folders whose rows it changes, under a name that is never used
+again, and its manifest points to the earlier folders for the rest.  Rows that move to a
+folder which the job doesn't read are added beside it.  ``_CURRENT`` names the current manifest and is replaced by one overwriting
 rename, as the last step; until then, and after any failure, the previous version
 is current and whole.  Manifests without a pointer mean that the pointer was lost,
 which is an error, not an empty table.
@@ -19,12 +20,20 @@ import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 POINTER = "_CURRENT"
 PARTITION = "DivisionId"
+DEPARTMENT = "DPT_AUTO_KEY"
+#: Derived from the department at each write; readers don't see it.
+BUCKET = "DeptBucket"
+BUCKETS = 16
+#: Marks a folder that was added beside another of its name.
+_BESIDE = "+"
 
 
 class LostPointerError(RuntimeError):
@@ -91,39 +100,93 @@ def partition_folder(value: object) -> str:
     return f"{PARTITION}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
 
+def bucket_of(department: int | None) -> int:
+    return (-1 if department is None else int(department)) % BUCKETS
+
+
+def bucket_column(department: str = DEPARTMENT) -> Column:
+    return F.pmod(F.coalesce(F.col(department).cast("long"), F.lit(-1)), F.lit(BUCKETS)).cast("int")
+
+
+def folder_name(division: object, bucket: int | None = None) -> str:
+    return partition_folder(division) + ("" if bucket is None else f"/{BUCKET}={bucket}")
+
+
+def plain(name: str) -> str:
+    """A folder's division and bucket."""
+    return name.split(_BESIDE)[0]
+
+
+def folders_in(version: Version | None, division: object, departments: Iterable[int | None] | None = None) -> set[str]:
+    """Names of the folders that can hold rows of a division (and of some departments)."""
+    of_division = {n for n in version.folders if plain(n).split("/")[0] == partition_folder(division)} if version else set()
+    if departments is None:
+        return of_division
+    wanted = {partition_folder(division), *(folder_name(division, bucket_of(d)) for d in departments)}
+    return {n for n in of_division if plain(n) in wanted}
+
+
 def read_current(
-    spark: SparkSession, root: str, only: Iterable[object] | None = None, without: Iterable[object] = ()
+    spark: SparkSession, root: str, only: Iterable[object] | None = None, without: Iterable[object] = (),
+    names: Iterable[str] | None = None,
 ) -> DataFrame | None:
-    """The current rows, or those of some divisions; None if nothing was ever published."""
+    """The current rows, or those of some divisions or of the folders ``names``; None if nothing
+    was ever published."""
     version = current(spark, root)
     if version is None:
         return None
-    wanted = set(version.folders) if only is None else {partition_folder(v) for v in only}
-    wanted -= {partition_folder(v) for v in without}
-    paths = [f"{root}/{f}" for name, f in sorted(version.folders.items()) if name in wanted]
-    if not paths:
-        return spark.createDataFrame([], version.schema)
-    schema = T.StructType([*version.schema.fields, T.StructField("v", T.StringType())])
-    rows = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*paths)
-    return rows.select(*version.schema.names)
-
-
-def publish(spark: SparkSession, df: DataFrame, root: str, touched: Iterable[object] | None = None) -> Version:
-    """Make a new version current: ``df`` replaces the divisions ``touched`` (all, if None);
-    the others stay where they are."""
+    wanted = set(version.folders) if names is None else set(names)
+    if only is not None:
+        wanted &= set().union(*(folders_in(version, v) for v in only))
+    wanted -= set().union(*(folders_in(version, v) for v in without))
+    return _read(spark, root, version, wanted)
+
+
+def _read(spark: SparkSession, root: str, version: Version, names: Iterable[str]) -> DataFrame:
+    parts = []
+    for extra in ((), (BUCKET,)):  # folders of divisions, folders of buckets
+        paths = [f"{root}/{version.folders[n]}" for n in sorted(names) if ("/" in plain(n)) == bool(extra)]
+        if paths:
+            fields = [T.StructField("v", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in extra]]
+            schema = T.StructType([*version.schema.fields, *fields])
+            rows = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*paths)
+            parts.append(rows.select(*version.schema.names))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], version.schema)
+
+
+def publish(
+    spark: SparkSession, df: DataFrame, root: str, touched: Iterable[object] | None = None,
+    names: Iterable[str] | None = None, beside: bool = False,
+) -> Version:
+    """Make a new version current: ``df`` replaces the divisions ``touched``, or the folders
+    ``names``, or all (if both are None); the rest stays where it is.  Rows for other folders
+    are refused, or with ``beside`` added beside what those hold."""
     before = current(spark, root)
     folder = f"data/v={uuid.uuid4().hex}"
-    (
-        df.write.mode("errorifexists").option("partitionOverwriteMode", "static")
-        .partitionBy(PARTITION).parquet(f"{root}/{folder}")
-    )
-    written = {n: f"{folder}/{n}" for n in _names(spark, f"{root}/{folder}") if n.startswith(f"{PARTITION}=")}
+    levels = [PARTITION]
+    out = df
+    if DEPARTMENT in df.columns:
+        levels.append(BUCKET)
+        # rows of a folder meet in few files; Spark splits those of a large one
+        out = df.withColumn(BUCKET, bucket_column()).hint("rebalance", *map(F.col, levels))
+    out.write.mode("errorifexists").option("partitionOverwriteMode", "static").partitionBy(*levels).parquet(f"{root}/{folder}")
+    listed = [n for n in _names(spark, f"{root}/{folder}") if n.startswith(f"{PARTITION}=")]
+    if len(levels) > 1:
+        listed = [f"{n}/{m}" for n in listed for m in _names(spark, f"{root}/{folder}/{n}") if m.startswith(f"{BUCKET}=")]
+    written = {n: f"{folder}/{n}" for n in listed}
     kept: dict[str, str] = {}
-    if touched is not None and before is not None:
-        replaced = {partition_folder(v) for v in touched}
-        if outside := set(written) - replaced:
-            raise ValueError(f"rows outside the divisions of this load: {sorted(outside)}")
-        kept = {n: f for n, f in before.folders.items() if n not in replaced}
+    if before is not None and (touched is not None or names is not None):
+        if names is not None:
+            gone, replaced = set(names), {plain(n) for n in names}
+            outside = {n for n in written if n not in replaced and any(plain(o) == n for o in before.folders)}
+        else:
+            divisions = {partition_folder(v) for v in touched}
+            gone = {n for n in before.folders if plain(n).split("/")[0] in divisions}
+            outside = {n for n in written if n.split("/")[0] not in divisions}
+        if outside and not beside:
+            raise ValueError(f"rows outside the folders of this load: {sorted(outside)}")
+        kept = {n: f for n, f in before.folders.items() if n not in gone}
+        written = {f"{n}{_BESIDE}{uuid.uuid4().hex[:8]}" if n in outside else n: f for n, f in written.items()}
     version = Version(before.number + 1 if before else 1, df.schema, kept | written)
     name = f"{version.number:08d}-{uuid.uuid4().hex}.json"
     text = json.dumps({"number": version.number, "schema": df.schema.jsonValue(), "folders": version.folders})
