@@ -49,12 +49,12 @@ def powers(base: int, n: int, inverse: bool = False) -> np.ndarray:
     return _powers(pow(base, -1, 1 << 64) if inverse else base, size)[:n]
 
 
-@lru_cache(maxsize=16)
+@lru_cache(maxsize=8)
 def _prime_powers(base: int, prime: int, n: int) -> np.ndarray:
-    out = np.ones(n, U64)
+    out = np.ones(n, np.uint32)
     size = 1
     while size < n:
-        out[size : 2 * size] = out[: min(size, n - size)] * U64(pow(base, size, prime)) % U64(prime)
+        out[size : 2 * size] = out[: min(size, n - size)].astype(U64) * U64(pow(base, size, prime)) % U64(prime)
         size *= 2
     return out
 
@@ -154,7 +154,7 @@ def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
             terms %= U64(prime)
         np.cumsum(terms, out=sums[1:])
         back = prime_powers(base, prime, len(data) + 1, inverse=True)
-        found = (found << U64(32)) | ((sums[end] - sums[start]) % U64(prime) * back[start] % U64(prime))
+        found = (found << U64(32)) | ((sums[end] - sums[start]) % U64(prime) * back[start].astype(U64) % U64(prime))
     return mix(found)
 
 
