@@ -135,5 +135,7 @@ def with_flags(rows: DataFrame, flags: DataFrame, key: str) -> DataFrame:
     match; they carry numbers of their own in the join, so that they don't meet in one task."""
     spread = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1))
     left = rows.withColumn("_spread", spread)
-    right = flags.filter(F.col(key).isNotNull()).withColumn("_spread", F.lit(-1).cast("long"))
+    # (computed, as a literal would be folded into the condition and no longer be a key)
+    minus_one = F.least(F.spark_partition_id(), F.lit(0)).cast("long") - 1
+    right = flags.filter(F.col(key).isNotNull()).withColumn("_spread", minus_one)
     return left.join(right, [key, "_spread"], "left").drop("_spread")
