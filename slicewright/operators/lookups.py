@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from slicewright.config import DIMENSION_DIVISION
 from slicewright.functions.exprs import key_or_unknown
+from slicewright.operators.broadcast import is_bounded
 from slicewright.operators.dedupe import one_per_key
 
 _ids = count()
@@ -29,6 +30,22 @@ def _kept(df: DataFrame) -> dict[tuple, DataFrame]:
     return df.__dict__.setdefault("_derived", {})
 
 
+def left_join(left: DataFrame, side: DataFrame, on: Column, key: Column, bound: DataFrame) -> DataFrame:
+    """``left`` ⟕ ``side`` on ``on``, which asks ``key`` of the left side to equal something.
+
+    Unless ``bound`` (a relation at least as large as ``side``) is small enough to be broadcast,
+    the rows whose key is null, which can't match, get a number of their own as a further join
+    key, so that they don't meet in one task; all others have 0 there.  (The side's 0 is
+    computed: a literal would be folded into the condition, and no longer be a key.)"""
+    if is_bounded(bound):
+        return left.join(side, on, "left")
+    tag = f"__null{next(_ids)}"
+    own = F.when(key.isNull(), F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("long"))
+    zero = F.least(F.spark_partition_id(), F.lit(0)).cast("long")
+    left, side = left.withColumn(f"{tag}_l", own), side.withColumn(f"{tag}_r", zero)
+    return left.join(side, on & (F.col(f"{tag}_l") == F.col(f"{tag}_r")), "left").drop(f"{tag}_l", f"{tag}_r")
+
+
 def lookup_side(right: DataFrame, right_key: str, src: Sequence[str]) -> DataFrame:
     """``right`` reduced to one row per ``right_key``: columns ``k, v0, v1, ...``.
 
@@ -83,7 +100,7 @@ def lookup(
     src = list(dict.fromkeys(values.values()))
     side = lookup_side(right, right_key, src).toDF(f"{tag}_k", *[f"{tag}_{i}" for i in range(len(src))])
     lk = F.col(left_key) if isinstance(left_key, str) else left_key
-    joined = left.join(side, lk == F.col(f"{tag}_k"), "left")
+    joined = left_join(left, side, lk == F.col(f"{tag}_k"), lk, right)
     outs = []
     for out_c, src_c in values.items():
         c = F.col(f"{tag}_{src.index(src_c)}")
@@ -142,7 +159,7 @@ class Lookups:
         src = list(dict.fromkeys(values.values()))
         side = lookup_side(right, right_key, src).toDF(f"{tag}_k", *[f"{tag}_{i}" for i in range(len(src))])
         lk = self.col(left_key) if isinstance(left_key, str) else left_key
-        self.df = self.df.join(side, lk == F.col(f"{tag}_k"), "left")
+        self.df = left_join(self.df, side, lk == F.col(f"{tag}_k"), lk, right)
         for out_c, src_c in values.items():
             c = F.col(f"{tag}_{src.index(src_c)}")
             self._outs[out_c] = key_or_unknown(c) if out_c in default_unknown else c
@@ -163,9 +180,13 @@ class Lookups:
         return self.add(scoped(dim, division, **equals), left_key, native, {out: id_col},
                         default_unknown=(out,) if default else ())
 
-    def join(self, other: DataFrame, on: Column, how: str = "left") -> Lookups:
-        """A plain join in the chain (pre-reduced side, e.g. an aggregate)."""
+    def join(self, other: DataFrame, on: Column, how: str = "left", key: str | Column | None = None) -> Lookups:
+        """A plain join in the chain (pre-reduced side, e.g. an aggregate).  ``key``: a column of
+        the large side that ``on`` asks to be equal, whose nulls are spread in a left join."""
         self._base += [c for c in other.columns if c not in self._base]
+        if key is not None and how == "left":
+            self.df = left_join(self.df, other, on, self.col(key) if isinstance(key, str) else key, other)
+            return self
         self.df = self.df.join(other, on, how)
         return self
 

@@ -62,6 +62,8 @@ ORACLES["shipment_slice_split"] = shipment_sql
 ORACLES["purchase_order_slice_split"] = purchase_order_sql
 ORACLES["receipt_slice_split"] = receipt_sql
 ORACLES["receipt_slice_by_order"] = lambda: receipt_sql(by_order=True)
+ORACLES["sales_order_slice_bucketed"] = lambda: sales_order_sql("split")
+ORACLES["receipt_slice_bucketed"] = receipt_sql
 ORACLES["zero_factors"] = zero_factors_sql
 for _k in ("sales_order", "invoice", "inventory", "purchase_order", "shipment", "receipts"):
     ORACLES[f"load_{_k}"] = (lambda k=_k: load_sql(k))

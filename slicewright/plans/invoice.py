@@ -132,8 +132,8 @@ def _shaped(
     lk.key(tables["d_sales_rep"], "SPN_AUTO_KEY", "SalesRepId")
     lk.key(tables["d_route"], "ROUTE_CODE", "RouteId", native="RouteCode", Source="Sales")
     lta = long_term_by_line(tables, fact_divisions)
-    lk.join(lta, F.col("SOD_AUTO_KEY") == lta["__so_line"])
-    lk.join(tax, tax_on)
+    lk.join(lta, F.col("SOD_AUTO_KEY") == lta["__so_line"], key="SOD_AUTO_KEY")
+    lk.join(tax, tax_on, key="INVC_NUMBER")
     inv = lk.done()
     inv = with_billing_address(inv)
 

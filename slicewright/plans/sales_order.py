@@ -169,11 +169,11 @@ def _shaped(
     lk.key(tables["d_warehouse"], "WHS_AUTO_KEY", "WarehouseId")
     lk.add(tables["stg_contract_header"], "CTH_AUTO_KEY", "CTH_AUTO_KEY", {"CONTRACT_NUMBER": "CONTRACT_NUMBER"})
 
-    lk.join(costs, costs_on)
+    lk.join(costs, costs_on, key="PNM_AUTO_KEY")
 
     classes = part_classes(tables, fact_divisions)
     prev_month = X.month_number(F.add_months(F.col("SHIP_DATE").cast("date"), -1))
-    lk.join(classes, (lk.col("__pt_number") == F.col("__pc_part")) & (prev_month == F.col("__pc_month")))
+    lk.join(classes, (lk.col("__pt_number") == F.col("__pc_part")) & (prev_month == F.col("__pc_month")), key="__pt_number")
     so = lk.done()
     so = with_billing_address(so)
 

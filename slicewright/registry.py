@@ -8,7 +8,7 @@ relations derived from the test tables in ``sf_dir`` (whole tables, no sampling)
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ from slicewright.plans.shipment import shipment_slice
 from slicewright.plans.units import UNITS
 from slicewright.session import scratch_path
 from slicewright.sources import snapshot
+from slicewright.sources.bucketing import BUCKET_KEYS, stage_bucketed
 from slicewright.sources.catalog import fixture_tables
 
 Job = Callable[[SparkSession, Mapping[str, DataFrame]], DataFrame]
@@ -50,6 +51,21 @@ JOBS["shipment_slice_split"] = lambda spark, t: shipment_slice(t)
 JOBS["purchase_order_slice_split"] = lambda spark, t: purchase_order_slice(t)
 JOBS["receipt_slice_split"] = lambda spark, t: receipt_slice(t)
 JOBS["receipt_slice_by_order"] = lambda spark, t: receipt_slice(t, by_order=True)
+def _bucketed(job: Callable[[Mapping[str, DataFrame]], DataFrame], keys: Sequence[str]) -> Job:
+    """A slice over staging tables that are written by bucket of their join key first."""
+
+    def run(spark, t):
+        tag = uuid.uuid4().hex[:12]
+        root = scratch_path(spark, "bucketed", tag)
+        return job(stage_bucketed(spark, t, root, tag, QUERY_BUCKETS, {k: BUCKET_KEYS[k] for k in keys}))
+
+    return run
+
+
+#: Buckets of the queries over the test tables.
+QUERY_BUCKETS = 8
+JOBS["sales_order_slice_bucketed"] = _bucketed(sales_order_slice, ("stg_so_header", "stg_so_detail"))
+JOBS["receipt_slice_bucketed"] = _bucketed(receipt_slice, ("stg_rc_header", "stg_rc_detail", "stg_stock"))
 JOBS["zero_factors"] = lambda spark, t: zero_factors(t)
 
 
