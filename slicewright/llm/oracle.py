@@ -53,36 +53,37 @@ FROM documents d LEFT JOIN told t ON t.doc_id = d.doc_id
 
 _OP3 = """
 WITH turns AS (
-  SELECT conv_id, floor(conv_id / 2) AS pair_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
   FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (
+  SELECT conv_id, count(*) AS n, max(place) FILTER (WHERE role = 'assistant') AS reply_place,
+         arg_max(text, place) FILTER (WHERE role = 'assistant') AS reply
+  FROM turns GROUP BY conv_id),
 pairs AS (
-  SELECT CAST(pair_id AS BIGINT) AS pair_id, min(conv_id) AS chosen_id, max(conv_id) AS rejected_id
-  FROM turns GROUP BY pair_id HAVING min(conv_id) < max(conv_id)),
-differing AS (
-  SELECT p.pair_id, min(coalesce(c.place, r.place)) AS place
-  FROM (SELECT p.pair_id, t.* EXCLUDE (pair_id) FROM pairs p JOIN turns t ON t.conv_id = p.chosen_id) c
-  FULL OUTER JOIN (SELECT p.pair_id, t.* EXCLUDE (pair_id) FROM pairs p JOIN turns t ON t.conv_id = p.rejected_id) r
-    ON r.pair_id = c.pair_id AND r.place = c.place AND r.role = c.role AND r.text = c.text
-  JOIN pairs p ON p.pair_id = coalesce(c.pair_id, r.pair_id)
-  WHERE c.pair_id IS NULL OR r.pair_id IS NULL GROUP BY p.pair_id),
+  SELECT c.*, d.conv_id AS donor_id, coalesce(d.reply, '') AS other FROM conv c LEFT JOIN conv d ON d.conv_id = xor(c.conv_id, 1)),
 sized AS (
-  SELECT p.*, CAST(coalesce(d.place - 1, (SELECT count(*) FROM turns t WHERE t.conv_id = p.chosen_id)) AS INTEGER) AS prefix_turns
-  FROM pairs p LEFT JOIN differing d ON d.pair_id = p.pair_id),
-rendered AS (
-  SELECT conv_id, place, '<|' || role || '|>\n' AS head, text || '<|end|>\n' AS body, role = 'assistant' AS trained FROM turns),
+  SELECT *, CAST(CASE WHEN reply_place IS NULL OR reply = other THEN n ELSE reply_place - 1 END AS INTEGER) AS prefix_turns FROM pairs),
+sides AS (
+  SELECT conv_id, true AS chosen, place, role, text FROM turns
+  UNION ALL
+  SELECT t.conv_id, false, t.place, t.role, CASE WHEN t.place = s.reply_place THEN s.other ELSE t.text END
+  FROM turns t JOIN sized s ON s.conv_id = t.conv_id
+  UNION ALL
+  SELECT conv_id, false, n + 1, 'assistant', other FROM sized WHERE reply_place IS NULL),
 told AS (
-  SELECT s.pair_id, r.conv_id,
-         string_agg(head || body, '' ORDER BY place) FILTER (WHERE place <= prefix_turns) AS before,
+  SELECT conv_id, chosen, string_agg(head || body, '' ORDER BY place) FILTER (WHERE place <= prefix_turns) AS before,
          string_agg(head || body, '' ORDER BY place) FILTER (WHERE place > prefix_turns) AS after,
-         string_agg('0*' || length(head) || CASE WHEN trained THEN ',1*' ELSE ',0*' END || length(body), ',' ORDER BY place)
+         string_agg('0*' || length(head) || CASE WHEN role = 'assistant' THEN ',1*' ELSE ',0*' END || length(body), ',' ORDER BY place)
            FILTER (WHERE place > prefix_turns) AS mask
-  FROM sized s JOIN rendered r ON r.conv_id IN (s.chosen_id, s.rejected_id) GROUP BY s.pair_id, r.conv_id)
-SELECT s.pair_id, s.chosen_id, s.rejected_id, s.prefix_turns, coalesce(c.before, '') AS prompt,
+  FROM (SELECT sides.*, s.prefix_turns, '<|' || role || '|>\n' AS head, text || '<|end|>\n' AS body
+        FROM sides JOIN sized s ON s.conv_id = sides.conv_id)
+  GROUP BY conv_id, chosen)
+SELECT s.conv_id AS pair_id, s.conv_id AS chosen_id, s.donor_id AS rejected_id, s.prefix_turns, coalesce(c.before, '') AS prompt,
        coalesce(c.after, '') AS chosen, coalesce(r.after, '') AS rejected,
        coalesce(c.mask, '') AS chosen_mask, coalesce(r.mask, '') AS rejected_mask
-FROM sized s JOIN told c ON c.pair_id = s.pair_id AND c.conv_id = s.chosen_id
-JOIN told r ON r.pair_id = s.pair_id AND r.conv_id = s.rejected_id
+FROM sized s JOIN told c ON c.conv_id = s.conv_id AND c.chosen
+JOIN told r ON r.conv_id = s.conv_id AND NOT r.chosen
 """
 
 _OP11 = """

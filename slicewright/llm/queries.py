@@ -74,8 +74,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conversations = table(spark, sf_dir, "conversations")
-    return preference.format_pairs(conversations, preference.neighbours(conversations))
+    return preference.swapped_replies(table(spark, sf_dir, "conversations"))
 
 
 #: Domains of the labels table, and the mix that is aimed at.

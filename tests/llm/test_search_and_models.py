@@ -188,6 +188,30 @@ def test_prompt_is_the_common_prefix_and_masks_fit(spark):
     assert preference.format_pairs(table.limit(0), preference.neighbours(table)).collect() == []
 
 
+def test_every_conversation_is_paired_with_another_reply(spark):
+    turns = [
+        (0, 0, "user", "hi"), (0, 1, "assistant", "hello"), (0, 2, "user", "bye"), (1, 0, "user", "why"), (1, 1, "assistant", "so"), (1, 2, "assistant", "no"),
+        (2, 0, "user", "a"), (3, None, None, None), (3, 1, "assistant", "c"), (4, 0, "user", "x"), (4, 1, "assistant", "y"),
+        (6, 0, "assistant", "same"), (7, 0, "assistant", "same"), (-1, 0, "user", "m"), (-1, 1, "assistant", "é"), (-2, 0, "assistant", "é" * 4000),
+        (2**60 + 1, 0, "user", "u"), (2**60 + 1, 1, "assistant", "v"), (None, 0, "user", "lost"),
+    ]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumns({c: F.lit(1) for c in ("turns", "c", "reply", "place", "donor")})
+    found = {r["pair_id"]: r for r in preference.swapped_replies(table).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", turns)
+    told = con.sql(ORACLE["op3_preference_format"])
+    assert Counter(told.fetchall()) == Counter(tuple(r[c] for c in told.columns) for r in found.values())
+    assert set(found) == {t[0] for t in turns if t[0] is not None}
+    a = found[0]
+    assert (a["prefix_turns"], a["rejected_id"], a["prompt"]) == (1, 1, "<|user|>\nhi<|end|>\n")
+    assert a["chosen"] == "<|assistant|>\nhello<|end|>\n<|user|>\nbye<|end|>\n" and a["rejected"] == "<|assistant|>\nno<|end|>\n<|user|>\nbye<|end|>\n"
+    assert found[2]["prefix_turns"] == 1 and found[2]["chosen"] == "" and found[2]["rejected"] == "<|assistant|>\nc<|end|>\n"
+    assert found[4]["rejected_id"] is None and found[4]["rejected"] == "<|assistant|>\n<|end|>\n" and found[4]["chosen_mask"] == "0*14,1*9"
+    assert found[6]["prefix_turns"] == 1 and found[6]["chosen"] == found[6]["rejected"] == ""
+    assert preference.swapped_replies(table.limit(0)).collect() == []
+
+
 # --- mixing --------------------------------------------------------------------------------
 
 
