@@ -202,13 +202,13 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)} and set(QUERIES) | {"pipeline"} <= names
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)} and set(QUERIES) | {"pipeline"} <= names
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "pages"):
+    for t in ("documents", "conversations", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     expected = con.execute(ORACLE[name])
     columns = [c[0] for c in expected.description]
