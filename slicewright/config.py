@@ -127,3 +127,5 @@ class RunContext:
     system_name: str = "Split Refresh"
     system_rank: int = 100
     extra: dict[str, str] = field(default_factory=dict)
+    #: Collation that texts compare by (see sources.collation); None: letter by letter.
+    collation: str | None = None

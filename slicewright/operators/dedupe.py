@@ -15,9 +15,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slicewright.sources.collation import by_bytes
 
-def total_order(order: Sequence[Column], tiebreak: Sequence[str]) -> list[Column]:
-    return list(order) + [F.col(c).asc_nulls_first() for c in tiebreak]
+
+def total_order(df: DataFrame, order: Sequence[Column], tiebreak: Sequence[str]) -> list[Column]:
+    return list(order) + [by_bytes(df, c).asc_nulls_first() for c in tiebreak]
 
 
 def first_per_key(
@@ -35,7 +37,7 @@ def first_per_key(
     key_names = {k for k in keys if isinstance(k, str)}
     if tiebreak is None:
         tiebreak = [c for c in df.columns if c not in key_names]
-    w = Window.partitionBy(*keys).orderBy(*total_order(order, tiebreak))
+    w = Window.partitionBy(*keys).orderBy(*total_order(df, order, tiebreak))
     name = rn_name or "__rn"
     out = df.withColumn(name, F.row_number().over(w)).filter(F.col(name) == 1)
     return out if rn_name else out.drop(name)
@@ -54,6 +56,6 @@ def one_per_key(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
     parts = []
     for v in values:
         parts.append(F.col(v).isNull().alias(f"__n_{v}"))
-        parts.append(F.col(v).alias(v))
+        parts.append(by_bytes(df, v).alias(v))
     agg = df.groupBy(key).agg(F.min(F.struct(*parts)).alias("__m"))
-    return agg.select(key, *[F.col(f"__m.{v}").alias(v) for v in values])
+    return agg.select(key, *[F.col(f"__m.{v}").cast(df.schema[v].dataType).alias(v) for v in values])

@@ -20,6 +20,7 @@ from slicewright.config import DIMENSION_DIVISION
 from slicewright.functions.exprs import key_or_unknown
 from slicewright.operators.broadcast import is_bounded
 from slicewright.operators.dedupe import one_per_key
+from slicewright.sources.collation import by_bytes
 
 _ids = count()
 
@@ -57,7 +58,8 @@ def lookup_side(right: DataFrame, right_key: str, src: Sequence[str]) -> DataFra
     if key in kept:
         return kept[key]
     if len(src) == 1:
-        side = right.groupBy(F.col(right_key).alias("k")).agg(F.min(src[0]).alias("v0"))
+        least = F.min(by_bytes(right, src[0])).cast(right.schema[src[0]].dataType)
+        side = right.groupBy(F.col(right_key).alias("k")).agg(least.alias("v0"))
     else:
         side = one_per_key(right.select(right_key, *src), right_key, list(src)).toDF(
             "k", *[f"v{i}" for i in range(len(src))]

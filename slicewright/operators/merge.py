@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACTION = "MergeAction"
+#: Struct of the row as it was (null for an inserted or kept row), and as it is now.
+BEFORE, AFTER = "Before", "After"
 KEEP, UPDATE, INSERT, DELETE = "KEEP", "UPDATE", "INSERT", "DELETE"
 
 
@@ -58,8 +60,10 @@ def merge_rows(
     target_where: Column | None = None,
     source_where: Column | None = None,
     delete: Column | None = None,
+    before: bool = False,
 ) -> DataFrame:
-    """The target's columns and ``MergeAction``, deleted rows included.
+    """The target's columns and ``MergeAction``, deleted rows included; with ``before`` also the
+    updated and deleted rows as they were, in a struct column ``Before``.
 
     ``target_where`` and ``source_where`` say which rows may match; they never drop one.
     """
@@ -94,9 +98,28 @@ def merge_rows(
         kind = target.schema[c].dataType
         value = F.when(action == UPDATE, on_update.cast(kind)).when(action == INSERT, on_insert.cast(kind)).otherwise(old)
         outs.append(value.alias(c))
+    if before:
+        old_row = F.struct(*[F.col(f"t__{c}").alias(c) for c in target.columns])
+        outs.append(F.when(action.isin(UPDATE, DELETE), old_row).alias(BEFORE))
     return joined.select(*outs, action.alias(ACTION))
 
 
+def changed_rows(merged: DataFrame) -> DataFrame:
+    """The change feed of ``merge_rows(..., before=True)``: ``MergeAction``, ``Before`` (null for an
+    insert) and ``After`` (null for a delete), one row for each row that isn't kept."""
+    columns = [c for c in merged.columns if c not in (ACTION, BEFORE)]
+    now = F.when(F.col(ACTION) != DELETE, F.struct(*columns))
+    return merged.filter(F.col(ACTION) != KEEP).select(ACTION, BEFORE, now.alias(AFTER))
+
+
+def replay(old: DataFrame, changes: DataFrame) -> DataFrame:
+    """The rows of a version, from those of the version before and its changes.  Repeated rows
+    count: a change takes one of them away or adds one."""
+    gone = changes.filter(F.col(BEFORE).isNotNull()).select(f"{BEFORE}.*").select(*old.columns)
+    come = changes.filter(F.col(AFTER).isNotNull()).select(f"{AFTER}.*").select(*old.columns)
+    return old.exceptAll(gone).unionAll(come)
+
+
 def matched_rows(
     target: DataFrame, source: DataFrame, keys: Sequence[MergeKey], target_where: Column | None = None,
     source_where: Column | None = None, delete: Column | None = None,

@@ -9,6 +9,7 @@ from slicewright.oracle.common import entity_ctes, with_fixtures
 from slicewright.oracle.loads import (
     ALL_DEPARTMENTS,
     guard_blocked_sql,
+    load_changes_sql,
     load_counts_sql,
     load_sql,
     reclassify_counts_sql,
@@ -67,6 +68,7 @@ ORACLES["receipt_slice_bucketed"] = receipt_sql
 ORACLES["zero_factors"] = zero_factors_sql
 for _k in ("sales_order", "invoice", "inventory", "purchase_order", "shipment", "receipts"):
     ORACLES[f"load_{_k}"] = (lambda k=_k: load_sql(k))
+    ORACLES[f"load_changes_{_k}"] = (lambda k=_k: load_changes_sql(k))
     ORACLES[f"load_counts_{_k}"] = (lambda k=_k: load_counts_sql(k))
 ORACLES["load_purchase_order_as_written"] = lambda: load_sql("purchase_order", as_written=True)
 ORACLES["load_inventory_as_written"] = lambda: load_sql("inventory", as_written=True)
@@ -83,5 +85,8 @@ for _k in UNITS:
     ORACLES[_k] = (lambda k=_k: unit_sql(k))
 
 
+ORACLES["latest_incremental"] = lambda: unit_sql("latest_per_line").replace(", rownum FROM", " FROM", 1)
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: f() for k, f in ORACLES.items()}

@@ -123,6 +123,23 @@ def load_sql(kind: str, departments=ONE_DEPARTMENT, as_written: bool = False) ->
     return with_fixtures(_before(spec) + loaded_ctes(spec, departments, as_written), after)
 
 
+def load_changes_sql(kind: str) -> str:
+    """Deleted, updated and inserted rows as they were and as they are."""
+    spec = SPECS[kind]
+    columns = (*spec.insert_cols, STAMP, FLAG)
+    sets = loaded_ctes(spec)
+    was = ", ".join(f"t.{_q(c)} AS {_q('Before_' + c)}" for c in columns)
+    now = lambda a: ", ".join(f"{a}.{_q(c)} AS {_q('After_' + c)}" for c in columns)
+    # the updated rows' new values, with the old ones beside them
+    update = dict(sets)["was_updated"].replace("SELECT ", f"SELECT {was}, ", 1)
+    feed = (
+        f"SELECT {was}, 'DELETE' AS MergeAction FROM gone t UNION ALL BY NAME "
+        f"SELECT {', '.join(_q('Before_' + c) for c in columns)}, {now('u')}, MergeAction FROM both_sides u "
+        f"UNION ALL BY NAME SELECT {now('i')}, 'INSERT' AS MergeAction FROM was_inserted i"
+    )
+    return with_fixtures(_before(spec) + [*sets, ("both_sides", update)], feed)
+
+
 _COUNTED = (
     "SELECT r AS RowsRead, i AS RowsWritten, r - i AS RowsUpdated, d AS RowsDeleted, CAST(0 AS BIGINT) AS RowsByPassed "
     "FROM (SELECT (SELECT COUNT(*) FROM src) AS r, (SELECT COUNT(*) FROM was_inserted) AS i, "

@@ -71,7 +71,80 @@ def _simple(final: str, ctes: list[tuple[str, str]] | None = None) -> str:
     return with_fixtures(ctes or [], final)
 
 
+def _respelled(table: str) -> tuple[str, str]:
+    text, key = {
+        "stg_sys_companies": ("company_name", "SYSCM_AUTO_KEY"), "stg_division": ("division_name", "DIV_AUTO_KEY"),
+        "stg_warehouse": ("warehouse_code", "WHS_AUTO_KEY"), "stg_stock": ("IC_UDF_005", "STM_AUTO_KEY"),
+        "d_manufacturer": ("ManufacturerName", "ManufacturerId"),
+    }[table]
+    return (f"r_{table}", f"SELECT * REPLACE (CASE WHEN {key} % 2 = 0 THEN upper({text}) || '  ' ELSE lower({text}) END "
+                          f"AS {text}) FROM {table}")
+
+
+def caseless_entity_sql() -> str:
+    """The classification with names folded to lower case without trailing blanks."""
+    cfg = EntityConfig()
+    rules = []
+    for i, r in enumerate(cfg.rules):
+        conditions = [f"d.DPT_AUTO_KEY IN ({', '.join(map(str, r.dept_keys))})"] if r.dept_keys else []
+        conditions += [f"lower(rtrim(c.company_name)) = lower('{r.company}')"] if r.company else []
+        conditions += [f"lower(rtrim(v.division_name)) = lower('{r.division}')"] if r.division else []
+        rules.append(f"WHEN {' AND '.join(conditions)} THEN {i}")
+    labels = " ".join(f"WHEN {i} THEN '{r.label}'" for i, r in enumerate(cfg.rules))
+    numbers = " ".join(f"WHEN lower(rtrim(DEPT_Definition)) = lower('{r.label}') THEN {r.division_id}" for r in cfg.rules)
+    fallback = f"WHEN lower(rtrim(company_name)) = lower('{cfg.fallback_company}') THEN 1"
+    return _simple(
+        f"SELECT *, CAST(CASE {numbers} {fallback} END AS INTEGER) AS DivisionId FROM (SELECT dept_name, division_name, "
+        f"company_name, DPT_AUTO_KEY, CASE rule {labels} ELSE company_name END AS DEPT_Definition FROM (SELECT d.dept_name, "
+        f"v.division_name, c.company_name, d.DPT_AUTO_KEY, CASE {' '.join(rules)} END AS rule FROM stg_department d "
+        "JOIN r_stg_division v ON v.DIV_AUTO_KEY = d.DIV_AUTO_KEY JOIN r_stg_sys_companies c "
+        "ON c.SYSCM_AUTO_KEY = d.SYSCM_AUTO_KEY))", [_respelled("stg_division"), _respelled("stg_sys_companies")])
+
+
+def caseless_region_sql() -> str:
+    code = "lower(rtrim(w.warehouse_code))"
+    return _simple(
+        f"SELECT po.POH_AUTO_KEY, po.POD_AUTO_KEY, w.warehouse_code, CASE WHEN {code} LIKE '%us%' OR {code} LIKE '%coe%' THEN 'US' "
+        f"WHEN {code} LIKE '%uk%' THEN 'UK' WHEN {code} LIKE '%cn%' OR {code} IN ('shanghai', 'xaic c919', 'xian lta') THEN 'China' "
+        f"WHEN {code} LIKE '%de%' OR {code} = 'germany' THEN 'Bremen' WHEN {code} LIKE '%vmi%' THEN 'VMI' "
+        f"WHEN {code} LIKE '%pdq%' THEN 'PDQ' ELSE w.warehouse_code END AS warehouse FROM stg_po_detail po "
+        "LEFT JOIN r_stg_warehouse w ON w.WHS_AUTO_KEY = po.WHS_AUTO_KEY", [_respelled("stg_warehouse")])
+
+
+def caseless_maker_sql() -> str:
+    return _simple(
+        "SELECT st.STM_AUTO_KEY, st.IC_UDF_005, COALESCE((SELECT MIN(m.ManufacturerId) FROM r_d_manufacturer m "
+        "WHERE m.DivisionId = 1 AND lower(rtrim(m.ManufacturerName)) = lower(rtrim(st.IC_UDF_005))), -1) AS ManufacturerId "
+        "FROM r_stg_stock st", [_respelled("stg_stock"), _respelled("d_manufacturer")])
+
+
+def age_days_sql() -> str:
+    held = ("FROM d_age a WHERE date_diff('day', CAST(st.REC_DATE AS DATE), CAST(" + RUN_TS + " AS DATE)) "
+            "BETWEEN CAST(a.MinMonth AS BIGINT) * 30 AND CAST(a.MaxMonth AS BIGINT) * 30 + 45")
+    return _simple(f"SELECT st.STM_AUTO_KEY, st.REC_DATE, COALESCE((SELECT MIN(a.AgeId) {held}), -1) AS AgeId, "
+                   f"(SELECT COUNT(*) {held}) AS Bands FROM stg_stock st")
+
+
+def quote_stock_sql() -> str:
+    return _simple(
+        "SELECT q.CQH_AUTO_KEY, q.CQD_AUTO_KEY, q.PNM_AUTO_KEY, CASE WHEN q.PNM_AUTO_KEY IN (SELECT NativeId FROM d_part "
+        "WHERE DivisionId = 1) AND q.PNM_AUTO_KEY IN (SELECT pt.NativeId FROM f_inventory i JOIN pt_by_id pt ON pt.PartId = i.PartId "
+        "WHERE i.DivisionId = 1 AND pt.NativeId IS NOT NULL GROUP BY pt.NativeId HAVING SUM(i.QtyOnHand) > 0) THEN 1 ELSE 0 END AS HasQOH "
+        "FROM stg_cq_detail q", [part_by_id()])
+
+
+FURTHER = {
+    "entity_dim_caseless": caseless_entity_sql,
+    "warehouse_region_label_caseless": caseless_region_sql,
+    "manufacturer_by_name_caseless": caseless_maker_sql,
+    "age_band_by_days": age_days_sql,
+    "has_stock_by_quote": quote_stock_sql,
+}
+
+
 def unit_sql(key: str) -> str:  # noqa: C901 - one branch per operator
+    if key in FURTHER:
+        return FURTHER[key]()
     cfg = EntityConfig()
     if key == "date_floor":
         return _simple(f"SELECT {SO}, so.ENTRY_DATE, {date_floor('so.ENTRY_DATE')} AS OrderDate FROM stg_so_detail so")

@@ -105,7 +105,7 @@ def invoice_all(
     literal = [sl for sl in slices if sl.literal_division]
     division = F.col("__own")
     if literal:
-        of_all = Window.partitionBy(*KEYS).orderBy(*total_order((), tiebreak))
+        of_all = Window.partitionBy(*KEYS).orderBy(*total_order(firsts, (), tiebreak))
         firsts = firsts.withColumn("__of_all", F.row_number().over(of_all))
         for sl in literal:
             base = F.col("__own").isNull() & (F.col("__of_all") == 1) & (F.col("DEPT_Definition") == F.lit(cfg.label_of(sl.division_id)))

@@ -215,9 +215,10 @@ def merge_plan(spec: LoadSpec, scope: LoadScope = LoadScope()) -> MergePlan:
 
 
 def merge_load(
-    spec: LoadSpec, target: DataFrame, source: DataFrame, run: RunContext = RunContext(), scope: LoadScope = LoadScope()
+    spec: LoadSpec, target: DataFrame, source: DataFrame, run: RunContext = RunContext(), scope: LoadScope = LoadScope(),
+    before: bool = False,
 ) -> DataFrame:
-    """Target rows with ``MergeAction``, deleted rows included.  ``target`` has the divisions
+    """Target rows with ``MergeAction`` (and ``Before``), deleted rows included.  ``target`` has the divisions
     that the load can touch; the receipt guard is applied by the caller."""
     plan = merge_plan(spec, scope)
     src = source.select(*spec.insert_cols)
@@ -227,7 +228,8 @@ def merge_load(
         src = src.withColumn("ETLImportDate", ts_literal(run.run_ts))
         stamp, update = {}, spec.insert_cols
     return merge_rows(
-        target, src, plan.keys, update, spec.insert_cols, stamp, plan.target_where, plan.source_where, plan.delete
+        target, src, plan.keys, update, spec.insert_cols, stamp, plan.target_where, plan.source_where, plan.delete,
+        before,
     )
 
 

@@ -31,6 +31,16 @@ def parts_with_stock(tables: Mapping[str, DataFrame], fact_divisions: Sequence[i
     )
 
 
+def with_stock_flag(tables: Mapping[str, DataFrame], quotes: DataFrame, fact_divisions: Sequence[int]) -> DataFrame:
+    """Quote lines with ``HasQOH``: 1 if their part is in the part dimension and its stock is above 0."""
+    qoh = parts_with_stock(tables, fact_divisions)
+    lk = Lookups(quotes)
+    lk.add(scoped(tables["d_part"]), "PNM_AUTO_KEY", "NativeId", {"__pt_found": "PartId"})
+    lk.join(qoh, (F.col("PNM_AUTO_KEY") == qoh["__qoh_part"]) & lk.col("__pt_found").isNotNull())
+    flag = F.when(F.col("__qoh_part").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("HasQOH")
+    return lk.done().select(*quotes.columns, flag)
+
+
 def quote_slice(
     tables: Mapping[str, DataFrame],
     cfg: EntityConfig = EntityConfig(),

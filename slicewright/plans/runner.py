@@ -9,6 +9,14 @@ which those are follows from the scope, from the source's departments and, unles
 cover the rest, from a join of the key columns alone.  Counts are observed on the rows
 being published.
 
+Changes: with ``changes`` the rows that a load updates, inserts or deletes are stored beside
+the version, as they were and as they are, and named in its manifest.
+
+Restart: with ``run_id`` each step leaves a record under that id in the shared folder.  A second
+call with the id takes up after the last recorded step: the staged source isn't evaluated
+again, a finished merge isn't either (unless another version was published since), and a
+run that had published returns its counts and changes nothing.
+
 Counts: RowsRead are the staged source rows, RowsWritten the inserted ones, RowsUpdated
 the source rows that matched (each source row either matches or is inserted), and
 RowsByPassed what is left: all of them where the guard blocks, else none.
@@ -18,7 +26,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +34,24 @@ from pyspark.sql import types as T
 
 from slicewright.config import BASE_DIVISION, SPLIT_DIVISION, VOLUME_GUARD_RATIO, EntityConfig, RunContext
 from slicewright.operators.entity import entity_by_department
-from slicewright.operators.merge import ACTION, DELETE, INSERT, KEEP, UPDATE, assert_unique, matched_rows, volume_guard
+from slicewright.operators.merge import (
+    ACTION,
+    BEFORE,
+    DELETE,
+    INSERT,
+    KEEP,
+    UPDATE,
+    assert_unique,
+    changed_rows,
+    matched_rows,
+    volume_guard,
+)
 from slicewright.plans.loads import FLAG, SPECS, STAMP, LoadScope, LoadSpec, MergePlan, merge_load, merge_plan, prepare_source
 from slicewright.plans.reclassify import FACT_TABLES, moved, reclassify_fact
 from slicewright.session import scratch_path
 from slicewright.sources import snapshot
+from slicewright.sources.catalog import Tables
+from slicewright.sources.collation import collated, plain
 
 RUN_LOG_SCHEMA = (
     "LogId string, SystemName string, SystemNameRank int, ProcessName string, SourceName string, "
@@ -40,6 +61,7 @@ RUN_LOG_SCHEMA = (
 )
 COUNTS = ("RowsRead", "RowsWritten", "RowsUpdated", "RowsDeleted", "RowsByPassed")
 BLOCKED = "Not enough staged records"
+RESUMED = "Published by an earlier attempt"
 
 
 def log_row(spark: SparkSession, log_path: str, **values) -> None:
@@ -81,11 +103,24 @@ def target_schema(spec: LoadSpec, source: DataFrame) -> T.StructType:
     return T.StructType([*fields, T.StructField(STAMP, T.TimestampNTZType()), T.StructField(FLAG, T.IntegerType())])
 
 
-def staged_source(spark: SparkSession, spec: LoadSpec, slice_df: DataFrame, run_id: str) -> DataFrame:
-    """The load's source, evaluated once into the shared folder."""
-    path = scratch_path(spark, "runs", run_id, "source")
-    prepare_source(spec, slice_df).write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+class Steps:
+    """Tables that the steps of one run wrote, by step name.
+
+    A table counts once its record is there, which is written after it; what an unfinished
+    attempt left lies in a folder that no record names."""
+
+    def __init__(self, spark: SparkSession, kind: str, run_id: str):
+        self.spark, self.root = spark, scratch_path(spark, "runs", run_id, kind)
+
+    def table(self, step: str, base: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """The step's table, made unless it was recorded on the same ``base``."""
+        found = snapshot.read_json(self.spark, f"{self.root}/{step}.json")
+        if found is None or found["base"] != base:
+            folder = f"{step}-{uuid.uuid4().hex}"
+            make().write.mode("errorifexists").parquet(f"{self.root}/{folder}")
+            found = {"base": base, "folder": folder}
+            snapshot.write_json(self.spark, f"{self.root}/{step}.json", found)
+        return self.spark.read.parquet(f"{self.root}/{found['folder']}")
 
 
 def touched_folders(spark: SparkSession, root: str, plan: MergePlan, source: DataFrame) -> set[str]:
@@ -117,13 +152,22 @@ def run_load(
     ctx: RunContext = RunContext(),
     scope: LoadScope = LoadScope(),
     audit_path: str | None = None,
+    run_id: str | None = None,
+    changes: bool = False,
 ) -> dict:
     """Run one load.  With ``audit_path`` the rows of all divisions in its reach are also written
-    there with their actions, deleted rows included."""
+    there with their actions, deleted rows included.  ``changes`` stores the change feed with the
+    version; ``run_id`` makes the load restartable.  A run id is for one load of one day's data: it
+    must not be used again for another."""
     spec = SPECS[kind]
     plan = merge_plan(spec, scope)
     with Logged(spark, log_path, ctx, f"load_{kind}", spec.slice_job, spec.target_name) as log:
-        source = staged_source(spark, spec, slice_df, log.id)
+        if run_id is not None:
+            finished = snapshot.published_by(spark, target_root, run_id)
+            if finished is not None:
+                return log.passed(finished.note["counts"], RESUMED) | {"Blocked": False, "Resumed": True}
+        steps = Steps(spark, kind, run_id or log.id)
+        source = steps.table("source", "", lambda: plain(prepare_source(spec, slice_df)))
         rows_read = source.count()
         assert_unique(source, plan.keys, plan.source_where)
         loaded = snapshot.read_current(spark, target_root, only=plan.touched)
@@ -140,7 +184,16 @@ def run_load(
         version = snapshot.current(spark, target_root)
         held = names & set(version.folders) if version else set()
         target = snapshot.read_current(spark, target_root, names=held) if version else loaded
-        merged = merge_load(spec, target, source, ctx, scope)
+        merge = lambda: merge_load(spec, target, source, ctx, scope, before=changes)
+        if run_id is not None or changes:
+            merged = steps.table("merged", f"{version.name if version else ''} changes={changes}", merge)
+        else:
+            merged = merge()
+        feed = None
+        if changes:
+            feed = f"changes/{uuid.uuid4().hex}"
+            changed_rows(merged).write.mode("errorifexists").parquet(f"{target_root}/{feed}")
+            merged = merged.drop(BEFORE)
         if audit_path is not None:
             merged.write.mode("errorifexists").parquet(f"{audit_path}/changed=1")
             rest = set().union(*(snapshot.folders_in(version, d) for d in plan.touched)) - held
@@ -151,12 +204,19 @@ def run_load(
         seen = Observation(f"merge_{kind}")
         count = lambda action: F.sum(F.when(F.col(ACTION) == action, 1).otherwise(0))
         merged = merged.observe(seen, count(INSERT).alias("i"), count(UPDATE).alias("u"), count(DELETE).alias("d"))
-        snapshot.publish(spark, merged.filter(F.col(ACTION) != DELETE).drop(ACTION), target_root, names=names)
-        n = {k: int(v or 0) for k, v in seen.get.items()}
-        counts = {
-            "RowsRead": rows_read, "RowsWritten": n["i"], "RowsUpdated": rows_read - n["i"], "RowsDeleted": n["d"],
-            "RowsByPassed": 0,
-        }
+
+        def counted() -> tuple[dict, dict]:
+            n = {k: int(v or 0) for k, v in seen.get.items()}
+            return n, {
+                "RowsRead": rows_read, "RowsWritten": n["i"], "RowsUpdated": rows_read - n["i"], "RowsDeleted": n["d"],
+                "RowsByPassed": 0,
+            }
+
+        snapshot.publish(
+            spark, merged.filter(F.col(ACTION) != DELETE).drop(ACTION), target_root, names=names, changes=feed,
+            note=(lambda: {"run": run_id, "counts": counted()[1]}) if run_id is not None else None,
+        )
+        n, counts = counted()
         return log.passed(counts) | {"Blocked": False, "TargetRowsUpdated": n["u"]}
 
 
@@ -197,12 +257,13 @@ def run_reclassify(
 
 
 def run_all(
-    spark: SparkSession, tables: Mapping[str, DataFrame], warehouse_root: str, ctx: RunContext = RunContext()
+    spark: SparkSession, tables: Tables, warehouse_root: str, ctx: RunContext = RunContext()
 ) -> dict[str, dict]:
     """The split refresh: move the unit's loaded rows to its division, then every load in the
-    order the source system runs them."""
+    order the source system runs them.  Texts compare by the run's collation, if it has one."""
     from slicewright.registry import JOBS
 
+    tables = collated(tables, ctx.collation)
     log = f"{warehouse_root}/run_log"
     out = {
         f"reclassify_{fact}": run_reclassify(spark, fact, tables, f"{warehouse_root}/{table}", log, ctx)

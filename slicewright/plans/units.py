@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from slicewright.config import BASE_DIVISION, QTY_OUTLIER_THRESHOLD, SLICES, EntityConfig, RunContext
 from slicewright.functions import exprs as X
 from slicewright.operators.dedupe import first_per_key
-from slicewright.operators.entity import classify, entity_by_department
+from slicewright.operators.entity import classify, entity_by_department, entity_dim
 from slicewright.operators.lookups import key_lookup, lookup, scoped
 from slicewright.operators.merge import delete_where
+from slicewright.operators.ranges import range_lookup
 from slicewright.plans import invoice as INV
 from slicewright.plans import sales_order as SO
 from slicewright.plans.common import (
@@ -27,9 +28,10 @@ from slicewright.plans.common import (
 )
 from slicewright.plans.inventory import age_band_by_month, manufacturers
 from slicewright.plans.purchase_order import account_by_po_header, last_receipt_dates
-from slicewright.plans.quote import parts_with_stock
+from slicewright.plans.quote import parts_with_stock, with_stock_flag
 from slicewright.plans.receipts import receipt_totals
 from slicewright.plans.shipment import invoice_rollup
+from slicewright.sources.collation import collated, plain
 
 T = Mapping[str, DataFrame]
 UNITS: dict[str, Callable[[T], DataFrame]] = {}
@@ -350,3 +352,52 @@ def _delete(t: T) -> DataFrame:
 
 
 __all__ = ["UNITS", "SLICES"]
+
+
+# --- text comparison by a collation ------------------------------------------------
+
+#: Compared columns and the key whose parity decides how the tests respell them.
+RESPELLED = {
+    "stg_sys_companies": ("company_name", "SYSCM_AUTO_KEY"),
+    "stg_division": ("division_name", "DIV_AUTO_KEY"),
+    "stg_warehouse": ("warehouse_code", "WHS_AUTO_KEY"),
+    "stg_stock": ("IC_UDF_005", "STM_AUTO_KEY"),
+    "d_manufacturer": ("ManufacturerName", "ManufacturerId"),
+}
+
+
+def respelled(t: T) -> T:
+    """Test tables whose compared texts differ in case and trailing blanks: upper case and two
+    blanks at even keys, lower case at odd ones."""
+    for name, (text, key) in RESPELLED.items():
+        spelled = F.when(F.col(key) % 2 == 0, F.concat(F.upper(text), F.lit("  "))).otherwise(F.lower(text))
+        t = t.with_table(name, t[name].withColumn(text, spelled))
+    return t
+
+
+def _caseless(job: Callable[[T], DataFrame]) -> Callable[[T], DataFrame]:
+    return lambda t: plain(job(collated(respelled(t))))
+
+
+UNITS["entity_dim_caseless"] = _caseless(entity_dim)
+UNITS["warehouse_region_label_caseless"] = _caseless(_region)
+UNITS["manufacturer_by_name_caseless"] = _caseless(_mfg)
+
+
+@unit("age_band_by_days")
+def _age_days(t: T) -> DataFrame:
+    """Bands of 30-day months that run on 45 days into the next: the lowest and their number."""
+    bands = t["d_age"].select(
+        "AgeId", (F.col("MinMonth").cast("long") * 30).alias("low"), (F.col("MaxMonth").cast("long") * 30 + 45).alias("high")
+    )
+    days = F.datediff(F.lit(RunContext().run_ts.date()), F.col("REC_DATE").cast("date")).alias("Days")
+    st = t["stg_stock"].select("STM_AUTO_KEY", "REC_DATE", days)
+    found = range_lookup(st, "Days", bands, "low", "high", {"AgeId": F.min("AgeId"), "Bands": F.count(F.lit(1))})
+    return found.select(
+        "STM_AUTO_KEY", "REC_DATE", X.key_or_unknown("AgeId").alias("AgeId"), F.coalesce("Bands", F.lit(0).cast("long")).alias("Bands")
+    )
+
+
+@unit("has_stock_by_quote")
+def _quote_stock(t: T) -> DataFrame:
+    return with_stock_flag(t, t["stg_cq_detail"].select("CQH_AUTO_KEY", "CQD_AUTO_KEY", "PNM_AUTO_KEY"), (BASE_DIVISION,))

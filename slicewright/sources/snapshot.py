@@ -18,8 +18,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +31,9 @@ PARTITION = "DivisionId"
 DEPARTMENT = "DPT_AUTO_KEY"
 #: Derived from the department at each write; readers don't see it.
 BUCKET = "DeptBucket"
+#: Names the folders of one write; no table may have a column of this name.  (Tables written as
+#: ``v=...`` are still read.)
+WRITE = "SnapshotWrite"
 BUCKETS = 16
 #: Marks a folder that was added beside another of its name.
 _BESIDE = "+"
@@ -45,6 +48,10 @@ class Version:
     number: int
     schema: T.StructType
     folders: dict[str, str]  # partition folder name → folder below the root
+    note: dict = field(default_factory=dict)  # what the writer says about the version
+    changes: str | None = None  # folder of the rows that differ from the version before
+    name: str = ""  # of the manifest
+    parent: str | None = None  # manifest of the version before
 
 
 def _files(spark: SparkSession, root: str):
@@ -74,6 +81,18 @@ def _write_text(spark: SparkSession, where: str, text: str) -> None:
         stream.close()
 
 
+def read_json(spark: SparkSession, where: str) -> dict | None:
+    """A small record; None if there is none."""
+    text = _read_text(spark, where)
+    return None if text is None else json.loads(text)
+
+
+def write_json(spark: SparkSession, where: str, record: dict) -> None:
+    """Write or replace a record in one rename."""
+    folder, name = where.rsplit("/", 1)
+    _replace(spark, folder, name, json.dumps(record))
+
+
 def _names(spark: SparkSession, folder: str) -> list[str]:
     fs, path, _, _ = _files(spark, folder)
     if not fs.exists(path(folder)):
@@ -83,7 +102,10 @@ def _names(spark: SparkSession, folder: str) -> list[str]:
 
 def _version(spark: SparkSession, root: str, name: str) -> Version:
     found = json.loads(_read_text(spark, f"{root}/manifests/{name}"))
-    return Version(found["number"], T.StructType.fromJson(found["schema"]), found["folders"])
+    return Version(
+        found["number"], T.StructType.fromJson(found["schema"]), found["folders"], found.get("note", {}),
+        found.get("changes"), name, found.get("parent"),
+    )
 
 
 def current(spark: SparkSession, root: str) -> Version | None:
@@ -96,8 +118,23 @@ def current(spark: SparkSession, root: str) -> Version | None:
     return None
 
 
-def partition_folder(value: object) -> str:
-    return f"{PARTITION}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+def published_by(spark: SparkSession, root: str, run: str) -> Version | None:
+    """The version that a run published, the current one or an ancestor of it that is kept."""
+    version = current(spark, root)
+    while version is not None and version.note.get("run") != run:
+        older = version.parent
+        version = _version(spark, root, older) if older and older in _names(spark, f"{root}/manifests") else None
+    return version
+
+
+def read_changes(spark: SparkSession, root: str, version: Version | None = None) -> DataFrame | None:
+    """The stored changes of a version (default: the current one); None if it has none."""
+    version = version or current(spark, root)
+    return spark.read.parquet(f"{root}/{version.changes}") if version and version.changes else None
+
+
+def partition_folder(value: object, by: str = PARTITION) -> str:
+    return f"{by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
 
 def bucket_of(department: int | None) -> int:
@@ -143,34 +180,43 @@ def read_current(
 
 
 def _read(spark: SparkSession, root: str, version: Version, names: Iterable[str]) -> DataFrame:
+    alike: dict[tuple[str, bool], list[str]] = {}  # by folder columns: the version's, the bucket
+    for n in sorted(names):
+        written_as = version.folders[n].split("/")[1].split("=")[0]
+        alike.setdefault((written_as, "/" in plain(n)), []).append(f"{root}/{version.folders[n]}")
     parts = []
-    for extra in ((), (BUCKET,)):  # folders of divisions, folders of buckets
-        paths = [f"{root}/{version.folders[n]}" for n in sorted(names) if ("/" in plain(n)) == bool(extra)]
-        if paths:
-            fields = [T.StructField("v", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in extra]]
-            schema = T.StructType([*version.schema.fields, *fields])
-            rows = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*paths)
-            parts.append(rows.select(*version.schema.names))
+    for (written_as, bucketed), paths in alike.items():
+        fields = [T.StructField(written_as, T.StringType())] + [T.StructField(BUCKET, T.IntegerType())] * bucketed
+        schema = T.StructType([*version.schema.fields, *fields])
+        rows = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*paths)
+        parts.append(rows.select(*version.schema.names))
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], version.schema)
 
 
 def publish(
     spark: SparkSession, df: DataFrame, root: str, touched: Iterable[object] | None = None,
-    names: Iterable[str] | None = None, beside: bool = False,
+    names: Iterable[str] | None = None, beside: bool = False, by: str = PARTITION,
+    note: dict | Callable[[], dict] | None = None, changes: str | None = None,
 ) -> Version:
     """Make a new version current: ``df`` replaces the divisions ``touched``, or the folders
     ``names``, or all (if both are None); the rest stays where it is.  Rows for other folders
-    are refused, or with ``beside`` added beside what those hold."""
+    are refused, or with ``beside`` added beside what those hold.
+
+    With ``by`` the folders go by that column instead of division and department.  ``note``
+    (or what it returns once the rows are written) and ``changes`` (a folder below the root)
+    are kept in the manifest."""
     before = current(spark, root)
-    folder = f"data/v={uuid.uuid4().hex}"
-    levels = [PARTITION]
+    folder = f"data/{WRITE}={uuid.uuid4().hex}"
+    levels = [by]
     out = df
-    if DEPARTMENT in df.columns:
+    if by != PARTITION:
+        out = df.hint("rebalance", F.col(by))
+    elif DEPARTMENT in df.columns:
         levels.append(BUCKET)
         # rows of a folder meet in few files; Spark splits those of a large one
         out = df.withColumn(BUCKET, bucket_column()).hint("rebalance", *map(F.col, levels))
     out.write.mode("errorifexists").option("partitionOverwriteMode", "static").partitionBy(*levels).parquet(f"{root}/{folder}")
-    listed = [n for n in _names(spark, f"{root}/{folder}") if n.startswith(f"{PARTITION}=")]
+    listed = [n for n in _names(spark, f"{root}/{folder}") if n.startswith(f"{by}=")]
     if len(levels) > 1:
         listed = [f"{n}/{m}" for n in listed for m in _names(spark, f"{root}/{folder}/{n}") if m.startswith(f"{BUCKET}=")]
     written = {n: f"{folder}/{n}" for n in listed}
@@ -187,34 +233,46 @@ def publish(
             raise ValueError(f"rows outside the folders of this load: {sorted(outside)}")
         kept = {n: f for n, f in before.folders.items() if n not in gone}
         written = {f"{n}{_BESIDE}{uuid.uuid4().hex[:8]}" if n in outside else n: f for n, f in written.items()}
-    version = Version(before.number + 1 if before else 1, df.schema, kept | written)
-    name = f"{version.number:08d}-{uuid.uuid4().hex}.json"
-    text = json.dumps({"number": version.number, "schema": df.schema.jsonValue(), "folders": version.folders})
+    number = before.number + 1 if before else 1
+    name = f"{number:08d}-{uuid.uuid4().hex}.json"
+    version = Version(number, df.schema, kept | written, (note() if callable(note) else note) or {}, changes, name, before.name if before else None)
+    text = json.dumps({
+        "number": number, "schema": df.schema.jsonValue(), "folders": version.folders,
+        "note": version.note, "changes": changes, "parent": version.parent,
+    })
     _write_text(spark, f"{root}/manifests/{name}", text)
     _point_to(spark, root, name)
     return version
 
 
 def _point_to(spark: SparkSession, root: str, name: str) -> None:
+    _replace(spark, root, POINTER, name)
+
+
+def _replace(spark: SparkSession, root: str, file: str, text: str) -> None:
+    """Write ``file`` below ``root``, over what is there, by one rename."""
     _, path, jvm, conf = _files(spark, root)
-    fresh = f"{root}/.{POINTER}-{uuid.uuid4().hex}"
-    _write_text(spark, fresh, name)
+    fresh = f"{root}/.{file}-{uuid.uuid4().hex}"
+    _write_text(spark, fresh, text)
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE
     files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(root).getFileSystem(conf).getUri(), conf)
     qualified = lambda p: path(root).getFileSystem(conf).makeQualified(path(p))
-    files.rename(qualified(fresh), qualified(f"{root}/{POINTER}"), options)
+    files.rename(qualified(fresh), qualified(f"{root}/{file}"), options)
 
 
 def retain(spark: SparkSession, root: str, versions: int = 2) -> list[str]:
-    """Remove data folders that none of the latest ``versions`` manifests uses, and the older
-    manifests; returns the removed data folders.  Not for use while a load runs."""
+    """Remove data and change folders that none of the latest ``versions`` manifests uses, and the
+    older manifests; returns the removed data folders.  Not for use while a load runs."""
     fs, path, _, _ = _files(spark, root)
     names = [n for n in _names(spark, f"{root}/manifests") if n.endswith(".json")]
     latest = names[-max(1, versions):]
     pointed = (_read_text(spark, f"{root}/{POINTER}") or "").strip()
-    used = {f.split("/")[1] for n in {*latest, pointed} if n for f in _version(spark, root, n).folders.values()}
+    kept = [_version(spark, root, n) for n in {*latest, pointed} if n]
+    used = {f.split("/")[1] for v in kept for f in v.folders.values()}
+    for n in set(_names(spark, f"{root}/changes")) - {v.changes.split("/")[1] for v in kept if v.changes}:
+        fs.delete(path(f"{root}/changes/{n}"), True)
     gone = [n for n in _names(spark, f"{root}/data") if n not in used]
     for n in gone:
         fs.delete(path(f"{root}/data/{n}"), True)

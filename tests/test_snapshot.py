@@ -85,3 +85,18 @@ def test_retention_removes_what_the_latest_versions_do_not_use(spark, root):
     names = os.listdir(f"{root}/manifests")
     assert len([n for n in names if n.endswith(".json")]) == 1
     assert json.load(open(f"{root}/manifests/{[n for n in names if n.endswith('.json')][0]}"))["number"] == 4
+
+
+def test_columns_may_be_called_like_a_folder(spark, tmp_path):
+    rows = spark.createDataFrame([(12, "a"), (1, "b")], "DivisionId int, v string")
+    snapshot.publish(spark, rows, f"{tmp_path}/t")
+    assert sorted(map(tuple, snapshot.read_current(spark, f"{tmp_path}/t").collect())) == [(1, "b"), (12, "a")]
+
+
+def test_folders_of_earlier_writes_are_read_beside_new_ones(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(12, "a"), (1, "b")], "DivisionId int, w string")
+    with monkeypatch.context() as m:
+        m.setattr(snapshot, "WRITE", "v")
+        snapshot.publish(spark, rows, f"{tmp_path}/t")
+    snapshot.publish(spark, rows.filter("DivisionId = 12").replace("a", "c"), f"{tmp_path}/t", touched=[12])
+    assert sorted(map(tuple, snapshot.read_current(spark, f"{tmp_path}/t").collect())) == [(1, "b"), (12, "c")]
