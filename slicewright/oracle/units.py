@@ -133,7 +133,25 @@ def quote_stock_sql() -> str:
         "FROM stg_cq_detail q", [part_by_id()])
 
 
+def address_tables_sql() -> str:
+    """Country by kind of test address, then the country's pattern over lines 4, 5, 3 and 2."""
+    spelled = "upper(trim(so.BILL_ADDRESS5))"
+    text = "concat_ws('|', so.line4, so.BILL_ADDRESS5, so.BILL_ADDRESS3, so.BILL_ADDRESS2)"
+    code = lambda p: f"NULLIF(regexp_extract(upper({text}), '(^|[ ,|])({p})($|[ ,|])', 2), '')"
+    return _simple(
+        f"SELECT SOH_AUTO_KEY, SOD_AUTO_KEY, country AS BillingCountry, CASE country "
+        f"WHEN 'UNITED KINGDOM' THEN {code('[A-Z]{1,2}[0-9][A-Z0-9]? [0-9][A-Z]{2}')} "
+        f"WHEN 'CANADA' THEN {code('[A-Z][0-9][A-Z] [0-9][A-Z][0-9]')} WHEN 'CHINA' THEN {code('[0-9]{6}')} "
+        f"ELSE {code('[0-9]{5}(?:-[0-9]{4})?')} END AS BillingZipCode FROM (SELECT *, CASE SOH_AUTO_KEY % 5 "
+        "WHEN 1 THEN 'UNITED KINGDOM' WHEN 2 THEN 'CANADA' WHEN 3 THEN 'CHINA' WHEN 4 THEN 'UNITED STATES' "
+        f"ELSE CASE WHEN {spelled} <> '' AND NOT regexp_matches({spelled}, '[0-9]') THEN {spelled} END END AS country, CASE SOH_AUTO_KEY % 5 WHEN 1 THEN 'London, sw1a ' || d || 'aa' "
+        "WHEN 2 THEN 'TORONTO M' || d || 'V ' || d || 'T' || d WHEN 3 THEN 'Beijing 1000' || d || d "
+        "WHEN 4 THEN 'Troy NY 12180-123' || d ELSE BILL_ADDRESS4 END AS line4 "
+        "FROM (SELECT *, CAST(SOD_AUTO_KEY % 10 AS VARCHAR) AS d FROM stg_so_detail) so) so")
+
+
 FURTHER = {
+    "billing_address_by_tables": address_tables_sql,
     "entity_dim_caseless": caseless_entity_sql,
     "warehouse_region_label_caseless": caseless_region_sql,
     "manufacturer_by_name_caseless": caseless_maker_sql,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from slicewright.config import BASE_DIVISION, QTY_OUTLIER_THRESHOLD, SLICES, EntityConfig, RunContext
 from slicewright.functions import exprs as X
+from slicewright.operators.addresses import default_rules, split_address
 from slicewright.operators.dedupe import first_per_key
 from slicewright.operators.entity import classify, entity_by_department, entity_dim
 from slicewright.operators.lookups import key_lookup, lookup, scoped
@@ -401,3 +402,24 @@ def _age_days(t: T) -> DataFrame:
 @unit("has_stock_by_quote")
 def _quote_stock(t: T) -> DataFrame:
     return with_stock_flag(t, t["stg_cq_detail"].select("CQH_AUTO_KEY", "CQD_AUTO_KEY", "PNM_AUTO_KEY"), (BASE_DIVISION,))
+
+
+def foreign_addresses(detail: DataFrame) -> DataFrame:
+    """Test addresses of five kinds by header: as given, British, Canadian, Chinese and US."""
+    kind, digit = F.pmod(F.col("SOH_AUTO_KEY"), F.lit(5)), F.pmod(F.col("SOD_AUTO_KEY"), F.lit(10)).cast("string")
+    four = (
+        F.when(kind == 1, F.concat(F.lit("London, sw1a "), digit, F.lit("aa")))
+        .when(kind == 2, F.concat(F.lit("TORONTO M"), digit, F.lit("V "), digit, F.lit("T"), digit))
+        .when(kind == 3, F.concat(F.lit("Beijing 1000"), digit, digit))
+        .when(kind == 4, F.concat(F.lit("Troy NY 12180-123"), digit))
+    )
+    five = F.when(kind == 1, "Great  Britain").when(kind == 2, "Can.").when(kind == 3, "P.R.C.").when(kind == 4, "U.S.A.")
+    return detail.withColumns({
+        "BILL_ADDRESS4": F.coalesce(four, "BILL_ADDRESS4"), "BILL_ADDRESS5": F.coalesce(five, "BILL_ADDRESS5"),
+    })
+
+
+@unit("billing_address_by_tables")
+def _address_tables(t: T) -> DataFrame:
+    so = foreign_addresses(t["stg_so_detail"])
+    return split_address(so, *default_rules(so.sparkSession)).select(*SO_KEYS, "BillingCountry", "BillingZipCode")
