@@ -86,6 +86,90 @@ FROM sized s JOIN told c ON c.conv_id = s.conv_id AND c.chosen
 JOIN told r ON r.conv_id = s.conv_id AND NOT r.chosen
 """
 
+_OP9 = """
+WITH split AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_no, doc_id, lang, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents),
+word AS (SELECT row_no, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM split),
+triples AS (
+  SELECT row_no, pos, word || ' ' || lead(word) OVER along || ' ' || lead(word, 2) OVER along AS seen
+  FROM word WINDOW along AS (PARTITION BY row_no ORDER BY pos)),
+windows AS (
+  SELECT row_no, pos, count(*) OVER (PARTITION BY row_no, seen) AS times FROM triples WHERE seen IS NOT NULL),
+repeated AS (
+  SELECT row_no, count(DISTINCT pos + step) AS n
+  FROM windows, (VALUES (0), (1), (2)) AS steps(step) WHERE times > 1 GROUP BY row_no),
+counts AS (
+  SELECT s.row_no, doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(r.n, 0) AS n_repeat_words, len(lines) AS n_lines
+  FROM split s LEFT JOIN repeated r ON r.row_no = s.row_no),
+based AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
+measures AS (
+  SELECT row_no, lang, source, unnest([
+    {'measure': 'symbol_rate', 'v': (n_symbols + 1) / (word_chars + 1)},
+    {'measure': 'repeat_rate', 'v': (n_repeat_words + 1) / (n_words + 1)},
+    {'measure': 'dup_line_share', 'v': n_dup_lines / greatest(n_lines, 1)},
+    {'measure': 'n_words', 'v': n_words / 1},
+    {'measure': 'word_length', 'v': word_chars / greatest(n_words, 1)},
+    {'measure': 'words_per_line', 'v': n_words / greatest(n_lines, 1)}], recursive := true)
+  FROM based WHERE NOT base_failed),
+fine AS (
+  SELECT lang, source, measure, CASE WHEN v > 1e-9 THEN CAST(ceil(ln(v) / ln(1.01::DOUBLE / 0.99::DOUBLE)) AS INTEGER) ELSE -10000 END AS bin,
+         count(*)::HUGEINT AS n
+  FROM measures GROUP BY ALL),
+by_lang AS (SELECT lang, measure, bin, sum(n)::HUGEINT AS n FROM fine GROUP BY ALL),
+whole AS (SELECT measure, bin, sum(n)::HUGEINT AS n FROM by_lang GROUP BY ALL),
+sizes AS (
+  SELECT l.lang, l.measure, l.n AS of_lang, w.n AS of_whole
+  FROM (SELECT lang, measure, sum(n)::HUGEINT AS n FROM by_lang GROUP BY ALL) l
+  JOIN (SELECT measure, sum(n)::HUGEINT AS n FROM whole GROUP BY ALL) w ON w.measure = l.measure),
+groups AS (SELECT DISTINCT lang, source, measure FROM fine),
+mixed AS (
+  SELECT lang, source, measure, bin, sum(n)::HUGEINT AS n FROM (
+    SELECT f.lang, f.source, f.measure, f.bin, f.n * (z.of_lang + 200) * z.of_whole AS n
+    FROM fine f JOIN sizes z ON z.lang IS NOT DISTINCT FROM f.lang AND z.measure = f.measure
+    UNION ALL
+    SELECT g.lang, g.source, g.measure, b.bin, b.n * 200 * z.of_whole
+    FROM groups g JOIN by_lang b ON b.lang IS NOT DISTINCT FROM g.lang AND b.measure = g.measure
+    JOIN sizes z ON z.lang IS NOT DISTINCT FROM g.lang AND z.measure = g.measure
+    UNION ALL
+    SELECT g.lang, g.source, g.measure, w.bin, w.n * 200 * 200 FROM groups g JOIN whole w ON w.measure = g.measure)
+  GROUP BY ALL),
+walked AS (
+  SELECT lang, source, measure, bin, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bin) AS seen,
+         sum(n) OVER (PARTITION BY lang, source, measure) AS total
+  FROM mixed),
+bins AS (
+  SELECT lang, source, measure, min(bin) FILTER (WHERE seen * 100 >= total * 25) AS low,
+         min(bin) FILTER (WHERE seen * 100 >= total * 50) AS median, min(bin) FILTER (WHERE seen * 100 >= total * 75) AS high,
+         min(bin) FILTER (WHERE seen * 100 >= total * 99) AS tail
+  FROM walked GROUP BY ALL),
+quartiles AS (
+  SELECT lang, source, measure, tail, 2 * pow(1.01::DOUBLE / 0.99::DOUBLE, low) / (1.01::DOUBLE / 0.99::DOUBLE + 1) AS low,
+         2 * pow(1.01::DOUBLE / 0.99::DOUBLE, median) / (1.01::DOUBLE / 0.99::DOUBLE + 1) AS median,
+         2 * pow(1.01::DOUBLE / 0.99::DOUBLE, high) / (1.01::DOUBLE / 0.99::DOUBLE + 1) AS high,
+         CASE measure WHEN 'word_length' THEN 1.1 WHEN 'n_words' THEN 2 WHEN 'words_per_line' THEN 2 ELSE 4 END AS at_least
+  FROM bins),
+limits AS (
+  SELECT lang, source, measure,
+         CASE WHEN measure IN ('n_words', 'word_length', 'words_per_line') THEN low / greatest(pow(high / low, 3), at_least) ELSE -1 END AS lower,
+         CASE WHEN measure = 'dup_line_share' THEN CASE WHEN tail > -10000 THEN pow(1.01::DOUBLE / 0.99::DOUBLE, tail) ELSE 0 END
+              WHEN measure IN ('symbol_rate', 'repeat_rate')
+              THEN least(high * greatest(pow(high / low, 3), at_least), median * greatest(pow(median / low, 7), at_least))
+              ELSE high * greatest(pow(high / low, 3), at_least) END AS upper
+  FROM quartiles),
+beyond AS (
+  SELECT DISTINCT row_no FROM measures m JOIN limits l
+    ON l.lang IS NOT DISTINCT FROM m.lang AND l.source IS NOT DISTINCT FROM m.source AND l.measure = m.measure
+  WHERE m.v > l.upper OR m.v < l.lower)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
+       NOT base_failed AND b.row_no IS NULL AS kept, lang, source
+FROM based LEFT JOIN beyond b ON b.row_no = based.row_no
+"""
+
 _OP11 = """
 WITH placed AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
@@ -204,4 +288,5 @@ ORACLE: dict[str, str] = {
     "op2_substring_dedup": _OP2,
     "op3_preference_format": _OP3,
     "op7_url_filter": _OP7,
+    "op9_quality_rules": _OP9,
 }

@@ -3,10 +3,16 @@
 Each document gets a few measures.  Per language and source, every measure is summarised by
 a mergeable quantile sketch: counts in logarithmic bins, so that a quantile has a relative
 error of ``ACCURACY`` at most.  Bins add up, whatever the partitioning, and the sketch of a
-language, or of the whole corpus, is the sum of its groups' sketches; groups with fewer than
-``MIN_GROUP`` documents use the language's sketch, and small languages the corpus'.  A
-document fails a measure that lies beyond its group's fence (see ``FENCES`` and ``SPREAD``);
-thresholds are joined back by language and source.
+language, or of the whole corpus, is the sum of its groups' sketches.  A group's sketch is
+shrunk towards its language's, as if ``PRIOR`` more documents were spread as those of the
+language are, and the language's likewise towards the corpus': a large group follows itself,
+a small one its language, without a size at which the rule changes.  The sums are exact
+(whole numbers), so they don't depend on the order of rows.
+
+All limits are read off these sketches (see ``FENCES``); they are joined back by language and
+source, and a document beyond one fails.  Shares that are zero in most documents are taken as
+rates with one more occurrence, (n + 1) / (size + 1), so that a short clean document and a
+long one differ and the sketch has a spread.
 
 Defined results
   null or empty text: no words, which fails the fixed rule; null language or source: a group
@@ -28,39 +34,46 @@ from slicewright.llm._store import plainly_named
 from slicewright.llm._text import blank, exact_ids, gram_ids, grams, ranges, release, slices, span_hash, unequal, utf8, words_of
 
 ACCURACY = 0.01
-MIN_GROUP = 200
+#: Documents of its language that a group's sketch takes in besides its own.
+PRIOR = 200
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 
+#: Percentages of the quantiles that fences are made of.
+LOW, MIDDLE, HIGH, TAIL = 25, 50, 75, 99
+#: How often the distance of quartiles is laid beyond them, as a power of their ratio.
+REACH = 3
+
+
 @dataclass(frozen=True)
 class Fence:
-    """A measure fails above ``median + reach * (high - median)``, but never at or under
-    ``least``, so that a corpus without any spread keeps its documents, and always above
-    ``most``, however many of its group do."""
+    """The limits of a measure.
+
+    ``both``: it fails above ``high * f`` or under ``low / f``, with f = (high / low) ** REACH.
+    ``above``: only above that, or above ``median * (median / low) ** (2 * REACH + 1)`` if this
+    is less: the same limit in a group whose upper half is spread as its lower one, and not
+    moved by up to half of the group being bad.
+    ``tail``: it fails above the TAIL quantile, for counts too small to have quartiles.
+
+    ``least`` is the smallest factor, for groups in which all documents have one value.
+    """
 
     measure: str
-    reach: float
-    least: float
-    most: float = 0.5
+    kind: str
+    least: float = 1.0
 
 
-#: Judged above: the share of symbols, of repeated lines and of words in repeated windows.
-#: Most documents have none of these, so in most groups ``least`` is the limit.
 FENCES = (
-    Fence("symbol_share", 3.0, 0.02),
-    Fence("dup_line_share", 3.0, 0.40),
-    Fence("repeat_share", 3.0, 0.40),
+    Fence("symbol_rate", "above", 4.0),
+    Fence("repeat_rate", "above", 4.0),
+    Fence("dup_line_share", "tail"),
+    Fence("n_words", "both", 2.0),
+    Fence("word_length", "both", 1.1),
+    Fence("words_per_line", "both", 2.0),
 )
-#: Judged on both sides, as these differ between documents in every group: a measure fails
-#: beyond ``(high / low) ** REACH`` times ``high``, or under that part of ``low``.  The factor
-#: is no smaller than given here, for groups without any spread.
-SPREAD = {"n_words": 2.0, "word_length": 1.1, "words_per_line": 2.0}
-REACH = 3.0
-#: The low and the high quantile of the fences.
-LOW, HIGH = 0.25, 0.75
 
 
 def _neighbours(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,9 +153,9 @@ def base_failed() -> Column:
 def _measures() -> dict[str, Column]:
     words = F.greatest(F.col("n_words"), F.lit(1))
     return {
-        "symbol_share": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
+        "symbol_rate": (F.col("n_symbols") + 1) / (F.col("word_chars") + 1),
+        "repeat_rate": (F.col("n_repeat_words") + 1) / (F.col("n_words") + 1),
         "dup_line_share": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-        "repeat_share": F.col("n_repeat_words") / words,
         "n_words": F.col("n_words").cast("double"),
         "word_length": F.col("word_chars") / words,
         "words_per_line": F.col("n_words") / F.greatest(F.col("n_lines"), F.lit(1)),
@@ -164,6 +177,10 @@ def _bin_value(index: Column) -> Column:
     return F.when(index > _ZERO_BIN, middle).otherwise(F.lit(0.0))
 
 
+#: Whole numbers of sketches: products of three counts of documents.
+_WHOLE = T.DecimalType(38, 0)
+
+
 def sketches(stats: DataFrame, groups: list[str]) -> DataFrame:
     """Bins and counts of each measure in each group: (groups.., measure, bin, n).  Documents
     that the fixed rule rejects aren't part of the corpus that thresholds follow."""
@@ -181,71 +198,85 @@ def merged(sketch: DataFrame, groups: list[str]) -> DataFrame:
     return sketch.groupBy(*groups, "measure", "bin").agg(F.sum("n").alias("n"))
 
 
-def quantiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """Number, median, LOW and HIGH quantile of each group and measure.  A group has a bounded
-    number of bins (about 1,100 at most), which is what one row gathers."""
-    bins = F.array_sort(F.collect_list(F.struct("bin", "n")))
-    gathered = sketch.groupBy(*groups, "measure").agg(bins.alias("bins"), F.sum("n").alias("total"))
-
-    def at(q: float) -> Column:
-        rank = F.floor(q * (F.col("total") - 1)) + 1
-        start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(_ZERO_BIN).alias("bin"))
-        walked = F.aggregate(
-            "bins", start,
-            lambda acc, b: F.when(acc["seen"] >= rank, acc).otherwise(
-                F.struct((acc["seen"] + b["n"]).alias("seen"), b["bin"].alias("bin"))
-            ),
-        )
-        return _bin_value(walked["bin"])
-
-    return gathered.select(*groups, "measure", "total", at(0.5).alias("median"), at(LOW).alias("low"), at(HIGH).alias("high"))
-
+def gathered(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """(groups.., measure, bins, total): a group has a bounded number of bins (about 1,100 at
+    most), which is what one row gathers."""
+    counts = sketch.withColumn("n", F.col("n").cast(_WHOLE))
+    return counts.groupBy(*groups, "measure").agg(
+        F.collect_list(F.struct("bin", "n")).alias("bins"), F.sum("n").cast(_WHOLE).alias("total")
+    )
 
-def _limits() -> list[tuple[str, str]]:
-    return [*[("max", f.measure) for f in FENCES], *[(side, m) for m in SPREAD for side in ("min", "max")]]
 
+def shrunk(own: Column, total: Column, prior: Column, prior_total: Column) -> tuple[Column, Column]:
+    """Bins and total of a sketch together with PRIOR documents spread as in another, all
+    multiplied by the other's total."""
+    times = lambda bins, factor: F.transform(
+        bins, lambda b: F.struct(b["bin"].alias("bin"), (b["n"] * factor).cast(_WHOLE).alias("n"))
+    )
+    weight = F.lit(PRIOR).cast(_WHOLE)
+    return F.concat(times(own, prior_total), times(prior, weight)), ((total + weight) * prior_total).cast(_WHOLE)
+
+
+def quantile(bins: Column, total: Column, percent: int) -> Column:
+    """The least bin up to which so many percent of sorted ``bins`` lie."""
+    start = F.struct(F.lit(0).cast(_WHOLE).alias("seen"), F.lit(_ZERO_BIN).alias("bin"))
+    walked = F.aggregate(
+        bins, start,
+        lambda acc, b: F.when(acc["seen"] * 100 >= total * percent, acc).otherwise(
+            F.struct((acc["seen"] + b["n"]).cast(_WHOLE).alias("seen"), b["bin"].alias("bin"))
+        ),
+    )
+    return walked["bin"]
 
-def thresholds(stats: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """One row per language and source: the limits of each measure."""
-    limits = F.create_map(*[F.lit(x) for f in FENCES for x in (f.measure, F.array(F.lit(f.reach), F.lit(f.least), F.lit(f.most)))])
-    factors = F.create_map(*[F.lit(x) for pair in SPREAD.items() for x in pair])
-
-    def with_limits(sketch: DataFrame, groups: list[str], name: str) -> DataFrame:
-        reach, least, most = (F.element_at(F.element_at(limits, F.col("measure")), i) for i in (1, 2, 3))
-        fence = F.least(F.greatest(F.col("median") + reach * (F.col("high") - F.col("median")), least), most)
-        two_sided = F.col("measure").isin(*SPREAD)
-        beyond = F.greatest(F.pow(F.col("high") / F.col("low"), F.lit(REACH)), F.element_at(factors, F.col("measure")))
-        upper = F.when(two_sided, F.col("high") * beyond).otherwise(fence)
-        lower = F.when(two_sided, F.col("low") / beyond)
-        return quantiles(sketch, groups).select(
-            *groups, "measure", F.struct("total", F.struct(lower.alias("min"), upper.alias("max")).alias("limit")).alias(name)
-        )
 
+def group_quantiles(stats: DataFrame, lang: str, source: str) -> DataFrame:
+    """(t_lang, t_source, measure, low, median, high, tail): quantiles of each group's shrunk sketch;
+    tail is the bin itself."""
     fine = sketches(stats, [lang, source])
     by_lang = merged(fine, [lang])
-    whole = merged(by_lang, [])
-    a = with_limits(fine, [lang, source], "fine").alias("a")
-    b = with_limits(by_lang, [lang], "by_lang").alias("b")
-    c = with_limits(whole, [], "whole").alias("c")
-    joined = (
-        a.join(b, F.col(f"a.{lang}").eqNullSafe(F.col(f"b.{lang}")) & (F.col("a.measure") == F.col("b.measure")))
-        .join(c, F.col("a.measure") == F.col("c.measure"))
+    a = gathered(fine, [lang, source]).alias("a")
+    b = gathered(by_lang, [lang]).alias("b")
+    c = gathered(merged(by_lang, []), []).alias("c")
+    of_lang = b.join(c, F.col("b.measure") == F.col("c.measure")).select(
+        F.col(f"b.{lang}").alias("l_lang"), F.col("b.measure").alias("l_measure"),
+        *[x.alias(n) for x, n in zip(shrunk(*[F.col(n) for n in ("b.bins", "b.total", "c.bins", "c.total")]), ("l_bins", "l_total"))],
     )
-    limit = (
-        F.when(F.col("fine.total") >= MIN_GROUP, F.col("fine.limit"))
-        .when(F.col("by_lang.total") >= MIN_GROUP, F.col("by_lang.limit"))
-        .otherwise(F.col("whole.limit"))
+    bins, total = shrunk(F.col("a.bins"), F.col("a.total"), F.col("l_bins"), F.col("l_total"))
+    whole = a.join(of_lang, F.col(f"a.{lang}").eqNullSafe(F.col("l_lang")) & (F.col("a.measure") == F.col("l_measure"))).select(
+        F.col(f"a.{lang}").alias("t_lang"), F.col(f"a.{source}").alias("t_source"), F.col("a.measure").alias("measure"),
+        F.array_sort(bins).alias("bins"), total.alias("total"),
     )
-    return (
-        joined.select(F.col(f"a.{lang}").alias("t_lang"), F.col(f"a.{source}").alias("t_source"),
-                      F.col("a.measure").alias("measure"), limit.alias("limit"))
-        .groupBy("t_lang", "t_source")
-        .agg(*[
-            F.max(F.when(F.col("measure") == m, F.col(f"limit.{side}"))).alias(f"{side}_{m}") for side, m in _limits()
-        ])
+    at = lambda percent: quantile(F.col("bins"), F.col("total"), percent)
+    return whole.select(
+        "t_lang", "t_source", "measure", _bin_value(at(LOW)).alias("low"), _bin_value(at(MIDDLE)).alias("median"),
+        _bin_value(at(HIGH)).alias("high"), at(TAIL).alias("tail"),
     )
 
 
+def _limit(fence: Fence) -> tuple[Column, Column]:
+    """The lower (or null) and upper limit of a measure."""
+    none = F.lit(None).cast("double")
+    if fence.kind == "tail":
+        return none, F.when(F.col("tail") > _ZERO_BIN, F.pow(F.lit(_GAMMA), F.col("tail"))).otherwise(0.0)
+    beyond = lambda ratio, reach: F.greatest(F.pow(ratio, F.lit(float(reach))), F.lit(fence.least))
+    factor = beyond(F.try_divide("high", "low"), REACH)
+    if fence.kind == "both":
+        return F.col("low") / factor, F.col("high") * factor
+    return none, F.least(F.col("high") * factor, F.col("median") * beyond(F.try_divide("median", "low"), 2 * REACH + 1))
+
+
+def _limits() -> list[tuple[str, str]]:
+    return [(side, f.measure) for f in FENCES for side in (("min", "max") if f.kind == "both" else ("max",))]
+
+
+def thresholds(stats: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """One row per language and source: the limits of each measure."""
+    limits = {(side, f.measure): limit for f in FENCES for side, limit in zip(("min", "max"), _limit(f))}
+    return group_quantiles(stats, lang, source).groupBy("t_lang", "t_source").agg(*[
+        F.max(F.when(F.col("measure") == m, limits[side, m])).alias(f"{side}_{m}") for side, m in _limits()
+    ])
+
+
 def judged(stats: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """``stats`` with base_failed and kept."""
     joined = stats.join(

@@ -38,26 +38,56 @@ def test_stages_and_columns(stages):
     assert all(stages[n][2] == COLUMNS for n in list(stages)[:-1])
 
 
+GAMMA = (1 + quality.ACCURACY) / (1 - quality.ACCURACY)
+
+
+def brute_limits(group, lang, whole):
+    """Lower and upper limit of every measure, from Counters of bins by measure."""
+    out = {}
+    for fence in quality.FENCES:
+        sizes = [sum(s[fence.measure].values()) for s in (group, lang, whole)]
+        scale = (sizes[1] + quality.PRIOR) * sizes[2]
+        bins = Counter()
+        for sketch, times in ((group, scale), (lang, quality.PRIOR * sizes[2]), (whole, quality.PRIOR**2)):
+            for b, n in sketch[fence.measure].items():
+                bins[b] += n * times
+
+        def at(percent):
+            seen = 0
+            for b in sorted(bins):
+                seen += bins[b]
+                if seen * 100 >= percent * sum(bins.values()):
+                    return b
+
+        value = lambda b: 2 * GAMMA**b / (GAMMA + 1)
+        if fence.kind == "tail":
+            out[fence.measure] = -1, GAMMA ** at(99) if at(99) > -10_000 else 0
+            continue
+        low, median, high = (value(at(q)) for q in (25, 50, 75))
+        factor = max((high / low) ** 3, fence.least)
+        if fence.kind == "both":
+            out[fence.measure] = low / factor, high * factor
+        else:
+            out[fence.measure] = -1, min(high * factor, median * max((median / low) ** 7, fence.least))
+    return out
+
+
 def brute_kept(rows):
     measured = []
     for i, t, lang, source, *_ in rows:
         words, chars, symbols, dup, repeat, lines = brute_counts(t)
         failed = words < quality.MIN_WORDS or 100 * repeat > quality.MAX_REPEAT_PERCENT * words
-        measure = {"symbol_share": symbols / max(chars, 1), "dup_line_share": dup / max(lines, 1), "repeat_share": repeat / max(words, 1)}
-        measured.append(((lang, source), failed, measure))
-    groups = defaultdict(list)
-    for (lang, source), failed, m in measured:
-        if not failed:
-            for g in ((lang, source), (lang,), ()):
-                groups[g].append(m)
-
-    def limit(group, fence):
-        chosen = next(g for g in (group, group[:1], ()) if len(groups[g]) >= quality.MIN_GROUP or g == ())
-        values = sorted(m[fence.measure] for m in groups[chosen])
-        at = lambda q: values[math.floor(q * (len(values) - 1))]
-        return max(fence.least, at(0.5) + fence.reach * (at(quality.HIGH) - at(0.5)))
-
-    return [not failed and all(m[f.measure] <= limit(g, f) for f in quality.FENCES) for g, failed, m in measured]
+        measured.append(((lang, source), failed, {
+            "symbol_rate": (symbols + 1) / (chars + 1), "repeat_rate": (repeat + 1) / (words + 1), "dup_line_share": dup / max(lines, 1),
+            "n_words": words, "word_length": chars / max(words, 1), "words_per_line": words / max(lines, 1),
+        }))
+    sketches = defaultdict(lambda: defaultdict(Counter))
+    for group, failed, m in measured:
+        for name, v in m.items() if not failed else ():
+            for g in (group, group[:1], ()):
+                sketches[g][name][math.ceil(math.log(v) / math.log(GAMMA)) if v > 1e-9 else -10_000] += 1
+    limits = {g: brute_limits(*(sketches[x] for x in (g, g[:1], ()))) for g, failed, _ in measured if not failed}
+    return [not failed and all(low <= m[name] <= high for name, (low, high) in limits[g].items()) for g, failed, m in measured]
 
 
 def test_quality_stage(stages):
@@ -65,6 +95,30 @@ def test_quality_stage(stages):
     assert Counter(after) == Counter(r for r, k in zip(before, brute_kept(before)) if k)
 
 
+def test_every_kind_of_fence_rejects(spark):
+    """One document a fence is planted among the given ones; each limit is read off the sketches."""
+    usual = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select(*COLUMNS).collect()]
+    texts = {
+        -1: "word & thing | " * 100, -2: "\n".join(["the very same line of words here"] * 9 + [f"w{i} v{i} u{i}" for i in range(40)]),
+        -3: " ".join(f"{i}incomprehensibilities" for i in range(80)), -4: " ".join(f"w{i}" for i in range(150_000)),
+        -5: "\n".join(f"w{i}" for i in range(90)), -6: " ".join(f"w{i} a" for i in range(90)),
+    }
+    rows = usual + [(i, t, "en", "planted", len(t)) for i, t in texts.items()]
+    kept = quality.passing(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()
+    assert Counter(map(tuple, kept)) == Counter(r for r, k in zip(rows, brute_kept(rows)) if k)
+    assert not {r["doc_id"] for r in kept} & set(texts)
+
+
+def test_limits_follow_the_source_in_every_language(spark):
+    """No group takes over its language's limits as they are."""
+    docs = spark.read.parquet(SF.replace("0.001", "0.1") + "/documents.parquet")
+    limits = quality.thresholds(quality.count_stats(docs, ["lang", "source"])).collect()
+    by_lang = defaultdict(list)
+    for r in limits:
+        by_lang[r["t_lang"]].append(r["max_symbol_rate"])
+    assert all(len(set(found)) > len(found) / 2 > 1 for found in by_lang.values())
+
+
 def test_near_dedup_stage(stages):
     before, after, _ = stages["simhash_near_dedup"]
     groups = brute_components([(r[0], brute_fingerprint(r[1])) for r in before])

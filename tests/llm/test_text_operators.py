@@ -94,9 +94,24 @@ def test_quantiles_come_from_the_merged_bins(spark):
         F.lit(0).alias("n_dup_lines"), F.lit(0).alias("n_repeat_words"), F.lit(1).alias("n_lines"),
     )
     fine = quality.sketches(stats, ["lang", "source"])
-    both = quality.quantiles(quality.merged(fine, ["lang"]), ["lang"]).filter("measure = 'symbol_share'").first()
-    assert both["total"] == 1000
-    assert both["median"] == pytest.approx(0.5, rel=0.03) and both["high"] == pytest.approx(0.75, rel=0.03)
+    both = quality.gathered(quality.merged(fine, ["lang"]), ["lang"]).filter("measure = 'symbol_rate'")
+    found = both.select("total", *[quality.quantile(F.array_sort("bins"), F.col("total"), p).alias(f"q{p}") for p in (25, 50, 75)]).first()
+    assert found["total"] == 1000
+    for p in (25, 50, 75):
+        assert quality.ACCURACY * 2 > abs(((1 + quality.ACCURACY) / (1 - quality.ACCURACY)) ** found[f"q{p}"] / (p / 100) - 1)
+
+
+def test_small_groups_lean_on_their_language(spark):
+    """A group of three documents has nearly its language's quartiles, a large one its own."""
+    rows = [("a", 1000 + i) for i in range(1000)] + [("b", 10)] * 3 + [("c", 10)] * 5000
+    stats = spark.createDataFrame(rows, "source string, n_words long").select(
+        F.when(F.col("source") == "c", "fr").otherwise("en").alias("lang"), "source", (F.col("n_words") * 50).alias("n_words"),
+        (F.col("n_words") * 250).alias("word_chars"), *[F.lit(0).alias(c) for c in ("n_symbols", "n_dup_lines", "n_repeat_words")],
+        F.lit(1).alias("n_lines"),
+    )
+    found = {(r["t_source"], r["measure"]): r["median"] for r in quality.group_quantiles(stats, "lang", "source").collect()}
+    assert found["a", "n_words"] > 60_000 and found["b", "n_words"] > 50_000
+    assert found["c", "n_words"] == pytest.approx(500, rel=0.02)
 
 
 def measured(spark, rows):
