@@ -59,6 +59,14 @@ def bucket_edges(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], inner, [len(sorted_hashes)]]).astype(np.int64)
 
 
+def bucket_runs(sorted_hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets (a power of two of them) that sorted hashes fall in, and where each one's part
+    begins, with the end."""
+    of = sorted_hashes >> np.uint64(64 - (buckets.bit_length() - 1))
+    begin = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.empty(0, np.int64)
+    return of[begin].astype(np.int64), np.append(begin, len(of)).astype(np.int64)
+
+
 def grouped(order: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First place of each distinct value in sorted ``values[order]``, and each row's group."""
     s = values[order]

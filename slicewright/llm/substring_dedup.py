@@ -3,13 +3,20 @@
 The reference is the corpus itself, in blocks of documents.  A window of ``window`` words is
 anchored at the least of the hashed ``anchor``-word runs inside it, so equal windows have equal
 anchors; neighbouring windows with one anchor form a phrase.  Every block adds its anchors to
-the index, one entry each: the phrase (or "several") and the smallest document that has it.
+the index, one entry each: the phrase (or "several"), the smallest document that has it and the
+place where it first stands there.
 
-Factoring a document runs through its phrases from left to right.  A phrase that the index has
-in one form only continues the factor as a whole, if a smaller document owns it.  At the
-boundaries of factors, where an anchor occurs in several phrases, the windows are looked up
-singly, so a factor ends at the very word where the texts part.  The windows of factors (each
-at least ``window`` words long) are the duplicate spans, and their words are removed.
+A document is parsed from left to right.  A factor points at a place in a smaller document, and
+goes on for as long as the next window stands at the next place there: by whole phrases where
+the index has an anchor in one form only, and window by window at the boundaries of factors,
+where an anchor occurs in several phrases, so a factor ends at the very word where the texts
+part.  The next factor begins behind it; it may be shorter than ``window`` words there, as the
+window that stands over the boundary was found too.  A text that no factor covers is new.  The
+words of factors are the duplicate spans, and are removed.
+
+A window's place is the first one in the smallest document that has it.  So a factor is the
+longest match along that place, not always the longest in any document: it also ends where an
+even smaller document has the next window.
 
 The window hashes have 64 bits; texts are compared by them.
 
@@ -21,6 +28,8 @@ Defined results
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
@@ -32,7 +41,7 @@ from slicewright.llm._blocks import (
     arrays,
     block_count,
     bucket_count,
-    bucket_edges,
+    bucket_runs,
     grouped,
     in_blocks,
     packed,
@@ -44,9 +53,11 @@ WINDOW = 13
 ANCHOR = 5
 #: What the index says of an anchor: no other block has it; one phrase; several phrases.
 ALONE, ONE_PHRASE, SEVERAL = 0, 1, 2
+#: A factor: its words in the document, and where they stand in a smaller one.
+FACTOR = ["first", "last", "source", "source_first"]
 
-_QUESTION = "block long, bucket long, keys binary, phrases binary, owners binary"
-_ANSWER = "block long, bucket long, round int, status binary, owners binary"
+_QUESTION = "block long, bucket long, keys binary, phrases binary, owners binary, places binary"
+_ANSWER = "block long, bucket long, round int, status binary, owners binary, places binary"
 
 
 class _Parse:
@@ -79,6 +90,8 @@ class _Parse:
         del runs, place, new
         self.phrase = mix(gram_hash(w.hash, start, end) ^ mix(form + U64(1))) | U64(1)
         self.owner = self.keys[w.row[start]]
+        self.start = start
+        self.place = self.place_of(start)
         anchors = mix(least[first])  # least hashes crowd at the low end; spread them again
         self.order = np.argsort(anchors, kind="stable")
         self.begin, self.group = grouped(self.order, anchors)
@@ -96,6 +109,10 @@ class _Parse:
         first = np.append(np.concatenate([p.first for p in parts]), words_before)
         return Words(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("start", "end", "row", "hash")), first)
 
+    def place_of(self, word: np.ndarray) -> np.ndarray:
+        """The places of words in their documents."""
+        return (word - self.words.first[self.words.row[word]]).astype(np.int32)
+
     def window_hash(self, chosen: np.ndarray) -> np.ndarray:
         at = self.at[chosen]
         return gram_hash(self.words.hash, at, at + self.window)
@@ -104,53 +121,64 @@ class _Parse:
         return self.keys[self.words.row[self.at[chosen]]]
 
 
-def _least(values: np.ndarray, order: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    return np.minimum.reduceat(values[order], begin) if len(begin) else values[:0]
+def _least(owners: np.ndarray, places: np.ndarray, order: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest owner of each group, and its first place."""
+    if not len(begin):
+        return owners[:0], places[:0]
+    owners, places = owners[order], places[order]
+    least = np.minimum.reduceat(owners, begin)
+    other = owners != np.repeat(least, np.diff(np.append(begin, len(owners))))
+    return least, np.minimum.reduceat(np.where(other, np.iinfo(np.int32).max, places), begin).astype(np.int32)
 
 
-def _questions(block: int, buckets: int, keys: np.ndarray, phrases: np.ndarray | None, owners: np.ndarray) -> pa.Table:
-    edges = bucket_edges(keys, buckets)
-    some = [b for b in range(buckets) if edges[b] < edges[b + 1]]
-    cut = lambda x: pa.array([packed(x[edges[b] : edges[b + 1]]) for b in some], pa.binary())
+def _questions(
+    block: int, buckets: int, keys: np.ndarray, phrases: np.ndarray | None, owners: np.ndarray, places: np.ndarray
+) -> pa.Table:
+    some, edges = bucket_runs(keys, buckets)
+    cut = lambda x: pa.array([packed(x[a:b]) for a, b in zip(edges, edges[1:])], pa.binary())
     empty = pa.array([b""] * len(some), pa.binary())
     return pa.table(
         [pa.array([block] * len(some), pa.int64()), pa.array(some, pa.int64()), cut(keys),
-         empty if phrases is None else cut(phrases), cut(owners)],
-        ["block", "bucket", "keys", "phrases", "owners"],
+         empty if phrases is None else cut(phrases), cut(owners), cut(places)],
+        ["block", "bucket", "keys", "phrases", "owners", "places"],
     )
 
 
-def _answered(table: pa.Table, status: np.ndarray | None, owners: np.ndarray, sizes: list[int], number: int) -> pa.Table:
+def _answered(
+    table: pa.Table, status: np.ndarray | None, owners: np.ndarray, places: np.ndarray, sizes: list[int], number: int
+) -> pa.Table:
     ends = np.cumsum([0, *sizes])
     cut = lambda x: pa.array([packed(x[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
     empty = pa.array([b""] * len(sizes), pa.binary())
     return pa.table(
         [table.column("block"), table.column("bucket"), pa.array([number] * len(sizes), pa.int32()),
-         empty if status is None else cut(status), cut(owners)],
-        ["block", "bucket", "round", "status", "owners"],
+         empty if status is None else cut(status), cut(owners), cut(places)],
+        ["block", "bucket", "round", "status", "owners", "places"],
     )
 
 
 def _judge_anchors(table: pa.Table) -> pa.Table:
-    keys, phrases, owners = (arrays(table, c, t) for c, t in (("keys", "<u8"), ("phrases", "<u8"), ("owners", "<i8")))
+    kinds = (("keys", "<u8"), ("phrases", "<u8"), ("owners", "<i8"), ("places", "<i4"))
+    keys, phrases, owners, places = (arrays(table, c, t) for c, t in kinds)
     sizes = [len(k) for k in keys]
-    keys, phrases, owners = map(np.concatenate, (keys, phrases, owners))
+    keys, phrases, owners, places = map(np.concatenate, (keys, phrases, owners, places))
     order = np.argsort(keys, kind="stable")
     begin, group = grouped(order, keys)
     count = np.diff(np.append(begin, len(keys)))
     low, high = np.minimum.reduceat(phrases[order], begin), np.maximum.reduceat(phrases[order], begin)
     status = np.where(count < 2, ALONE, np.where((low == high) & (low > 0), ONE_PHRASE, SEVERAL)).astype(np.uint8)
-    least = np.where(status == ONE_PHRASE, _least(owners, order, begin), 0)
-    return _answered(table, status[group], least[group], sizes, 1)
+    least, first = (np.where(status == ONE_PHRASE, x, x.dtype.type(0)) for x in _least(owners, places, order, begin))
+    return _answered(table, status[group], least[group], first[group], sizes, 1)
 
 
 def _judge_windows(table: pa.Table) -> pa.Table:
-    keys, owners = (arrays(table, c, t) for c, t in (("keys", "<u8"), ("owners", "<i8")))
+    keys, owners, places = (arrays(table, c, t) for c, t in (("keys", "<u8"), ("owners", "<i8"), ("places", "<i4")))
     sizes = [len(k) for k in keys]
-    keys, owners = map(np.concatenate, (keys, owners))
+    keys, owners, places = map(np.concatenate, (keys, owners, places))
     order = np.argsort(keys, kind="stable")
     begin, group = grouped(order, keys)
-    return _answered(table, None, _least(owners, order, begin)[group], sizes, 2)
+    least, first = _least(owners, places, order, begin)
+    return _answered(table, None, least[group], first[group], sizes, 2)
 
 
 def _joined(answers: pa.Table, number: int, column: str, dtype: str) -> np.ndarray:
@@ -159,30 +187,65 @@ def _joined(answers: pa.Table, number: int, column: str, dtype: str) -> np.ndarr
     return np.concatenate(parts) if parts else np.empty(0, dtype)
 
 
-def _window_table(p: _Parse, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes of the chosen windows, their smallest document, each window's place."""
+def _window_table(p: _Parse, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes of the chosen windows, their smallest document and its first place, and
+    which of them each window is."""
     hashes = p.window_hash(chosen)
     order = np.argsort(hashes, kind="stable")
     begin, group = grouped(order, hashes)
-    return hashes[order][begin], _least(p.window_owner(chosen), order, begin), group
+    return hashes[order][begin], *_least(p.window_owner(chosen), p.place_of(p.at[chosen]), order, begin), group
 
 
-def _duplicate_windows(p: _Parse, answers: pa.Table) -> np.ndarray:
-    """Which windows a smaller document has too."""
+def _found_windows(p: _Parse, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows that a smaller document has too, the smallest such document and its place."""
     status = _joined(answers, 1, "status", "u1")[p.group]
-    owner = _joined(answers, 1, "owners", "<i8")[p.group]
     of_window = status[p.phrase_of]
-    own = p.window_owner(np.arange(len(p.at)))
-    found = (of_window == ONE_PHRASE) & (owner[p.phrase_of] < own)
+    source = _joined(answers, 1, "owners", "<i8")[p.group][p.phrase_of]
+    place = _joined(answers, 1, "places", "<i4")[p.group][p.phrase_of] + (p.at - p.start[p.phrase_of]).astype(np.int32)
     several = np.flatnonzero(of_window == SEVERAL)
     if len(several):
-        place = _window_table(p, several)[2]
-        found[several] = _joined(answers, 2, "owners", "<i8")[place] < own[several]
+        which = _window_table(p, several)[3]
+        source[several] = _joined(answers, 2, "owners", "<i8")[which]
+        place[several] = _joined(answers, 2, "places", "<i4")[which]
     alone = np.flatnonzero(of_window == ALONE)
     if len(alone):
-        _, least, place = _window_table(p, alone)
-        found[alone] = least[place] < own[alone]
-    return found
+        _, least, first, which = _window_table(p, alone)
+        source[alone], place[alone] = least[which], first[which]
+    found = np.flatnonzero(source < p.window_owner(np.arange(len(p.at))))
+    return found, source[found], place[found]
+
+
+@dataclass
+class _Factors:
+    """The factors of a block's documents, from left to right: the words ``first`` up to ``end``
+    (places in the block) also stand in ``source`` from ``source_first`` on."""
+
+    row: np.ndarray
+    first: np.ndarray
+    end: np.ndarray
+    source: np.ndarray
+    source_first: np.ndarray
+
+
+def _parsed(p: _Parse, answers: pa.Table) -> _Factors:
+    found, source, place = _found_windows(p, answers)
+    at = p.at[found]
+    row = p.words.row[at] if len(at) else at
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1]) | (source[1:] != source[:-1]) | (place[1:] != place[:-1] + 1)
+    begin = np.flatnonzero(new)
+    end = at[np.append(begin[1:], len(at)) - 1] + p.window if len(at) else at
+    first = at[begin]
+    first[1:] = np.maximum(first[1:], end[:-1])
+    return _Factors(row[begin], first, end, source[begin], place[begin] + first - at[begin])
+
+
+def _factor_lists(p: _Parse, f: _Factors) -> pa.Array:
+    before = p.words.first[f.row]
+    numbers = [f.first - before, f.end - 1 - before, f.source, f.source_first]
+    structs = pa.StructArray.from_arrays([pa.array(x.astype(np.int64)) for x in numbers], FACTOR)
+    edges = np.searchsorted(f.row, np.arange(len(p.offsets)))
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), structs)
 
 
 def _runs(mask: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,11 +271,11 @@ def _cut_text(text: bytes, start: list[int], end: list[int], gone: list[tuple[in
     return b"".join([*parts, text[at:]])
 
 
-def _cleaned(p: _Parse, found: np.ndarray, joined: bool) -> tuple[np.ndarray, list[list[dict]], list[str]]:
+def _cleaned(p: _Parse, factors: _Factors, joined: bool) -> tuple[np.ndarray, list[list[dict]], list[str]]:
     w, n = p.words, len(p.words.hash)
     depth = np.zeros(n + 1, np.int32)
-    np.add.at(depth, p.at[found], 1)
-    np.add.at(depth, p.at[found] + p.window, -1)
+    np.add.at(depth, factors.first, 1)
+    np.add.at(depth, factors.end, -1)
     covered = np.cumsum(depth[:-1]) > 0
     removed = np.add.reduceat(np.append(covered, False).astype(np.int64), w.first[:-1]) * (w.count > 0) if len(w.first) > 1 else np.empty(0, np.int64)
     begins, ends = _runs(covered, w.first)
@@ -236,10 +299,10 @@ def _cleaned(p: _Parse, found: np.ndarray, joined: bool) -> tuple[np.ndarray, li
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR, joined: bool = True
 ) -> DataFrame:
-    """``docs`` with n_words, n_removed, spans (ranges of removed words) and kept_text.  The
-    kept words are joined by one space; with ``joined=False`` the text around removed spans
+    """``docs`` with n_words, n_removed, factors (first and last word, the document that has them
+    and the word there), spans (ranges of removed words) and kept_text.  The kept words are joined by one space; with ``joined=False`` the text around removed spans
     stays as it is.  Columns of ``docs`` with the names of the new ones are left out."""
-    new = ["n_words", "n_removed", "spans", "kept_text"]
+    new = ["n_words", "n_removed", "factors", "spans", "kept_text"]
     given = [c for c in docs.columns if c not in new]
     docs, (key, text) = plainly_named(docs.select(*given), key, text)
     blocks = block_count(docs, text)
@@ -250,8 +313,8 @@ def remove_repeats(
         p = _Parse(table, key, text, window, anchor)
         low, high = (f.reduceat(p.phrase[p.order], p.begin) if len(p.begin) else p.phrase[:0] for f in (np.minimum, np.maximum))
         form = np.where(low == high, low, U64(0))
-        owners = _least(p.owner, p.order, p.begin)
-        asked = _questions(table.column("block")[0].as_py(), buckets, p.anchors, form, owners)
+        least = _least(p.owner, p.place, p.order, p.begin)
+        asked = _questions(table.column("block")[0].as_py(), buckets, p.anchors, form, *least)
         del p
         release()
         return asked
@@ -260,28 +323,32 @@ def remove_repeats(
         p = _Parse(table, key, text, window, anchor)
         status = _joined(answers, 1, "status", "u1")[p.group]
         several = np.flatnonzero(status[p.phrase_of] == SEVERAL)
-        hashes, owners, _ = _window_table(p, several)
-        asked = _questions(table.column("block")[0].as_py(), buckets, hashes, None, owners)
+        hashes, owners, places, _ = _window_table(p, several)
+        asked = _questions(table.column("block")[0].as_py(), buckets, hashes, None, owners, places)
         del p
         release()
         return asked
 
     schema = T.StructType([
         *docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
-        T.StructField("spans", T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("first", "last")]))),
+        *[
+            T.StructField(name, T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in fields])))
+            for name, fields in (("factors", FACTOR), ("spans", FACTOR[:2]))
+        ],
         T.StructField("kept_text", T.StringType()),
     ])
     columns = docs.columns
 
     def factor(table: pa.Table, answers: pa.Table) -> pa.Table:
         p = _Parse(table, key, text, window, anchor)
-        removed, spans, texts = _cleaned(p, _duplicate_windows(p, answers), joined)
-        words = p.words.count
+        factors = _parsed(p, answers)
+        removed, spans, texts = _cleaned(p, factors, joined)
+        words, listed = p.words.count, _factor_lists(p, factors)
         del p
         release()
         span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         return pa.table(
-            [*[table.column(c) for c in columns], pa.array(words), pa.array(removed), pa.array(spans, span), pa.array(texts, pa.string())],
+            [*[table.column(c) for c in columns], pa.array(words), pa.array(removed), listed, pa.array(spans, span), pa.array(texts, pa.string())],
             schema.names,
         )
 

@@ -268,6 +268,50 @@ def brute_removal(rows, window=13):
         yield i, len(words), sum(gone), " ".join(w for w, g in zip(words, gone) if not g)
 
 
+def brute_factors(rows, window=13):
+    """A greedy parse, word by word: (id, factors) of each row."""
+    words = [(i, WORD.findall(t or "")) for i, t, *_ in rows]
+    first = {}
+    for i, w in words:
+        for q in range(len(w) - window + 1 if i is not None else 0):
+            seen = tuple(w[q : q + window])
+            first[seen] = min(first.get(seen, (i, q)), (i, q))
+    for i, w in words:
+        factors, q, done = [], 0, 0
+        while i is not None and q <= len(w) - window:
+            source, place = first[tuple(w[q : q + window])]
+            if source >= i:
+                q += 1
+                continue
+            end = q + window
+            while end < len(w) and first[tuple(w[end + 1 - window : end + 1])] == (source, place + end + 1 - window - q):
+                end += 1
+            begin = max(q, done)
+            factors.append((begin, end - 1, source, place + begin - q))
+            done, q = end, end + 1 - window
+        yield i, tuple(factors)
+
+
+def test_factors_are_those_of_a_greedy_parse(awkward, rows):
+    found = [(r["doc_id"], tuple(map(tuple, r["factors"]))) for r in substring_dedup.remove_repeats(awkward).collect()]
+    assert Counter(found) == Counter(brute_factors(rows))
+    assert any(len(f) > 1 for _, f in found)
+
+
+def test_factors_point_at_their_words_and_part_where_the_texts_do(spark):
+    a, b, c = ([f"{x}{i}" for i in range(40)] for x in "abc")
+    texts = {1: a, 2: b + a[5:30], 3: a[:20] + b[10:30] + ["new"] + c, 4: c + a[7:27] + b[3:23] + c[:20], 5: b[:12] + c[:12], 6: a[:14] + a[:14]}
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(f) for f in r["factors"]] for r in substring_dedup.remove_repeats(table).collect()}
+    assert found == {
+        1: [], 2: [(40, 64, 1, 5)], 3: [(0, 19, 1, 0), (20, 39, 2, 10)],
+        4: [(0, 39, 3, 41), (40, 59, 1, 7), (60, 79, 2, 3), (80, 99, 3, 41)], 5: [], 6: [(0, 13, 1, 0), (14, 27, 1, 0)],
+    }
+    for i, factors in found.items():
+        for first, last, source, place in factors:
+            assert texts[i][first : last + 1] == texts[source][place : place + last + 1 - first]
+
+
 def test_removed_words_are_those_of_brute_force(awkward, rows):
     found = substring_dedup.remove_repeats(awkward)
     got = found.select("doc_id", "n_words", "n_removed", "kept_text").collect()
@@ -279,8 +323,9 @@ def test_removed_words_are_those_of_brute_force(awkward, rows):
 @pytest.mark.parametrize("blocks", [1, 3, 40])
 def test_blocks_do_not_change_the_result(docs, rows, blocks, monkeypatch):
     monkeypatch.setattr(substring_dedup, "block_count", lambda *a: blocks)
-    found = substring_dedup.remove_repeats(docs, window=6, anchor=3).select("doc_id", "n_words", "n_removed", "kept_text").collect()
-    assert counter(found) == Counter(brute_removal(rows, 6))
+    found = substring_dedup.remove_repeats(docs, window=6, anchor=3).collect()
+    assert counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in found) == Counter(brute_removal(rows, 6))
+    assert Counter((r["doc_id"], tuple(map(tuple, r["factors"]))) for r in found) == Counter(brute_factors(rows, 6))
 
 
 def test_no_key_fills_a_block(spark):
