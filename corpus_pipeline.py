@@ -25,12 +25,12 @@ MAX_RATE = 1.0
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the fixed rule and their group's thresholds."""
+    """Documents that pass the fixed rule and the limits of their language and source."""
     return quality.passing(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
+    """One document of each group of near-duplicates: of the smallest id, and text where that repeats."""
     return simhash.keep_one(docs)
 
 
