@@ -65,6 +65,28 @@ def test_a_dominated_key_is_staged_without_buckets(spark, staged):
         assert "Bucketed: true" not in plan_of(tables["stg_so_detail"].groupBy("SOH_AUTO_KEY").count())
 
 
+def test_rows_that_lie_by_the_key_are_not_shuffled_again(spark, threshold):
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        threshold(-1)
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        heads = spark.range(300).select(F.col("id").alias("h"))
+        lines = spark.range(3000).select((F.col("id") % 300).alias("SOH_AUTO_KEY"), "id")
+        joined = lines.join(heads, F.col("SOH_AUTO_KEY") == F.col("h")).drop("h")
+        root, tag = tempfile.mkdtemp(prefix="lying-"), f"t{uuid.uuid4().hex[:8]}"
+        table = stage_bucketed(spark, {"stg_so_detail": joined}, root, tag, 4, {"stg_so_detail": "SOH_AUTO_KEY"})["stg_so_detail"]
+        # each of the join's eight tasks wrote its own rows; a further shuffle wrote one file a bucket
+        assert len(table.inputFiles()) == 8
+        assert rows_of(table) == rows_of(joined)
+        found = table.groupBy("SOH_AUTO_KEY").count()
+        assert "Exchange" not in plan_of(found) and rows_of(found) == Counter({(i, 10): 1 for i in range(300)})
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_another_session_reads_what_was_staged(spark, staged):
     root, tag = tempfile.mkdtemp(prefix="again-"), f"t{uuid.uuid4().hex[:8]}"
     keys = {"stg_so_header": "SOH_AUTO_KEY"}

@@ -5,7 +5,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from slicewright.operators.lookups import Lookups
+from slicewright.operators.lookups import Lookups, lookup
+from slicewright.plans.common import latest_po_cost
 from slicewright.plans.inventory import inventory_slice
 from slicewright.plans.invoice import invoice_all
 from slicewright.plans.purchase_order import purchase_order_slice
@@ -108,6 +109,35 @@ def test_null_keys_meet_their_own_row_and_chained_keys_work(nothing_fits, spark)
         assert len(got) == 4 and {tuple(r) for r in got} == want
 
 
+def test_sides_on_one_key_share_a_shuffle_and_grouped_sides_are_not_shuffled_again(nothing_fits, spark):
+    rows = spark.createDataFrame([(1, 10, 7, "a"), (2, None, 8, "b"), (3, 11, None, "c"), (4, 12, 9, "d")], "l int, k bigint, m int, wide string")
+    first = spark.createDataFrame([(10, 100), (11, 101)], "k bigint, via int")
+    other = spark.createDataFrame([(7, 70)], "m int, other int")
+    cost = spark.createDataFrame([(10, 5), (10, 6), (12, 7)], "ck bigint, cost int").groupBy("ck").agg(F.max("cost").alias("cost"))
+    lk = Lookups(rows, ("l",))
+    lk.add(first, "k", "k", {"via": "via"})
+    lk.add(other, "m", "m", {"other": "other"})
+    lk.join(cost, None, key="k", side_key=cost["ck"])
+    found = lk.done().select("l", "k", "m", "wide", "via", "other", "cost")
+    want = {(1, 10, 7, "a", 100, 70, 6), (2, None, 8, "b", None, None, None), (3, 11, None, "c", 101, None, None), (4, 12, 9, "d", None, None, 7)}
+    assert {tuple(r) for r in found.collect()} == want
+    # three sides (once each), the rows, and their copy by k, by m and by l; it was eleven
+    assert len(exchanges(found)) == 7
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "string", "string collate UTF8_LCASE", "decimal(9,2)", "date"])
+def test_null_keys_of_any_type_match_nothing(nothing_fits, spark, kind):
+    as_key = (lambda c: F.date_add(F.lit("2000-01-01").cast("date"), c)) if kind == "date" else lambda c: c.cast(kind)
+    rows = spark.range(200).select("id", as_key(F.when(F.col("id") % 2 == 0, (F.col("id") % 10).cast("int"))).alias("k"))
+    side = spark.range(7).select(as_key(F.when(F.col("id") < 6, F.col("id").cast("int"))).alias("n"), F.concat(F.lit("v"), "id").alias("v"))
+    want = {i: f"v{i % 10}" if i % 2 == 0 and i % 10 < 6 else None for i in range(200)}
+    assert {r["id"]: r["v"] for r in lookup(rows, side, "k", "n", {"v": "v"}).collect()} == want
+    lk = Lookups(rows, ("id",))
+    lk.add(side, "k", "n", {"v": "v"}).add(side, F.coalesce("k", "k"), "n", {"w": "v"})
+    found = lk.done().collect()
+    assert {r["id"]: r["v"] for r in found} == {r["id"]: r["w"] for r in found} == want and len(found) == 200
+
+
 def test_line_items_are_shuffled_once_on_the_way_to_their_customers(nothing_fits, spark):
     read_base(spark, SF_SMALL)
     old, new = spark.sql(LI_SQL), spark.sql(ORDERS_FIRST)
@@ -117,3 +147,12 @@ def test_line_items_are_shuffled_once_on_the_way_to_their_customers(nothing_fits
     assert carrying(new, "l_shipdate") == 1
     # and the lines of an order stay together: the dedupe needs no further shuffle
     assert carrying(new.groupBy("l_orderkey", "l_linenumber").agg(F.count("*")), "l_linenumber") == 1
+
+
+def test_latest_cost_is_the_greatest_over_all_ids_of_a_part(spark):
+    parts = spark.createDataFrame([(1, 50, "a"), (2, 50, "b"), (3, 51, "c"), (4, None, "d")], "PartId int, NativeId int, PartNumber string")
+    orders = spark.createDataFrame(
+        [(1, 3, 9), (1, 5, None), (1, 5, 2), (2, 5, 4), (2, 4, 8), (3, 1, None), (4, 9, 9), (None, 9, 9), (7, 9, 9)], "PartId int, PODate int, UnitCost int"
+    )
+    found = latest_po_cost({"d_part": parts}, orders)
+    assert {(r["PartAutoKey"], r["PoUnitCost"]) for r in found.collect()} == {(50, 4), (51, None)}
