@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from slicewright.operators.dedupe import first_per_key
@@ -54,16 +54,27 @@ def absorb(
     if version is None:
         snapshot.publish(spark, fresh, root, by=KEY_BUCKET, note={"buckets": buckets})
         return {"Rows": n, "Written": len(hit), "Kept": 0}
+    if not hit:
+        return {"Rows": n, "Written": 0, "Kept": len(version.folders)}
+    if not hit & set(version.folders):  # nothing to meet: the import's rows are the folders'
+        snapshot.publish(spark, fresh, root, names=hit, by=KEY_BUCKET, note={"buckets": buckets})
+        return {"Rows": n, "Written": len(hit), "Kept": len(version.folders)}
     held = snapshot.read_current(spark, root, names=hit & set(version.folders))
     both = held.withColumn("__new", F.lit(False)).unionByName(fresh.withColumn("__new", F.lit(True)))
-    # of a row that is in both, the state's comes first
+    # at most two rows a key; shuffled by bucket and key in ranges, so that they can be written as they
+    # lie, in few files a folder.  Of a row that is in both, the state's comes first
+    both = both.repartitionByRange(KEY_BUCKET, *keys)
     merged = first_per_key(both, [KEY_BUCKET, *keys], order, [*tiebreak, "__new"], rn_name=None)
-    result = f"{path}-merged"
-    merged.write.parquet(result)
-    merged = spark.read.parquet(result)
-    won = {snapshot.partition_folder(r[0], KEY_BUCKET) for r in merged.filter("__new").select(KEY_BUCKET).distinct().collect()}
-    if won:
-        buckets_won = [int(w.split("=")[1]) for w in won]
-        rows = merged.filter(F.col(KEY_BUCKET).isin(buckets_won)).drop("__new")
-        snapshot.publish(spark, rows, root, names=won, by=KEY_BUCKET, note={"buckets": buckets})
+    seen = Observation("absorb")
+    merged = merged.observe(seen, F.collect_set(F.when(F.col("__new"), F.col(KEY_BUCKET))).alias("won"))
+    won: set[str] = set()
+
+    def winners() -> set[str]:
+        # a number a bucket, at most; known once the rows are written
+        won.update(snapshot.partition_folder(b, KEY_BUCKET) for b in seen.get["won"])
+        return won
+
+    snapshot.publish(
+        spark, merged.drop("__new"), root, names=winners, by=KEY_BUCKET, note={"buckets": buckets}, as_dealt=True,
+    )
     return {"Rows": n, "Written": len(won), "Kept": len(set(version.folders) - won)}

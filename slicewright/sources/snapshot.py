@@ -195,21 +195,27 @@ def _read(spark: SparkSession, root: str, version: Version, names: Iterable[str]
 
 def publish(
     spark: SparkSession, df: DataFrame, root: str, touched: Iterable[object] | None = None,
-    names: Iterable[str] | None = None, beside: bool = False, by: str = PARTITION,
-    note: dict | Callable[[], dict] | None = None, changes: str | None = None,
-) -> Version:
+    names: Iterable[str] | Callable[[], Iterable[str]] | None = None, beside: bool = False, by: str = PARTITION,
+    note: dict | Callable[[], dict] | None = None, changes: str | None = None, as_dealt: bool = False,
+) -> Version | None:
     """Make a new version current: ``df`` replaces the divisions ``touched``, or the folders
     ``names``, or all (if both are None); the rest stays where it is.  Rows for other folders
     are refused, or with ``beside`` added beside what those hold.
 
-    With ``by`` the folders go by that column instead of division and department.  ``note``
+    ``names`` may be a function, called once the rows are written: of these, only its folders count
+    then, and the others are removed again (without any, there is no new version).
+
+    With ``by`` the folders go by that column instead of division and department; rows that lie by
+    it already are written ``as_dealt``, else those of a folder are brought together.  ``note``
     (or what it returns once the rows are written) and ``changes`` (a folder below the root)
     are kept in the manifest."""
     before = current(spark, root)
     folder = f"data/{WRITE}={uuid.uuid4().hex}"
     levels = [by]
     out = df
-    if by != PARTITION:
+    if as_dealt:
+        pass
+    elif by != PARTITION:
         out = df.hint("rebalance", F.col(by))
     elif DEPARTMENT in df.columns:
         levels.append(BUCKET)
@@ -219,6 +225,15 @@ def publish(
     listed = [n for n in _names(spark, f"{root}/{folder}") if n.startswith(f"{by}=")]
     if len(levels) > 1:
         listed = [f"{n}/{m}" for n in listed for m in _names(spark, f"{root}/{folder}/{n}") if m.startswith(f"{BUCKET}=")]
+    if callable(names):
+        names = set(names())
+        fs, path, _, _ = _files(spark, root)
+        for n in set(listed) - names:
+            fs.delete(path(f"{root}/{folder}/{n}"), True)
+        if not names:
+            fs.delete(path(f"{root}/{folder}"), True)
+            return None
+        listed = [n for n in listed if n in names]
     written = {n: f"{folder}/{n}" for n in listed}
     kept: dict[str, str] = {}
     if before is not None and (touched is not None or names is not None):

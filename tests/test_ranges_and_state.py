@@ -145,6 +145,39 @@ def test_an_import_reads_only_its_folders(spark, root, monkeypatch):
     assert [len(n) for n in asked] == [1]
 
 
+def test_an_import_is_written_and_met_as_seldom_as_needed(spark, root, monkeypatch):
+    calls, deduped = [], incremental.first_per_key
+    monkeypatch.setattr(incremental, "first_per_key", lambda *a, **k: calls.append("dedupe") or deduped(*a, **k))
+    writer, written = type(spark.range(1).write), type(spark.range(1).write).parquet
+    monkeypatch.setattr(writer, "parquet", lambda self, *a, **k: calls.append("write") or written(self, *a, **k))
+
+    def absorbed(*rows):
+        calls.clear()
+        return absorb(spark, root, spark.createDataFrame(list(rows), SCHEMA), ["k", "line"], by_day(), buckets=4), sorted(calls)
+
+    absorb(spark, root, spark.createDataFrame([], SCHEMA), ["k", "line"], by_day(), buckets=4)
+    # into folders that hold nothing: not merged; else merged and written once beside the import (it was twice)
+    first, how = absorbed(*[(i, 0, 5, "a") for i in range(100)])
+    assert first == {"Rows": 100, "Written": 4, "Kept": 0} and how == ["dedupe", "write", "write"]
+    second, how = absorbed(*[(i, 0, 6, "b") for i in range(50, 150)], *[(i, 0, 4, "c") for i in range(50)])
+    assert second["Rows"] == 150 and second["Written"] == 4 and how == ["dedupe", "dedupe", "write", "write"]
+    got = {r["k"]: r["v"] for r in read_state(spark, root).collect()}
+    assert got == {i: "a" if i < 50 else "b" for i in range(150)}
+    # nothing of a write that won nothing stays
+    version = snapshot.current(spark, root)
+    stale, _ = absorbed((1, 0, 1, "stale"))
+    assert stale["Written"] == 0 and snapshot.current(spark, root).name == version.name
+    used = {f.split("/")[1] for n in snapshot._names(spark, f"{root}/manifests") if n.endswith(".json")
+            for f in snapshot._version(spark, root, n).folders.values()}
+    assert used >= set(snapshot._names(spark, f"{root}/data")) - {"_SUCCESS"} - _empty(spark, root)
+
+
+def _empty(spark, root):
+    """Writes without a folder of rows."""
+    data = snapshot._names(spark, f"{root}/data")
+    return {w for w in data if not any("=" in n for n in snapshot._names(spark, f"{root}/data/{w}"))}
+
+
 def test_empty_imports(spark, root):
     empty = spark.createDataFrame([], SCHEMA)
     assert read_state(spark, root) is None
