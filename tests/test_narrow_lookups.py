@@ -156,3 +156,35 @@ def test_latest_cost_is_the_greatest_over_all_ids_of_a_part(spark):
     )
     found = latest_po_cost({"d_part": parts}, orders)
     assert {(r["PartAutoKey"], r["PoUnitCost"]) for r in found.collect()} == {(50, 4), (51, None)}
+
+
+def test_rows_that_lie_by_a_part_of_their_key_stay_where_they_are(nothing_fits, spark):
+    rows = spark.createDataFrame(
+        [(1, 1, 10, 7, "a"), (1, None, 11, 8, None), (2, 1, 12, None, "c"), (2, 2, None, 9, "d"), (None, None, 10, 9, "e")],
+        "h int, l int, k int, m int, wide string",
+    )
+    first = spark.createDataFrame([(10, 100), (11, None), (12, 102)], "k int, via int")
+    second = spark.createDataFrame([(100, "x")], "via int, label string")
+    third = spark.createDataFrame([(8, 80), (9, 90)], "m int, other int")
+
+    def looked_up(*dealt_by):
+        lk = Lookups(rows.repartition("h"), ("h", "l"), dealt_by)
+        lk.add(first, "k", "k", {"via": "via"})
+        lk.add(third, "m", "m", {"other": "other"}, default_unknown=("other",))
+        lk.add(second, "via", "via", {"label": "label"})
+        return lk.done()
+
+    want = {(1, 1, 10, 7, "a", 100, -1, "x"), (1, None, 11, 8, None, None, 80, None), (2, 1, 12, None, "c", 102, -1, None),
+            (2, 2, None, 9, "d", None, 90, None), (None, None, 10, 9, "e", 100, 90, "x")}
+    for dealt_by, shuffles in (((), 2), (("h",), 1)):  # the first is how they were dealt
+        found = looked_up(*dealt_by)
+        assert carrying(found, "wide") == shuffles
+        got = found.select("h", "l", "k", "m", "wide", "via", "other", "label").collect()
+        assert len(got) == 5 and {tuple(r) for r in got} == want
+
+
+def test_lines_stay_with_their_headers_through_the_lookups(nothing_fits, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "174762")  # small sides are broadcast, headers and parts aren't
+    # the address lines end before the lookups, and no shuffle has what they become; by header and line key one had
+    df = sales_order_slice(fixture_tables(spark, "/root/testdata/sf0.01"))
+    assert carrying(df, "BillingCountry") == 0

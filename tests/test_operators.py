@@ -99,6 +99,15 @@ def test_rows_that_cannot_match_are_spread(spark):
     assert sum(sizes) == 4000 and max(sizes) < 1000  # 8 partitions
 
 
+def test_plain_keys_go_through_the_merge_once(spark):
+    t = spark.createDataFrame([(1, 2, "a")], "k long, line long, v string")
+    s = spark.createDataFrame([(1, 2, "b")], "k long, line long, v string")
+    merged = merge_rows(t, s, [MergeKey("k"), MergeKey("line", F.lit(0))], ["v"], ["k", "line", "v"])
+    shown = merged._jdf.queryExecution().analyzed().toString()
+    assert "s__k0" not in shown and "s__k1" in shown  # only the key with a stand-in has a column of its own
+    assert [tuple(r) for r in merged.collect()] == [(1, 2, "b", "UPDATE")]
+
+
 def test_delete_where_keeps_null(spark):
     df = spark.createDataFrame([(106,), (1,), (None,)], "d int")
     assert sorted(r[0] or 0 for r in delete_where(df, F.col("d") == 106).collect()) == [0, 1]

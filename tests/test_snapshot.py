@@ -100,3 +100,30 @@ def test_folders_of_earlier_writes_are_read_beside_new_ones(spark, tmp_path, mon
         snapshot.publish(spark, rows, f"{tmp_path}/t")
     snapshot.publish(spark, rows.filter("DivisionId = 12").replace("a", "c"), f"{tmp_path}/t", touched=[12])
     assert sorted(map(tuple, snapshot.read_current(spark, f"{tmp_path}/t").collect())) == [(1, "b"), (12, "c")]
+
+
+def test_rows_read_from_files_are_published_without_a_shuffle(spark, root):
+    made = spark.range(4000).selectExpr("id as k", "cast(if(id % 2 = 0, 12, 1) as int) as DivisionId", "cast(id % 5 as int) as DPT_AUTO_KEY")
+    made.repartition(40).write.parquet(f"{root}/stored")
+    stored = spark.read.parquet(f"{root}/stored").filter("k >= 100")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("publish", "publish")
+    try:
+        version = snapshot.publish(spark, stored, f"{root}/t", from_files=True)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("publish")) == 1
+    assert len(version.folders) == 10
+    for folder in version.folders.values():  # one task's bytes: one file a folder, of the smaller kind
+        files = [f for f in os.listdir(f"{root}/t/{folder}") if f.endswith(".parquet")]
+        assert len(files) == 1 and files[0].endswith(".zstd.parquet")
+    assert now(spark, f"{root}/t") == sorted(tuple(r) for r in stored.collect())
+
+
+def test_large_files_are_published_by_several_tasks(spark, root, monkeypatch):
+    spark.range(3000).selectExpr("id as k", "12 as DivisionId", "106 as DPT_AUTO_KEY").repartition(6).write.parquet(f"{root}/stored")
+    monkeypatch.setattr(snapshot, "BYTES_A_TASK", 8_000)
+    version = snapshot.publish(spark, spark.read.parquet(f"{root}/stored"), f"{root}/t", from_files=True)
+    (folder,) = version.folders.values()
+    assert len([f for f in os.listdir(f"{root}/t/{folder}") if f.endswith(".parquet")]) > 1
+    assert snapshot.read_current(spark, f"{root}/t").count() == 3000
