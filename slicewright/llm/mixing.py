@@ -41,8 +41,12 @@ LEAST_RATIO = 4.0
 STEPS = 40
 TOLERANCE = 1e-4
 _RIDGE = 1e-9
-#: White space, and the place where a word's punctuation begins.
-_BETWEEN = r"[\x09-\x0D\x20]+|(?<=[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])(?=[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E])"
+#: White space, and the place where a word's punctuation begins.  Both are of few characters, so that
+#: all others cost one look; the one before is only looked at where punctuation is.
+_BETWEEN = (
+    r"(?=[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E])"
+    r"(?:[\x09-\x0D\x20]+|(?<![\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]))"
+)
 
 
 def tokens(text: Column) -> Column:
@@ -112,12 +116,13 @@ def posteriors(docs: DataFrame, model: Classifier, key: str = "doc_id", text: st
     """(key, text_hash, copies, n_tokens, p): one row per key and text."""
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), tokens(F.col(text)).alias("tokens"))
     rows = rows.withColumn("n_tokens", F.size("tokens"))
-    words = rows.select("key", "text_hash", "n_tokens", F.posexplode_outer("tokens").alias("pos", "word"))
-    # a token that is a feature, and each row's first, which also stands for the document
+    # the features among the tokens, each once (MAX_FEATURES at most, whatever the corpus)
+    names = [F.lit(r["word"]) for r in model.features.select("word").collect()]
+    met = F.array_intersect("tokens", F.array(*names).cast("array<string>"))
+    # a row for each, and one for a document without; each document's first also stands for it
+    words = rows.select("key", "text_hash", "n_tokens", F.posexplode_outer(met).alias("pos", "word"))
     begins = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    # (MAX_FEATURES rows at most, whatever the corpus)
-    met = words.join(F.broadcast(model.features), "word", "left").filter(F.col("add").isNotNull() | begins)
-    present = met.groupBy("key", "text_hash", "n_tokens", F.when(F.col("add").isNotNull(), F.col("word")).alias("word")).agg(
+    present = words.join(F.broadcast(model.features), "word", "left").groupBy("key", "text_hash", "n_tokens", "word").agg(
         F.first("add").alias("add"), F.sum(begins.cast("long")).alias("copies")
     )
     sums = [

@@ -2,6 +2,7 @@
 
 import math
 import os
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -154,6 +155,28 @@ def brute_tokens(text):
     return found
 
 
+def test_tokens_of_odd_texts(spark):
+    rng = random.Random(6)
+    odd = "aZ09 \t\n\x0b\x0c\r,.!@[`{~/:\x00\x1c\x1f\x7f\x80\x85\xa0éßK日\u3000😀\U00010400"
+    texts = [None, "", " ", "!", "a", *("".join(rng.choice(odd) for _ in range(rng.randint(1, 14))) for _ in range(4_000))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string").select("id", mixing.tokens(F.col("text")).alias("tokens"))
+    assert {r["id"]: r["tokens"] for r in rows.collect()} == {i: brute_tokens(t) for i, t in enumerate(texts)}
+
+
+def test_only_features_become_rows(spark):
+    features = spark.createDataFrame([("ab", [1.0, 0.0]), (",c", [0.0, 2.0])], "word string, add array<double>")
+    model = mixing.Classifier(["x", "y"], [0.0, 0.5], features)
+    docs = [(1, "AB ab d,c ab"), (1, "AB ab d,c ab"), (2, "d " * 500), (3, None), (3, ""), (None, "e ,c"), (4, "c, ab")]
+    scored = mixing.posteriors(spark.createDataFrame(docs, "doc_id long, text string"), model)
+    share = lambda x, y: pytest.approx([math.exp(x) / (math.exp(x) + math.exp(y)), math.exp(y) / (math.exp(x) + math.exp(y))])
+    found = sorted(((r["key"] or 0, r["copies"], r["n_tokens"], r["p"]) for r in scored.collect()), key=lambda r: r[:3])
+    assert found == [
+        (0, 1, 2, share(0, 2.5)), (1, 2, 5, share(1, 2.5)), (2, 1, 500, share(0, 0.5)),
+        (3, 1, 0, share(0, 0.5)), (3, 1, 0, share(0, 0.5)), (4, 1, 3, share(1, 0.5)),
+    ]
+    assert "posexplode(array_intersect(" in scored._jdf.queryExecution().executedPlan().toString()
+
+
 def brute_rates(rows, labels, targets, whole=None, max_rate=None):
     """Naive Bayes and projected gradient descent from their definitions."""
     known = [(set(brute_tokens(t)), labels[i]) for i, t in rows if labels.get(i)]
