@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from slicewright.operators.dedupe import first_per_key
-from slicewright.session import STORED, scratch_path
+from slicewright.session import STORED, frees_shuffles, scratch_path
 from slicewright.sources import snapshot
 
 #: Derived from the key at each import; kept in the state's folder names.
@@ -33,6 +33,7 @@ def read_state(spark: SparkSession, root: str) -> DataFrame | None:
     return None if rows is None else rows.drop(KEY_BUCKET)
 
 
+@frees_shuffles
 def absorb(
     spark: SparkSession, root: str, imported: DataFrame, keys: Sequence[str], order: Sequence[Column],
     tiebreak: Sequence[str] | None = None, buckets: int = 64,

@@ -16,6 +16,7 @@ from slicewright.config import RunContext
 from slicewright.plans.invoice import invoice_all
 from slicewright.plans.runner import COUNTS, Logged
 from slicewright.plans.sales_order import sales_order_all
+from slicewright.session import frees_shuffles
 from slicewright.sources import snapshot
 
 FAMILIES: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
@@ -24,6 +25,7 @@ FAMILIES: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
 }
 
 
+@frees_shuffles
 def run_refresh(
     spark: SparkSession, family: str, tables: Mapping[str, DataFrame], target_root: str, log_path: str,
     ctx: RunContext = RunContext(),

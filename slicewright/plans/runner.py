@@ -48,7 +48,7 @@ from slicewright.operators.merge import (
 )
 from slicewright.plans.loads import FLAG, SPECS, STAMP, LoadScope, LoadSpec, MergePlan, merge_load, merge_plan, prepare_source
 from slicewright.plans.reclassify import FACT_TABLES, moved, reclassify_fact
-from slicewright.session import STORED, scratch_path
+from slicewright.session import STORED, frees_shuffles, scratch_path
 from slicewright.sources import snapshot
 from slicewright.sources.catalog import Tables
 from slicewright.sources.collation import collated, plain
@@ -143,6 +143,7 @@ def touched_folders(spark: SparkSession, root: str, plan: MergePlan, source: Dat
     return touched | inserts
 
 
+@frees_shuffles
 def run_load(
     spark: SparkSession,
     kind: str,
@@ -221,6 +222,7 @@ def run_load(
         return log.passed(counts) | {"Blocked": False, "TargetRowsUpdated": n["u"]}
 
 
+@frees_shuffles
 def run_reclassify(
     spark: SparkSession,
     fact: str,

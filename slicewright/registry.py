@@ -29,7 +29,7 @@ from slicewright.plans.refresh import run_refresh
 from slicewright.plans.sales_order import DETAIL_KEYS, sales_order_all, sales_order_slice
 from slicewright.plans.shipment import shipment_slice
 from slicewright.plans.units import UNITS
-from slicewright.session import STORED, scratch_path
+from slicewright.session import STORED, frees_shuffles, scratch_path
 from slicewright.sources import snapshot
 from slicewright.sources.bucketing import BUCKET_KEYS, stage_bucketed
 from slicewright.sources.catalog import fixture_tables
@@ -70,6 +70,11 @@ JOBS["receipt_slice_bucketed"] = _bucketed(receipt_slice, ("stg_rc_header", "stg
 JOBS["zero_factors"] = lambda spark, t: zero_factors(t)
 
 
+@frees_shuffles
+def _store(spark, rows: DataFrame, path: str) -> None:
+    rows.write.options(**STORED).parquet(path)
+
+
 class LoadRun:
     """One load over a seeded warehouse, run as the scheduled job runs it: the slice is staged,
     a target is published, and ``run_load`` does the rest."""
@@ -80,7 +85,7 @@ class LoadRun:
         self.spark, self.root = spark, scratch_path(spark, "load-queries", uuid.uuid4().hex)
         self.target, self.log = f"{self.root}/{spec.target_name}", f"{self.root}/run_log"
         self.audit, self.touched = f"{self.root}/audit", merge_plan(spec, scope).touched
-        JOBS[spec.slice_job](spark, t).write.options(**STORED).parquet(f"{self.root}/slice")
+        _store(spark, JOBS[spec.slice_job](spark, t), f"{self.root}/slice")
         rows = spark.read.parquet(f"{self.root}/slice")
         seed = blocked_receipt_target(rows, t) if blocked else seed_target(spec, rows, t)
         snapshot.publish(spark, seed, self.target)

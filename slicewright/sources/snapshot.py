@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slicewright.operators.broadcast import estimated_bytes
-from slicewright.session import STORED
+from slicewright.session import STORED, frees_shuffles
 
 POINTER = "_CURRENT"
 PARTITION = "DivisionId"
@@ -198,6 +198,7 @@ def _read(spark: SparkSession, root: str, version: Version, names: Iterable[str]
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], version.schema)
 
 
+@frees_shuffles
 def publish(
     spark: SparkSession, df: DataFrame, root: str, touched: Iterable[object] | None = None,
     names: Iterable[str] | Callable[[], Iterable[str]] | None = None, beside: bool = False, by: str = PARTITION,
@@ -212,29 +213,35 @@ def publish(
     then, and the others are removed again (without any, there is no new version).
 
     With ``by`` the folders go by that column instead of division and department; rows that lie by
-    it already are written ``as_dealt``, else those of a folder are brought together.  Rows that are read
-    ``from_files`` (as they are, or filtered) aren't shuffled for that: tasks of ``BYTES_A_TASK`` of
-    the files write a file for each folder that they meet.  ``note``
+    it already are written ``as_dealt``, else those of a folder are brought together.  Rows that go by
+    division and department are stored as they come, unless they are read ``from_files`` (as they are, or
+    filtered), and aren't shuffled: tasks of ``BYTES_A_TASK`` of the files write a file for each folder
+    that they meet.  (Stored rows are a third of the shuffled ones or less.)  ``note``
     (or what it returns once the rows are written) and ``changes`` (a folder below the root)
     are kept in the manifest."""
     before = current(spark, root)
     folder = f"data/{WRITE}={uuid.uuid4().hex}"
     levels = [by]
-    out = df
+    out, staged = df, None
     if as_dealt:
         pass
     elif by != PARTITION:
         out = df.hint("rebalance", F.col(by))
     elif DEPARTMENT in df.columns:
         levels.append(BUCKET)
-        out = df.withColumn(BUCKET, bucket_column())
-        if from_files:
-            out = out.coalesce(-(-estimated_bytes(df) // BYTES_A_TASK) or 1)
-        else:
-            # rows of a folder meet in few files; Spark splits those of a large one
-            out = out.hint("rebalance", *map(F.col, levels))
+        if not from_files:
+            # below data: `retain` removes what a stopped job left there
+            staged = f"{root}/data/rows-{uuid.uuid4().hex}"
+            df.write.mode("errorifexists").options(**STORED).parquet(staged)
+            out = spark.read.schema(df.schema).parquet(staged)
+        # rows of a folder meet in few files
+        tasks = -(-estimated_bytes(out) // BYTES_A_TASK) or 1
+        out = out.withColumn(BUCKET, bucket_column()).coalesce(tasks)
     stored = out.write.mode("errorifexists").options(**STORED).option("partitionOverwriteMode", "static")
     stored.partitionBy(*levels).parquet(f"{root}/{folder}")
+    if staged is not None:
+        fs, path, _, _ = _files(spark, root)
+        fs.delete(path(staged), True)
     listed = [n for n in _names(spark, f"{root}/{folder}") if n.startswith(f"{by}=")]
     if len(levels) > 1:
         listed = [f"{n}/{m}" for n in listed for m in _names(spark, f"{root}/{folder}/{n}") if m.startswith(f"{BUCKET}=")]

@@ -1,10 +1,12 @@
 import json
 import os
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from slicewright.session import FREE_SHUFFLES
 from slicewright.sources import snapshot
 
 
@@ -127,3 +129,36 @@ def test_large_files_are_published_by_several_tasks(spark, root, monkeypatch):
     (folder,) = version.folders.values()
     assert len([f for f in os.listdir(f"{root}/t/{folder}") if f.endswith(".parquet")]) > 1
     assert snapshot.read_current(spark, f"{root}/t").count() == 3000
+
+
+def test_computed_rows_are_published_without_a_shuffle(spark, root):
+    made = spark.range(0, 4000, 1, 6).selectExpr("id as k", "cast(if(id % 2 = 0, 12, 1) as int) as DivisionId", "cast(id % 5 as int) as DPT_AUTO_KEY")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("computed", "computed")
+    try:
+        version = snapshot.publish(spark, made, f"{root}/t")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("computed")) == 1
+    for folder in version.folders.values():  # few rows: one file a folder, though six tasks had them
+        assert len([f for f in os.listdir(f"{root}/t/{folder}") if f.endswith(".parquet")]) == 1
+    assert {n.split("=")[0] for n in os.listdir(f"{root}/t/data")} == {snapshot.WRITE}  # nothing else is left
+    assert now(spark, f"{root}/t") == sorted(tuple(r) for r in made.collect())
+
+
+def shuffle_blocks(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString("|")
+    return {b for b in found.split("|") if b.startswith("shuffle_")}
+
+
+def test_a_step_leaves_no_shuffle_files(spark, root):
+    before, kept = shuffle_blocks(spark), spark.conf.get(FREE_SHUFFLES)
+    rows = spark.range(5000).groupBy((F.col("id") % 100).alias("k")).agg(F.lit(12).alias("DivisionId"), F.count("*").alias("n"))
+    snapshot.publish(spark, rows, f"{root}/t")
+    for _ in range(50):  # they are removed in the background
+        if not shuffle_blocks(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not shuffle_blocks(spark) - before
+    assert spark.conf.get(FREE_SHUFFLES) == kept  # as the session had it
+    assert rows.count() == snapshot.read_current(spark, f"{root}/t").count() == 100
