@@ -12,6 +12,7 @@ from slicewright.operators.broadcast import estimated_bytes
 from slicewright.operators.lookups import Lookups, lookup
 from slicewright.plans.receipts import receipt_slice
 from slicewright.plans.sales_order import sales_order_slice
+from slicewright.sources import bucketing
 from slicewright.sources.bucketing import stage_bucketed
 from slicewright.sources.staging import stage_fixtures
 from tests.conftest import SF_SMALL
@@ -87,6 +88,19 @@ def test_rows_that_lie_by_the_key_are_not_shuffled_again(spark, threshold):
             spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize(("most", "files"), [(None, 12), (8, 4)])
+def test_rows_are_put_into_buckets_where_they_lie_while_files_are_few(spark, monkeypatch, most, files):
+    if most is not None:
+        monkeypatch.setattr(bucketing, "MOST_FILES", most)
+    rows = spark.range(0, 3000, 1, 3).select((F.col("id") % 300).alias("SOH_AUTO_KEY"), "id")
+    root, tag = tempfile.mkdtemp(prefix="lie-"), f"t{uuid.uuid4().hex[:8]}"
+    table = stage_bucketed(spark, {"stg_so_detail": rows}, root, tag, 4, {"stg_so_detail": "SOH_AUTO_KEY"})["stg_so_detail"]
+    # three tasks wrote four buckets each; a shuffle by the key wrote one file a bucket
+    assert len(table.inputFiles()) == files
+    found = table.groupBy("SOH_AUTO_KEY").count()
+    assert "Exchange" not in plan_of(found) and rows_of(found) == Counter({(i, 10): 1 for i in range(300)})
+
+
 def test_another_session_reads_what_was_staged(spark, staged):
     root, tag = tempfile.mkdtemp(prefix="again-"), f"t{uuid.uuid4().hex[:8]}"
     keys = {"stg_so_header": "SOH_AUTO_KEY"}
