@@ -10,6 +10,7 @@ from slicewright.plans.common import latest_po_cost
 from slicewright.plans.inventory import inventory_slice
 from slicewright.plans.invoice import invoice_all
 from slicewright.plans.purchase_order import purchase_order_slice
+from slicewright.plans.receipts import receipt_slice
 from slicewright.plans.sales_order import sales_order_all, sales_order_slice
 from slicewright.sources.catalog import ORDERS_FIRST, fixture_tables, read_base
 from slicewright.sources.fixture_sql import LI_SQL
@@ -188,3 +189,10 @@ def test_lines_stay_with_their_headers_through_the_lookups(nothing_fits, spark):
     # the address lines end before the lookups, and no shuffle has what they become; by header and line key one had
     df = sales_order_slice(fixture_tables(spark, "/root/testdata/sf0.01"))
     assert carrying(df, "BillingCountry") == 0
+
+
+def test_receipts_meet_lots_that_know_their_part(nothing_fits, spark):
+    # once a receipt has its lot and its order line, it is shuffled for the groups and the dedupe only
+    df = receipt_slice(fixture_tables(spark, SF_SMALL))
+    assert not [c for c in exchanges(df) if {"__st_pnm", "FACTOR"} <= c or {"__co", "FACTOR"} <= c]
+    assert sum({"PO_NUMBER", "SYSCM_AUTO_KEY"} <= c for c in exchanges(df)) == 1
