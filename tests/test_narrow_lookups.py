@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slicewright.operators.lookups import Lookups, lookup
-from slicewright.plans.common import latest_po_cost
+from slicewright.plans.common import class_months_by_part, latest_po_cost, latest_po_costs
 from slicewright.plans.inventory import inventory_slice
 from slicewright.plans.invoice import invoice_all
 from slicewright.plans.purchase_order import purchase_order_slice
@@ -196,3 +196,37 @@ def test_receipts_meet_lots_that_know_their_part(nothing_fits, spark):
     df = receipt_slice(fixture_tables(spark, SF_SMALL))
     assert not [c for c in exchanges(df) if {"__st_pnm", "FACTOR"} <= c or {"__co", "FACTOR"} <= c]
     assert sum({"PO_NUMBER", "SYSCM_AUTO_KEY"} <= c for c in exchanges(df)) == 1
+
+
+@pytest.mark.parametrize("name", ["sales_order_slice", "sales_order_all"])
+def test_costs_and_classes_are_found_where_the_part_is(nothing_fits, spark, name):
+    plan = PLANS[name](fixture_tables(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line and "LeftOuter" in line]
+    assert joins and not [line for line in joins if "__pc_month" in line or "__c_div" in line or "__pc_part" in line]
+
+
+def test_classes_by_part_and_month(spark):
+    history = spark.createDataFrame(
+        [("1996-03-01", 1001, "A"), ("1996-03-15", 1001, "B"), ("1996-04-01", 1002, "C"), (None, 1001, "N"),
+         ("1996-05-01", 1001, None), ("1996-05-01", 1003, "X"), ("1996-06-01", None, "Y")],
+        "d string, PartId bigint, ProductClass string",
+    ).selectExpr("cast(d as date) as AsOfDate", "PartId", "1 as DivisionId", "ProductClass")
+    # two keys of one part number, a part without a number, one without snapshots
+    parts = spark.createDataFrame(
+        [(1001, 1, "P"), (1002, 2, "P"), (1003, 3, None), (1004, 4, "Q")], "PartId bigint, NativeId bigint, PartNumber string"
+    ).withColumn("DivisionId", F.lit(1))
+    side = parts.select(F.col("NativeId").alias("k"), F.col("PartId").alias("v0"), F.col("PartNumber").alias("v1"))
+    found = class_months_by_part({"f_inventory_history": history, "d_part": parts}, side)
+    march, april = 1996 * 12 + 3, 1996 * 12 + 4
+    assert {r["__pc_native"]: r["__pc_classes"] for r in found.collect()} == {k: {march: "B", april: "C"} for k in (1, 2)}
+
+
+def test_latest_costs_of_several_scopes(spark):
+    orders = spark.createDataFrame(
+        [(5, "1997-01-01", 1, 1), (5, "1997-02-01", 2, 2), (5, "1997-02-01", 3, 2), (6, "1997-01-01", 4, 3), (None, "1997-01-01", 9, 1)],
+        "PartId bigint, d string, UnitCost int, scope int",
+    ).withColumn("PODate", F.col("d").cast("date"))
+    parts = spark.createDataFrame([(5, 50, "P"), (6, 60, "Q")], "PartId bigint, NativeId bigint, PartNumber string")
+    scopes = {"one": F.col("scope") == 1, "two": F.col("scope") <= 2, "null": F.lit(None).cast("boolean")}
+    found = latest_po_costs({"d_part": parts}, orders, scopes)
+    assert {tuple(r) for r in found.collect()} == {(50, 1, 3, None)}
